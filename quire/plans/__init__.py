@@ -1,3 +1,4 @@
 """Query plans: the registered, named queries over the given tables (see ``registry``)."""
 
 from quire.plans import q_text  # noqa: F401
+from quire.plans import q_blocks  # noqa: F401
