@@ -172,3 +172,84 @@ def encode_queries(supplier: DataFrame) -> DataFrame:
             block("QUERY_RESULT", decoy, text=F.lit("decoy"), confidence=F.lit(2.0)),
         ]
     return _response(supplier, F.array(*blocks), "s_suppkey")
+
+
+# ---------------------------------------------------------------- orders x lineitem -> expense documents (A3-A5)
+
+def _field(type_text: Column | None, value: Column | None) -> Column:
+    t = F.struct(type_text.alias("Text")) if type_text is not None else F.lit(None).cast("struct<Text:string>")
+    v = F.struct(value.alias("Text")) if value is not None else F.lit(None).cast("struct<Text:string>")
+    return F.struct(t.alias("Type"), v.alias("ValueDetection"))
+
+
+def encode_expense(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """One expense document per order: summary TOTAL, STATUS (a stale value first), PRIORITY, an untyped field
+    (-> UNKNOWN) and DUE without value (-> ''); line items grouped by return flag (several groups, in flag
+    order), each with ITEM (stale first), PRICE, ROW and NOTE without value."""
+    items = lineitem_rows(lineitem)
+    o = orders.join(items.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left") \
+        .withColumn("items", F.coalesce("items", F.array()))
+    summary = F.array(
+        _field(F.lit("TOTAL"), F.format_string("%.2f", F.col("o_totalprice"))),
+        _field(F.lit("STATUS"), F.lit("stale")),
+        _field(F.lit("STATUS"), F.col("o_orderstatus")),
+        _field(F.lit("PRIORITY"), F.col("o_orderpriority")),
+        _field(None, F.concat(F.lit("cust-"), F.col("o_custkey").cast("string"))),
+        _field(F.lit("DUE"), None),
+    )
+    numbered = F.transform("items", lambda it, r: F.struct(it.alias("it"), (r + 1).alias("r")))
+    flags = F.array_sort(F.array_distinct(F.transform("items", lambda it: it["l_returnflag"])))
+    groups = F.transform(flags, lambda f: F.struct(F.transform(
+        F.filter(numbered, lambda x: x["it"]["l_returnflag"] == f),
+        lambda x: F.struct(F.array(
+            _field(F.lit("ITEM"), F.lit("stale")),
+            _field(F.lit("ITEM"), x["it"]["l_partkey"].cast("string")),
+            _field(F.lit("PRICE"), F.format_string("%.2f", x["it"]["l_extendedprice"])),
+            _field(F.lit("ROW"), x["r"].cast("string")),
+            _field(F.lit("NOTE"), None),
+        ).alias("LineItemExpenseFields"))).alias("LineItems")))
+    doc = F.struct(summary.alias("SummaryFields"), groups.alias("LineItemGroups"))
+    return o.select(F.col("o_orderkey").alias("doc_id"),
+                    F.to_json(F.struct(F.array(doc).alias("ExpenseDocuments"))).alias("response"))
+
+
+# ---------------------------------------------------------------- customer -> identity documents
+
+def encode_identity(customer: DataFrame) -> DataFrame:
+    """Two identity documents per customer; SEGMENT appears in both (the later wins), one field has no type
+    (UNKNOWN) and DOB has no value ('')."""
+    d1 = F.struct(F.array(
+        _field(F.lit("NAME"), F.col("c_name")),
+        _field(F.lit("SEGMENT"), F.lit("stale")),
+        _field(F.lit("NATION"), F.col("c_nationkey").cast("string")),
+    ).alias("IdentityDocumentFields"))
+    d2 = F.struct(F.array(
+        _field(F.lit("SEGMENT"), F.col("c_mktsegment")),
+        _field(None, F.format_string("%.2f", F.col("c_acctbal"))),
+        _field(F.lit("DOB"), None),
+    ).alias("IdentityDocumentFields"))
+    return customer.select(F.col("c_custkey").alias("doc_id"),
+                           F.to_json(F.struct(F.array(d1, d2).alias("IdentityDocuments"))).alias("response"))
+
+
+# ---------------------------------------------------------------- orders -> class scores
+
+# Classes and the multipliers of their synthetic scores (score = (orderkey * p mod 101) / 101).
+CLASS_SCORES = [("invoice", 7), ("receipt", 13), ("bank-statement", 29)]
+
+
+def encode_classes(orders: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    classes = F.array(*[F.struct(F.lit(n).alias("Name"), (((k * p) % 101).cast("double") / F.lit(101.0)).alias(
+        "Score")) for n, p in CLASS_SCORES])
+    return orders.select(k.alias("doc_id"), F.to_json(F.struct(classes.alias("Classes"))).alias("response"))
+
+
+def field_confidences(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Per order one confidence per line item: key ``item_<row>``, score ``round(l_discount * 10, 4)``."""
+    items = lineitem_rows(lineitem)
+    return (orders.select(F.col("o_orderkey").alias("doc_id"))
+            .join(items.withColumnRenamed("l_orderkey", "doc_id"), "doc_id")
+            .select("doc_id", F.posexplode("items").alias("r", "it"))
+            .select("doc_id", F.concat(F.lit("item_"), (F.col("r") + 1).cast("string")).alias("key"),
+                    F.round(F.col("it.l_discount") * 10, 4).alias("score")))
