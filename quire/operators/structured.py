@@ -78,8 +78,8 @@ def identity_fields(resp: DataFrame, json_col: str = "response") -> DataFrame:
     return f.groupBy("doc_id", "type").agg(F.max_by("value", F.struct("d_ord", "f_ord")).alias("value"))
 
 
-def rank_classes(resp: DataFrame, json_col: str = "response") -> DataFrame:
-    """``(doc_id, class, score, rank)``; score rounded to 4 places, sorted descending, ties in response order.
+def ranked_classes(json_col: str = "response"):
+    """W1 as a column: ``array<struct<name, pos, score>>`` sorted by rounded score desc, ties in response order.
 
     A repeated class keeps its first position with its last score (dict semantics). The class list of one
     document is short and bounded by the number of classes, so the ranking is done inside the row: no shuffle.
@@ -89,18 +89,21 @@ def rank_classes(resp: DataFrame, json_col: str = "response") -> DataFrame:
     entries = F.transform(names, lambda n, i: F.struct(
         n.alias("name"), i.alias("pos"),
         F.round(F.element_at(F.filter(cs, lambda c: c["Name"] == n), -1)["Score"], 4).alias("score")))
-    ranked = F.array_sort(entries, lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)
-                          .otherwise(a["pos"] - b["pos"]))
-    return (resp.select("doc_id", F.posexplode(ranked).alias("r", "c"))
+    return F.array_sort(entries, lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)
+                        .otherwise(a["pos"] - b["pos"]))
+
+
+def rank_classes(resp: DataFrame, json_col: str = "response") -> DataFrame:
+    """W1 long form: ``(doc_id, class, score, rank)``."""
+    return (resp.select("doc_id", F.posexplode(ranked_classes(json_col)).alias("r", "c"))
             .select("doc_id", F.col("c.name").alias("class"), F.col("c.score").alias("score"),
                     (F.col("r") + 1).alias("rank")))
 
 
 def top_class(resp: DataFrame, json_col: str = "response") -> DataFrame:
     """``(doc_id, document_type, classification_confidence, error)``; no classes -> null type and an error."""
-    ranked = rank_classes(resp, json_col).where(F.col("rank") == 1)
-    return (resp.select("doc_id").join(ranked, "doc_id", "left")
-            .select("doc_id", F.col("class").alias("document_type"),
-                    F.col("score").alias("classification_confidence"),
-                    F.when(F.col("class").isNull(), F.lit("Classification failed: no classes returned"))
-                    .alias("error")))
+    top = F.get(ranked_classes(json_col), 0)
+    return (resp.select("doc_id", top.alias("t"))
+            .select("doc_id", F.col("t.name").alias("document_type"),
+                    F.col("t.score").alias("classification_confidence"),
+                    F.when(F.col("t").isNull(), F.lit("Classification failed: no classes returned")).alias("error")))
