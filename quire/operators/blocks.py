@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.text import token_set
 from quire.sources.blocks import block_index, edges
 
 
@@ -196,3 +197,23 @@ def answer_details(blocks: DataFrame, index: DataFrame | None = None) -> DataFra
 def query_answers(details: DataFrame) -> DataFrame:
     """J3 dict form, long: ``(doc_id, alias, answer)``, a repeated alias keeps the last QUERY block."""
     return details.groupBy("doc_id", "alias").agg(F.max_by("answer", "query_ord").alias("answer"))
+
+
+# ---------------------------------------------------------------- J15
+
+def answer_queries(kv: DataFrame, queries: list[tuple[str, str]]) -> DataFrame:
+    """``(doc_id, alias, answer, confidence)`` — each query against every key of its document.
+
+    Query and key tokens: lower case split on ``[^a-z0-9]+``, distinct; confidence = 100 x shared / key tokens,
+    rounded to 1; best by ``(confidence desc, key_ord)``; confidence 0 -> answer ''. The query list is a
+    parameter exploded per KV row, the best pick a grouped ``max_by`` (partial aggregation).
+    """
+    qs = F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(t).alias("qtext")) for a, t in queries])
+    x = kv.select("doc_id", "key_ord", "key", "value", F.explode(qs).alias("q"))
+    kt = token_set(F.col("key"))
+    x = x.withColumn("confidence", F.when(F.size(kt) > 0, F.round(
+        F.lit(100.0) * F.size(F.array_intersect(token_set(F.col("q.qtext")), kt)) / F.size(kt), 1)).otherwise(0.0))
+    best = x.groupBy("doc_id", F.col("q.alias").alias("alias")).agg(
+        F.max_by(F.struct("confidence", "value"), F.struct("confidence", (-F.col("key_ord")).alias("k"))).alias("b"))
+    return best.select("doc_id", "alias", F.when(F.col("b.confidence") > 0, F.col("b.value")).otherwise("").alias(
+        "answer"), F.col("b.confidence").alias("confidence"))

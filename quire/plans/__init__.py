@@ -4,3 +4,4 @@ from quire.plans import q_text  # noqa: F401
 from quire.plans import q_blocks  # noqa: F401
 from quire.plans import q_structured  # noqa: F401
 from quire.plans import q_entities  # noqa: F401
+from quire.plans import q_retrieval  # noqa: F401
