@@ -253,3 +253,21 @@ def field_confidences(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             .select("doc_id", F.posexplode("items").alias("r", "it"))
             .select("doc_id", F.concat(F.lit("item_"), (F.col("r") + 1).cast("string")).alias("key"),
                     F.round(F.col("it.l_discount") * 10, 4).alias("score")))
+
+
+def encode_line_pages(documents: DataFrame, lines_per_page: int = 10) -> DataFrame:
+    """The LINE encoding of ``encode_lines`` split into pages of ``lines_per_page`` lines, one response per
+    ``(doc_id, page_ord)`` (a multi-page OCR job); combining the pages must give back the single response."""
+    lines = F.split(F.col("text"), "\n", -1)
+    n_pages = F.greatest(F.lit(1), F.ceil(F.size(lines) / lines_per_page).cast("int"))
+    d = documents.select("doc_id", lines.alias("lines"), F.explode(F.sequence(F.lit(0), n_pages - 1)).alias(
+        "page_ord"))
+    page = F.slice("lines", F.col("page_ord") * lines_per_page + 1, lines_per_page)
+    first = F.col("page_ord") * lines_per_page
+    blocks = F.flatten(F.transform(page, lambda l, j: F.array(
+        block("LINE", F.concat(F.lit("L"), (first + j).cast("string")), text=l, confidence=F.lit(99.0),
+              bbox=F.struct(F.lit(0.1).alias("Left"), ((first + j) * F.lit(0.01)).alias("Top"),
+                            F.lit(0.8).alias("Width"), F.lit(0.01).alias("Height"))),
+        block("WORD", F.concat(F.lit("W"), (first + j).cast("string")), text=F.element_at(F.split(l, " ", -1), 1)),
+    )))
+    return d.select("doc_id", "page_ord", F.to_json(F.struct(blocks.alias("Blocks"))).alias("response"))
