@@ -56,7 +56,8 @@ def chunk_by_bytes(text: Column, max_bytes: int = CHUNK_MAX_BYTES) -> Column:
     ws = words(text)
     starts = chunk_starts(ws, max_bytes)
     ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(ws)))
-    return F.zip_with(starts, ends, lambda s, e: F.array_join(F.slice(ws, s + 1, e - s), " "))
+    return F.when(F.size(ws) > 0, F.zip_with(starts, ends, lambda s, e: F.array_join(F.slice(ws, s + 1, e - s), " "))
+                  ).otherwise(F.array().cast("array<string>"))
 
 
 def drift_offsets(chunks: Column) -> Column:
