@@ -11,15 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import token_set
-from quire.sources.blocks import block_index, edges
-
-
-def _joined_words(parts: DataFrame, keys: list[str], pos: list[str], text: str = "w") -> DataFrame:
-    """Join word texts by one space in (pos...) order per key; a key without words gets ''."""
-    ordered = F.array_sort(F.collect_list(F.struct(*[F.col(p) for p in pos], F.col(text).alias("__t"))))
-    return parts.groupBy(*keys).agg(
-        F.array_join(F.transform(F.filter(ordered, lambda s: s["__t"].isNotNull()), lambda s: s["__t"]),
-                     " ").alias("text"))
+from quire.sources.blocks import child_refs, resolve
 
 
 # ---------------------------------------------------------------- P1, P2
@@ -40,36 +32,41 @@ def document_text(blocks: DataFrame, sep: str = "\n") -> DataFrame:
 
 # ---------------------------------------------------------------- J1, A1
 
-def table_cells(blocks: DataFrame, index: DataFrame | None = None) -> DataFrame:
+def table_cells(blocks: DataFrame) -> DataFrame:
     """``(doc_id, table_ord, row_index, col_index, text)``, one row per grid address.
 
     TABLE -CHILD-> CELL -CHILD-> WORD | SELECTION_ELEMENT. A WORD gives its Text, a selection its status; the
     words of a cell are joined by one space in child order. Missing Row/ColumnIndex reads 1; a dangling or
     non-CELL child is dropped; a repeated address keeps the last cell in child order. ``table_ord`` is the
     TABLE block's position in the response.
+
+    Two reference lookups (cells, then words; cells without words kept by an outer explode and a left lookup)
+    and one aggregation per address, which both joins the words of the winning cell and applies
+    "last cell wins" — no separate per-cell grouping or join back.
     """
-    idx = index if index is not None else block_index(blocks)
-    tables = blocks.where(F.col("block_type") == "TABLE")
-    cell_refs = edges(tables, "CHILD").select(
-        "doc_id", F.col("src_ord").alias("table_ord"), F.struct("rel_ord", "id_ord").alias("cell_pos"),
-        F.col("dst").alias("id"))
-    cells = (cell_refs.join(idx.where(F.col("block_type") == "CELL"), ["doc_id", "id"])
-             .select("doc_id", "table_ord", "cell_pos", F.col("id").alias("cell_id"),
+    tables = blocks.where(F.col("block_type") == "TABLE").select("doc_id", F.col("ord").alias("table_ord"),
+                                                                "relationships")
+    cell_refs = child_refs(tables, "CHILD", ["table_ord"]).withColumnRenamed("rel_ord", "c_rel").withColumnRenamed(
+        "id_ord", "c_ord")
+    cells = (resolve(cell_refs, blocks, ["table_ord", "c_rel", "c_ord"],
+                     ["block_type", "row_index", "col_index", "relationships"])
+             .where(F.col("block_type") == "CELL")
+             .select("doc_id", "table_ord", "c_rel", "c_ord",
                      F.coalesce("row_index", F.lit(1)).alias("row_index"),
                      F.coalesce("col_index", F.lit(1)).alias("col_index"), "relationships"))
-    word_refs = (edges(cells.select("doc_id", F.col("cell_id").alias("id"), F.lit(0).alias("ord"), "relationships"),
-                       "CHILD")
-                 .select("doc_id", F.col("src").alias("cell_id"), "rel_ord", "id_ord", F.col("dst").alias("id")))
-    words = (word_refs.join(idx.where(F.col("block_type").isin("WORD", "SELECTION_ELEMENT")), ["doc_id", "id"])
-             .select("doc_id", "cell_id", "rel_ord", "id_ord",
-                     F.when(F.col("block_type") == "WORD", F.coalesce("text", F.lit("")))
-                     .otherwise(F.coalesce("selection_status", F.lit(""))).alias("w")))
-    cell_text = _joined_words(words, ["doc_id", "cell_id"], ["rel_ord", "id_ord"])
-    per_cell = (cells.join(cell_text, ["doc_id", "cell_id"], "left")
-                .select("doc_id", "table_ord", "cell_pos", "row_index", "col_index",
-                        F.coalesce("text", F.lit("")).alias("text")))
-    return (per_cell.groupBy("doc_id", "table_ord", "row_index", "col_index")
-            .agg(F.max_by("text", "cell_pos").alias("text")))
+    keys = ["table_ord", "c_rel", "c_ord", "row_index", "col_index"]
+    word_refs = child_refs(cells, "CHILD", keys, outer=True)
+    words = resolve(word_refs, blocks, [*keys, "rel_ord", "id_ord"], ["block_type", "text", "selection_status"],
+                    how="left")
+    w = (F.when(F.col("block_type") == "WORD", F.coalesce("text", F.lit("")))
+         .when(F.col("block_type") == "SELECTION_ELEMENT", F.coalesce("selection_status", F.lit(""))))
+    per_addr = (words.groupBy("doc_id", "table_ord", "row_index", "col_index")
+                .agg(F.collect_list(F.struct("c_rel", "c_ord", "rel_ord", "id_ord", w.alias("w"))).alias("ws")))
+    last_cell = F.array_max(F.transform("ws", lambda x: F.struct(x["c_rel"], x["c_ord"])))
+    mine = F.array_sort(F.filter("ws", lambda x: (F.struct(x["c_rel"], x["c_ord"]) == last_cell)
+                                 & x["w"].isNotNull()))
+    return per_addr.select("doc_id", "table_ord", "row_index", "col_index",
+                           F.array_join(F.transform(mine, lambda x: x["w"]), " ").alias("text"))
 
 
 def table_shapes(blocks: DataFrame, cells: DataFrame) -> DataFrame:
@@ -100,60 +97,59 @@ def table_grids(blocks: DataFrame) -> DataFrame:
     """A1 nested API form: ``(doc_id, tables array<array<array<string>>>)`` in TABLE block order.
 
     A table with no cells is ``[]`` (``sequence(1, 0)`` would count down, so empty shapes are handled first).
-    This collects each document's tables into one row, as the reference result row holds them.
+    The dense grid is complete after the left join, so one grouping per table sorts its cells by address and
+    cuts them into rows of ``n_cols``. This collects each document's tables into one row, as the reference
+    result row holds them.
     """
     cells = table_cells(blocks)
     shapes = table_shapes(blocks, cells)
     filled = table_grid_cells(blocks, cells)
-    rows = (filled.groupBy("doc_id", "table_ord", "row_index")
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("col_index", "text"))), lambda s: s["text"])
-                 .alias("row")))
-    tables = (rows.groupBy("doc_id", "table_ord")
-              .agg(F.transform(F.array_sort(F.collect_list(F.struct("row_index", "row"))), lambda s: s["row"])
-                   .alias("grid")))
-    per_table = (shapes.join(tables, ["doc_id", "table_ord"], "left")
-                 .select("doc_id", "table_ord",
-                         F.coalesce("grid", F.expr("cast(array() as array<array<string>>)")).alias("grid")))
-    return per_table.groupBy("doc_id").agg(
+    per_table = filled.groupBy("doc_id", "table_ord").agg(
+        F.array_sort(F.collect_list(F.struct("row_index", "col_index", "text"))).alias("cs"))
+    t = (shapes.join(per_table, ["doc_id", "table_ord"], "left")
+         .select("doc_id", "table_ord", F.when(F.col("n_rows") > 0, F.transform(
+             F.sequence(F.lit(0), F.col("n_rows") - 1),
+             lambda r: F.transform(F.slice("cs", r * F.col("n_cols") + 1, F.col("n_cols")), lambda x: x["text"])))
+             .otherwise(F.array().cast("array<array<string>>")).alias("grid")))
+    return t.groupBy("doc_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("table_ord", "grid"))), lambda s: s["grid"]).alias("tables"))
 
 
 # ---------------------------------------------------------------- J2, A2
 
-def _child_words_text(parents: DataFrame, idx: DataFrame, parent_key: str) -> DataFrame:
-    """Text of each parent = its WORD children (CHILD edges) joined by a space; no word -> ''."""
-    refs = (edges(parents.select("doc_id", F.col(parent_key).alias("id"), F.lit(0).alias("ord"), "relationships"),
-                  "CHILD")
-            .select("doc_id", F.col("src").alias(parent_key), "rel_ord", "id_ord", F.col("dst").alias("id")))
-    words = (refs.join(idx.where(F.col("block_type") == "WORD"), ["doc_id", "id"])
-             .select("doc_id", parent_key, "rel_ord", "id_ord", F.coalesce("text", F.lit("")).alias("w")))
-    return _joined_words(words, ["doc_id", parent_key], ["rel_ord", "id_ord"])
-
-
-def kv_pairs(blocks: DataFrame, index: DataFrame | None = None) -> DataFrame:
+def kv_pairs(blocks: DataFrame) -> DataFrame:
     """``(doc_id, key_ord, key, value)`` for every KEY block whose word text is non-empty (tested before trim).
 
     The value is the *last* id over all VALUE relationships (overwrite, not concatenation), even a dangling one,
     which yields ''. Only WORD children count, so a checkbox value reads ''. Both sides are trimmed.
+
+    The last VALUE id is read inside the KEY block's row; one lookup resolves the value blocks, one lookup
+    resolves the words of keys and values together, and one grouping per key assembles both texts.
     """
-    idx = index if index is not None else block_index(blocks)
     keys = (blocks.where((F.col("block_type") == "KEY_VALUE_SET")
                          & F.array_contains(F.coalesce("entity_types", F.array()), "KEY"))
-            .select("doc_id", F.col("id").alias("key_id"), F.col("ord").alias("key_ord"), "relationships"))
-    key_text = _child_words_text(keys, idx, "key_id").withColumnRenamed("text", "key_text")
-    last_value = (edges(keys.select("doc_id", F.col("key_id").alias("id"), F.col("key_ord").alias("ord"),
-                                    "relationships"), "VALUE")
-                  .groupBy("doc_id", F.col("src_ord").alias("key_ord"))
-                  .agg(F.max_by("dst", F.struct("rel_ord", "id_ord")).alias("value_id")))
-    value_blocks = (last_value.join(idx.withColumnRenamed("id", "value_id"), ["doc_id", "value_id"])
-                    .select("doc_id", "value_id", "relationships").dropDuplicates(["doc_id", "value_id"]))
-    value_text = _child_words_text(value_blocks, idx, "value_id").withColumnRenamed("text", "value_text")
-    k = (keys.join(key_text, ["doc_id", "key_id"], "left")
-         .join(last_value, ["doc_id", "key_ord"], "left")
-         .join(value_text, ["doc_id", "value_id"], "left"))
-    return (k.where(F.length(F.coalesce("key_text", F.lit(""))) > 0)
-            .select("doc_id", "key_ord", F.trim("key_text").alias("key"),
-                    F.trim(F.coalesce("value_text", F.lit(""))).alias("value")))
+            .select("doc_id", F.col("ord").alias("key_ord"), "relationships"))
+    value_ids = F.flatten(F.transform(F.filter(F.coalesce("relationships", F.array()),
+                                               lambda r: r["Type"] == "VALUE"),
+                                      lambda r: F.coalesce(r["Ids"], F.array().cast("array<string>"))))
+    keys = keys.withColumn("value_id", F.element_at(value_ids, -1))
+    values = resolve(keys.select("doc_id", "key_ord", F.col("value_id").alias("id")).where(F.col("id").isNotNull()),
+                     blocks, ["key_ord"], ["relationships"])
+    key_words = child_refs(keys, "CHILD", ["key_ord"], outer=True).withColumn("role", F.lit(0))
+    value_words = child_refs(values, "CHILD", ["key_ord"]).withColumn("role", F.lit(1))
+    refs = key_words.unionByName(value_words)
+    words = resolve(refs, blocks, ["key_ord", "role", "rel_ord", "id_ord"], ["block_type", "text"], how="left")
+    w = F.when(F.col("block_type") == "WORD", F.coalesce("text", F.lit("")))
+    per_key = words.groupBy("doc_id", "key_ord").agg(
+        F.array_sort(F.collect_list(F.struct("role", "rel_ord", "id_ord", w.alias("w")))).alias("ws"))
+
+    def text_of(role):
+        return F.array_join(F.transform(F.filter("ws", lambda x: (x["role"] == role) & x["w"].isNotNull()),
+                                        lambda x: x["w"]), " ")
+
+    return (per_key.select("doc_id", "key_ord", text_of(0).alias("k"), text_of(1).alias("v"))
+            .where(F.length("k") > 0)
+            .select("doc_id", "key_ord", F.trim("k").alias("key"), F.trim("v").alias("value")))
 
 
 def kv_map_long(pairs: DataFrame) -> DataFrame:
@@ -169,26 +165,25 @@ def kv_map(pairs: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- J3, P9, W4
 
-def answer_details(blocks: DataFrame, index: DataFrame | None = None) -> DataFrame:
+def answer_details(blocks: DataFrame) -> DataFrame:
     """J3 + P9 + W4: one row per QUERY block ``(doc_id, query_ord, query, alias, answer, confidence)``.
 
     Within one ANSWER relationship the first QUERY_RESULT wins; across relationships the last one that has a
     result wins. Unanswered queries stay, with '' and '0.0%'. A query without Alias uses its text.
+    One left lookup of the ANSWER references (queries without any kept by an outer explode) and one grouping.
     """
-    idx = index if index is not None else block_index(blocks)
     qs = (blocks.where(F.col("block_type") == "QUERY")
-          .select("doc_id", F.col("id").alias("query_id"), F.col("ord").alias("query_ord"),
+          .select("doc_id", F.col("ord").alias("query_ord"),
                   F.coalesce("query_text", F.lit("")).alias("query"),
                   F.coalesce("query_alias", F.coalesce("query_text", F.lit(""))).alias("alias"), "relationships"))
-    refs = edges(qs.select("doc_id", F.col("query_id").alias("id"), F.col("query_ord").alias("ord"),
-                           "relationships"), "ANSWER")
-    results = (refs.join(idx.where(F.col("block_type") == "QUERY_RESULT").withColumnRenamed("id", "dst"),
-                         ["doc_id", "dst"])
-               .groupBy("doc_id", F.col("src_ord").alias("query_ord"))
-               .agg(F.max_by(F.struct(F.coalesce("text", F.lit("")).alias("answer"),
-                                      F.coalesce("confidence", F.lit(0.0)).alias("conf")),
-                             F.struct("rel_ord", (-F.col("id_ord")).alias("neg_id_ord"))).alias("best")))
-    return (qs.join(results, ["doc_id", "query_ord"], "left")
+    keys = ["query_ord", "query", "alias"]
+    refs = child_refs(qs, "ANSWER", keys, outer=True)
+    res = resolve(refs, blocks, [*keys, "rel_ord", "id_ord"], ["block_type", "text", "confidence"], how="left")
+    hit = F.col("block_type") == "QUERY_RESULT"
+    best = F.max_by(F.when(hit, F.struct(F.coalesce("text", F.lit("")).alias("answer"),
+                                         F.coalesce("confidence", F.lit(0.0)).alias("conf"))),
+                    F.when(hit, F.struct("rel_ord", (-F.col("id_ord")).alias("neg_id_ord"))))
+    return (res.groupBy("doc_id", *keys).agg(best.alias("best"))
             .select("doc_id", "query_ord", "query", "alias",
                     F.coalesce("best.answer", F.lit("")).alias("answer"),
                     F.format_string("%.1f%%", F.coalesce("best.conf", F.lit(0.0))).alias("confidence")))

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import explode_rows
 from quire.functions.spans import find_spans
 from quire.functions.text import WS_JAVA
 from quire.session import broadcast_if_small
@@ -46,7 +47,7 @@ def tokens(docs: DataFrame, max_chars: int | None = None, id_col: str = "doc_id"
     seps = F.regexp_extract_all("__t", F.lit(WS_JAVA), 0)
     z = F.zip_with(pieces, seps, lambda p, s: F.struct(p.alias("tok"),
                                                        (F.length(p) + F.coalesce(F.length(s), F.lit(0))).alias("w")))
-    e = d.select("doc_id", F.posexplode(z).alias("pos", "x")).select("doc_id", "pos", "x.tok", "x.w")
+    e = explode_rows(d, ["doc_id"], z, "x", "pos").select("doc_id", "pos", "x.tok", "x.w")
     w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     return (e.withColumn("begin_offset", F.coalesce(F.sum("w").over(w), F.lit(0)).cast("int"))
             .where(F.col("tok") != "").select("doc_id", "pos", F.col("tok").alias("token"), "begin_offset"))
@@ -90,7 +91,7 @@ def dictionary_entities(docs: DataFrame, entity_list: DataFrame, max_n: int = 3)
 def pattern_entities(docs: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
     """Built-in entity types that patterns can find (C2 with ``ENTITY_PATTERNS``)."""
     pats = patterns or ENTITY_PATTERNS
-    return (docs.select("doc_id", F.posexplode(find_spans("text", pats)).alias("ord", "s"))
+    return (explode_rows(docs, ["doc_id"], find_spans("text", pats), "s", "ord")
             .select("doc_id", "s.begin_offset", "s.end_offset", "s.text", "s.type", "s.score"))
 
 

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import explode_rows
 from quire.functions.spans import PII_PATTERNS, find_spans, redact
 
 
@@ -31,11 +32,9 @@ def with_pii_spans(docs: DataFrame, types: Sequence[str] | None = None, text_col
 def detect_pii(docs: DataFrame, types: Sequence[str] | None = None, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """C2 long form: ``(doc_id, span_ord, type, begin_offset, end_offset, text, score)``."""
-    return (
-        with_pii_spans(docs.select(id_col, text_col), types, text_col)
-        .select(id_col, F.posexplode("pii").alias("span_ord", "s"))
-        .select(id_col, "span_ord", "s.type", "s.begin_offset", "s.end_offset", "s.text", "s.score")
-    )
+    d = with_pii_spans(docs.select(id_col, text_col), types, text_col)
+    return (explode_rows(d, [id_col], F.col("pii"), "s", "span_ord")
+            .select(id_col, "span_ord", "s.type", "s.begin_offset", "s.end_offset", "s.text", "s.score"))
 
 
 def filter_pii(spans: DataFrame, types: Sequence[str] | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import explode_rows
 from quire.functions.text import SPLIT_CHUNK_OVERLAP, SPLIT_CHUNK_SIZE, split_text_fixed
 
 # Retrieval depth and text bounds.
@@ -82,24 +83,30 @@ def ask(docs: DataFrame, questions: Sequence[str]) -> DataFrame:
     exploded per document."""
     qs = F.array(*[F.struct(F.lit(i).alias("question_ord"), F.lit(q).alias("question"))
                    for i, q in enumerate(questions)])
+    keep = [c for c in docs.columns]
     return (docs.where(F.length("text") > 0)
-            .select("doc_id", "text", F.explode(qs).alias("q"))
-            .select("doc_id", "text", "q.question_ord", "q.question"))
+            .select(*keep, F.explode(qs).alias("q"))
+            .select(*keep, "q.question_ord", "q.question"))
 
 
-def retrieve(asked: DataFrame, k: int = TOP_K, size: int = SPLIT_CHUNK_SIZE, overlap: int = SPLIT_CHUNK_OVERLAP,
-             embed=embed_letters) -> DataFrame:
-    """J12 + W5, per-document index: for each (document, question) the ``k`` nearest chunks of that document.
+def retrieve(docs: DataFrame, questions: Sequence[str], k: int = TOP_K, size: int = SPLIT_CHUNK_SIZE,
+             overlap: int = SPLIT_CHUNK_OVERLAP, embed=embed_letters) -> DataFrame:
+    """J11 + J12 + W5, per-document index: for each (document, question) the ``k`` nearest chunks of that document.
 
-    Chunks are C4 windows; distance is C6 over ``embed`` vectors; rank by ``(distance, chunk_ord)``. Output adds
-    ``top array<struct<distance, chunk_ord, text>>`` (rank order). All inside the row: no join, no shuffle.
+    Chunks are C4 windows; distance is C6 over ``embed`` vectors; rank by ``(distance, chunk_ord)``. Chunk vectors
+    are computed once per document, before the questions are exploded (the index is built once, not per
+    question). Output ``(doc_id, text, question_ord, question, top)`` with ``top array<struct<distance,
+    chunk_ord, text>>`` in rank order. All inside the row: no join, no shuffle.
     """
     chunks = F.transform(split_text_fixed(F.col("text"), size, overlap),
-                         lambda c, i: F.struct(i.alias("chunk_ord"), c["text"].alias("text")))
+                         lambda c, i: F.struct(i.alias("chunk_ord"), c["text"].alias("text"),
+                                               embed(c["text"]).alias("v")))
+    indexed = docs.where(F.length("text") > 0).select("doc_id", "text", chunks.alias("__chunks"))
+    asked = ask(indexed, questions)
     qv = embed(F.col("question"))
-    scored = F.transform(chunks, lambda c: F.struct(l2_distance(embed(c["text"]), qv).alias("distance"),
-                                                    c["chunk_ord"].alias("chunk_ord"), c["text"].alias("text")))
-    return asked.withColumn("top", F.slice(F.array_sort(scored), 1, k))
+    scored = F.transform("__chunks", lambda c: F.struct(l2_distance(c["v"], qv).alias("distance"),
+                                                        c["chunk_ord"].alias("chunk_ord"), c["text"].alias("text")))
+    return asked.withColumn("top", F.slice(F.array_sort(scored), 1, k)).drop("__chunks")
 
 
 def top_k_by_key(vectors: DataFrame, queries: DataFrame, key: str, k: int = TOP_K, salt_buckets: int = 64,
@@ -168,7 +175,7 @@ def ask_documents(docs: DataFrame, questions: Sequence[str], k: int = TOP_K) ->
 
     Result ``(doc_id, question_ord, question, answer, source_documents array<struct<text, source>>)``.
     """
-    r = answer(stuff_prompts(retrieve(ask(docs, questions), k)))
+    r = answer(stuff_prompts(retrieve(docs, questions, k)))
     return r.select("doc_id", "question_ord", "question", "answer",
                     F.transform("sources", lambda s: F.struct(s.alias("text"),
                                                               F.col("doc_id").cast("string").alias("source")))
@@ -189,8 +196,8 @@ def extract_prompt(text: Column, schema_description: str) -> Column:
 
 def sentences(docs: DataFrame) -> DataFrame:
     """``(doc_id, sentence_ord, sentence, words)`` of the first 8000 characters, split on the literal '. '."""
-    return (docs.select("doc_id", F.posexplode(F.split(F.substring("text", 1, PROMPT_TEXT_LIMIT), "\\. ", -1))
-                        .alias("sentence_ord", "sentence"))
+    return (explode_rows(docs, ["doc_id"], F.split(F.substring("text", 1, PROMPT_TEXT_LIMIT), "\\. ", -1), "sentence",
+                         "sentence_ord")
             .withColumn("words", F.filter(F.split(F.lower("sentence"), "[^\\p{L}]+", -1), lambda w: w != "")))
 
 
@@ -205,7 +212,7 @@ def summarise(docs: DataFrame, words: int = SUMMARY_WORDS, idf_broadcast_rows: i
     from quire.session import broadcast_if_small
 
     s = sentences(docs)
-    occ = s.select("doc_id", "sentence_ord", F.explode("words").alias("word"))
+    occ = explode_rows(s, ["doc_id", "sentence_ord"], F.col("words"), "word")
     n_docs = docs.agg(F.count("*").alias("n_docs"))
     df_ = occ.select("doc_id", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
     idf = (df_.crossJoin(F.broadcast(n_docs))  # one-row scalar

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import explode_rows
 from quire.schemas import REVIEW_OUTPUT
 
 # Default review threshold and loop-name prefix.
@@ -77,8 +78,8 @@ def low_confidence_fields(confidences: DataFrame, threshold: float = REVIEW_THRE
 
 def parse_review_output(df: DataFrame, json_col: str = "output") -> DataFrame:
     """Reviewer output JSON -> ``(doc_id, key, value)``; later answers overwrite earlier ones."""
-    a = (df.select("doc_id", F.from_json(json_col, REVIEW_OUTPUT).alias("o"))
-         .select("doc_id", F.posexplode(F.coalesce("o.humanAnswers", F.array())).alias("a_ord", "a"))
+    o = df.select("doc_id", F.from_json(json_col, REVIEW_OUTPUT).alias("o"))
+    a = (explode_rows(o, ["doc_id"], F.col("o.humanAnswers"), "a", "a_ord")
          .select("doc_id", "a_ord", F.explode(F.coalesce("a.answerContent", F.expr("map()"))).alias("key", "value")))
     return a.groupBy("doc_id", "key").agg(F.max_by("value", "a_ord").alias("value"))
 

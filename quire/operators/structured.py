@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import explode_rows
 from quire.schemas import CLASS_RESPONSE, EXPENSE_RESPONSE, IDENTITY_RESPONSE
 
 
@@ -18,26 +19,23 @@ def _typed(field):
 
 
 def _expense_docs(resp: DataFrame, json_col: str) -> DataFrame:
-    return (resp.select("doc_id", F.from_json(json_col, EXPENSE_RESPONSE).alias("r"))
-            .select("doc_id", F.posexplode(F.coalesce("r.ExpenseDocuments", F.array())).alias("expense_ord", "e")))
+    r = resp.select("doc_id", F.from_json(json_col, EXPENSE_RESPONSE).alias("r"))
+    return explode_rows(r, ["doc_id"], F.col("r.ExpenseDocuments"), "e", "expense_ord")
 
 
 def expense_summary(resp: DataFrame, json_col: str = "response") -> DataFrame:
     """A3: ``(doc_id, expense_ord, type, value)``, one value per summary type, last wins."""
-    f = (_expense_docs(resp, json_col)
-         .select("doc_id", "expense_ord", F.posexplode(F.coalesce("e.SummaryFields", F.array())).alias("f_ord", "f"))
+    f = (explode_rows(_expense_docs(resp, json_col), ["doc_id", "expense_ord"], F.col("e.SummaryFields"), "f", "f_ord")
          .select("doc_id", "expense_ord", "f_ord", *_typed(F.col("f"))))
     return f.groupBy("doc_id", "expense_ord", "type").agg(F.max_by("value", "f_ord").alias("value"))
 
 
 def expense_line_items(resp: DataFrame, json_col: str = "response") -> DataFrame:
     """A4: ``(doc_id, expense_ord, item_ord, type, value)``; items of all groups numbered in order."""
-    items = (_expense_docs(resp, json_col)
-             .select("doc_id", "expense_ord", F.posexplode(F.flatten(F.transform(
-                 F.coalesce("e.LineItemGroups", F.array()),
-                 lambda g: F.coalesce(g["LineItems"], F.array())))).alias("item_ord", "it")))
-    f = (items.select("doc_id", "expense_ord", "item_ord",
-                      F.posexplode(F.coalesce("it.LineItemExpenseFields", F.array())).alias("f_ord", "f"))
+    all_items = F.flatten(F.transform(F.coalesce("e.LineItemGroups", F.array()),
+                                      lambda g: F.coalesce(g["LineItems"], F.array())))
+    items = explode_rows(_expense_docs(resp, json_col), ["doc_id", "expense_ord"], all_items, "it", "item_ord")
+    f = (explode_rows(items, ["doc_id", "expense_ord", "item_ord"], F.col("it.LineItemExpenseFields"), "f", "f_ord")
          .select("doc_id", "expense_ord", "item_ord", "f_ord", *_typed(F.col("f"))))
     return f.groupBy("doc_id", "expense_ord", "item_ord", "type").agg(F.max_by("value", "f_ord").alias("value"))
 
@@ -71,9 +69,9 @@ def expense(resp: DataFrame, json_col: str = "response") -> DataFrame:
 
 def identity_fields(resp: DataFrame, json_col: str = "response") -> DataFrame:
     """``(doc_id, type, value)`` over all identity documents of a response; last (document, field) wins."""
-    f = (resp.select("doc_id", F.from_json(json_col, IDENTITY_RESPONSE).alias("r"))
-         .select("doc_id", F.posexplode(F.coalesce("r.IdentityDocuments", F.array())).alias("d_ord", "d"))
-         .select("doc_id", "d_ord", F.posexplode(F.coalesce("d.IdentityDocumentFields", F.array())).alias("f_ord", "f"))
+    r = resp.select("doc_id", F.from_json(json_col, IDENTITY_RESPONSE).alias("r"))
+    d = explode_rows(r, ["doc_id"], F.col("r.IdentityDocuments"), "d", "d_ord")
+    f = (explode_rows(d, ["doc_id", "d_ord"], F.col("d.IdentityDocumentFields"), "f", "f_ord")
          .select("doc_id", "d_ord", "f_ord", *_typed(F.col("f"))))
     return f.groupBy("doc_id", "type").agg(F.max_by("value", F.struct("d_ord", "f_ord")).alias("value"))
 
@@ -95,7 +93,7 @@ def ranked_classes(json_col: str = "response"):
 
 def rank_classes(resp: DataFrame, json_col: str = "response") -> DataFrame:
     """W1 long form: ``(doc_id, class, score, rank)``."""
-    return (resp.select("doc_id", F.posexplode(ranked_classes(json_col)).alias("r", "c"))
+    return (explode_rows(resp, ["doc_id"], ranked_classes(json_col), "c", "r")
             .select("doc_id", F.col("c.name").alias("class"), F.col("c.score").alias("score"),
                     (F.col("r") + 1).alias("rank")))
 

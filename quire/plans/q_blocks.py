@@ -77,13 +77,12 @@ SELECT o_orderkey AS doc_id, 0 AS table_ord, CAST(coalesce(n, 0) AS INTEGER) AS
 FROM orders LEFT JOIN g ON l_orderkey = o_orderkey
 """)
 def q_table_grids(spark, sf_dir):
-    blocks = table_blocks(spark, sf_dir)
-    cells = B.table_cells(blocks)
-    shapes = B.table_shapes(blocks, cells)
-    grids = B.table_grids(blocks).select("doc_id", F.posexplode("tables").alias("t", "grid"))
-    text = grids.select("doc_id", F.array_join(F.transform("grid", lambda r: F.array_join(r, "|")), "\n").alias(
-        "grid_text"))
-    return shapes.join(text, "doc_id").select("doc_id", "table_ord", "n_rows", "n_cols", "grid_text")
+    grids = B.table_grids(table_blocks(spark, sf_dir)).select("doc_id", F.posexplode("tables").alias("table_ord",
+                                                                                                     "grid"))
+    return grids.select(
+        "doc_id", "table_ord", F.size("grid").alias("n_rows"),
+        F.when(F.size("grid") > 0, F.size(F.get("grid", 0))).otherwise(0).alias("n_cols"),
+        F.array_join(F.transform("grid", lambda r: F.array_join(r, "|")), "\n").alias("grid_text"))
 
 
 _KV_SQL = """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import explode_rows
 from quire.functions import text as TX
 from quire.functions.spans import PII_PATTERNS, preview, truncate_text
 from quire.operators import entities as EN
@@ -209,8 +210,7 @@ x AS (SELECT doc_id, j - 1 AS chunk_ord,
 @register("chunk_by_bytes", _CHUNK_SQL + """
 SELECT doc_id, CAST(chunk_ord AS INTEGER) AS chunk_ord, CAST(strlen(text) AS INTEGER) AS n_bytes, text FROM x""")
 def q_chunk_by_bytes(spark, sf_dir):
-    return (_docs(spark, sf_dir).select("doc_id", F.posexplode(TX.chunk_by_bytes(F.col("text"))).alias("chunk_ord",
-                                                                                                         "text"))
+    return (explode_rows(_docs(spark, sf_dir), ["doc_id"], TX.chunk_by_bytes(F.col("text")), "text", "chunk_ord")
             .select("doc_id", "chunk_ord", F.octet_length("text").alias("n_bytes"), "text"))
 
 
@@ -224,7 +224,7 @@ def q_rebase_spans(spark, sf_dir):
     d = _docs(spark, sf_dir).select("doc_id", TX.chunk_by_bytes(F.col("text")).alias("chunks"))
     z = F.zip_with("chunks", TX.drift_offsets(F.col("chunks")),
                    lambda c, o: F.struct(c.alias("text"), o.alias("drift_offset")))
-    return (d.select("doc_id", F.posexplode(z).alias("chunk_ord", "z"))
+    return (explode_rows(d, ["doc_id"], z, "z", "chunk_ord")
             .select("doc_id", "chunk_ord", F.col("z.drift_offset").alias("drift_offset")))
 
 
@@ -235,8 +235,7 @@ FROM (SELECT doc_id, text, s, row_number() OVER (PARTITION BY doc_id ORDER BY s)
                                                         {TX.SPLIT_CHUNK_SIZE - TX.SPLIT_CHUNK_OVERLAP})) AS s
             FROM documents WHERE length(text) > 0))""")
 def q_split_text_fixed(spark, sf_dir):
-    return (_docs(spark, sf_dir).select("doc_id", F.posexplode(TX.split_text_fixed(F.col("text"))).alias(
-        "chunk_ord", "c")).select("doc_id", "chunk_ord", F.col("c.start").alias("start"), F.col("c.text").alias("text")))
+    return (explode_rows(_docs(spark, sf_dir), ["doc_id"], TX.split_text_fixed(F.col("text")), "c", "chunk_ord").select("doc_id", "chunk_ord", F.col("c.start").alias("start"), F.col("c.text").alias("text")))
 
 
 @register("truncate_text", """

@@ -43,7 +43,7 @@ __top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id,
 
 
 def _retrieved(spark, sf_dir):
-    return RT.retrieve(RT.ask(_docs(spark, sf_dir), DEFAULT_QUESTIONS))
+    return RT.retrieve(_docs(spark, sf_dir), DEFAULT_QUESTIONS)
 
 
 @register("ask", f"""

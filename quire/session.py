@@ -16,7 +16,8 @@ TABLES = (
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def get_spark(app: str = "quire", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def get_spark(app: str = "quire", master: str | None = None, shuffle_partitions: int | None = None,
+              driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings this library assumes.
 
     On a cluster the master, memory and shuffle partitions come from spark-submit; here we only pin what changes
@@ -36,14 +37,27 @@ def get_spark(app: str = "quire", master: str | None = None, shuffle_partitions:
     )
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory or (master or "").startswith("local"):
+        # local mode: the driver JVM is the only executor, size it (takes effect when the JVM starts here)
+        b = b.config("spark.driver.memory", driver_memory or "8g")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given parquet tables; Catalyst prunes columns and pushes filters into this scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, min_splits: int | None = None) -> DataFrame:
+    """One of the given parquet tables; Catalyst prunes columns and pushes filters into this scan.
+
+    A scan coarser than the cluster (fewer splits than ``min_splits``, default 3 x default parallelism; e.g. a
+    table stored as one row group) is spread round-robin so per-row work uses every core. On a large input the
+    scan already has far more splits than that and is left alone. Column pruning and filters still reach the
+    scan: both are pushed below the repartition.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    target = min_splits if min_splits is not None else 3 * spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        df = df.repartition(target)
+    return df
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import explode_rows
 from quire.schemas import BLOCK_RESPONSE
 
 BLOCK_COLUMNS = ["doc_id", "ord", "block_type", "id", "text", "confidence", "row_index", "col_index",
@@ -17,10 +18,9 @@ BLOCK_COLUMNS = ["doc_id", "ord", "block_type", "id", "text", "confidence", "row
 
 
 def _flatten(parsed: DataFrame, id_col: str) -> DataFrame:
-    return parsed.select(
-        F.col(id_col).alias("doc_id"),
-        F.posexplode(F.coalesce(F.col("r.Blocks"), F.array())).alias("ord", "b"),  # missing Blocks -> none
-    ).select("doc_id", "ord", *_block_fields())
+    p = parsed.select(F.col(id_col).alias("doc_id"), "r")
+    return explode_rows(p, ["doc_id"], F.col("r.Blocks"), "b", "ord").select(  # missing Blocks -> none
+        "doc_id", "ord", *_block_fields())
 
 
 def _block_fields():
@@ -60,24 +60,56 @@ def combine_pages(df: DataFrame, json_col: str = "response", id_col: str = "doc_
     """
     parsed = df.select(F.col(id_col).alias("doc_id"), F.col(page_col).alias("__page"),
                        F.from_json(json_col, BLOCK_RESPONSE).alias("r"))
-    b = parsed.select("doc_id", "__page",
-                      F.posexplode(F.coalesce(F.col("r.Blocks"), F.array())).alias("__o", "b"))
+    b = explode_rows(parsed, ["doc_id", "__page"], F.col("r.Blocks"), "b", "__o")
     w = Window.partitionBy("doc_id").orderBy("__page", "__o")
     return b.withColumn("ord", F.row_number().over(w) - 1).select("doc_id", "ord", *_block_fields())
 
 
-def block_index(blocks: DataFrame) -> DataFrame:
-    """The ``{Id: block}`` lookup: one block per ``(doc_id, id)``, a repeated Id keeps the last block.
+# Block columns a reference may need to read (bulky geometry and query fields are left out).
+LOOKUP_COLUMNS = ["block_type", "text", "confidence", "row_index", "col_index", "selection_status", "relationships"]
+
+
+def resolve(refs: DataFrame, blocks: DataFrame, keys: list[str], cols: list[str] | None = None,
+            how: str = "inner") -> DataFrame:
+    """Follow references: ``refs(doc_id, id, *keys)`` -> each ref with the columns ``cols`` of block ``id``.
 
-    Aggregating on ``(doc_id, id)`` partitions the lookup on the very key every child join uses, so those joins
-    reuse this exchange; partial aggregation runs map-side.
+    This is the reference's ``{Id: block}`` lookup as an equi-join on ``(doc_id, id)``. A repeated Id keeps the
+    *last* block: the join may match several blocks, and ``max_by(..., ord)`` picks one per ref. That grouping is
+    on ``(doc_id, id, *keys)``, a superset of the join key, so it runs in the join's stage without another
+    exchange; and every lookup shuffles the same slim block projection, so Spark reuses that exchange.
+    ``how='left'`` keeps dangling (or null) references with null columns.
     """
+    cols = cols or LOOKUP_COLUMNS
+    b = blocks.select("doc_id", "id", "ord", *cols).where(F.col("id").isNotNull())
+    j = refs.join(b, ["doc_id", "id"], how)
+    picked = j.groupBy("doc_id", "id", *keys).agg(F.max_by(F.struct(*cols), "ord").alias("__b"))
+    return picked.select("doc_id", "id", *keys, *[F.col(f"__b.{c}").alias(c) for c in cols])
+
+
+def block_index(blocks: DataFrame) -> DataFrame:
+    """The ``{Id: block}`` lookup as a table: one block per ``(doc_id, id)``, a repeated Id keeps the last."""
     cols = [c for c in BLOCK_COLUMNS if c not in ("doc_id", "id")]
     return (blocks.groupBy("doc_id", "id")
             .agg(F.max_by(F.struct(*cols), F.col("ord")).alias("b"))
             .select("doc_id", "id", *[F.col(f"b.{c}").alias(c) for c in cols]))
 
 
+def child_refs(parents: DataFrame, rel_type: str, keys: list[str], rel_col: str = "relationships",
+               outer: bool = False) -> DataFrame:
+    """Ids referenced by ``rel_type`` relationships of each parent row, in order: adds ``rel_ord, id_ord, id``.
+
+    ``outer=True`` keeps a parent without such references as one row with null positions and id.
+    """
+    ids = F.flatten(F.transform(
+        F.filter(F.coalesce(F.col(rel_col), F.array()), lambda r: r["Type"] == rel_type),
+        lambda r, k: F.transform(F.coalesce(r["Ids"], F.array().cast("array<string>")),
+                                 lambda i, j: F.struct(k.alias("rel_ord"), j.alias("id_ord"), i.alias("id")))))
+    gen = F.explode_outer(ids) if outer else F.explode(ids)
+    return parents.select("doc_id", *keys, gen.alias("__r")).select(
+        "doc_id", *keys, F.col("__r.rel_ord").alias("rel_ord"), F.col("__r.id_ord").alias("id_ord"),
+        F.col("__r.id").alias("id"))
+
+
 def edges(blocks: DataFrame, rel_type: str | None = None) -> DataFrame:
     """Edges ``(doc_id, src, src_ord, rel_type, rel_ord, id_ord, dst)`` by two ``posexplode``s; map-side only."""
     e = (blocks.select("doc_id", F.col("id").alias("src"), F.col("ord").alias("src_ord"),

@@ -13,7 +13,7 @@ from quire.session import read_table
 
 def test_retrieve_bounds_and_order(spark):
     docs = read_table(spark, SF_SMALL, "documents").select("doc_id", "text")
-    r = RT.retrieve(RT.ask(docs, DEFAULT_QUESTIONS), k=4)
+    r = RT.retrieve(docs, DEFAULT_QUESTIONS, k=4)
     rows = r.select("doc_id", "question_ord", "top").collect()
     assert len(rows) == docs.where(F.length("text") > 0).count() * 3
     for row in rows:
@@ -46,7 +46,7 @@ def test_distances(spark):
 def test_answer_and_prompt(spark):
     docs = spark.createDataFrame([(1, "Cats sleep a lot. The deadline is Friday. Dogs bark.")],
                                  "doc_id long, text string")
-    r = RT.answer(RT.stuff_prompts(RT.retrieve(RT.ask(docs, ["When is the deadline?", "Zebra?"])))).orderBy(
+    r = RT.answer(RT.stuff_prompts(RT.retrieve(docs, ["When is the deadline?", "Zebra?"]))).orderBy(
         "question_ord").collect()
     assert r[0].answer == "The deadline is Friday" and r[1].answer == ""
     assert r[0].prompt.startswith("Use the following pieces of context") and "Question: When is the deadline?" in \
