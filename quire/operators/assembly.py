@@ -29,19 +29,66 @@ def _entity_structs(ents: DataFrame) -> DataFrame:
                                               .alias("entities"))
 
 
+# Extensions for which the pipeline asks for expense analysis (the reference omits '.tif').
+EXPENSE_EXTENSIONS = (".pdf", ".png", ".jpg", ".jpeg", ".tiff", ".tif")
+
+
+def phase_guards(df: DataFrame, text_col: str = "text", ext_col: str | None = None) -> DataFrame:
+    """Which phases run for a document: text phases only with non-empty text; expense only for image/PDF
+    extensions (we include '.tif', which the reference's list leaves out)."""
+    has_text = F.coalesce(F.length(text_col), F.lit(0)) > 0
+    out = df.withColumn("run_classify", has_text).withColumn("run_enrichment", has_text).withColumn(
+        "run_qa", has_text)
+    if ext_col:
+        out = out.withColumn("run_expense", F.lower(F.col(ext_col)).isin(list(EXPENSE_EXTENSIONS)))
+    return out
+
+
+def _from_blocks(blocks: DataFrame) -> DataFrame:
+    """Extraction phase from OCR blocks: raw text (LINEs joined by newlines), tables, KV map, query answers."""
+    from quire.operators import blocks as B
+
+    text = B.document_text(blocks, "\n").withColumnRenamed("text", "block_text")
+    tables = B.table_grids(blocks)
+    kv = B.kv_map(B.kv_pairs(blocks))
+    qa = (B.query_answers(B.answer_details(blocks)).groupBy("doc_id")
+          .agg(F.map_from_entries(F.collect_list(F.struct("alias", "answer"))).alias("query_answers")))
+    present = blocks.select("doc_id").distinct().withColumn("__has_blocks", F.lit(True))
+    return (present.join(text, "doc_id", "left").join(tables, "doc_id", "left").join(kv, "doc_id", "left")
+            .join(qa, "doc_id", "left"))
+
+
 def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
                       questions: Sequence[str] | None = None, classes: DataFrame | None = None,
                       bucket: str = "documents", review_threshold: float = 0.90,
-                      enable_review: bool = True) -> DataFrame:
+                      enable_review: bool = True, blocks: DataFrame | None = None,
+                      expense: DataFrame | None = None) -> DataFrame:
     """One result row per input document (17 fields + ``doc_id``), failures included with ``errors``.
 
-    ``docs(doc_id, text, document_path?)``; ``classes(doc_id, document_type, classification_confidence)`` is
-    optional (classification is skipped without it, as without an endpoint). Phase guards: entities, PII and
-    Q&A run only for non-empty text; a null text is an extraction failure recorded in ``errors``.
+    ``docs(doc_id, text?, document_path?)``. ``blocks`` (parsed OCR blocks) fills raw text, tables, KV pairs and
+    query answers; ``expense`` (``doc_id, expense_data``) the expense field; ``classes(doc_id, document_type,
+    classification_confidence, error?)`` the classification (skipped without it, as without an endpoint).
+    Phase guards (P7): entities, PII and Q&A run only for non-empty text. Errors (F4) are data: a missing text
+    is an extraction failure, a classification error is carried over; one bad document never stops the batch.
     """
     path = F.col("document_path") if "document_path" in docs.columns else F.concat(
         F.lit("documents/"), F.col("doc_id").cast("string"))
-    base = docs.select("doc_id", path.alias("document_path"), F.col("text").alias("raw_text"))
+    text = F.col("text") if "text" in docs.columns else F.lit(None).cast("string")
+    base = docs.select("doc_id", path.alias("document_path"), text.alias("raw_text"))
+    if blocks is not None:
+        base = (base.join(_from_blocks(blocks), "doc_id", "left")
+                .withColumn("raw_text", F.coalesce("raw_text", F.when(F.col("__has_blocks"), F.coalesce(
+                    "block_text", F.lit("")))))
+                .drop("block_text", "__has_blocks"))
+    else:
+        base = (base.withColumn("tables", F.lit(None).cast("array<array<array<string>>>"))
+                .withColumn("kv_pairs", F.lit(None).cast("map<string,string>"))
+                .withColumn("query_answers", F.lit(None).cast("map<string,string>")))
+    if expense is not None:
+        base = base.join(expense.select("doc_id", "expense_data"), "doc_id", "left")
+    else:
+        base = base.withColumn("expense_data", F.lit(None).cast(
+            "struct<documents:array<struct<summary_fields:map<string,string>,line_items:array<map<string,string>>>>>"))
     base = base.withColumn("s3_uri", make_uri(F.lit(bucket), F.col("document_path")))
     has_text = F.coalesce(F.length("raw_text"), F.lit(0)) > 0
 
@@ -73,15 +120,19 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
         out = out.withColumn("genai_answers", F.lit(None))
 
     if classes is not None:
-        out = out.join(classes.select("doc_id", "document_type", "classification_confidence"), "doc_id", "left")
+        cerr = F.col("error") if "error" in classes.columns else F.lit(None).cast("string")
+        out = out.join(classes.select("doc_id", "document_type", "classification_confidence",
+                                      cerr.alias("__class_error")), "doc_id", "left")
     else:
-        out = out.withColumn("document_type", F.lit(None).cast("string")).withColumn(
-            "classification_confidence", F.lit(None).cast("double"))
+        out = (out.withColumn("document_type", F.lit(None).cast("string"))
+               .withColumn("classification_confidence", F.lit(None).cast("double"))
+               .withColumn("__class_error", F.lit(None).cast("string")))
 
     conf = F.coalesce("classification_confidence", F.lit(0.0))
     review = needs_review(conf, review_threshold) & F.lit(enable_review)
     errors = F.array_compact(F.array(
         F.when(F.col("raw_text").isNull(), F.lit("Extraction failed: no text")),
+        F.when(has_text, F.col("__class_error")),
     ))
     empty_map = F.expr("map()").cast("map<string,string>")
     return out.select(
@@ -89,12 +140,13 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
         F.coalesce("document_type", F.lit("")).alias("document_type"),
         conf.alias("classification_confidence"),
         F.coalesce("raw_text", F.lit("")).alias("raw_text"),
-        F.array().cast("array<array<array<string>>>").alias("tables"),
-        empty_map.alias("kv_pairs"),
-        F.struct(F.array().cast("array<struct<summary_fields:map<string,string>,"
-                                "line_items:array<map<string,string>>>>").alias("documents")).alias("expense_data"),
+        F.coalesce("tables", F.array().cast("array<array<array<string>>>")).alias("tables"),
+        F.coalesce("kv_pairs", empty_map).alias("kv_pairs"),
+        F.coalesce("expense_data", F.struct(F.array().cast(
+            "array<struct<summary_fields:map<string,string>,line_items:array<map<string,string>>>>").alias(
+            "documents"))).alias("expense_data"),
         empty_map.alias("id_fields"),
-        empty_map.alias("query_answers"),
+        F.coalesce("query_answers", empty_map).alias("query_answers"),
         F.coalesce("entities", F.array().cast(f"array<{ENTITY_STRUCT}>")).alias("entities"),
         F.transform("__pii", lambda p: F.struct(p["text"].alias("text"), p["type"].alias("type"),
                                                 p["score"].alias("score"), p["begin_offset"].alias("begin_offset"),

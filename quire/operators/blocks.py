@@ -212,3 +212,31 @@ def answer_queries(kv: DataFrame, queries: list[tuple[str, str]]) -> DataFrame:
         F.max_by(F.struct("confidence", "value"), F.struct("confidence", (-F.col("key_ord")).alias("k"))).alias("b"))
     return best.select("doc_id", "alias", F.when(F.col("b.confidence") > 0, F.col("b.value")).otherwise("").alias(
         "answer"), F.col("b.confidence").alias("confidence"))
+
+
+# ---------------------------------------------------------------- P8, P12
+
+def number_queries(queries: DataFrame, text_col: str = "text", alias_col: str = "alias",
+                   ord_col: str = "query_ord") -> DataFrame:
+    """Queries without an alias get ``Q1..Qn`` by their (0-based) position."""
+    alias = F.concat(F.lit("Q"), (F.col(ord_col) + 1).cast("string"))
+    if alias_col in queries.columns:
+        alias = F.coalesce(F.col(alias_col), alias)
+    return queries.withColumn(alias_col, alias)
+
+
+def page_texts(pages: DataFrame, json_col: str = "response", page_col: str = "page_ord") -> DataFrame:
+    """P12 (document_source): the text of every page, its LINE texts joined by ``\\n`` in response order.
+
+    ``pages(doc_id, page_ord, response)``: one OCR response per page, as a multi-page job returns them.
+    """
+    from quire.functions.arrays import explode_rows
+    from quire.schemas import BLOCK_RESPONSE
+
+    p = pages.select("doc_id", F.col(page_col).alias("page_ord"), F.from_json(json_col, BLOCK_RESPONSE).alias("r"))
+    b = explode_rows(p, ["doc_id", "page_ord"], F.col("r.Blocks"), "b", "ord")
+    lines = b.where(F.col("b.BlockType") == "LINE").select("doc_id", "page_ord", "ord",
+                                                          F.coalesce("b.Text", F.lit("")).alias("text"))
+    return lines.groupBy("doc_id", "page_ord").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda s: s["text"]),
+                     "\n").alias("text"))

@@ -6,3 +6,4 @@ from quire.plans import q_structured  # noqa: F401
 from quire.plans import q_entities  # noqa: F401
 from quire.plans import q_retrieval  # noqa: F401
 from quire.plans import q_flow  # noqa: F401
+from quire.plans import q_more  # noqa: F401

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,3 +85,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Compute ``df`` once for several consumers and cut its lineage.
+
+    With ``spark.checkpoint.dir`` set (a shared folder on a cluster) the rows are written there as parquet and
+    read back: later stages re-read files instead of recomputing, and a lost executor costs a re-read, not a
+    recomputation. Without it (e.g. an ad-hoc session) the DataFrame is persisted to memory and disk.
+    This runs a job immediately when writing.
+    """
+    spark = df.sparkSession
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        path = f"{d.rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
