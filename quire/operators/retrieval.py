@@ -213,10 +213,9 @@ def summarise(docs: DataFrame, words: int = SUMMARY_WORDS, idf_broadcast_rows: i
 
     s = sentences(docs)
     occ = explode_rows(s, ["doc_id", "sentence_ord"], F.col("words"), "word")
-    n_docs = docs.agg(F.count("*").alias("n_docs"))
+    n_docs = docs.agg(F.count("*")).scalar()  # scalar subquery: evaluated once, inlined as a value
     df_ = occ.select("doc_id", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
-    idf = (df_.crossJoin(F.broadcast(n_docs))  # one-row scalar
-           .select("word", F.ln((F.col("n_docs") + 1) / (F.col("df") + 1)).alias("idf")))
+    idf = df_.select("word", F.ln((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
     scored = (occ.join(broadcast_if_small(idf, idf_broadcast_rows), "word")
               .groupBy("doc_id", "sentence_ord").agg(F.round(F.avg("idf"), 6).alias("score"), F.count("*").alias("n")))
     w = Window.partitionBy("doc_id").orderBy(F.col("score").desc(), "sentence_ord").rowsBetween(
