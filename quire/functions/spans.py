@@ -6,7 +6,7 @@ whole-stage code generation, needs no shuffle and scales with the number of docu
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # One pattern per personal-data type, in the subset shared by Java regex and RE2
@@ -26,42 +26,40 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def pattern_spans_expr(text_col: str, span_type: str, pattern: str) -> str:
-    """SQL expression: array of (type, begin, end, text, score) for every match of ``pattern``.
+def _spans_fold(matches: str, gaps: str, span_type: str) -> str:
+    """SQL expression folding precomputed matches/gaps arrays into (type, begin, end, text, score) spans.
 
-    Matches come from ``regexp_extract_all``; the gaps between them from ``split`` with the same pattern, so
-    gap_0 match_0 gap_1 match_1 ... rebuilds the text and a match begins after all earlier gaps and matches.
-    The fold carries the running offset; offsets are 0-based, half-open, in code points.
+    gap_0 match_0 gap_1 match_1 ... rebuilds the text, so a match begins after all earlier gaps and matches;
+    the fold carries the running offset. Offsets are 0-based, half-open, in code points.
     """
-    rx = _sql_str(pattern)
     t = _sql_str(span_type)
     return f"""aggregate(
-        zip_with(slice(split({text_col}, {rx}, -1), 1, size(regexp_extract_all({text_col}, {rx}, 0))),
-                 regexp_extract_all({text_col}, {rx}, 0),
-                 (g, m) -> named_struct('g', length(g), 'm', m)),
+        zip_with(slice(`{gaps}`, 1, size(`{matches}`)), `{matches}`, (g, m) -> named_struct('g', length(g), 'm', m)),
         named_struct('pos', 0, 'out', cast(array() AS {SPAN_TYPE})),
         (acc, x) -> named_struct(
             'pos', acc.pos + x.g + length(x.m),
             'out', concat(acc.out, array(named_struct(
-                'type', {t},
-                'begin_offset', acc.pos + x.g,
-                'end_offset', acc.pos + x.g + length(x.m),
-                'text', x.m,
-                'score', 1.0D)))),
+                'type', {t}, 'begin_offset', acc.pos + x.g, 'end_offset', acc.pos + x.g + length(x.m),
+                'text', x.m, 'score', 1.0D)))),
         acc -> acc.out)"""
 
 
-def find_spans(text: str | Column = "text", patterns: dict[str, str] | None = None) -> Column:
-    """Typed spans of every pattern, types concatenated in the order given.
+def with_spans(df: DataFrame, text_col: str = "text", out_col: str = "spans",
+               patterns: dict[str, str] | None = None) -> DataFrame:
+    """Add ``out_col`` = typed spans of every pattern (types concatenated in the order given).
 
-    Overlaps between types are kept (each type is scanned on the original text), as a detector returns them.
+    Matches come from ``regexp_extract_all``, the gaps between them from ``split`` on the same pattern; both are
+    materialised as columns first so each regex runs once per document. Overlaps between types are kept (each
+    type is scanned on the original text), as a detector returns them.
     """
     pats = patterns or PII_PATTERNS
-    col_sql = text if isinstance(text, str) else None
-    if col_sql is None:
-        raise TypeError("find_spans takes a column name")
-    parts = [pattern_spans_expr(f"`{col_sql}`", t, p) for t, p in pats.items()]
-    return F.expr("concat(" + ", ".join(parts) + ")")
+    tmp = []
+    for k, p in enumerate(pats.values()):
+        df = (df.withColumn(f"__m{k}", F.regexp_extract_all(F.col(text_col), F.lit(p), 0))
+              .withColumn(f"__g{k}", F.split(F.col(text_col), p, -1)))
+        tmp += [f"__m{k}", f"__g{k}"]
+    folds = [_spans_fold(f"__m{k}", f"__g{k}", t) for k, t in enumerate(pats)]
+    return df.withColumn(out_col, F.expr("concat(" + ", ".join(folds) + ")")).drop(*tmp)
 
 
 def redact(text: Column, spans: Column, mask: str = "*") -> Column:

@@ -5,7 +5,7 @@ All are per-row higher-order-function expressions (JVM-side, no shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters Python's str.split() treats as whitespace (its "split on runs of whitespace").
@@ -47,24 +47,32 @@ def chunk_starts(ws: Column, max_bytes: int = CHUNK_MAX_BYTES) -> Column:
             .otherwise(F.struct(acc["starts"].alias("starts"), (acc["size"] + cost).alias("size"),
                                 (acc["i"] + 1).alias("i")))
 
-    return F.aggregate(ws, init, step, lambda acc: F.when(F.size(ws) > 0, F.concat(F.array(F.lit(0)), acc["starts"]))
-                       .otherwise(F.array().cast("array<int>")))
+    return F.when(F.size(ws) > 0, F.concat(F.array(F.lit(0)), F.aggregate(ws, init, step, lambda acc: acc["starts"]))
+                  ).otherwise(F.array().cast("array<int>"))
 
 
-def chunk_by_bytes(text: Column, max_bytes: int = CHUNK_MAX_BYTES) -> Column:
-    """``array<string>`` of chunks, each the words of the chunk joined by one space."""
-    ws = words(text)
-    starts = chunk_starts(ws, max_bytes)
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(ws)))
-    return F.when(F.size(ws) > 0, F.zip_with(starts, ends, lambda s, e: F.array_join(F.slice(ws, s + 1, e - s), " "))
-                  ).otherwise(F.array().cast("array<string>"))
+def with_chunks(df: DataFrame, text_col: str = "text", out_col: str = "chunks",
+                max_bytes: int = CHUNK_MAX_BYTES) -> DataFrame:
+    """Add ``out_col`` = ``array<string>`` of byte-bounded chunks, each its words joined by one space.
+
+    The word array and the chunk starts are materialised as columns before the slicing lambda reads them, so
+    they are computed once per document (an expression inside a lambda is re-evaluated per element).
+    """
+    df = df.withColumn("__ws", words(F.col(text_col)))
+    df = df.withColumn("__st", chunk_starts(F.col("__ws"), max_bytes))
+    ends = F.concat(F.slice("__st", 2, F.greatest(F.size("__st") - 1, F.lit(0))), F.array(F.size("__ws")))
+    df = df.withColumn("__en", ends)
+    chunks = F.when(F.size("__ws") > 0, F.zip_with("__st", "__en", lambda s, e: F.array_join(
+        F.slice(F.col("__ws"), s + 1, e - s), " "))).otherwise(F.array().cast("array<string>"))
+    return df.withColumn(out_col, chunks).drop("__ws", "__st", "__en")
 
 
-def drift_offsets(chunks: Column) -> Column:
+def with_drift_offsets(df: DataFrame, chunks_col: str = "chunks", out_col: str = "drift_offsets") -> DataFrame:
     """W3 compatible form: chunk j starts at the sum of the lengths of chunks before it (the dropped separators
     and whitespace runs are not counted, so chunk j drifts left by at least j characters)."""
-    lens = F.transform(chunks, lambda c: F.length(c))
-    return F.transform(lens, lambda _l, i: F.aggregate(F.slice(lens, 1, i), F.lit(0), lambda a, x: a + x))
+    df = df.withColumn("__lens", F.transform(chunks_col, lambda c: F.length(c)))
+    return df.withColumn(out_col, F.transform("__lens", lambda _l, i: F.aggregate(
+        F.slice(F.col("__lens"), 1, i), F.lit(0), lambda a, x: a + x))).drop("__lens")
 
 
 def split_text_fixed(text: Column, size: int = SPLIT_CHUNK_SIZE, overlap: int = SPLIT_CHUNK_OVERLAP) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quire.functions.spans import PII_PATTERNS, find_spans, redact
+from quire.functions.spans import PII_PATTERNS, redact, with_spans
 from quire.operators import entities as EN
 from quire.operators import retrieval as RT
 from quire.operators.review import LOOP_PREFIX, loop_id, make_uri, needs_review
@@ -93,9 +93,9 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
     has_text = F.coalesce(F.length("raw_text"), F.lit(0)) > 0
 
     # PII and redaction: in-row.
-    spans = find_spans("raw_text", PII_PATTERNS)
-    base = (base.withColumn("__pii", F.when(has_text, spans).otherwise(F.array().cast(
-        "array<struct<type:string,begin_offset:int,end_offset:int,text:string,score:double>>")))
+    base = with_spans(base, "raw_text", "__spans", PII_PATTERNS)
+    base = (base.withColumn("__pii", F.when(has_text, F.col("__spans")).otherwise(F.array().cast(
+        "array<struct<type:string,begin_offset:int,end_offset:int,text:string,score:double>>"))).drop("__spans")
             .withColumn("redacted_text", F.when(F.size("__pii") > 0, redact(F.col("raw_text"), F.col("__pii")))
                         .otherwise(F.lit(""))))
 

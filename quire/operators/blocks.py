@@ -7,7 +7,7 @@ between an edge table and the block index. Every "first"/"last" rule is decided
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import token_set
@@ -62,8 +62,9 @@ def table_cells(blocks: DataFrame) -> DataFrame:
          .when(F.col("block_type") == "SELECTION_ELEMENT", F.coalesce("selection_status", F.lit(""))))
     per_addr = (words.groupBy("doc_id", "table_ord", "row_index", "col_index")
                 .agg(F.collect_list(F.struct("c_rel", "c_ord", "rel_ord", "id_ord", w.alias("w"))).alias("ws")))
-    last_cell = F.array_max(F.transform("ws", lambda x: F.struct(x["c_rel"], x["c_ord"])))
-    mine = F.array_sort(F.filter("ws", lambda x: (F.struct(x["c_rel"], x["c_ord"]) == last_cell)
+    per_addr = per_addr.withColumn("__last", F.array_max(F.transform("ws", lambda x: F.struct(x["c_rel"],
+                                                                                              x["c_ord"]))))
+    mine = F.array_sort(F.filter("ws", lambda x: (F.struct(x["c_rel"], x["c_ord"]) == F.col("__last"))
                                  & x["w"].isNotNull()))
     return per_addr.select("doc_id", "table_ord", "row_index", "col_index",
                            F.array_join(F.transform(mine, lambda x: x["w"]), " ").alias("text"))
@@ -93,26 +94,46 @@ def table_grid_cells(blocks: DataFrame, cells: DataFrame | None = None) -> DataF
             .select("doc_id", "table_ord", "row_index", "col_index", F.coalesce("text", F.lit("")).alias("text")))
 
 
+def with_dense_grid(df: DataFrame, cells_col: str, n_rows: str, n_cols: str, out_col: str = "grid") -> DataFrame:
+    """In-row dense ``n_rows x n_cols`` grid from ``array<struct<row_index, col_index, text>>`` (unique addresses).
+
+    Cells are sorted by linear address; each contributes ``''`` for the gap before it, then its text; the tail
+    is padded; rows are slices of ``n_cols``. Linear in the grid size (no per-address lookups). The sorted cells
+    and the flat grid are columns of their own, so the lambdas read them instead of recomputing them.
+    """
+    nc = F.col(n_cols)
+    d = df.withColumn("__srt", F.array_sort(F.transform(cells_col, lambda c: F.struct(
+        ((c["row_index"] - 1) * nc + c["col_index"] - 1).alias("i"), c["text"].alias("t")))))
+    flat = F.flatten(F.transform("__srt", lambda c, j: F.concat(
+        F.array_repeat(F.lit(""), c["i"] - F.coalesce(F.get(F.col("__srt"), j - 1)["i"], F.lit(-1)) - 1),
+        F.array(c["t"]))))
+    d = d.withColumn("__flat", flat)
+    d = d.withColumn("__full", F.concat("__flat", F.array_repeat(F.lit(""), F.col(n_rows) * nc - F.size("__flat"))))
+    grid = F.transform(F.sequence(F.lit(0), F.col(n_rows) - 1), lambda r: F.slice(F.col("__full"), r * nc + 1, nc))
+    return d.withColumn(out_col, grid).drop("__srt", "__flat", "__full")
+
+
 def table_grids(blocks: DataFrame) -> DataFrame:
     """A1 nested API form: ``(doc_id, tables array<array<array<string>>>)`` in TABLE block order.
 
-    A table with no cells is ``[]`` (``sequence(1, 0)`` would count down, so empty shapes are handled first).
-    The dense grid is complete after the left join, so one grouping per table sorts its cells by address and
-    cuts them into rows of ``n_cols``. This collects each document's tables into one row, as the reference
-    result row holds them.
+    Per table, one grouping collects its (unique-address) cells and ``dense_grid`` builds the grid in the row;
+    TABLE blocks are unioned in so a table without cells becomes ``[]``. Then one grouping per document, as the
+    reference's result row holds all tables of a document.
     """
-    cells = table_cells(blocks)
-    shapes = table_shapes(blocks, cells)
-    filled = table_grid_cells(blocks, cells)
-    per_table = filled.groupBy("doc_id", "table_ord").agg(
-        F.array_sort(F.collect_list(F.struct("row_index", "col_index", "text"))).alias("cs"))
-    t = (shapes.join(per_table, ["doc_id", "table_ord"], "left")
-         .select("doc_id", "table_ord", F.when(F.col("n_rows") > 0, F.transform(
-             F.sequence(F.lit(0), F.col("n_rows") - 1),
-             lambda r: F.transform(F.slice("cs", r * F.col("n_cols") + 1, F.col("n_cols")), lambda x: x["text"])))
-             .otherwise(F.array().cast("array<array<string>>")).alias("grid")))
-    return t.groupBy("doc_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("table_ord", "grid"))), lambda s: s["grid"]).alias("tables"))
+    cells = table_cells(blocks).select("doc_id", "table_ord",
+                                       F.struct("row_index", "col_index", "text").alias("c"))
+    tables = blocks.where(F.col("block_type") == "TABLE").select(
+        "doc_id", F.col("ord").alias("table_ord"), F.lit(None).cast(cells.schema["c"].dataType).alias("c"))
+    per_table = (cells.unionByName(tables).groupBy("doc_id", "table_ord")
+                 .agg(F.collect_list("c").alias("cs"))  # collect_list skips the null marker rows
+                 .withColumn("n_rows", F.coalesce(F.array_max(F.transform("cs", lambda c: c["row_index"])), F.lit(0)))
+                 .withColumn("n_cols", F.coalesce(F.array_max(F.transform("cs", lambda c: c["col_index"])),
+                                                  F.lit(0))))
+    filled = with_dense_grid(per_table.where(F.col("n_rows") > 0), "cs", "n_rows", "n_cols")
+    empty = per_table.where(F.col("n_rows") == 0).withColumn("grid", F.array().cast("array<array<string>>"))
+    return (filled.unionByName(empty).select("doc_id", "table_ord", "grid").groupBy("doc_id")
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("table_ord", "grid"))), lambda s: s["grid"])
+                 .alias("tables")))
 
 
 # ---------------------------------------------------------------- J2, A2

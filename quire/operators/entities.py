@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.arrays import explode_rows
-from quire.functions.spans import find_spans
+from quire.functions.spans import with_spans
 from quire.functions.text import WS_JAVA
 from quire.session import broadcast_if_small
 
@@ -91,7 +91,7 @@ def dictionary_entities(docs: DataFrame, entity_list: DataFrame, max_n: int = 3)
 def pattern_entities(docs: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
     """Built-in entity types that patterns can find (C2 with ``ENTITY_PATTERNS``)."""
     pats = patterns or ENTITY_PATTERNS
-    return (explode_rows(docs, ["doc_id"], find_spans("text", pats), "s", "ord")
+    return (explode_rows(with_spans(docs, "text", "__spans", pats), ["doc_id"], F.col("__spans"), "s", "ord")
             .select("doc_id", "s.begin_offset", "s.end_offset", "s.text", "s.type", "s.score"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.arrays import explode_rows
-from quire.functions.spans import PII_PATTERNS, find_spans, redact
+from quire.functions.spans import PII_PATTERNS, redact, with_spans
 
 
 def with_pii_spans(docs: DataFrame, types: Sequence[str] | None = None, text_col: str = "text",
@@ -26,7 +26,7 @@ def with_pii_spans(docs: DataFrame, types: Sequence[str] | None = None, text_col
     if not pats:
         return docs.withColumn("pii", F.expr("cast(array() as array<struct<type:string,begin_offset:int,"
                                              "end_offset:int,text:string,score:double>>)"))
-    return docs.withColumn("pii", find_spans(text_col, pats))
+    return with_spans(docs, text_col, "pii", pats)
 
 
 def detect_pii(docs: DataFrame, types: Sequence[str] | None = None, id_col: str = "doc_id",

@@ -36,9 +36,11 @@ EXTRACT_PROMPT = "{schema}\n\nDocument text:\n{text}\n\nReturn ONLY valid JSON.
 
 # ---------------------------------------------------------------- C5, C6
 
-def embed_letters(text: Column) -> Column:
-    """C5 (SQL-reproducible form): 26 doubles, the count of each letter a-z in the lower-cased text."""
-    low = F.lower(text)
+def embed_letters(low: Column) -> Column:
+    """C5 (SQL-reproducible form): 26 doubles, the count of each letter a-z in an already lower-cased text.
+
+    The input must be a column or a lambda variable (not an expression): it is read once per letter.
+    """
     return F.transform(F.sequence(F.lit(97), F.lit(122)),
                        lambda c: (F.length(low) - F.length(F.replace(low, F.chr(c), F.lit("")))).cast("double"))
 
@@ -98,15 +100,17 @@ def retrieve(docs: DataFrame, questions: Sequence[str], k: int = TOP_K, size: in
     question). Output ``(doc_id, text, question_ord, question, top)`` with ``top array<struct<distance,
     chunk_ord, text>>`` in rank order. All inside the row: no join, no shuffle.
     """
-    chunks = F.transform(split_text_fixed(F.col("text"), size, overlap),
-                         lambda c, i: F.struct(i.alias("chunk_ord"), c["text"].alias("text"),
-                                               embed(c["text"]).alias("v")))
+    lowered = F.transform(split_text_fixed(F.col("text"), size, overlap),
+                          lambda c, i: F.struct(i.alias("chunk_ord"), c["text"].alias("text"),
+                                                F.lower(c["text"]).alias("low")))
+    chunks = F.transform(lowered, lambda c: F.struct(c["chunk_ord"].alias("chunk_ord"), c["text"].alias("text"),
+                                                     embed(c["low"]).alias("v")))
     indexed = docs.where(F.length("text") > 0).select("doc_id", "text", chunks.alias("__chunks"))
-    asked = ask(indexed, questions)
-    qv = embed(F.col("question"))
-    scored = F.transform("__chunks", lambda c: F.struct(l2_distance(c["v"], qv).alias("distance"),
+    asked = (ask(indexed, questions).withColumn("__qlow", F.lower("question"))
+             .withColumn("__qv", embed(F.col("__qlow"))))
+    scored = F.transform("__chunks", lambda c: F.struct(l2_distance(c["v"], F.col("__qv")).alias("distance"),
                                                         c["chunk_ord"].alias("chunk_ord"), c["text"].alias("text")))
-    return asked.withColumn("top", F.slice(F.array_sort(scored), 1, k)).drop("__chunks")
+    return asked.withColumn("top", F.slice(F.array_sort(scored), 1, k)).drop("__chunks", "__qlow", "__qv")
 
 
 def top_k_by_key(vectors: DataFrame, queries: DataFrame, key: str, k: int = TOP_K, salt_buckets: int = 64,
@@ -158,16 +162,18 @@ def _words(s: Column) -> Column:
 def answer(retrieved: DataFrame, min_word_len: int = 4) -> DataFrame:
     """C13 (extractive): the sentence of the top-k chunks sharing most distinct question words of length >= 4;
     ties by ``(chunk rank, sentence order)``; no shared word -> ''. Sentences split on the literal '. '."""
-    qw = F.array_distinct(F.filter(_words(F.col("question")), lambda w: F.length(w) >= min_word_len))
+    d = retrieved.withColumn("__qw", F.array_distinct(F.filter(_words(F.col("question")),
+                                                               lambda w: F.length(w) >= min_word_len)))
     sents = F.flatten(F.transform("top", lambda t, r: F.transform(
         F.split(t["text"], "\\. ", -1),
         lambda s, j: F.struct(r.alias("rank"), j.alias("sentence_ord"), s.alias("sentence")))))
     scored = F.transform(sents, lambda s: F.struct(
-        (-F.size(F.array_intersect(qw, F.array_distinct(_words(s["sentence"]))))).alias("neg_overlap"),
+        (-F.size(F.array_intersect(F.col("__qw"), F.array_distinct(_words(s["sentence"]))))).alias("neg_overlap"),
         s["rank"].alias("rank"), s["sentence_ord"].alias("sentence_ord"), s["sentence"].alias("sentence")))
-    best = F.get(F.array_sort(scored), 0)
-    return retrieved.withColumn("answer", F.when(best.isNotNull() & (best["neg_overlap"] < 0), best["sentence"])
-                                .otherwise(F.lit("")))
+    d = d.withColumn("__best", F.get(F.array_sort(scored), 0))
+    best = F.col("__best")
+    return d.withColumn("answer", F.when(best.isNotNull() & (best["neg_overlap"] < 0), best["sentence"])
+                        .otherwise(F.lit(""))).drop("__qw", "__best")
 
 
 def ask_documents(docs: DataFrame, questions: Sequence[str], k: int = TOP_K) -> DataFrame:

@@ -76,32 +76,33 @@ def identity_fields(resp: DataFrame, json_col: str = "response") -> DataFrame:
     return f.groupBy("doc_id", "type").agg(F.max_by("value", F.struct("d_ord", "f_ord")).alias("value"))
 
 
-def ranked_classes(json_col: str = "response"):
+def with_ranked_classes(resp: DataFrame, json_col: str = "response", out_col: str = "ranked") -> DataFrame:
     """W1 as a column: ``array<struct<name, pos, score>>`` sorted by rounded score desc, ties in response order.
 
     A repeated class keeps its first position with its last score (dict semantics). The class list of one
     document is short and bounded by the number of classes, so the ranking is done inside the row: no shuffle.
+    The parsed class list is a column of its own so the lambdas below read it instead of re-parsing the JSON.
     """
-    cs = F.coalesce(F.from_json(F.col(json_col), CLASS_RESPONSE)["Classes"], F.array())
-    names = F.array_distinct(F.transform(F.filter(cs, lambda c: c["Name"].isNotNull()), lambda c: c["Name"]))
+    d = resp.withColumn("__cs", F.coalesce(F.from_json(F.col(json_col), CLASS_RESPONSE)["Classes"], F.array()))
+    names = F.array_distinct(F.transform(F.filter("__cs", lambda c: c["Name"].isNotNull()), lambda c: c["Name"]))
     entries = F.transform(names, lambda n, i: F.struct(
         n.alias("name"), i.alias("pos"),
-        F.round(F.element_at(F.filter(cs, lambda c: c["Name"] == n), -1)["Score"], 4).alias("score")))
-    return F.array_sort(entries, lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)
-                        .otherwise(a["pos"] - b["pos"]))
+        F.round(F.element_at(F.filter(F.col("__cs"), lambda c: c["Name"] == n), -1)["Score"], 4).alias("score")))
+    ranked = F.array_sort(entries, lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)
+                          .otherwise(a["pos"] - b["pos"]))
+    return d.withColumn(out_col, ranked).drop("__cs")
 
 
 def rank_classes(resp: DataFrame, json_col: str = "response") -> DataFrame:
     """W1 long form: ``(doc_id, class, score, rank)``."""
-    return (explode_rows(resp, ["doc_id"], ranked_classes(json_col), "c", "r")
+    return (explode_rows(with_ranked_classes(resp, json_col), ["doc_id"], F.col("ranked"), "c", "r")
             .select("doc_id", F.col("c.name").alias("class"), F.col("c.score").alias("score"),
                     (F.col("r") + 1).alias("rank")))
 
 
 def top_class(resp: DataFrame, json_col: str = "response") -> DataFrame:
     """``(doc_id, document_type, classification_confidence, error)``; no classes -> null type and an error."""
-    top = F.get(ranked_classes(json_col), 0)
-    return (resp.select("doc_id", top.alias("t"))
+    return (with_ranked_classes(resp, json_col).select("doc_id", F.get("ranked", 0).alias("t"))
             .select("doc_id", F.col("t.name").alias("document_type"),
                     F.col("t.score").alias("classification_confidence"),
                     F.when(F.col("t").isNull(), F.lit("Classification failed: no classes returned")).alias("error")))

@@ -210,7 +210,8 @@ x AS (SELECT doc_id, j - 1 AS chunk_ord,
 @register("chunk_by_bytes", _CHUNK_SQL + """
 SELECT doc_id, CAST(chunk_ord AS INTEGER) AS chunk_ord, CAST(strlen(text) AS INTEGER) AS n_bytes, text FROM x""")
 def q_chunk_by_bytes(spark, sf_dir):
-    return (explode_rows(_docs(spark, sf_dir), ["doc_id"], TX.chunk_by_bytes(F.col("text")), "text", "chunk_ord")
+    d = TX.with_chunks(_docs(spark, sf_dir))
+    return (explode_rows(d, ["doc_id"], F.col("chunks"), "text", "chunk_ord")
             .select("doc_id", "chunk_ord", F.octet_length("text").alias("n_bytes"), "text"))
 
 
@@ -221,8 +222,8 @@ SELECT doc_id, CAST(chunk_ord AS INTEGER) AS chunk_ord,
        AS INTEGER) AS drift_offset
 FROM y""")
 def q_rebase_spans(spark, sf_dir):
-    d = _docs(spark, sf_dir).select("doc_id", TX.chunk_by_bytes(F.col("text")).alias("chunks"))
-    z = F.zip_with("chunks", TX.drift_offsets(F.col("chunks")),
+    d = TX.with_drift_offsets(TX.with_chunks(_docs(spark, sf_dir)).select("doc_id", "chunks"))
+    z = F.zip_with("chunks", "drift_offsets",
                    lambda c, o: F.struct(c.alias("text"), o.alias("drift_offset")))
     return (explode_rows(d, ["doc_id"], z, "z", "chunk_ord")
             .select("doc_id", "chunk_ord", F.col("z.drift_offset").alias("drift_offset")))

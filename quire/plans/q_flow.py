@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions.spans import PII_PATTERNS
-from quire.functions.text import chunk_by_bytes
+from quire.functions.text import with_chunks
 from quire.operators import assembly as AS
 from quire.operators import blocks as B
 from quire.operators import boxes as BX
@@ -210,9 +210,9 @@ def q_run_metrics(spark, sf_dir):
     """A16 as a query: the per-phase counts the reference only logs, in one pass over the documents.
 
     (``assembly.run_metrics`` attaches the same counts to a running job with ``observe``.)"""
-    from quire.functions.spans import find_spans
+    from quire.functions.spans import with_spans
 
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    per_doc = docs.select(F.size(find_spans("text", PII_PATTERNS)).alias("p"),
-                          F.size(chunk_by_bytes(F.col("text"))).alias("c"))
+    per_doc = with_chunks(with_spans(docs, "text", "pii", PII_PATTERNS)).select(
+        F.size("pii").alias("p"), F.size("chunks").alias("c"))
     return per_doc.agg(F.count("*").alias("n_documents"), F.sum("p").alias("n_pii"), F.sum("c").alias("n_chunks"))

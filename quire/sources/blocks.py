@@ -14,13 +14,19 @@ from quire.functions.arrays import explode_rows
 from quire.schemas import BLOCK_RESPONSE
 
 BLOCK_COLUMNS = ["doc_id", "ord", "block_type", "id", "text", "confidence", "row_index", "col_index",
-                 "selection_status", "entity_types", "query_text", "query_alias", "relationships", "bbox"]
+                 "selection_status", "entity_types", "query_text", "query_alias", "relationships", "bbox", "dup_ids"]
+
+
+def _dup_ids(blocks_arr) -> "F.Column":
+    """True when a response repeats a block Id (checked in the response row: a hash-based distinct, linear)."""
+    ids = F.filter(F.transform(F.coalesce(blocks_arr, F.array()), lambda b: b["Id"]), lambda i: i.isNotNull())
+    return F.size(F.array_distinct(ids)) < F.size(ids)
 
 
 def _flatten(parsed: DataFrame, id_col: str) -> DataFrame:
-    p = parsed.select(F.col(id_col).alias("doc_id"), "r")
-    return explode_rows(p, ["doc_id"], F.col("r.Blocks"), "b", "ord").select(  # missing Blocks -> none
-        "doc_id", "ord", *_block_fields())
+    p = parsed.select(F.col(id_col).alias("doc_id"), "r").withColumn("dup_ids", _dup_ids(F.col("r.Blocks")))
+    return explode_rows(p, ["doc_id", "dup_ids"], F.col("r.Blocks"), "b", "ord").select(  # missing Blocks -> none
+        "doc_id", "ord", *_block_fields(), "dup_ids")
 
 
 def _block_fields():
@@ -62,7 +68,11 @@ def combine_pages(df: DataFrame, json_col: str = "response", id_col: str = "doc_
                        F.from_json(json_col, BLOCK_RESPONSE).alias("r"))
     b = explode_rows(parsed, ["doc_id", "__page"], F.col("r.Blocks"), "b", "__o")
     w = Window.partitionBy("doc_id").orderBy("__page", "__o")
-    return b.withColumn("ord", F.row_number().over(w) - 1).select("doc_id", "ord", *_block_fields())
+    # Ids may repeat across pages: the flag is per document, over all its pages (same window partition).
+    dup = F.count("b.Id").over(Window.partitionBy("doc_id")) > F.size(F.collect_set("b.Id").over(
+        Window.partitionBy("doc_id")))
+    return (b.withColumn("ord", F.row_number().over(w) - 1).withColumn("dup_ids", dup)
+            .select("doc_id", "ord", *_block_fields(), "dup_ids"))
 
 
 # Block columns a reference may need to read (bulky geometry and query fields are left out).
@@ -73,15 +83,21 @@ def resolve(refs: DataFrame, blocks: DataFrame, keys: list[str], cols: list[str]
             how: str = "inner") -> DataFrame:
     """Follow references: ``refs(doc_id, id, *keys)`` -> each ref with the columns ``cols`` of block ``id``.
 
-    This is the reference's ``{Id: block}`` lookup as an equi-join on ``(doc_id, id)``. A repeated Id keeps the
-    *last* block: the join may match several blocks, and ``max_by(..., ord)`` picks one per ref. That grouping is
-    on ``(doc_id, id, *keys)``, a superset of the join key, so it runs in the join's stage without another
-    exchange; and every lookup shuffles the same slim block projection, so Spark reuses that exchange.
-    ``how='left'`` keeps dangling (or null) references with null columns.
+    This is the reference's ``{Id: block}`` lookup as an equi-join on ``(doc_id, id)``; a repeated Id keeps the
+    *last* block. When the block table carries ``dup_ids`` (set by the parsers, per document), only documents
+    that repeat an Id go through the "last block" aggregation and the rest join directly. Without the flag the
+    join may match several blocks and ``max_by(..., ord)`` picks one per ref, grouped on a superset of the join
+    key so it runs in the join's stage. ``how='left'`` keeps dangling (or null) references with null columns.
     """
     cols = cols or LOOKUP_COLUMNS
-    b = blocks.select("doc_id", "id", "ord", *cols).where(F.col("id").isNotNull())
-    j = refs.join(b, ["doc_id", "id"], how)
+    b = blocks.where(F.col("id").isNotNull())
+    if "dup_ids" in blocks.columns:
+        plain = b.where(~F.col("dup_ids")).select("doc_id", "id", *cols)
+        last = (b.where(F.col("dup_ids")).groupBy("doc_id", "id")
+                .agg(F.max_by(F.struct(*cols), "ord").alias("__b"))
+                .select("doc_id", "id", *[F.col(f"__b.{c}").alias(c) for c in cols]))
+        return refs.join(plain.unionByName(last), ["doc_id", "id"], how).select("doc_id", "id", *keys, *cols)
+    j = refs.join(b.select("doc_id", "id", "ord", *cols), ["doc_id", "id"], how)
     picked = j.groupBy("doc_id", "id", *keys).agg(F.max_by(F.struct(*cols), "ord").alias("__b"))
     return picked.select("doc_id", "id", *keys, *[F.col(f"__b.{c}").alias(c) for c in cols])
 

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from quire.functions.spans import PII_PATTERNS, find_spans, redact
-from quire.functions.text import chunk_by_bytes, drift_offsets, split_text_fixed, words
+from quire.functions.spans import PII_PATTERNS, redact, with_spans
+from quire.functions.text import split_text_fixed, with_chunks, with_drift_offsets, words
 from quire.operators import entities as EN
 from quire.operators import pii
 
@@ -61,7 +61,7 @@ def test_filter_pii(spark):
 
 def _chunks(spark, text, limit=4800):
     df = spark.createDataFrame([(text,)], "text string")
-    return df.select(chunk_by_bytes(F.col("text"), limit)).first()[0]
+    return with_chunks(df, "text", "chunks", limit).select("chunks").first()[0]
 
 
 def test_chunking_fixture(spark):
@@ -102,7 +102,7 @@ def test_words_match_python_split(spark):
 
 def test_drift_offsets(spark):
     df = spark.createDataFrame([(["aaa", "bb", "c"],)], "c array<string>")
-    assert df.select(drift_offsets(F.col("c"))).first()[0] == [0, 3, 5]
+    assert with_drift_offsets(df, "c", "o").select("o").first()[0] == [0, 3, 5]
 
 
 def test_split_text_fixed(spark):
@@ -155,5 +155,5 @@ def test_phi_fixture(spark):
 
 def test_find_spans_many_types(spark):
     df = spark.createDataFrame([("ssn 123-45-6789 phone 555-123-4567",)], "text string")
-    s = df.select(find_spans("text", PII_PATTERNS)).first()[0]
+    s = with_spans(df, "text", "s", PII_PATTERNS).select("s").first()[0]
     assert sorted((x.type, x.text) for x in s) == [("PHONE", "555-123-4567"), ("SSN", "123-45-6789")]
