@@ -55,19 +55,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, min_splits: int | No
     scan: both are pushed below the repartition.
     """
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    target = min_splits if min_splits is not None else 3 * spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_splits if min_splits is not None else 3 * spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (sessions without an RDD handle, e.g. Spark Connect: leave the scan alone)
+        return df
+    if splits < target:
         df = df.repartition(target)
     return df
 
 
+def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001  (no SparkContext handle in this session)
+        return None
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster it must be set by the job's configuration (a shared file system, never a machine-local folder).
     ``fallback`` is only used where the setting is absent, as in tests.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = _configured_checkpoint_dir(spark)
     if d:
         return d
     if fallback is None:
@@ -96,7 +110,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     This runs a job immediately when writing.
     """
     spark = df.sparkSession
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = _configured_checkpoint_dir(spark)
     if d:
         path = f"{d.rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
