@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import with_exclusive_prefix_sum
+
 # One pattern per personal-data type, in the subset shared by Java regex and RE2
 # (no look-around, no \b), so the Spark result and the DuckDB oracle agree match for match.
 PII_PATTERNS = {
@@ -22,44 +24,30 @@ PII_PATTERNS = {
 SPAN_TYPE = "array<struct<type:string,begin_offset:int,end_offset:int,text:string,score:double>>"
 
 
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _spans_fold(matches: str, gaps: str, span_type: str) -> str:
-    """SQL expression folding precomputed matches/gaps arrays into (type, begin, end, text, score) spans.
-
-    gap_0 match_0 gap_1 match_1 ... rebuilds the text, so a match begins after all earlier gaps and matches;
-    the fold carries the running offset. Offsets are 0-based, half-open, in code points.
-    """
-    t = _sql_str(span_type)
-    return f"""aggregate(
-        zip_with(slice(`{gaps}`, 1, size(`{matches}`)), `{matches}`, (g, m) -> named_struct('g', length(g), 'm', m)),
-        named_struct('pos', 0, 'out', cast(array() AS {SPAN_TYPE})),
-        (acc, x) -> named_struct(
-            'pos', acc.pos + x.g + length(x.m),
-            'out', concat(acc.out, array(named_struct(
-                'type', {t}, 'begin_offset', acc.pos + x.g, 'end_offset', acc.pos + x.g + length(x.m),
-                'text', x.m, 'score', 1.0D)))),
-        acc -> acc.out)"""
-
-
 def with_spans(df: DataFrame, text_col: str = "text", out_col: str = "spans",
                patterns: dict[str, str] | None = None) -> DataFrame:
     """Add ``out_col`` = typed spans of every pattern (types concatenated in the order given).
 
-    Matches come from ``regexp_extract_all``, the gaps between them from ``split`` on the same pattern; both are
-    materialised as columns first so each regex runs once per document. Overlaps between types are kept (each
-    type is scanned on the original text), as a detector returns them.
+    Matches come from ``regexp_extract_all``, the gaps between them from ``split`` on the same pattern, so
+    gap_0 match_0 gap_1 match_1 ... rebuilds the text: a match begins after all earlier gaps and matches, i.e.
+    at the exclusive prefix sum of (gap + match) lengths plus its own gap. Each array is a column of its own
+    (each regex runs once per document) and the prefix sum is linear-ish (``with_exclusive_prefix_sum``).
+    Offsets are 0-based, half-open, in code points. Overlaps between types are kept (each type is scanned on
+    the original text), as a detector returns them.
     """
     pats = patterns or PII_PATTERNS
-    tmp = []
-    for k, p in enumerate(pats.values()):
-        df = (df.withColumn(f"__m{k}", F.regexp_extract_all(F.col(text_col), F.lit(p), 0))
-              .withColumn(f"__g{k}", F.split(F.col(text_col), p, -1)))
-        tmp += [f"__m{k}", f"__g{k}"]
-    folds = [_spans_fold(f"__m{k}", f"__g{k}", t) for k, t in enumerate(pats)]
-    return df.withColumn(out_col, F.expr("concat(" + ", ".join(folds) + ")")).drop(*tmp)
+    tmp, parts = [], []
+    for k, (span_type, p) in enumerate(pats.items()):
+        m, g, st, ps = f"__m{k}", f"__g{k}", f"__st{k}", f"__ps{k}"
+        df = (df.withColumn(m, F.regexp_extract_all(F.col(text_col), F.lit(p), 0))
+              .withColumn(g, F.slice(F.split(F.col(text_col), p, -1), 1, F.size(m))))
+        df = df.withColumn(st, F.zip_with(g, m, lambda gap, mt: F.length(gap) + F.length(mt)))
+        df = with_exclusive_prefix_sum(df, st, ps)
+        tmp += [m, g, st, ps]
+        parts.append(F.zip_with(F.zip_with(ps, g, lambda o, gap: o + F.length(gap)), m, lambda b, mt: F.struct(
+            F.lit(span_type).alias("type"), b.cast("int").alias("begin_offset"),
+            (b + F.length(mt)).cast("int").alias("end_offset"), mt.alias("text"), F.lit(1.0).alias("score"))))
+    return df.withColumn(out_col, F.concat(*parts)).drop(*tmp)
 
 
 def redact(text: Column, spans: Column, mask: str = "*") -> Column:

@@ -157,3 +157,24 @@ def test_find_spans_many_types(spark):
     df = spark.createDataFrame([("ssn 123-45-6789 phone 555-123-4567",)], "text string")
     s = with_spans(df, "text", "s", PII_PATTERNS).select("s").first()[0]
     assert sorted((x.type, x.text) for x in s) == [("PHONE", "555-123-4567"), ("SSN", "123-45-6789")]
+
+
+def test_many_spans_in_one_document(spark):
+    text = " ".join(f"u{i}@ex.com 10.0.{i % 256}.1" for i in range(3000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = pii.detect_pii(df).collect()
+    assert len(rows) == 6000
+    assert all(text[r.begin_offset:r.end_offset] == r.text for r in rows)
+
+
+def test_exclusive_prefix_sum(spark):
+    from quire.functions.arrays import with_exclusive_prefix_sum
+
+    data = [([],), ([5],), (list(range(1, 200)),), ([3] * 1000,)]
+    df = spark.createDataFrame(data, "a array<int>")
+    for (arr,), row in zip(data, with_exclusive_prefix_sum(df, "a", "p").collect()):
+        want, s = [], 0
+        for x in arr:
+            want.append(s)
+            s += x
+        assert row.p == want
