@@ -92,11 +92,14 @@ def resolve(refs: DataFrame, blocks: DataFrame, keys: list[str], cols: list[str]
     cols = cols or LOOKUP_COLUMNS
     b = blocks.where(F.col("id").isNotNull())
     if "dup_ids" in blocks.columns:
-        plain = b.where(~F.col("dup_ids")).select("doc_id", "id", *cols)
+        # Every lookup shuffles the same projection (all LOOKUP_COLUMNS), so the exchange of the block side is
+        # shared by all lookups of a query instead of repeated per column set.
+        plain = b.where(~F.col("dup_ids")).select("doc_id", "id", *[F.col(c).alias(f"__l_{c}") for c in LOOKUP_COLUMNS])
         last = (b.where(F.col("dup_ids")).groupBy("doc_id", "id")
-                .agg(F.max_by(F.struct(*cols), "ord").alias("__b"))
-                .select("doc_id", "id", *[F.col(f"__b.{c}").alias(c) for c in cols]))
-        return refs.join(plain.unionByName(last), ["doc_id", "id"], how).select("doc_id", "id", *keys, *cols)
+                .agg(F.max_by(F.struct(*LOOKUP_COLUMNS), "ord").alias("__b"))
+                .select("doc_id", "id", *[F.col(f"__b.{c}").alias(f"__l_{c}") for c in LOOKUP_COLUMNS]))
+        return refs.join(plain.unionByName(last), ["doc_id", "id"], how).select(
+            "doc_id", "id", *keys, *[F.col(f"__l_{c}").alias(c) for c in cols])
     j = refs.join(b.select("doc_id", "id", "ord", *cols), ["doc_id", "id"], how)
     picked = j.groupBy("doc_id", "id", *keys).agg(F.max_by(F.struct(*cols), "ord").alias("__b"))
     return picked.select("doc_id", "id", *keys, *[F.col(f"__b.{c}").alias(c) for c in cols])
