@@ -15,6 +15,7 @@ TABLES = (
 
 # Largest number of rows we allow on the broadcast side of a join whose size we check at run time.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def get_spark(app: str = "quire", master: str | None = None, shuffle_partitions: int | None = None,
@@ -91,14 +92,21 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a counted size bound; above it the join stays a shuffle join.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only behind a measured size bound; above it the join stays a shuffle join.
 
-    The count is one cheap action over the (small, dimension-like) side. Use it for lookup tables whose size
-    is data-derived (dictionaries, code tables, question sets), never for the fact side.
+    One aggregation over the (dimension-like) side counts its rows and sums the UTF-8 bytes of its string
+    columns plus 8 bytes per other value; both must be under the bounds. Use it for lookup tables whose size is
+    data-derived (dictionaries, lexicons, code tables, IDF tables), never for the fact side.
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    from pyspark.sql import types as T
+
+    parts = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if isinstance(f.dataType, T.StringType)
+             else F.lit(8) for f in df.schema.fields]
+    row_bytes = parts[0] if len(parts) == 1 else sum(parts[1:], parts[0])
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
