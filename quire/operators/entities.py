@@ -1,8 +1,8 @@
 """Entity operators: pattern entities, dictionary entities (J6), medical entities (J7), code linking (J8-J10),
 filters and grouping (P3, A7, A8, A9, O1).
 
-Tokens with their true character offsets come from one ``posexplode`` per document and a running-sum window
-over ``doc_id``; n-grams are ``lead`` over the same window (no second exchange). Lookup tables (dictionaries,
+Tokens with their true character offsets and the n-grams are built inside each document's row (an in-row
+prefix sum over piece lengths), so the corpus is never shuffled. Lookup tables (dictionaries,
 lexicons, code tables) join on the normalised phrase; they are broadcast only behind a counted size bound.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.arrays import explode_rows
+from quire.functions.arrays import explode_rows, with_exclusive_prefix_sum
 from quire.functions.spans import with_spans
 from quire.functions.text import WS_JAVA
 from quire.session import broadcast_if_small
@@ -35,42 +35,55 @@ ENTITY_PATTERNS = {
 TRAILING_PUNCT = "[.,;:!?]+$"
 
 
-def tokens(docs: DataFrame, max_chars: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, pos, token, begin_offset)``: whitespace tokens with their 0-based offset in the original text.
+def with_token_array(docs: DataFrame, max_chars: int | None = None, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """``(doc_id, toks array<struct<token, begin_offset>>)``: whitespace tokens with their 0-based offsets in
+    the original text, computed inside the document's row.
 
-    ``split`` gives the pieces, ``regexp_extract_all`` the whitespace run after each piece; a running sum of
-    piece + run lengths is each piece's offset. ``max_chars`` reads only the first characters (P5).
+    ``split`` gives the pieces, ``regexp_extract_all`` the whitespace run after each piece; the exclusive prefix
+    sum of piece + run lengths is each piece's offset (``with_exclusive_prefix_sum``: no shuffle, no window).
+    ``max_chars`` reads only the first characters (P5).
     """
     text = F.substring(F.col(text_col), 1, max_chars) if max_chars else F.col(text_col)
     d = docs.select(F.col(id_col).alias("doc_id"), text.alias("__t"))
-    pieces = F.split("__t", WS_JAVA, -1)
-    seps = F.regexp_extract_all("__t", F.lit(WS_JAVA), 0)
-    z = F.zip_with(pieces, seps, lambda p, s: F.struct(p.alias("tok"),
-                                                       (F.length(p) + F.coalesce(F.length(s), F.lit(0))).alias("w")))
-    e = explode_rows(d, ["doc_id"], z, "x", "pos").select("doc_id", "pos", "x.tok", "x.w")
-    w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return (e.withColumn("begin_offset", F.coalesce(F.sum("w").over(w), F.lit(0)).cast("int"))
-            .where(F.col("tok") != "").select("doc_id", "pos", F.col("tok").alias("token"), "begin_offset"))
-
-
-def ngrams(toks: DataFrame, max_n: int = 3) -> DataFrame:
-    """``(doc_id, pos, n, text, begin_offset, end_offset)`` for n = 1..max_n consecutive tokens."""
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    t = toks
-    for k in range(1, max_n):
-        t = t.withColumn(f"t{k}", F.lead("token", k).over(w)).withColumn(f"b{k}", F.lead("begin_offset", k).over(w))
-    grams = []
-    for n in range(1, max_n + 1):
-        parts = [F.col("token")] + [F.col(f"t{k}") for k in range(1, n)]
-        last_tok = F.col("token") if n == 1 else F.col(f"t{n - 1}")
-        last_b = F.col("begin_offset") if n == 1 else F.col(f"b{n - 1}")
-        grams.append(F.when(last_tok.isNotNull(), F.struct(
-            F.lit(n).alias("n"), F.concat_ws(" ", *parts).alias("text"),
-            (last_b + F.length(last_tok)).alias("end_offset"))))
-    return (t.select("doc_id", "pos", "begin_offset", F.explode(F.array(*grams)).alias("g"))
-            .where(F.col("g").isNotNull())
-            .select("doc_id", "pos", F.col("g.n").alias("n"), F.col("g.text").alias("text"), "begin_offset",
-                    F.col("g.end_offset").cast("int").alias("end_offset")))
+    d = d.withColumn("__p", F.split("__t", WS_JAVA, -1)).withColumn(
+        "__s", F.regexp_extract_all("__t", F.lit(WS_JAVA), 0))
+    d = d.withColumn("__w", F.zip_with("__p", "__s", lambda p, s: F.length(p) + F.coalesce(F.length(s), F.lit(0))))
+    d = with_exclusive_prefix_sum(d, "__w", "__off")
+    toks = F.filter(F.zip_with("__p", "__off", lambda p, o: F.struct(p.alias("token"), o.alias("begin_offset"))),
+                    lambda t: t["token"] != "")
+    return d.select("doc_id", toks.alias("toks"))
+
+
+def tokens(docs: DataFrame, max_chars: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, pos, token, begin_offset)``: one row per whitespace token (see ``with_token_array``)."""
+    t = with_token_array(docs, max_chars, id_col, text_col)
+    return (explode_rows(t, ["doc_id"], F.col("toks"), "x", "pos")
+            .select("doc_id", "pos", F.col("x.token").alias("token"), F.col("x.begin_offset").alias("begin_offset")))
+
+
+def ngrams(docs: DataFrame, max_n: int = 3, max_chars: int | None = None) -> DataFrame:
+    """``(doc_id, pos, n, text, begin_offset, end_offset)`` for n = 1..max_n consecutive tokens.
+
+    Built in the document's row from the token array (indexed access, linear), then exploded: no shuffle.
+    """
+    t = with_token_array(docs, max_chars)
+    k = F.size("toks")
+    def gram(n):
+        def build(i):
+            parts = [F.get("toks", i + j)["token"] for j in range(n)]
+            last = F.get("toks", i + n - 1)
+            return F.struct(F.lit(n).alias("n"), (parts[0] if n == 1 else F.concat_ws(" ", *parts)).alias("text"),
+                            F.get("toks", i)["begin_offset"].alias("begin_offset"),
+                            (last["begin_offset"] + F.length(last["token"])).alias("end_offset"))
+        return build
+
+    per_n = [F.transform(F.sequence(F.lit(0), k - n), gram(n)) for n in range(1, max_n + 1)]
+    grams = F.flatten(F.array(*[F.when(k >= n, g).otherwise(F.array().cast(
+        "array<struct<n:int,text:string,begin_offset:int,end_offset:int>>")) for n, g in enumerate(per_n, 1)]))
+    return (explode_rows(t, ["doc_id"], grams, "g", "pos")
+            .select("doc_id", "pos", F.col("g.n").alias("n"), F.col("g.text").alias("text"),
+                    F.col("g.begin_offset").alias("begin_offset"), F.col("g.end_offset").cast("int").alias("end_offset")))
 
 
 def dictionary_entities(docs: DataFrame, entity_list: DataFrame, max_n: int = 3) -> DataFrame:
@@ -83,7 +96,7 @@ def dictionary_entities(docs: DataFrame, entity_list: DataFrame, max_n: int = 3)
                             .alias("phrase"), "type")
          .withColumn("n", F.size(F.split("phrase", " ", -1)))
          .where((F.col("phrase") != "") & (F.col("n") <= max_n)))
-    g = ngrams(tokens(docs), max_n).withColumn("phrase", F.lower("text"))
+    g = ngrams(docs, max_n).withColumn("phrase", F.lower("text"))
     hits = g.join(broadcast_if_small(d), ["phrase", "n"])
     return hits.select("doc_id", "begin_offset", "end_offset", "text", "type", F.lit(1.0).alias("score"))
 
