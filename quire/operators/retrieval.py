@@ -123,7 +123,12 @@ def top_k_by_key(vectors: DataFrame, queries: DataFrame, key: str, k: int = TOP_
     ``salt_buckets * k`` candidates per query. A key holding a third of all vectors is thus spread over
     ``salt_buckets`` tasks instead of one.
     """
-    j = vectors.join(queries, key).withColumn("distance", l2_distance(F.col(vec_col), F.col(qvec_col)))
+    from quire.session import broadcast_if_small
+
+    # The query side is small (one vector per key and query): behind the size check it is broadcast, so the
+    # vector table is joined map-side without being shuffled; above the bound this is a shuffle join.
+    j = vectors.join(broadcast_if_small(queries), key).withColumn(
+        "distance", l2_distance(F.col(vec_col), F.col(qvec_col)))
     j = j.withColumn("__salt", F.pmod(F.hash(id_col), F.lit(salt_buckets)))
     w1 = Window.partitionBy(key, "__salt").orderBy("distance", id_col)
     local = j.withColumn("__r", F.row_number().over(w1)).where(F.col("__r") <= k)
