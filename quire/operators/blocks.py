@@ -109,7 +109,9 @@ def with_dense_grid(df: DataFrame, cells_col: str, n_rows: str, n_cols: str, out
         F.array(c["t"]))))
     d = d.withColumn("__flat", flat)
     d = d.withColumn("__full", F.concat("__flat", F.array_repeat(F.lit(""), F.col(n_rows) * nc - F.size("__flat"))))
-    grid = F.transform(F.sequence(F.lit(0), F.col(n_rows) - 1), lambda r: F.slice(F.col("__full"), r * nc + 1, nc))
+    grid = F.when(F.col(n_rows) > 0, F.transform(F.sequence(F.lit(0), F.col(n_rows) - 1),
+                                                 lambda r: F.slice(F.col("__full"), r * nc + 1, nc))).otherwise(
+        F.array().cast("array<array<string>>"))  # sequence(0, -1) would count down
     return d.withColumn(out_col, grid).drop("__srt", "__flat", "__full")
 
 
@@ -129,9 +131,8 @@ def table_grids(blocks: DataFrame) -> DataFrame:
                  .withColumn("n_rows", F.coalesce(F.array_max(F.transform("cs", lambda c: c["row_index"])), F.lit(0)))
                  .withColumn("n_cols", F.coalesce(F.array_max(F.transform("cs", lambda c: c["col_index"])),
                                                   F.lit(0))))
-    filled = with_dense_grid(per_table.where(F.col("n_rows") > 0), "cs", "n_rows", "n_cols")
-    empty = per_table.where(F.col("n_rows") == 0).withColumn("grid", F.array().cast("array<array<string>>"))
-    return (filled.unionByName(empty).select("doc_id", "table_ord", "grid").groupBy("doc_id")
+    return (with_dense_grid(per_table, "cs", "n_rows", "n_cols").select("doc_id", "table_ord", "grid")
+            .groupBy("doc_id")
             .agg(F.transform(F.array_sort(F.collect_list(F.struct("table_ord", "grid"))), lambda s: s["grid"])
                  .alias("tables")))
 
