@@ -106,7 +106,9 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
         ents = EN.all_entities(ents, EN.dictionary_entities(tdocs, entity_list))
     else:
         ents = ents.withColumn("source", F.lit(0))
-    out = base.join(_entity_structs(ents), "doc_id", "left")
+    # The per-document phase outputs are small and already grouped by doc_id: they are combined first (joins
+    # between tables partitioned the same way need no exchange), so the document rows are shuffled only once.
+    per_doc = _entity_structs(ents)
 
     # Retrieval Q&A.
     if questions:
@@ -115,18 +117,19 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
             F.array_sort(F.collect_list(F.struct("question_ord", "question", "answer", "source_documents"))),
             lambda a: F.struct(a["question"].alias("question"), a["answer"].alias("answer"),
                                a["source_documents"].alias("source_documents"))).alias("genai_answers"))
-        out = out.join(ga, "doc_id", "left")
+        per_doc = per_doc.join(ga, "doc_id", "full")
     else:
-        out = out.withColumn("genai_answers", F.lit(None))
+        per_doc = per_doc.withColumn("genai_answers", F.lit(None))
 
     if classes is not None:
         cerr = F.col("error") if "error" in classes.columns else F.lit(None).cast("string")
-        out = out.join(classes.select("doc_id", "document_type", "classification_confidence",
-                                      cerr.alias("__class_error")), "doc_id", "left")
+        per_doc = per_doc.join(classes.select("doc_id", "document_type", "classification_confidence",
+                                              cerr.alias("__class_error")), "doc_id", "full")
     else:
-        out = (out.withColumn("document_type", F.lit(None).cast("string"))
-               .withColumn("classification_confidence", F.lit(None).cast("double"))
-               .withColumn("__class_error", F.lit(None).cast("string")))
+        per_doc = (per_doc.withColumn("document_type", F.lit(None).cast("string"))
+                   .withColumn("classification_confidence", F.lit(None).cast("double"))
+                   .withColumn("__class_error", F.lit(None).cast("string")))
+    out = base.join(per_doc, "doc_id", "left")
 
     conf = F.coalesce("classification_confidence", F.lit(0.0))
     review = needs_review(conf, review_threshold) & F.lit(enable_review)
