@@ -51,11 +51,12 @@ def dedup_uploads(uploads: DataFrame, key: str = "key", ts: str = "ts", delay: s
 LOOP_STATUS_SCHEMA = "loop_id string, status string, ts timestamp"
 
 
-def loop_status_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
+def loop_status_stream(events: DataFrame, delay: str = "1 hour", state_ttl_ms: int = 3_600_000) -> DataFrame:
     """ST3: the current status of every loop, emitted each time it changes (update mode).
 
-    ``events(loop_id, status, ts, event_id)``; state per loop is one (ts, event_id, status) triple, kept until
-    the watermark passes the loop's last event by ``delay``.
+    ``events(loop_id, status, ts, event_id)``; ``delay`` is the watermark delay for late events; state per loop is
+    one (ts, event_id, status) triple, dropped once the watermark passes the loop's last event by
+    ``state_ttl_ms``.
     """
 
     def latest(key, pdfs, state: GroupState):
@@ -71,7 +72,7 @@ def loop_status_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
                     best = cand
         if best is not None and best != cur:
             state.update((json.dumps(best),))
-            state.setTimeoutTimestamp(best[0] // 1000 + 3_600_000)
+            state.setTimeoutTimestamp(best[0] // 1000 + state_ttl_ms)
             yield pd.DataFrame({"loop_id": [key[0]], "status": [best[2]], "ts": [pd.Timestamp(best[0])]})
 
     return (events.withWatermark("ts", delay).groupBy("loop_id")
