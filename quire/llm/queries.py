@@ -30,3 +30,77 @@ def op7(spark, sf_dir):
     from quire.llm.tokens import token_output
 
     return token_output(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
+
+
+OP4_SQL = r"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, 24 + length(replace(replace(replace(role, '\', '\\'), '<', '\l'), '[', '\b'))
+            + length(replace(replace(replace(text, '\', '\\'), '<', '\l'), '[', '\b')) AS n FROM m)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       length(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op4_chat_format", OP4_SQL)
+def op4(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from quire.llm.chat import fold_events, format_chat, learned_text, log_of_rows, parse_chat
+
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    out = format_chat(fold_events(log_of_rows(rows)))
+    out = out.select("conv_id", parse_chat(F.col("formatted")).alias("turns"),
+                     learned_text(F.col("segments")).alias("learned"), F.length("formatted").alias("chars"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.col("chars").cast("long").alias("formatted_chars"))
+
+
+@query("op9_quality_rules")
+def op9(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from quire.llm.quality_rules import quality
+
+    scored = quality(table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "p_good")
+
+
+def quality_labels(spark, sf_dir):
+    """Labels that a quality model may learn from: rows whose ``crc32(doc_id) mod 4`` is not 2."""
+    from pyspark.sql import functions as F
+
+    from quire.llm.common import crc_bucket
+
+    rows = table(spark, sf_dir, "labels").where(crc_bucket("doc_id", 4) != 2)
+    return rows.select("doc_id", F.col("quality").cast("int").alias("label"))
+
+
+@query("op10_quality_classifier")
+def op10(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from quire.llm.common import crc_bucket
+    from quire.llm.rule_ensemble import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, quality_labels(spark, sf_dir)))
+    return scored.select("doc_id", F.coalesce(crc_bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
