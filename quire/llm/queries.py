@@ -104,3 +104,17 @@ def op10(spark, sf_dir):
     scored = score(docs, train(docs, quality_labels(spark, sf_dir)))
     return scored.select("doc_id", F.coalesce(crc_bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op5_language_id")
+def op5(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from quire.llm.common import crc_bucket
+    from quire.llm.language_id import predict, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(crc_bucket("doc_id", 3) != 1).select("doc_id", "text", "lang"))
+    return predict(docs, model).select(
+        "doc_id", F.coalesce(crc_bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score",
+        "is_ambiguous")
