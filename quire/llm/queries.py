@@ -118,3 +118,11 @@ def op5(spark, sf_dir):
     return predict(docs, model).select(
         "doc_id", F.coalesce(crc_bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score",
         "is_ambiguous")
+
+
+@query("op8_pii")
+def op8(spark, sf_dir):
+    from quire.llm.pii_labels import detect
+
+    return detect(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
