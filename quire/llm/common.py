@@ -8,7 +8,7 @@ import types
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.session import checkpoint_dir
@@ -138,3 +138,89 @@ def text_bytes(column):
     valid = arr.is_valid().to_numpy(zero_copy_only=False)
     for i in range(len(arr)):
         yield data[offsets[i]:offsets[i + 1]] if valid[i] else data[:0]
+
+
+class UnitTable:
+    """Id sequences of distinct text units (words), looked up for whole slices of text at once.
+
+    Units are found by a 64-bit hash of their bytes. ``encode`` gets the strings of units seen for the first time and
+    returns one integer array each and a row of ``values`` numbers each (kept in ``value``). When more than ``limit`` units are
+    held, the table starts anew, so memory is bounded.
+    """
+
+    def __init__(self, encode, values: int = 0, limit: int = 700_000):
+        self.encode, self.values, self.limit = encode, values, limit
+        self.clear()
+
+    def clear(self):
+        self.keys, self.rank = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.offset, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.value = np.zeros((0, self.values))
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def add(self, keys, strings):
+        ids, values = self.encode(strings)
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        total = int(sizes.sum())
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat)), np.int32)])
+        self.flat[self.used:self.used + total] = np.concatenate(ids) if total else []
+        first = len(self.size)
+        self.offset = np.concatenate([self.offset, self.used + np.cumsum(sizes) - sizes])
+        self.size, self.value = np.concatenate([self.size, sizes]), np.concatenate([self.value, values])
+        self.used += total
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.rank = np.insert(self.rank, at, np.arange(first, first + len(keys)))
+
+    def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Row of the table for every unit ``data[start:end]``."""
+        if len(self.keys) > self.limit:
+            self.clear()
+        uniq, first, inverse = np.unique(RangeHash(byte_symbols(data)).of(starts, ends), return_index=True,
+                                         return_inverse=True)
+        at = np.searchsorted(self.keys, uniq)
+        known = np.zeros(len(uniq), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == uniq[inside]
+        if not known.all():
+            new = first[~known]
+            raw = data.tobytes()
+            self.add(uniq[~known], [raw[a:z].decode("utf-8", "replace") for a, z in zip(starts[new].tolist(), ends[new].tolist())])
+            at = np.searchsorted(self.keys, uniq)
+        return self.rank[at][inverse]
+
+    def gather(self, rows: np.ndarray):
+        """Concatenated ids of ``rows`` and the number of ids before each (one more than rows)."""
+        sizes = self.size[rows].astype(np.int64)
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        where = np.repeat(self.offset[rows] - before[:-1], sizes) + np.arange(before[-1])
+        return self.flat[where], before
+
+
+def slices(column, size: int = 1 << 20):
+    """Cut an Arrow string column into runs of about ``size`` bytes (one text at least): first and last row, the
+    concatenated bytes of the run and the offsets of its texts. Null is empty."""
+    texts = list(text_bytes(column))
+    at = 0
+    while at < len(texts):
+        to, total = at, 0
+        while to < len(texts) and (to == at or total + len(texts[to]) <= size):
+            total += len(texts[to])
+            to += 1
+        sizes = np.fromiter(map(len, texts[at:to]), np.int64, to - at)
+        yield at, to, np.concatenate(texts[at:to]), np.concatenate([[0], np.cumsum(sizes)])
+        at = to
+
+
+def sized_broadcast(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
+    """Hint a broadcast if the rows of ``df``, written out as JSON, take at most ``limit`` bytes (one small job);
+    otherwise the join stays a shuffle join."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of ``value`` with ``value`` computed once. Catalyst inlines a column into a lambda that reads it, where it
+    would be evaluated per element; a lambda's own variable is a value."""
+    return F.element_at(F.transform(F.array(value), body), 1)

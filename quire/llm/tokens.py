@@ -14,46 +14,66 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import shared_dir, worker_cache
+from quire.llm.common import UnitTable, lower_ascii, shared_dir, slices, worker_cache
 
-CACHE_WORDS = 400_000
-_BLANKS = str.maketrans("\t\n\v\f\r", "     ")
+#: ASCII marks between which and an ASCII letter the pre-tokeniser always cuts. The apostrophe (contractions) and the
+#: characters of special tokens are left out.
+_MARKS = np.frombuffer(b",.!?;:#$%&*", np.uint8)
+_KIND = np.full(256, 3, np.uint8)  # 0 blank, 1 ASCII letter, 2 mark, 3 anything else
+_KIND[[0x20, *range(0x09, 0x0E)]] = 0
+_KIND[97:123] = 1
+_KIND[_MARKS] = 2
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer whose pre-tokeniser never joins across white space and whose normaliser acts
-    inside words, so the ids of a text are those of its blank-separated words in order. Each distinct word is
-    encoded once per worker and kept as bytes; the cache is emptied when it holds ``CACHE_WORDS`` words."""
+    """Encodes texts with a byte-pair tokenizer that lowers case and whose pre-tokeniser never joins across white
+    space or between a letter and a mark, so the ids of a text are those of such units in order. Each distinct
+    unit is encoded once per worker."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.cache = {"": b""}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {"": b""}
-        split = [t.translate(_BLANKS).split(" ") for t in texts]
-        new = list(set().union(*split) - self.cache.keys()) if split else []
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.cache[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.cache.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
-
-
-def _slices(texts: list, chars: int = 4_000_000):
-    """Cut a batch into runs of about ``chars`` characters (one text at least)."""
-    at = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= chars:
-            yield at, i + 1
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+        ends = [i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]
+        self.is_end = np.zeros(self.tok.get_vocab_size(), bool)
+        self.is_end[ends] = True
+        self.table = UnitTable(self.encode_units)
+
+    def encode_units(self, units: list[str]):
+        """Words of ASCII letters are one pre-token each: they are encoded many at a time and cut after ids that
+        end a word. Other units are encoded one by one."""
+        out: list = [None] * len(units)
+        plain = [i for i, u in enumerate(units) if u.isascii() and u.isalpha()]
+        for at in range(0, len(plain), 4000):
+            part = plain[at:at + 4000]
+            joined = [" ".join(units[i] for i in part[k:k + 200]) for k in range(0, len(part), 200)]
+            got = self.tok.encode_batch_fast(joined, add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, np.int32) for e in got])
+            for i, x in zip(part, np.split(ids, np.flatnonzero(self.is_end[ids])[:-1] + 1)):
+                out[i] = x
+        rest = [i for i, x in enumerate(out) if x is None]
+        for at in range(0, len(rest), 4000):
+            part = rest[at:at + 4000]
+            for i, e in zip(part, self.tok.encode_batch_fast([units[i] for i in part], add_special_tokens=False)):
+                out[i] = np.array(e.ids, np.int32)
+        return out, np.zeros((len(units), 0))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray):
+        """Texts ``data[offsets[i]:offsets[i + 1]]`` -> all ids, and the number of ids before each text."""
+        low = lower_ascii(data)
+        kind = _KIND[low]
+        before = np.empty_like(kind)
+        before[0:1], before[1:] = 0, kind[:-1]
+        before[offsets[offsets < len(data)]] = 0
+        starts = np.flatnonzero((kind > 0) & ((before == 0) | (kind + before == 3) & (kind != 3) & (before != 3)))
+        after = np.empty_like(kind)
+        after[-1:], after[:-1] = 0, kind[1:]
+        inner = offsets[(offsets > 0) & (offsets < len(data))]
+        after[inner - 1] = 0
+        ends = np.flatnonzero((kind > 0) & ((after == 0) | (kind + after == 3) & (kind != 3) & (after != 3))) + 1
+        ids, upto = self.table.gather(self.table.find(low, starts, ends)) if len(starts) else (
+            np.zeros(0, np.int32), np.zeros(1, np.int64))
+        return ids, upto[np.searchsorted(starts, offsets)]
 
 
 def encode_table(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -74,19 +94,19 @@ def encode_table(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame
         from pyspark import TaskContext
 
         enc = worker_cache(("word_encoder", tokenizer_path), lambda: WordEncoder(tokenizer_path))
-        part, start, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
+        part, start = TaskContext.get().partitionId(), 0
         for b in batches:
-            texts, doc_ids = [t or "" for t in b.column("text").to_pylist()], b.column("doc_id")
-            for lo, hi in _slices(texts):
-                coded = [x + end for x in enc.encode(texts[lo:hi])]
-                n = np.array([len(x) >> 2 for x in coded], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(n)])
-                ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
-                                               pa.array(np.frombuffer(b"".join(coded), "<i4")))
+            doc_ids = b.column("doc_id")
+            for lo, hi, data, offsets in slices(b.column("text")):
+                ids, upto = enc.encode(data, offsets)
+                n = np.diff(upto) + 1
+                ids = np.insert(ids, upto[1:], end_id)
+                offs = np.concatenate([[0], np.cumsum(n)])
+                lists = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(hi - lo, part, np.int32)), doc_ids.slice(lo, hi - lo),
-                     pa.array(start + offsets[:-1]), pa.array(n), ids], schema=schema)
-                start += int(offsets[-1])
+                     pa.array(start + offs[:-1]), pa.array(n), lists], schema=schema)
+                start += int(offs[-1])
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "part int, doc_id long, start_in_part long, n_tokens long, ids array<int>")
