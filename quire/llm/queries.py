@@ -126,3 +126,44 @@ def op8(spark, sf_dir):
 
     return detect(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+@query("op1_sentencepiece_nbest")
+def op1(spark, sf_dir):
+    from quire.llm.pieces import digest
+
+    return digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), n=4)
+
+
+_WORDS = (r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
+OP6_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+b2 AS (SELECT item_id, w, least(len(w), 13) AS n FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS t
+       FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM b2)),
+ns AS (SELECT DISTINCT n FROM b2),
+dw AS (SELECT doc_id, i, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS t
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, ns)),
+h AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw USING (t)),
+p AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM h) GROUP BY 1),
+s AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+             sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS x FROM h GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(x, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN s ON s.doc_id = d.doc_id
+"""
+
+
+@query("op6_decontamination", OP6_SQL)
+def op6(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from quire.llm.winnowing import contaminated, decontaminate
+
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    named = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(named.cast("binary"), 256).alias("items_sha256"), contaminated().alias("contaminated"))
