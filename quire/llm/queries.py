@@ -167,3 +167,10 @@ def op6(spark, sf_dir):
     named = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(named.cast("binary"), 256).alias("items_sha256"), contaminated().alias("contaminated"))
+
+
+@query("op3_jaccard_join")
+def op3(spark, sf_dir):
+    from quire.llm.jaccard_join import join_components
+
+    return join_components(table(spark, sf_dir, "documents"))
