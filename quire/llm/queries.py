@@ -174,3 +174,10 @@ def op3(spark, sf_dir):
     from quire.llm.jaccard_join import join_components
 
     return join_components(table(spark, sf_dir, "documents"))
+
+
+@query("op2_suffix_dedup")
+def op2(spark, sf_dir):
+    from quire.llm.suffix_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents"), digest=True)
