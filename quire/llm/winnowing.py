@@ -94,7 +94,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> Da
     per_doc = prints.join(marks, "print", "left").groupBy("doc_id").agg(
         F.max("n_words").alias("n_words"), F.coalesce(F.max("hit"), F.lit(False)).alias("hit"))
     per_doc = save(per_doc, "prints")
-    near = per_doc.where("hit").select(F.col("doc_id").alias("__id"))
+    # one plan at every size: the candidates' ids grow with the documents, so they are not for a broadcast
+    near = per_doc.where("hit").select(F.col("doc_id").alias("__id")).hint("shuffle_hash")
     again = docs.select("doc_id", "text").join(near, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
     again = again.select("doc_id", F.explode_outer(windows(F.col("text"), sizes or [span])).alias("x"))
     again = again.select("doc_id", "x.start", "x.size", "x.text")
