@@ -196,22 +196,28 @@ def encoder(path: str) -> PieceEncoder:
 
 
 def encode(docs: DataFrame, model_path: str, n: int = 2, keep: str = "doc_id long") -> DataFrame:
-    """``docs`` -> carried columns and ``nbest``: array of (score, ids), best first."""
+    """``docs`` -> carried columns, ``ids`` and ``score`` of the best segmentation, ``others``: the next ones as an array of
+    (score, ids), best first, and ``decoded``: whether every one of the ``n`` decodes to the text again."""
     import pyarrow as pa
 
     names = [c.split()[0] for c in keep.split(",")]
-    kind = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))]))
+    more = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))]))
 
     def run(batches):
         enc = encoder(model_path)
         for b in batches:
             for lo, hi, data, offsets in slices(b.column("text")):
-                got = enc.encode(data, offsets, n)[2]
-                rows = [[{"score": s, "ids": x} for s, x in best] for best in got]
+                ids, upto, got = enc.encode(data, offsets, n)
+                lists = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                rows = [[{"score": s, "ids": x} for s, x in best[1:]] for best in got]
+                same = [all(np.array_equal(enc.decode(x)[1:], data[offsets[i]:offsets[i + 1]]) for _, x in best)
+                        for i, best in enumerate(got)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c).slice(lo, hi - lo) for c in names), pa.array(rows, kind)], names=[*names, "nbest"])
+                    [*(b.column(c).slice(lo, hi - lo) for c in names), lists, pa.array([best[0][0] for best in got], pa.float64()),
+                     pa.array(rows, more), pa.array(same, pa.bool_())], names=[*names, "ids", "score", "others", "decoded"])
 
-    return docs.select(*names, "text").mapInArrow(run, f"{keep}, nbest array<struct<score:double, ids:array<int>>>")
+    return docs.select(*names, "text").mapInArrow(
+        run, f"{keep}, ids array<int>, score double, others array<struct<score:double, ids:array<int>>>, decoded boolean")
 
 
 def decode(tokens: DataFrame, model_path: str, ids: str = "ids", keep: str = "doc_id long") -> DataFrame:

@@ -181,7 +181,7 @@ def label(docs: DataFrame, keep: str = "doc_id long") -> DataFrame:
     candidates with votes and shape."""
     import pyarrow as pa
 
-    names = [c.split()[0] for c in keep.split(",")]
+    names = [c.split()[0] for c in keep.split(",") if c.strip()]
     cand = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                                ("base", pa.bool_()), ("votes", pa.string()), ("shape", pa.string())]))
 
@@ -209,8 +209,8 @@ def label(docs: DataFrame, keep: str = "doc_id long") -> DataFrame:
                  pa.array(out["found"], cand)], names=[*names, *out])
 
     counts = ", ".join(f"n_{k} long" for k in BASE)
-    return docs.select(*names, "text").mapInArrow(
-        run, f"{keep}, {counts}, base_sha256 string, base string, found array<struct<kind:string, start:bigint, "
+    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(
+        run, (f"{keep}, " if names else "") + f"{counts}, base_sha256 string, base string, found array<struct<kind:string, start:bigint, "
              "end:bigint, base:boolean, votes:string, shape:string>>")
 
 
@@ -328,3 +328,14 @@ def redact(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFra
         return pd.Series(out, dtype=object)
 
     return docs.withColumn(text, cut(text, spans))
+
+
+def detect_and_redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``docs`` with the spans that were found masked in ``text``; all columns are carried. The labelers run twice, once for the
+    counts and once where the text is at hand, so no text is stored or shuffled."""
+    weights = train(label(docs.select("text"), ""))
+    names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()), F.col("text"))
+    found = label(renamed, ", ".join(f"{names[c]} {t}" for c, t in docs.dtypes))
+    masked = redact(classify(found, weights, threshold), names["text"])
+    return masked.select(*(F.col(n).alias(c) for c, n in names.items()))

@@ -66,4 +66,4 @@ def with_stats(docs: DataFrame, keep: str = "doc_id long") -> DataFrame:
                 [b.column(c) for c in names] + [pa.array(rows[:, i]) for i in range(len(STATS))],
                 names=[*names, *STATS])
 
-    return docs.select(*names, "text").mapInArrow(run, ", ".join([keep, *(f"{s} long" for s in STATS)]))
+    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(run, ", ".join([keep, *(f"{s} long" for s in STATS)]))
