@@ -71,7 +71,8 @@ class CodeModel:
         n = len(self.languages)
         if n < 2:
             return np.zeros(len(x), int), np.ones(len(x)), np.ones(len(x))
-        margin = x @ self.weights[:-1] + self.weights[-1]
+        # one product per row: products of whole batches round differently in batches of other sizes
+        margin = np.stack([row @ self.weights[:-1] for row in x]) + self.weights[-1]
         loss = np.stack([(np.logaddexp(0, -margin * c) * self.bit_weight).sum(1) for c in self.code], 1)
         p = np.exp(loss.min(1, keepdims=True) - loss)
         p /= p.sum(1, keepdims=True)

@@ -74,7 +74,7 @@ def fit_reliability(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200)
             voted = weight @ (votes != 0)
             agreed = weight @ (votes == (1 if y else -1))
             right[y] = (agreed + smooth * start[y]) / (voted + smooth)
-        right = np.clip(right, 0.02, 0.998)
+        right = np.clip(right, [[0.02], [0.5]], 0.998)
         right[0] = np.maximum(right[0], 1.05 - right[1])
         prior = float(np.clip((counts @ post) / counts.sum(), 0.05, 0.95))
         done = np.abs(right - model["right"]).max() < 1e-9
