@@ -72,7 +72,8 @@ def loop_status_stream(events: DataFrame, delay: str = "1 hour", state_ttl_ms: i
                     best = cand
         if best is not None and best != cur:
             state.update((json.dumps(best),))
-            state.setTimeoutTimestamp(best[0] // 1000 + state_ttl_ms)
+            # nanoseconds to milliseconds; a timeout must lie ahead of the watermark
+            state.setTimeoutTimestamp(max(best[0] // 1_000_000 + state_ttl_ms, state.getCurrentWatermarkMs() + 1))
             yield pd.DataFrame({"loop_id": [key[0]], "status": [best[2]], "ts": [pd.Timestamp(best[0])]})
 
     return (events.withWatermark("ts", delay).groupBy("loop_id")
@@ -82,64 +83,24 @@ def loop_status_stream(events: DataFrame, delay: str = "1 hour", state_ttl_ms: i
 
 # ---------------------------------------------------------------- ST2, ST4
 
-OUTCOME_SCHEMA = "loop_id string, outcome string, end_event_id long, start_ts timestamp"
-
-
 def loop_outcomes_stream(events: DataFrame, key: str, timeout_s: int, delay: str = "1 hour") -> DataFrame:
-    """ST2/ST4: outcome of every loop from one event stream ``(kind, loop_id, key, ts, event_id, status)``.
+    """ST2/ST4: outcome of every loop from one event stream ``(kind, loop_id, key, ts, event_id, status)``; result
+    ``(loop_id, outcome, end_event_id, start_ts)``.
 
-    ``kind`` is 'start' or 'end'. Per key, state holds the starts still waiting; an end resolves every waiting
-    start with ``start <= end <= start + timeout`` (first end in time order wins); when the watermark passes
-    ``start + timeout`` the start is emitted as ``Timeout``. Ends are assumed to arrive in time order per key
-    within the watermark delay (the batch form ``review.loop_outcomes`` has no such assumption).
+    ``kind`` is 'start' or 'end'. Starts are joined to the ends of their key with ``start <= end <= start + timeout`` (a
+    stream-stream left outer join whose state the watermarks bound), and the first end by ``(ts, event_id)`` decides; none
+    gives ``Timeout``. A loop is emitted once the watermark has passed its start and timeout, so the order in which events
+    arrive within ``delay`` does not matter, and the result equals the batch form ``review.loop_outcomes``.
     """
-    limit_us = timeout_s * 1_000_000
-
-    def step(k, pdfs, state: GroupState):
-        pending = json.loads(state.get[0]) if state.exists else []
-        out = []
-        if state.hasTimedOut:
-            wm = state.getCurrentWatermarkMs() * 1000
-            keep = []
-            for lid, sts in pending:
-                if sts + limit_us < wm:
-                    out.append((lid, "Timeout", None, sts))
-                else:
-                    keep.append([lid, sts])
-            pending = keep
-        else:
-            rows = []
-            for pdf in pdfs:
-                for kind, lid, t, e, s in zip(pdf["kind"], pdf["loop_id"], pdf["ts"], pdf["event_id"], pdf["status"]):
-                    rows.append((pd.Timestamp(t).value // 1000, 0 if kind == "start" else 1, int(e), lid, s))
-            rows.sort()
-            for ts_us, kind, eid, lid, status in rows:
-                if kind == 0:
-                    pending.append([lid, ts_us])
-                    continue
-                keep = []
-                for plid, sts in pending:
-                    if sts <= ts_us <= sts + limit_us:
-                        out.append((plid, status, eid, sts))
-                    elif ts_us > sts + limit_us:
-                        out.append((plid, "Timeout", None, sts))
-                    else:
-                        keep.append([plid, sts])
-                pending = keep
-        if pending:
-            state.update((json.dumps(pending),))
-            state.setTimeoutTimestamp(min(s for _, s in pending) // 1000 + timeout_s * 1000 + 1)
-        elif state.exists:
-            state.remove()
-        if out:
-            yield pd.DataFrame({
-                "loop_id": [o[0] for o in out], "outcome": [o[1] for o in out],
-                "end_event_id": pd.array([o[2] for o in out], dtype="Int64"),
-                "start_ts": [pd.Timestamp(o[3] * 1000) for o in out]})
-
-    return (events.withWatermark("ts", delay).groupBy(key)
-            .applyInPandasWithState(step, OUTCOME_SCHEMA, "pending string", "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+    starts = events.where(F.col("kind") == "start").select(
+        "loop_id", F.col(key).alias("__s"), F.col("ts").alias("start_ts")).withWatermark("start_ts", delay)
+    ends = events.where(F.col("kind") == "end").select(
+        F.col(key).alias("__e"), F.col("ts").alias("end_ts"), "event_id", "status").withWatermark("end_ts", delay)
+    within = F.expr(f"__s = __e AND end_ts >= start_ts AND end_ts <= start_ts + INTERVAL {int(timeout_s)} SECONDS")
+    joined = starts.join(ends, within, "leftOuter")
+    first = joined.groupBy("loop_id", "start_ts").agg(F.min(F.struct("end_ts", "event_id", "status")).alias("end"))
+    return first.select("loop_id", F.coalesce("end.status", F.lit("Timeout")).alias("outcome"),
+                        F.col("end.event_id").alias("end_event_id"), "start_ts")
 
 
 def lifecycle_events(events: DataFrame, start_type: str, end_map: dict[str, str], key: str = "user_id") -> DataFrame:

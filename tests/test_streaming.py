@@ -57,22 +57,68 @@ def test_loop_status_stream(spark, scratch):
     assert latest == batch == {"a": "Completed", "b": "Failed"}
 
 
-def test_loop_outcomes_stream_agrees_with_batch(spark, scratch):
-    ev = read_table(spark, SF_SMALL, "events")
-    life = flows.lifecycle_events(ev, "signup", {"purchase": "Completed", "error": "Failed"})
-    src = os.path.join(scratch, "life")
-    life.orderBy("ts").coalesce(1).write.parquet(src)
-    s = spark.readStream.schema(life.schema).parquet(src)
-    q = (flows.loop_outcomes_stream(s, "user_id", 1800).writeStream.format("memory").queryName("outcomes_t")
-         .outputMode("append").start())
+EVENT = "kind string, loop_id string, user_id long, ts timestamp, event_id long, status string"
+
+
+def _outcomes(spark, scratch, name, files, timeout_s=1800, delay="1 hour"):
+    """Run the stream with one file per trigger in the given order, then an event far ahead that moves the watermark."""
+    src = os.path.join(scratch, name)
+    far = dt.datetime(2030, 1, 1)
+    files = [*files, [("start", "far", -1, far, -1, None), ("end", None, -1, far, -2, "Completed")],
+             [("start", "farther", -1, far + dt.timedelta(days=9), -1, None), ("end", None, -1, far + dt.timedelta(days=9), -2, "x")]]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, EVENT).coalesce(1).write.parquet(f"{src}/{i:03d}")
+        for f in os.listdir(f"{src}/{i:03d}"):
+            os.utime(f"{src}/{i:03d}/{f}", (1_700_000_000 + 10 * i,) * 2)
+    s = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+    q = flows.loop_outcomes_stream(s, "user_id", timeout_s, delay).writeStream.format("memory").queryName(name).outputMode(
+        "append").start()
     _drain(q)
-    streamed = {r.loop_id: (r.outcome, r.end_event_id) for r in spark.sql("select * from outcomes_t").collect()}
+    rows = spark.sql(f"select * from {name} where loop_id not like 'far%'").collect()
+    assert len(rows) == len({r.loop_id for r in rows})
+    return {r.loop_id: (r.outcome, r.end_event_id) for r in rows}
+
+
+def _batch(spark, rows, timeout_s=1800):
+    life = spark.createDataFrame(rows, EVENT)
     starts = life.where(F.col("kind") == "start").select("loop_id", "user_id", "ts")
     ends = life.where(F.col("kind") == "end").select("event_id", "user_id", "ts", "status")
-    batch = {r.loop_id: (r.outcome, r.end_event_id) for r in R.loop_outcomes(starts, ends, "user_id", 1800).collect()}
-    assert streamed, "stream emitted nothing"
-    # every loop the stream has closed agrees with the batch form; open loops (newer than the final watermark)
-    # are not flushed at end of input
-    assert all(batch[k] == v for k, v in streamed.items())
-    resolved = sum(1 for v in batch.values() if v[0] != "Timeout")
-    assert sum(1 for v in streamed.values() if v[0] != "Timeout") == resolved
+    return {r.loop_id: (r.outcome, r.end_event_id) for r in R.loop_outcomes(starts, ends, "user_id", timeout_s).collect()}
+
+
+def test_loop_outcomes_stream_agrees_with_batch(spark, scratch):
+    ev = read_table(spark, SF_SMALL, "events").orderBy("ts").limit(300)
+    life = [tuple(r) for r in flows.lifecycle_events(ev, "signup", {"purchase": "Completed", "error": "Failed"}).select(
+        "kind", "loop_id", "user_id", "ts", "event_id", "status").orderBy(F.xxhash64("event_id")).collect()]
+    # shuffled arrival over several triggers; the delay covers the whole log
+    got = _outcomes(spark, scratch, "outcomes_u", [life[i::3] for i in range(3)], delay="400 days")
+    assert got == _batch(spark, life) and len(got) > 10
+
+
+def test_loop_outcomes_out_of_order(spark, scratch):
+    t = dt.datetime(2024, 1, 1)
+    at = lambda s: t + dt.timedelta(seconds=s)
+    start, end = (lambda i, u, s: ("start", i, u, at(s), s, None)), (lambda e, u, s, x: ("end", None, u, at(s), e, x))
+    files = [[end(1, 1, 100, "Completed"), end(5, 2, 60, "Completed")],          # an end before its start arrives
+             [start("a", 1, 0), start("b", 2, 30), start("c", 3, 0)], [end(2, 1, 50, "Failed")],  # an earlier end arrives later
+             [start("d", 3, 4000), start("e", 3, 10)], [end(7, 3, 4100, "Completed"), end(8, 3, 4100, "Failed")]]
+    rows = [r for f in files for r in f]
+    got = _outcomes(spark, scratch, "outcomes_o", files)
+    assert got == _batch(spark, rows) == {"a": ("Failed", 2), "b": ("Completed", 5), "c": ("Timeout", None), "d": ("Completed", 7),
+                                          "e": ("Timeout", None)}
+
+
+def test_loop_status_state_expires(spark, scratch):
+    t, schema = dt.datetime(2024, 1, 1), "loop_id string, status string, ts timestamp, event_id long"
+    src = os.path.join(scratch, "exp")
+    for i, (name, when) in enumerate([("a", t), ("b", t + dt.timedelta(days=2)), ("c", t + dt.timedelta(days=4)),
+                                      ("d", t + dt.timedelta(days=6))]):
+        spark.createDataFrame([(name, "InProgress", when, i)], schema).coalesce(1).write.parquet(f"{src}/{i}")
+        for f in os.listdir(f"{src}/{i}"):
+            os.utime(f"{src}/{i}/{f}", (1_700_000_000 + 10 * i,) * 2)
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+    q = flows.loop_status_stream(s).writeStream.format("memory").queryName("exp_t").outputMode("update").start()
+    q.processAllAvailable()
+    kept = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    q.stop()
+    assert kept < 4 and spark.sql("select * from exp_t").count() == 4
