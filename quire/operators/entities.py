@@ -23,9 +23,6 @@ BUILTIN_ENTITY_TYPES = ["PERSON", "LOCATION", "ORGANIZATION", "COMMERCIAL_ITEM",
                         "TITLE", "OTHER"]
 MEDICAL_CATEGORIES = ["MEDICATION", "MEDICAL_CONDITION", "ANATOMY", "TEST_TREATMENT_PROCEDURE",
                       "PROTECTED_HEALTH_INFORMATION"]
-# Text bounds of the medical operators (entities and PHI read 20000 chars, code linking 10000).
-MEDICAL_TEXT_LIMIT = 20000
-CODE_LINK_TEXT_LIMIT = 10000
 # Our patterns for the pattern-detectable built-in entity types (Java and RE2 compatible).
 ENTITY_PATTERNS = {
     "DATE": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
@@ -62,8 +59,8 @@ def tokens(docs: DataFrame, max_chars: int | None = None, id_col: str = "doc_id"
             .select("doc_id", "pos", F.col("x.token").alias("token"), F.col("x.begin_offset").alias("begin_offset")))
 
 
-def ngrams(docs: DataFrame, max_n: int = 3, max_chars: int | None = None) -> DataFrame:
-    """``(doc_id, pos, n, text, begin_offset, end_offset)`` for n = 1..max_n consecutive tokens.
+def ngrams(docs: DataFrame, lengths: Sequence[int], max_chars: int | None = None) -> DataFrame:
+    """``(doc_id, pos, n, text, begin_offset, end_offset)`` for every n in ``lengths`` of consecutive tokens.
 
     Built in the document's row from the token array (indexed access, linear), then exploded: no shuffle.
     """
@@ -78,25 +75,27 @@ def ngrams(docs: DataFrame, max_n: int = 3, max_chars: int | None = None) -> Dat
                             (last["begin_offset"] + F.length(last["token"])).alias("end_offset"))
         return build
 
-    per_n = [F.transform(F.sequence(F.lit(0), k - n), gram(n)) for n in range(1, max_n + 1)]
+    per_n = [F.transform(F.sequence(F.lit(0), k - n), gram(n)) for n in lengths]
     grams = F.flatten(F.array(*[F.when(k >= n, g).otherwise(F.array().cast(
-        "array<struct<n:int,text:string,begin_offset:int,end_offset:int>>")) for n, g in enumerate(per_n, 1)]))
+        "array<struct<n:int,text:string,begin_offset:int,end_offset:int>>")) for n, g in zip(lengths, per_n)]))
     return (explode_rows(t, ["doc_id"], grams, "g", "pos")
             .select("doc_id", "pos", F.col("g.n").alias("n"), F.col("g.text").alias("text"),
                     F.col("g.begin_offset").alias("begin_offset"), F.col("g.end_offset").cast("int").alias("end_offset")))
 
 
-def dictionary_entities(docs: DataFrame, entity_list: DataFrame, max_n: int = 3) -> DataFrame:
+def dictionary_entities(docs: DataFrame, entity_list: DataFrame) -> DataFrame:
     """J6 (custom NER re-aimed): ``(doc_id, begin_offset, end_offset, text, type, score)``.
 
-    A hit is an n-gram (n <= 3) whose lower-cased text equals a dictionary phrase of n tokens. The dictionary
-    ``(text, type)`` is normalised (lower case, single spaces) and joined on ``(phrase, n)``.
+    A hit is a run of n tokens whose lower-cased text equals a dictionary phrase of n tokens, whatever n. The dictionary
+    ``(text, type)`` is normalised (lower case, single spaces); only runs as long as one of its phrases are built (their
+    lengths, a handful, are read from the dictionary) and joined on ``(phrase, n)``.
     """
     d = (entity_list.select(F.lower(F.array_join(F.filter(F.split("text", WS_JAVA, -1), lambda x: x != ""), " "))
                             .alias("phrase"), "type")
          .withColumn("n", F.size(F.split("phrase", " ", -1)))
-         .where((F.col("phrase") != "") & (F.col("n") <= max_n)))
-    g = ngrams(docs, max_n).withColumn("phrase", F.lower("text"))
+         .where(F.col("phrase") != ""))
+    lengths = sorted(r[0] for r in d.select("n").distinct().collect())
+    g = ngrams(docs, lengths or [1]).withColumn("phrase", F.lower("text"))
     hits = g.join(broadcast_if_small(d), ["phrase", "n"])
     return hits.select("doc_id", "begin_offset", "end_offset", "text", "type", F.lit(1.0).alias("score"))
 
@@ -142,11 +141,11 @@ def entities_by_type(docs: DataFrame, ents: DataFrame, types: Sequence[str] | No
 
 # ---------------------------------------------------------------- medical
 
-def medical_entities(docs: DataFrame, lexicon: DataFrame, max_chars: int = MEDICAL_TEXT_LIMIT) -> DataFrame:
+def medical_entities(docs: DataFrame, lexicon: DataFrame, max_chars: int | None = None) -> DataFrame:
     """``(doc_id, begin_offset, end_offset, text, category, type, score, traits, attributes)``.
 
-    Single tokens of the first ``max_chars`` characters, trailing punctuation removed, looked up lower-cased in
-    the lexicon ``(term, category, type)``. Traits and attributes are passed through empty.
+    Single tokens of the whole text (``max_chars``: of its first characters), trailing punctuation removed, looked up
+    lower-cased in the lexicon ``(term, category, type)``. Traits and attributes are passed through empty.
     """
     t = (tokens(docs, max_chars)
          .withColumn("text", F.regexp_replace("token", TRAILING_PUNCT, ""))
@@ -165,18 +164,19 @@ def link_codes(ents: DataFrame, codes: DataFrame, system: str, categories: Seque
     """Entities of the given categories linked to the concepts of one code system; long form
     ``(doc_id, begin_offset, text, category, code, description, score, concept_rank)``.
 
-    ``ents`` should come from ``medical_entities(docs, lexicon, CODE_LINK_TEXT_LIMIT)`` (code linking reads the
-    first 10000 characters). Concepts per entity are ranked by ``(score desc, code)``.
+    Every entity stays; one without a concept has null code, description, score and rank. Concepts are ranked by
+    ``(score desc, code)`` per term in the code table, before the join, so the entities are not shuffled for it.
     """
     e = ents
     if categories:
         e = e.where(F.col("category").isin(list(categories)))
     c = codes.where(F.col("system") == system).select(F.lower("term").alias("term"), "code", "description",
                                                       F.coalesce("score", F.lit(1.0)).alias("cscore"))
-    j = e.join(broadcast_if_small(c), "term")
-    w = Window.partitionBy("doc_id", "begin_offset").orderBy(F.col("cscore").desc(), "code")
+    w = Window.partitionBy("term").orderBy(F.col("cscore").desc(), "code")
+    c = c.withColumn("concept_rank", F.row_number().over(w))
+    j = e.drop("score").join(broadcast_if_small(c), "term", "left")
     return j.select("doc_id", "begin_offset", "text", "category", "code", "description",
-                    F.col("cscore").alias("score"), F.row_number().over(w).alias("concept_rank"))
+                    F.col("cscore").alias("score"), "concept_rank")
 
 
 def link_icd10(ents: DataFrame, codes: DataFrame) -> DataFrame:
@@ -195,31 +195,46 @@ def link_snomed(ents: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def medical_by_category(docs: DataFrame, ents: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
-    """Like A7 with the medical categories (5 by default)."""
-    return entities_by_type(docs, ents, categories or MEDICAL_CATEGORIES, key="category")
+    """A8 long form: ``(doc_id, category, n, entities)`` with whole entity records (text, type, score, offsets, traits,
+    attributes) in offset order; every category (5 by default) is present for every document."""
+    keep = list(dict.fromkeys(categories)) if categories else MEDICAL_CATEGORIES
+    record = F.struct("begin_offset", "end_offset", "text", "type", "score", "traits", "attributes")
+    grouped = ents.where(F.col("category").isin(keep)).groupBy("doc_id", "category").agg(
+        F.array_sort(F.collect_list(record)).alias("entities"))
+    req = docs.select("doc_id", F.explode(F.array(*[F.lit(c) for c in keep])).alias("category"))
+    kind = grouped.schema["entities"].dataType.simpleString()
+    return req.join(grouped, ["doc_id", "category"], "left").select(
+        "doc_id", "category", F.coalesce(F.size("entities"), F.lit(0)).alias("n"),
+        F.coalesce("entities", F.array().cast(kind)).alias("entities"))
 
 
 def detect_phi(docs: DataFrame, patterns: dict[str, str] | None = None,
-               max_chars: int = MEDICAL_TEXT_LIMIT) -> DataFrame:
-    """PHI spans over the first ``max_chars`` characters (pattern form, as C2)."""
+               max_chars: int | None = None) -> DataFrame:
+    """PHI spans over the whole text, or its first ``max_chars`` characters (pattern form, as C2)."""
     from quire.functions.spans import PII_PATTERNS
 
     pats = patterns or {k: PII_PATTERNS[k] for k in ("EMAIL", "PHONE", "SSN", "IP_ADDRESS")}
-    d = docs.select("doc_id", F.substring("text", 1, max_chars).alias("text"))
+    d = docs.select("doc_id", (F.substring("text", 1, max_chars) if max_chars else F.col("text")).alias("text"))
     return pattern_entities(d, pats).withColumn("category", F.lit("PROTECTED_HEALTH_INFORMATION"))
 
 
 def full_medical_analysis(docs: DataFrame, lexicon: DataFrame, codes: DataFrame) -> DataFrame:
-    """Per document the counts of entities, PHI, ICD-10-CM and RxNorm links (SNOMED is not part of it)."""
+    """A9 long form: the four lists of an analysis as rows ``(doc_id, list, begin_offset, end_offset, text, category, code,
+    description, concept_rank)`` with ``list`` one of ``entities``, ``phi``, ``icd10cm`` and ``rxnorm`` (SNOMED is not part of it).
+
+    The texts are tokenised once: the links are left joins of the entity rows with one system's concepts each.
+    """
+    cols = ["doc_id", "list", "begin_offset", "end_offset", "text", "category", "code", "description", "concept_rank"]
+    none = {"code": "string", "description": "string", "concept_rank": "int"}
+    w = Window.partitionBy("system", "term").orderBy(F.coalesce("score", F.lit(1.0)).desc(), "code")
+    c = codes.withColumn("concept_rank", F.row_number().over(w))
+    wanted = F.array(F.struct(F.lit("icd10cm").alias("list"), F.lit("ICD10CM").alias("system"), F.lit("MEDICAL_CONDITION").alias("of")),
+                     F.struct(F.lit("rxnorm").alias("list"), F.lit("RXNORM").alias("system"), F.lit("MEDICATION").alias("of")),
+                     F.struct(F.lit("entities").alias("list"), F.lit("").alias("system"), F.lit(None).cast("string").alias("of")))
     ents = medical_entities(docs, lexicon)
-    ents10 = medical_entities(docs, lexicon, CODE_LINK_TEXT_LIMIT)
-    parts = {
-        "n_entities": ents,
-        "n_phi": detect_phi(docs),
-        "n_icd10cm": link_icd10(ents10, codes),
-        "n_rxnorm": link_rxnorm(ents10, codes),
-    }
-    out = docs.select("doc_id")
-    for name, df in parts.items():
-        out = out.join(df.groupBy("doc_id").agg(F.count("*").alias(name)), "doc_id", "left")
-    return out.select("doc_id", *[F.coalesce(n, F.lit(0)).cast("int").alias(n) for n in parts])
+    rows = ents.withColumn("w", F.explode(F.filter(wanted, lambda x: x["of"].isNull() | (x["of"] == F.col("category")))))
+    rows = rows.select("doc_id", "w.list", "w.system", "term", "begin_offset", "end_offset", "text", "category")
+    linked = rows.join(broadcast_if_small(c.select("system", F.lower("term").alias("term"), "code", "description", "concept_rank")),
+                       ["system", "term"], "left").select(cols)
+    phi = detect_phi(docs).withColumn("list", F.lit("phi"))
+    return linked.unionByName(phi.select(*cols[:6], *(F.lit(None).cast(t).alias(n) for n, t in none.items())))

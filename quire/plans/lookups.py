@@ -10,16 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import words
+from quire.operators.assembly import DEFAULT_QUESTIONS  # noqa: F401
 from quire.operators.entities import MEDICAL_CATEGORIES, TRAILING_PUNCT
 
-# Custom entity type names, the code systems, and the default per-document questions.
+# Custom entity type names and the code systems.
 CUSTOM_TYPES = ("SAVINGS_AC", "CHECKING_AC")
 CODE_SYSTEMS = ("ICD10CM", "RXNORM", "SNOMEDCT")
-DEFAULT_QUESTIONS = [
-    "What is this document about?",
-    "What are the key data points in this document?",
-    "Are there any dates or deadlines mentioned?",
-]
 
 
 def entity_list(benchmark: DataFrame) -> DataFrame:
@@ -42,8 +38,12 @@ def lexicon(benchmark: DataFrame) -> DataFrame:
 
 
 def codes(lex: DataFrame) -> DataFrame:
-    """``(system, term, code, description, score)``: one concept per term and system, code = 6 hex of md5(term)."""
+    """``(system, term, code, description, score)``: per system two concepts for a term of even length, one for others, none
+    for terms of a length divisible by five; scores differ, and tie for some."""
     systems = F.array(*[F.lit(s) for s in CODE_SYSTEMS])
-    return lex.select(F.explode(systems).alias("system"), "term",
-                      F.substring(F.md5("term"), 1, 6).alias("code"), F.upper("term").alias("description"),
-                      F.lit(1.0).alias("score"))
+    c = lex.select("term", F.explode(systems).alias("system")).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("i"))
+    n = F.length("term")
+    c = c.where((n % 5 != 0) & ((F.col("i") == 0) | (n % 2 == 0)))
+    score = F.when(F.col("i") == 0, 0.75).otherwise(0.5 + (n % 3) * 0.25)
+    return c.select("system", "term", F.substring(F.md5(F.concat("system", "term", F.col("i").cast("string"))), 1, 6).alias("code"),
+                    F.upper("term").alias("description"), score.alias("score"))

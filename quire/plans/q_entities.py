@@ -115,9 +115,8 @@ def _lex(spark, sf_dir):
     return lookups.lexicon(read_table(spark, sf_dir, "benchmark"))
 
 
-def _med_sql(limit: int, p: str = "", lexicon: bool = True) -> str:
-    lex = f", {_LEXICON_CTE}" if lexicon else ""
-    return f"""{_tokens_cte(f"substr(text, 1, {limit})", p)}{lex},
+def _med_sql(p: str = "") -> str:
+    return f"""{_tokens_cte("text", p)}, {_LEXICON_CTE},
 {p}__mh AS (SELECT t.doc_id, t.begin_offset, CAST(t.begin_offset + length(t.text) AS INTEGER) AS end_offset, t.text,
            l.term, l.category, l.type, CAST(1.0 AS DOUBLE) AS score
          FROM (SELECT doc_id, begin_offset, regexp_replace(token, '[.,;:!?]+$', '') AS text FROM {p}__t) t
@@ -125,24 +124,32 @@ def _med_sql(limit: int, p: str = "", lexicon: bool = True) -> str:
          WHERE t.text <> '')"""
 
 
-@register("medical_entities", f"""WITH {_med_sql(EN.MEDICAL_TEXT_LIMIT)}
+@register("medical_entities", f"""WITH {_med_sql()}
 SELECT doc_id, begin_offset, end_offset, text, category, type, score FROM __mh""")
 def q_medical_entities(spark, sf_dir):
     return EN.medical_entities(_docs(spark, sf_dir), _lex(spark, sf_dir)).select(
         "doc_id", "begin_offset", "end_offset", "text", "category", "type", "score")
 
 
+def _codes_sql(system: str) -> str:
+    """Two concepts for terms of even length, one for others, none for terms of a length divisible by five."""
+    return f"""SELECT term, code, description, score,
+        CAST(row_number() OVER (PARTITION BY term ORDER BY score DESC, code) AS INTEGER) AS concept_rank
+      FROM (SELECT term, substr(md5('{system}' || term || CAST(i AS VARCHAR)), 1, 6) AS code, upper(term) AS description,
+              CASE WHEN i = 0 THEN 0.75 ELSE 0.5 + (length(term) % 3) * 0.25 END AS score
+            FROM __lex, (VALUES (0), (1)) v(i) WHERE length(term) % 5 <> 0 AND (i = 0 OR length(term) % 2 = 0))"""
+
+
 def _link_sql(system: str, category: str | None) -> str:
     where = f"WHERE category = '{category}'" if category else ""
-    return f"""WITH {_med_sql(EN.CODE_LINK_TEXT_LIMIT)}
-SELECT doc_id, begin_offset, text, category, substr(md5(term), 1, 6) AS code, upper(term) AS description,
-       CAST(1.0 AS DOUBLE) AS score, 1 AS concept_rank
-FROM __mh {where}"""
+    return f"""WITH {_med_sql()}
+SELECT doc_id, begin_offset, text, category, code, description, score, concept_rank
+FROM (SELECT * EXCLUDE (score) FROM __mh {where}) LEFT JOIN ({_codes_sql(system)}) USING (term)"""
 
 
 def _link(spark, sf_dir, fn):
     lex = _lex(spark, sf_dir)
-    ents = EN.medical_entities(_docs(spark, sf_dir), lex, EN.CODE_LINK_TEXT_LIMIT)
+    ents = EN.medical_entities(_docs(spark, sf_dir), lex)
     return fn(ents, lookups.codes(lex))
 
 
@@ -161,35 +168,50 @@ def q_link_snomed(spark, sf_dir):
     return _link(spark, sf_dir, EN.link_snomed)
 
 
-@register("medical_by_category", f"""WITH {_med_sql(EN.MEDICAL_TEXT_LIMIT)},
-g AS (SELECT doc_id, category, count(*) AS n, string_agg(text, '|' ORDER BY begin_offset, end_offset, text) AS texts
+@register("medical_by_category", f"""WITH {_med_sql()},
+g AS (SELECT doc_id, category, count(*) AS n,
+        string_agg(CAST(begin_offset AS VARCHAR) || ':' || CAST(end_offset AS VARCHAR) || ':' || text || ':' || type || ':1.0', '|'
+                   ORDER BY begin_offset, end_offset, text) AS entities
       FROM __mh GROUP BY doc_id, category),
 r AS (SELECT doc_id, category FROM documents, (VALUES ('MEDICATION'), ('MEDICAL_CONDITION'), ('ANATOMY'),
         ('TEST_TREATMENT_PROCEDURE'), ('PROTECTED_HEALTH_INFORMATION')) v(category))
-SELECT r.doc_id, r.category, CAST(coalesce(n, 0) AS INTEGER) AS n, coalesce(texts, '') AS texts
+SELECT r.doc_id, r.category, CAST(coalesce(n, 0) AS INTEGER) AS n, coalesce(entities, '') AS entities
 FROM r LEFT JOIN g ON g.doc_id = r.doc_id AND g.category = r.category""")
 def q_medical_by_category(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     g = EN.medical_by_category(docs, EN.medical_entities(docs, _lex(spark, sf_dir)))
-    return g.select("doc_id", "category", "n", F.array_join("texts", "|").alias("texts"))
+    record = F.transform("entities", lambda e: F.concat_ws(
+        ":", e["begin_offset"].cast("string"), e["end_offset"].cast("string"), e["text"], e["type"], e["score"].cast("string")))
+    return g.select("doc_id", "category", "n", F.array_join(record, "|").alias("entities"))
 
 
 _PHI = {k: v for k, v in PII_PATTERNS.items() if k in ("EMAIL", "PHONE", "SSN", "IP_ADDRESS")}
+_PHI_CTE = spans_cte(_PHI)
+
+
+@register("detect_phi", f"""WITH {_PHI_CTE}
+SELECT doc_id, CAST(b AS INTEGER) AS begin_offset, CAST(b + length(t) AS INTEGER) AS end_offset, t AS text, type,
+       'PROTECTED_HEALTH_INFORMATION' AS category FROM __s""")
+def q_detect_phi(spark, sf_dir):
+    return EN.detect_phi(_docs(spark, sf_dir)).select("doc_id", "begin_offset", "end_offset", "text", "type", "category")
 
 
-@register("full_medical_analysis", f"""WITH {_med_sql(EN.MEDICAL_TEXT_LIMIT)},
-{_med_sql(EN.CODE_LINK_TEXT_LIMIT, "k", lexicon=False)},
-{spans_cte(_PHI, text_expr="substr(text, 1, 20000)")},
-e AS (SELECT doc_id, count(*) AS n FROM __mh GROUP BY doc_id),
-p AS (SELECT doc_id, count(*) AS n FROM __s GROUP BY doc_id),
-i AS (SELECT doc_id, count(*) AS n FROM k__mh WHERE category = 'MEDICAL_CONDITION' GROUP BY doc_id),
-r AS (SELECT doc_id, count(*) AS n FROM k__mh WHERE category = 'MEDICATION' GROUP BY doc_id)
-SELECT d.doc_id, CAST(coalesce(e.n, 0) AS INTEGER) AS n_entities, CAST(coalesce(p.n, 0) AS INTEGER) AS n_phi,
-       CAST(coalesce(i.n, 0) AS INTEGER) AS n_icd10cm, CAST(coalesce(r.n, 0) AS INTEGER) AS n_rxnorm
-FROM documents d LEFT JOIN e ON e.doc_id = d.doc_id LEFT JOIN p ON p.doc_id = d.doc_id
-  LEFT JOIN i ON i.doc_id = d.doc_id LEFT JOIN r ON r.doc_id = d.doc_id""")
+def _linked_list(name: str, system: str, category: str) -> str:
+    return f"""SELECT doc_id, '{name}' AS list, begin_offset, end_offset, text, category, code, description, concept_rank
+FROM (SELECT * EXCLUDE (score) FROM __mh WHERE category = '{category}') LEFT JOIN ({_codes_sql(system)}) USING (term)"""
+
+
+@register("full_medical_analysis", f"""WITH {_med_sql()},
+{_PHI_CTE}
+SELECT doc_id, 'entities' AS list, begin_offset, end_offset, text, category, NULL AS code, NULL AS description,
+       NULL AS concept_rank FROM __mh
+UNION ALL {_linked_list("icd10cm", "ICD10CM", "MEDICAL_CONDITION")}
+UNION ALL {_linked_list("rxnorm", "RXNORM", "MEDICATION")}
+UNION ALL SELECT doc_id, 'phi', CAST(b AS INTEGER), CAST(b + length(t) AS INTEGER), t, 'PROTECTED_HEALTH_INFORMATION',
+  NULL, NULL, NULL FROM __s""")
 def q_full_medical_analysis(spark, sf_dir):
-    return EN.full_medical_analysis(_docs(spark, sf_dir), _lex(spark, sf_dir), lookups.codes(_lex(spark, sf_dir)))
+    lex = _lex(spark, sf_dir)
+    return EN.full_medical_analysis(_docs(spark, sf_dir), lex, lookups.codes(lex))
 
 
 # ---------------------------------------------------------------- chunking, truncation, previews

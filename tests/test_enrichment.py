@@ -16,12 +16,12 @@ def _spans_df(spark, text, spans):
 
 
 def test_redaction_fixture(spark):
-    df = _spans_df(spark, "Call John Doe at 555-123-4567", [("NAME", 5, 13), ("PHONE", 17, 29)])
+    df = _spans_df(spark, "Call Ines Ray at 555-123-4567", [("NAME", 5, 13), ("PHONE", 17, 29)])
     assert df.select(redact(F.col("text"), F.col("pii"))).first()[0] == "Call ******** at ************"
 
 
 def test_redaction_keeps_rest(spark):
-    df = _spans_df(spark, "Call John Doe now", [("NAME", 5, 13)])
+    df = _spans_df(spark, "Call Ines Ray now", [("NAME", 5, 13)])
     assert df.select(redact(F.col("text"), F.col("pii"))).first()[0] == "Call ******** now"
 
 
@@ -122,11 +122,11 @@ def test_dictionary_entities_offsets(spark):
 
 def test_entities_by_type_fixture(spark):
     docs = spark.createDataFrame([(1, "")], "doc_id long, text string")
-    ents = spark.createDataFrame([(1, "John Doe", "PERSON", 0, 8), (1, "New York", "LOCATION", 12, 20),
+    ents = spark.createDataFrame([(1, "Ines Ray", "PERSON", 0, 8), (1, "New York", "LOCATION", 12, 20),
                                   (1, "January 5", "DATE", 25, 34), (1, "x", None, 40, 41)],
                                  "doc_id long, text string, type string, begin_offset int, end_offset int")
     g = {r.type: r.texts for r in EN.entities_by_type(docs, ents, ["PERSON", "LOCATION", "EVENT"]).collect()}
-    assert g == {"PERSON": ["John Doe"], "LOCATION": ["New York"], "EVENT": []}
+    assert g == {"PERSON": ["Ines Ray"], "LOCATION": ["New York"], "EVENT": []}
     f = EN.filter_entities(ents)
     assert sorted(r.type for r in f.collect()) == ["DATE", "LOCATION", "OTHER", "PERSON"]
 
@@ -138,17 +138,32 @@ def test_medical_fixture(spark):
     ents = EN.medical_entities(docs, lex)
     got = sorted((r.text, r.category, r.begin_offset) for r in ents.collect())
     assert got == [("Metformin", "MEDICATION", 14), ("diabetes", "MEDICAL_CONDITION", 29)]
-    by = {r.category: r.texts for r in EN.medical_by_category(docs, ents).collect()}
-    assert by["MEDICATION"] == ["Metformin"] and by["MEDICAL_CONDITION"] == ["diabetes"] and by["ANATOMY"] == []
+    by = {r.category: [(e.text, e.type, e.begin_offset) for e in r.entities] for r in EN.medical_by_category(docs, ents).collect()}
+    assert by["MEDICATION"] == [("Metformin", "GENERIC_NAME", 14)] and by["MEDICAL_CONDITION"] == [("diabetes", "DX", 29)]
+    assert by["ANATOMY"] == [] and len(by) == 5
     codes = spark.createDataFrame([("ICD10CM", "diabetes", "E11", "DIABETES", 1.0),
                                    ("ICD10CM", "diabetes", "E10", "DIABETES 1", 0.5)],
                                   "system string, term string, code string, description string, score double")
     links = EN.link_icd10(ents, codes).orderBy("concept_rank").collect()
     assert [(r.code, r.concept_rank) for r in links] == [("E11", 1), ("E10", 2)]
+    assert [(r.text, r.code, r.concept_rank) for r in EN.link_rxnorm(ents, codes).collect()] == [("Metformin", None, None)]
+    full = sorted((r.list, r.text, r.code or "") for r in EN.full_medical_analysis(docs, lex, codes).collect())
+    assert full == [("entities", "Metformin", ""), ("entities", "diabetes", ""), ("icd10cm", "diabetes", "E10"),
+                    ("icd10cm", "diabetes", "E11"), ("rxnorm", "Metformin", "")]
+
+
+def test_long_phrases_and_texts(spark):
+    text = "x " * 15000 + "First  National Savings Bank, metformin a@b.io"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    names = spark.createDataFrame([("first national savings bank,", "BANK"), ("savings", "WORD")], "text string, type string")
+    hits = sorted((r.type, r.begin_offset) for r in EN.dictionary_entities(docs, names).collect())
+    assert hits == [("BANK", 30000), ("WORD", 30016)]
+    lex = spark.createDataFrame([("metformin", "MEDICATION", "G")], "term string, category string, type string")
+    assert EN.medical_entities(docs, lex).count() == 1 and EN.detect_phi(docs).count() == 1
 
 
 def test_phi_fixture(spark):
-    docs = spark.createDataFrame([(1, "John Smith 555-010-0100 js@example.org")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "Ines Smith 555-010-0100 js@example.org")], "doc_id long, text string")
     got = sorted(r.type for r in EN.detect_phi(docs).collect())
     assert got == ["EMAIL", "PHONE"]
 
