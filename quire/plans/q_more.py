@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions.arrays import explode_rows
-from quire.functions.splitter import split_text_separators
+from quire.functions.splitter import atom_pattern, split_text_separators
+from quire.functions.text import SPLIT_CHUNK_OVERLAP, SPLIT_CHUNK_SIZE, WS_RE2
 from quire.operators import assembly as AS
 from quire.operators import blocks as B
 from quire.operators import retrieval as RT
@@ -56,8 +57,8 @@ _EPRE, _EPOST = RT.EXTRACT_PROMPT.replace("{schema}", EXTRACT_SCHEMA).split("{te
 
 
 @register("prompts", f"""
-SELECT doc_id, md5({duck_str(_SPRE)} || substr(text, 1, 8000) || {duck_str(_SPOST)}) AS summary_prompt_md5,
-       md5({duck_str(_EPRE)} || substr(text, 1, 8000) || {duck_str(_EPOST)}) AS extract_prompt_md5
+SELECT doc_id, md5({duck_str(_SPRE)} || text || {duck_str(_SPOST)}) AS summary_prompt_md5,
+       md5({duck_str(_EPRE)} || text || {duck_str(_EPOST)}) AS extract_prompt_md5
 FROM documents""")
 def q_prompts(spark, sf_dir):
     d = _docs(spark, sf_dir)
@@ -65,9 +66,43 @@ def q_prompts(spark, sf_dir):
                     F.md5(RT.extract_prompt(F.col("text"), EXTRACT_SCHEMA)).alias("extract_prompt_md5"))
 
 
-@register("split_text_separators")
+_PART = SPLIT_CHUNK_SIZE - SPLIT_CHUNK_OVERLAP
+_BEST = " ".join(f"WHEN acc.b{i} >= acc.start + {_PART // 2} THEN acc.b{i}" for i in range(4))
+_SPLIT_SQL = f"""
+WITH a AS (SELECT doc_id, text, regexp_extract_all(text, {duck_str("(" + atom_pattern(SPLIT_CHUNK_SIZE, SPLIT_CHUNK_OVERLAP) + ")")}, 1) AS atoms
+           FROM documents),
+f AS (SELECT doc_id, text, list_reduce(list_transform(atoms, lambda x: {{'n': CAST(length(x) AS INTEGER), 'level':
+          CASE WHEN contains(x, chr(10) || chr(10)) THEN 0 WHEN contains(x, chr(10)) THEN 1
+               WHEN regexp_matches(x, '[.!?] +$') THEN 2 ELSE 3 END, 'start': 0, 'at': 0, 'b0': 0, 'b1': 0, 'b2': 0, 'b3': 0,
+          'cuts': CAST([] AS INTEGER[])}}),
+        lambda acc, x: CASE
+          WHEN acc.at + x.n - acc.start <= {_PART} OR acc.at <= acc.start THEN
+            {{'n': 0, 'level': 0, 'start': acc.start, 'at': acc.at + x.n, 'b0': CASE WHEN x.level = 0 THEN acc.at + x.n ELSE acc.b0 END,
+              'b1': CASE WHEN x.level = 1 THEN acc.at + x.n ELSE acc.b1 END, 'b2': CASE WHEN x.level = 2 THEN acc.at + x.n ELSE acc.b2 END,
+              'b3': CASE WHEN x.level = 3 THEN acc.at + x.n ELSE acc.b3 END, 'cuts': acc.cuts}}
+          WHEN acc.at + x.n - (CASE {_BEST} ELSE acc.at END) > {_PART} AND acc.at > (CASE {_BEST} ELSE acc.at END) THEN
+            {{'n': 0, 'level': 0, 'start': acc.at, 'at': acc.at + x.n, 'b0': CASE WHEN x.level = 0 THEN acc.at + x.n ELSE acc.b0 END,
+              'b1': CASE WHEN x.level = 1 THEN acc.at + x.n ELSE acc.b1 END, 'b2': CASE WHEN x.level = 2 THEN acc.at + x.n ELSE acc.b2 END,
+              'b3': CASE WHEN x.level = 3 THEN acc.at + x.n ELSE acc.b3 END,
+              'cuts': list_concat(acc.cuts, [CASE {_BEST} ELSE acc.at END, acc.at])}}
+          ELSE
+            {{'n': 0, 'level': 0, 'start': CASE {_BEST} ELSE acc.at END, 'at': acc.at + x.n,
+              'b0': CASE WHEN x.level = 0 THEN acc.at + x.n ELSE acc.b0 END,
+              'b1': CASE WHEN x.level = 1 THEN acc.at + x.n ELSE acc.b1 END, 'b2': CASE WHEN x.level = 2 THEN acc.at + x.n ELSE acc.b2 END,
+              'b3': CASE WHEN x.level = 3 THEN acc.at + x.n ELSE acc.b3 END, 'cuts': list_append(acc.cuts, CASE {_BEST} ELSE acc.at END)}}
+        END,
+        {{'n': 0, 'level': 0, 'start': 0, 'at': 0, 'b0': -1, 'b1': -1, 'b2': -1, 'b3': -1, 'cuts': CAST([] AS INTEGER[])}}).cuts AS cuts FROM a),
+e AS (SELECT doc_id, text, list_append(cuts, CAST(length(text) AS INTEGER)) AS ends FROM f),
+c AS (SELECT doc_id, i, regexp_replace(substr(text, b + 1, ends[i] - b), {duck_str("^" + WS_RE2 + "|" + WS_RE2 + "$")}, '', 'g') AS t
+      FROM (SELECT *, CASE WHEN i > 1 THEN greatest(ends[i - 1] - {SPLIT_CHUNK_OVERLAP}, 0) ELSE 0 END AS b
+            FROM (SELECT doc_id, text, ends, unnest(generate_series(1, len(ends))) AS i FROM e)))
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS chunk_ord, CAST(length(t) AS INTEGER) AS n_chars,
+       t AS text FROM c WHERE t <> ''"""
+
+
+@register("split_text_separators", _SPLIT_SQL)
 def q_split_text_separators(spark, sf_dir):
-    """C4 separator form (no SQL oracle: recursive merge with overlap); invariant-tested against chunk bounds."""
+    """C4 separator form."""
     d = _docs(spark, sf_dir)
     return (explode_rows(d, ["doc_id"], split_text_separators(F.col("text")), "text", "chunk_ord")
             .select("doc_id", "chunk_ord", F.length("text").alias("n_chars"), "text"))
@@ -85,13 +120,16 @@ o AS (SELECT s.*, len(list_intersect(qw.qw, list_distinct(list_filter(string_spl
       FROM s JOIN qw USING (question_ord)),
 b AS (SELECT doc_id, question_ord, question, arg_min(sentence, (-overlap, rank, sentence_ord)) AS sentence,
              max(overlap) AS mo FROM o GROUP BY doc_id, question_ord, question),
-n AS (SELECT doc_id, question_ord, count(*) AS n FROM __top GROUP BY doc_id, question_ord)
+n AS (SELECT doc_id, question_ord, count(*) AS n, md5(string_agg(t || '@documents/' || CAST(doc_id AS VARCHAR), '|' ORDER BY rank)) AS s
+      FROM __top GROUP BY doc_id, question_ord)
 SELECT b.doc_id, b.question_ord, b.question, CASE WHEN mo > 0 THEN sentence ELSE '' END AS answer,
-       CAST(n.n AS INTEGER) AS n_sources
+       CAST(n.n AS INTEGER) AS n_sources, n.s AS sources_md5
 FROM b JOIN n USING (doc_id, question_ord)""")
 def q_ask_documents(spark, sf_dir):
     r = RT.ask_documents(_docs(spark, sf_dir), DEFAULT_QUESTIONS)
-    return r.select("doc_id", "question_ord", "question", "answer", F.size("source_documents").alias("n_sources"))
+    cited = F.array_join(F.transform("source_documents", lambda s: F.concat_ws("@", s["text"], s["source"])), "|")
+    return r.select("doc_id", "question_ord", "question", "answer", F.size("source_documents").alias("n_sources"),
+                    F.md5(cited).alias("sources_md5"))
 
 
 @register("order_results", """
