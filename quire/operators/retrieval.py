@@ -8,7 +8,7 @@ The reference rebuilds an in-memory vector index per document and asks questions
   (salted local top-k, then a bounded global one), so a hot key never lands in one task.
 
 Models are re-aimed as deterministic computations: a letter-frequency vector that SQL can reproduce, or the
-``pyspark.ml`` hashing/IDF pipeline (``embed_hashing``), or a user model through ``udf.with_model``.
+``pyspark.ml`` hashing/IDF pipeline (``embed_hashing``), or a user model through ``functions.models.with_model``.
 """
 
 from __future__ import annotations
@@ -21,14 +21,12 @@ from pyspark.sql import functions as F
 from quire.functions.arrays import explode_rows
 from quire.functions.text import SPLIT_CHUNK_OVERLAP, SPLIT_CHUNK_SIZE, split_text_fixed
 
-# Retrieval depth and text bounds.
+# Retrieval depth and summary length.
 TOP_K = 4
-PROMPT_TEXT_LIMIT = 8000
 SUMMARY_WORDS = 200
 # Prompt templates ("stuff" question answering, summary, structured extraction).
-QA_PROMPT = ("Use the following pieces of context to answer the question at the end. If you don't know the answer, "
-             "just say that you don't know, don't try to make up an answer.\n\n{context}\n\nQuestion: {question}\n"
-             "Helpful Answer:")
+QA_PROMPT = ("Passages from the documents:\n\n{context}\n\nAnswer from these passages alone; say so if they do not hold the "
+             "answer.\nQuestion: {question}\nAnswer:")
 SUMMARY_PROMPT = ("Please provide a concise summary of the following document in approximately {words} words."
                   "\n\nDocument:\n{text}")
 EXTRACT_PROMPT = "{schema}\n\nDocument text:\n{text}\n\nReturn ONLY valid JSON. Do not include explanation."
@@ -57,7 +55,7 @@ def cosine_similarity(a: Column, b: Column) -> Column:
                       lambda acc, v: acc + v)
     na = F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")))
     nb = F.sqrt(F.aggregate(b, F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")))
-    return dot / (na * nb)
+    return F.try_divide(dot, na * nb)  # null for a zero vector
 
 
 def embed_hashing(df: DataFrame, text_col: str = "text", num_features: int = 1 << 18, out_col: str = "embedding"):
@@ -92,7 +90,7 @@ def ask(docs: DataFrame, questions: Sequence[str]) -> DataFrame:
 
 
 def retrieve(docs: DataFrame, questions: Sequence[str], k: int = TOP_K, size: int = SPLIT_CHUNK_SIZE,
-             overlap: int = SPLIT_CHUNK_OVERLAP, embed=embed_letters) -> DataFrame:
+             overlap: int = SPLIT_CHUNK_OVERLAP, embed=embed_letters, keep: Sequence[str] = ()) -> DataFrame:
     """J11 + J12 + W5, per-document index: for each (document, question) the ``k`` nearest chunks of that document.
 
     Chunks are C4 windows; distance is C6 over ``embed`` vectors; rank by ``(distance, chunk_ord)``. Chunk vectors
@@ -105,7 +103,7 @@ def retrieve(docs: DataFrame, questions: Sequence[str], k: int = TOP_K, size: in
                                                 F.lower(c["text"]).alias("low")))
     chunks = F.transform(lowered, lambda c: F.struct(c["chunk_ord"].alias("chunk_ord"), c["text"].alias("text"),
                                                      embed(c["low"]).alias("v")))
-    indexed = docs.where(F.length("text") > 0).select("doc_id", "text", chunks.alias("__chunks"))
+    indexed = docs.where(F.length("text") > 0).select("doc_id", "text", *keep, chunks.alias("__chunks"))
     asked = (ask(indexed, questions).withColumn("__qlow", F.lower("question"))
              .withColumn("__qv", embed(F.col("__qlow"))))
     scored = F.transform("__chunks", lambda c: F.struct(l2_distance(c["v"], F.col("__qv")).alias("distance"),
@@ -114,14 +112,16 @@ def retrieve(docs: DataFrame, questions: Sequence[str], k: int = TOP_K, size: in
 
 
 def top_k_by_key(vectors: DataFrame, queries: DataFrame, key: str, k: int = TOP_K, salt_buckets: int = 64,
-                 id_col: str = "vec_id", vec_col: str = "embedding", qvec_col: str = "query") -> DataFrame:
+                 id_col: str = "vec_id", vec_col: str = "embedding", qvec_col: str = "query",
+                 query_id: str | None = None) -> DataFrame:
     """W5/J12 over a shared index partitioned by ``key``: the ``k`` nearest vectors of each query among the
-    vectors with the same key, ranked by ``(distance, id)``.
+    vectors with the same key, ranked by ``(distance, id)``. ``query_id`` names the column that tells the queries of one
+    key apart (default: one query per key).
 
     Equi-join on ``key`` (each vector meets only its own key's queries), then a two-phase top-k: a local top-k
     per ``(key, query, salt)`` with ``salt = hash(id) % salt_buckets``, and the global top-k over at most
     ``salt_buckets * k`` candidates per query. A key holding a third of all vectors is thus spread over
-    ``salt_buckets`` tasks instead of one.
+    ``salt_buckets`` tasks instead of one; choose more for larger indexes.
     """
     from quire.session import broadcast_if_small
 
@@ -129,12 +129,57 @@ def top_k_by_key(vectors: DataFrame, queries: DataFrame, key: str, k: int = TOP_
     # vector table is joined map-side without being shuffled; above the bound this is a shuffle join.
     j = vectors.join(broadcast_if_small(queries), key).withColumn(
         "distance", l2_distance(F.col(vec_col), F.col(qvec_col)))
-    j = j.withColumn("__salt", F.pmod(F.hash(id_col), F.lit(salt_buckets)))
-    w1 = Window.partitionBy(key, "__salt").orderBy("distance", id_col)
+    j = j.withColumn("__salt", F.pmod(F.hash(id_col), F.lit(salt_buckets))).drop(vec_col, qvec_col)
+    by = [key, query_id] if query_id else [key]
+    w1 = Window.partitionBy(*by, "__salt").orderBy("distance", id_col)
     local = j.withColumn("__r", F.row_number().over(w1)).where(F.col("__r") <= k)
-    w2 = Window.partitionBy(key).orderBy("distance", id_col)
+    w2 = Window.partitionBy(*by).orderBy("distance", id_col)
     return (local.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
-            .drop("__salt", "__r", vec_col, qvec_col))
+            .drop("__salt", "__r"))
+
+
+def top_k_shared(vectors: DataFrame, queries: Sequence[tuple[int, Sequence[float]]], k: int = TOP_K, salt_buckets: int = 64,
+                 id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """J12 over one shared index: the ``k`` nearest of *all* vectors for each query ``(query_id, vector)``, ranked by
+    ``(distance, id)``. The query set is a parameter: every vector's distances to it are an array in its row, and only each
+    salt's nearest ``k`` of a query leave the partial top-k, so neither pairs nor the index are shuffled whole."""
+    qs = F.array(*[F.struct(F.lit(int(i)).alias("query_id"), F.array(*[F.lit(float(x)) for x in v]).alias("q")) for i, v in queries])
+    j = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("__v")).select(
+        "vec_id", F.explode(F.transform(qs, lambda q: F.struct(
+            q["query_id"].alias("query_id"), l2_distance(F.col("__v"), q["q"]).alias("distance")))).alias("d"))
+    j = j.select("vec_id", "d.query_id", "d.distance", F.pmod(F.hash("vec_id"), F.lit(salt_buckets)).alias("__salt"))
+    local = j.withColumn("__r", F.row_number().over(Window.partitionBy("query_id", "__salt").orderBy("distance", "vec_id")))
+    last = Window.partitionBy("query_id").orderBy("distance", "vec_id")
+    return (local.where(F.col("__r") <= k).withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)
+            .select("query_id", "vec_id", "distance", "rank"))
+
+
+def retrieve_shared(docs: DataFrame, questions: Sequence[str], k: int = TOP_K, size: int = SPLIT_CHUNK_SIZE,
+                    overlap: int = SPLIT_CHUNK_OVERLAP, embed=embed_letters, salt_buckets: int = 64) -> DataFrame:
+    """J12 over the chunks of all documents as one index: ``(question_ord, rank, doc_id, chunk_ord, distance, text)``, the ``k``
+    nearest chunks of each question, ranked by ``(distance, doc_id, chunk_ord)``.
+
+    Chunks carry only ids and distances through the top-k; the texts of the few winners are cut again from their
+    documents.
+    """
+    qs = F.array(*[F.struct(F.lit(i).alias("question_ord"), F.lit(q.lower()).alias("low")) for i, q in enumerate(questions)])
+    qv = F.transform(qs, lambda q: F.struct(q["question_ord"].alias("question_ord"), embed(q["low"]).alias("v")))
+    chunks = F.transform(split_text_fixed(F.col("text"), size, overlap), lambda c, i: F.struct(
+        i.alias("chunk_ord"), F.lower(c["text"]).alias("low")))
+    c = explode_rows(docs.where(F.length("text") > 0), ["doc_id"], chunks, "c", "__p").select(
+        "doc_id", F.col("c.chunk_ord").alias("chunk_ord"), embed(F.col("c.low")).alias("v"))
+    d = c.withColumn("__qv", qv).select("doc_id", "chunk_ord", F.explode(F.transform("__qv", lambda q: F.struct(
+        q["question_ord"].alias("question_ord"), l2_distance(F.col("v"), q["v"]).alias("distance")))).alias("d"))
+    d = d.select("doc_id", "chunk_ord", "d.question_ord", "d.distance",
+                 F.pmod(F.hash("doc_id", "chunk_ord"), F.lit(salt_buckets)).alias("__salt"))
+    order = ["distance", "doc_id", "chunk_ord"]
+    local = d.withColumn("__r", F.row_number().over(Window.partitionBy("question_ord", "__salt").orderBy(*order)))
+    best = local.where(F.col("__r") <= k).withColumn("rank", F.row_number().over(Window.partitionBy("question_ord").orderBy(*order)))
+    best = best.where(F.col("rank") <= k).select("question_ord", "rank", "doc_id", "chunk_ord", "distance")
+    # at most k rows per question of the parameter
+    return docs.select("doc_id", "text").join(F.broadcast(best), "doc_id").select(
+        "question_ord", "rank", "doc_id", "chunk_ord", "distance",
+        F.get(split_text_fixed(F.col("text"), size, overlap), F.col("chunk_ord"))["text"].alias("text"))
 
 
 def label_centroids(vectors: DataFrame, key: str = "label", vec_col: str = "embedding") -> DataFrame:
@@ -184,65 +229,74 @@ def answer(retrieved: DataFrame, min_word_len: int = 4) -> DataFrame:
 def ask_documents(docs: DataFrame, questions: Sequence[str], k: int = TOP_K) -> DataFrame:
     """C14 (process_and_ask): split -> embed -> retrieve -> stuff -> answer, all documents and questions at once.
 
-    Result ``(doc_id, question_ord, question, answer, source_documents array<struct<text, source>>)``.
+    Result ``(doc_id, question_ord, question, answer, source_documents array<struct<text, source>>)``; a source is the path of
+    its document.
     """
-    r = answer(stuff_prompts(retrieve(docs, questions, k)))
+    path = F.col("document_path") if "document_path" in docs.columns else F.concat(F.lit("documents/"), F.col("doc_id").cast("string"))
+    r = answer(stuff_prompts(retrieve(docs.withColumn("document_path", path), questions, k, keep=("document_path",))))
     return r.select("doc_id", "question_ord", "question", "answer",
-                    F.transform("sources", lambda s: F.struct(s.alias("text"),
-                                                              F.col("doc_id").cast("string").alias("source")))
+                    F.transform("sources", lambda s: F.struct(s.alias("text"), F.col("document_path").alias("source")))
                     .alias("source_documents"))
 
 
 # ---------------------------------------------------------------- C10, C11, C12
 
-def summary_prompt(text: Column, words: int = SUMMARY_WORDS) -> Column:
+def _part(text: Column, max_chars: int | None) -> Column:
+    return F.substring(text, 1, max_chars) if max_chars else text
+
+
+def summary_prompt(text: Column, words: int = SUMMARY_WORDS, max_chars: int | None = None) -> Column:
     pre, post = SUMMARY_PROMPT.replace("{words}", str(words)).split("{text}")
-    return F.concat(F.lit(pre), F.substring(text, 1, PROMPT_TEXT_LIMIT), F.lit(post))
+    return F.concat(F.lit(pre), _part(text, max_chars), F.lit(post))
 
 
-def extract_prompt(text: Column, schema_description: str) -> Column:
+def extract_prompt(text: Column, schema_description: str, max_chars: int | None = None) -> Column:
     pre, post = EXTRACT_PROMPT.replace("{schema}", schema_description).split("{text}")
-    return F.concat(F.lit(pre), F.substring(text, 1, PROMPT_TEXT_LIMIT), F.lit(post))
+    return F.concat(F.lit(pre), _part(text, max_chars), F.lit(post))
 
 
 def sentences(docs: DataFrame) -> DataFrame:
-    """``(doc_id, sentence_ord, sentence, words)`` of the first 8000 characters, split on the literal '. '."""
-    return (explode_rows(docs, ["doc_id"], F.split(F.substring("text", 1, PROMPT_TEXT_LIMIT), "\\. ", -1), "sentence",
+    """``(doc_id, sentence_ord, sentence, words)`` of the whole text, split on the literal '. '."""
+    return (explode_rows(docs, ["doc_id"], F.split("text", "\\. ", -1), "sentence",
                          "sentence_ord")
             .withColumn("words", F.filter(F.split(F.lower("sentence"), "[^\\p{L}]+", -1), lambda w: w != "")))
 
 
-def summarise(docs: DataFrame, words: int = SUMMARY_WORDS, idf_broadcast_rows: int = 2_000_000) -> DataFrame:
+def summarise(docs: DataFrame, words: int = SUMMARY_WORDS) -> DataFrame:
     """C11 (extractive): sentences scored by mean corpus IDF of their words (rounded to 6), taken by
-    ``(score desc, sentence_ord)`` while the running word count stays <= ``words``, emitted in sentence order.
+    ``(score desc, sentence_ord)``: the best one always, further ones while the running word count stays <= ``words``,
+    emitted in sentence order. Every document gets a row, '' if it has no words.
 
-    IDF = ln((1 + N) / (1 + df)) with df over the documents' first 8000 characters. Document frequencies are a
-    partial aggregation by word; the IDF table joins back on word (broadcast below a counted bound, else a
-    shuffle join that AQE splits on hot words).
+    IDF = ln((1 + N) / (1 + df)). A document's distinct words are found in its row, so document frequencies are
+    one partial aggregation by word; the join back on word is a hash or sort join as its measured size allows
+    at run time, and hot words are split there.
     """
-    from quire.session import broadcast_if_small
-
     s = sentences(docs)
     occ = explode_rows(s, ["doc_id", "sentence_ord"], F.col("words"), "word")
     n_docs = docs.agg(F.count("*")).scalar()  # scalar subquery: evaluated once, inlined as a value
-    df_ = occ.select("doc_id", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
+    own = docs.select(F.array_distinct(F.filter(F.split(F.lower("text"), "[^\\p{L}]+", -1), lambda w: w != "")).alias("w"))
+    df_ = explode_rows(own, [], F.col("w"), "word").groupBy("word").agg(F.count("*").alias("df"))
     idf = df_.select("word", F.ln((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
-    scored = (occ.join(broadcast_if_small(idf, idf_broadcast_rows), "word")
+    scored = (occ.join(idf, "word")
               .groupBy("doc_id", "sentence_ord").agg(F.round(F.avg("idf"), 6).alias("score"), F.count("*").alias("n")))
     w = Window.partitionBy("doc_id").orderBy(F.col("score").desc(), "sentence_ord").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    chosen = scored.withColumn("running", F.sum("n").over(w)).where(F.col("running") <= words)
+    chosen = scored.withColumn("running", F.sum("n").over(w)).where(
+        (F.col("running") <= words) | (F.col("running") == F.col("n")))
     picked = chosen.join(s.select("doc_id", "sentence_ord", "sentence"), ["doc_id", "sentence_ord"])
-    return (picked.groupBy("doc_id")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sentence_ord", "sentence"))),
-                                          lambda x: x["sentence"]), ". ").alias("summary"),
-                 F.count("*").alias("n_sentences"), F.sum("n").cast("int").alias("n_words")))
+    out = (picked.groupBy("doc_id")
+           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sentence_ord", "sentence"))),
+                                         lambda x: x["sentence"]), ". ").alias("summary"),
+                F.count("*").alias("n_sentences"), F.sum("n").cast("int").alias("n_words")))
+    return docs.select("doc_id").join(out, "doc_id", "left").select(
+        "doc_id", F.coalesce("summary", F.lit("")).alias("summary"), F.coalesce("n_sentences", F.lit(0)).alias("n_sentences"),
+        F.coalesce("n_words", F.lit(0)).alias("n_words"))
 
 
-def extract_structured(docs: DataFrame, fields: dict[str, str]) -> DataFrame:
-    """C12 (pattern form): for each ``(field, pattern)`` the first capture group in the first 8000 characters
+def extract_structured(docs: DataFrame, fields: dict[str, str], max_chars: int | None = None) -> DataFrame:
+    """C12 (pattern form): for each ``(field, pattern)`` the first capture group in the text
     (missing -> ''); ``values`` is the JSON object of all fields."""
-    t = F.substring("text", 1, PROMPT_TEXT_LIMIT)
+    t = _part(F.col("text"), max_chars)
     vals = [F.regexp_extract(t, p, 1).alias(f) for f, p in fields.items()]
     return docs.select("doc_id", F.to_json(F.struct(*vals)).alias("values"), *vals)
 

@@ -100,8 +100,8 @@ def q_answer(spark, sf_dir):
 
 @register("summarise", """
 WITH s AS (SELECT doc_id, j - 1 AS sentence_ord, ss[j] AS sentence
-           FROM (SELECT doc_id, string_split(substr(text, 1, 8000), '. ') AS ss,
-                        unnest(generate_series(1, len(string_split(substr(text, 1, 8000), '. ')))) AS j FROM documents)),
+           FROM (SELECT doc_id, string_split(text, '. ') AS ss,
+                        unnest(generate_series(1, len(string_split(text, '. ')))) AS j FROM documents)),
 occ AS (SELECT doc_id, sentence_ord, unnest(list_filter(string_split_regex(lower(sentence), '[^\\p{L}]+'),
                                                        lambda w: w <> '')) AS word FROM s),
 n AS (SELECT count(*) AS n_docs FROM documents),
@@ -109,12 +109,14 @@ df AS (SELECT word, count(DISTINCT doc_id) AS df FROM occ GROUP BY word),
 idf AS (SELECT word, ln((n_docs + 1) / (df + 1)) AS idf FROM df, n),
 sc AS (SELECT doc_id, sentence_ord, round(avg(idf), 6) AS score, count(*) AS n FROM occ JOIN idf USING (word)
        GROUP BY doc_id, sentence_ord),
-ch AS (SELECT * FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY score DESC, sentence_ord
+ch AS (SELECT * FROM (SELECT *, n AS own, sum(n) OVER (PARTITION BY doc_id ORDER BY score DESC, sentence_ord
                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running FROM sc)
-       WHERE running <= 200)
-SELECT ch.doc_id, string_agg(s.sentence, '. ' ORDER BY ch.sentence_ord) AS summary,
-       CAST(count(*) AS BIGINT) AS n_sentences, CAST(sum(ch.n) AS INTEGER) AS n_words
-FROM ch JOIN s USING (doc_id, sentence_ord) GROUP BY ch.doc_id""")
+       WHERE running <= 200 OR running = own),
+su AS (SELECT ch.doc_id, string_agg(s.sentence, '. ' ORDER BY ch.sentence_ord) AS summary,
+         CAST(count(*) AS BIGINT) AS n_sentences, CAST(sum(ch.n) AS INTEGER) AS n_words
+       FROM ch JOIN s USING (doc_id, sentence_ord) GROUP BY ch.doc_id)
+SELECT d.doc_id, coalesce(summary, '') AS summary, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_words, 0) AS n_words
+FROM documents d LEFT JOIN su ON su.doc_id = d.doc_id""")
 def q_summarise(spark, sf_dir):
     return RT.summarise(_docs(spark, sf_dir))
 
@@ -127,11 +129,15 @@ EXTRACT_FIELDS = {
 }
 
 
-@register("extract_structured", "SELECT doc_id, " + ", ".join(
-    f"regexp_extract(substr(text, 1, 8000), {duck_str(p)}, 1) AS {f}" for f, p in EXTRACT_FIELDS.items())
-          + " FROM documents")
+_FIELD_SQL = {f: f"regexp_extract(text, {duck_str(p)}, 1)" for f, p in EXTRACT_FIELDS.items()}
+
+
+@register("extract_structured", f"""
+SELECT doc_id, {", ".join(f"{x} AS {f}" for f, x in _FIELD_SQL.items())},
+  '{{' || {" || ',' || ".join(f"'{chr(34)}{f}{chr(34)}:{chr(34)}' || {x} || '{chr(34)}'" for f, x in _FIELD_SQL.items())} || '}}' AS "values"
+FROM documents""")
 def q_extract_structured(spark, sf_dir):
-    return RT.extract_structured(_docs(spark, sf_dir), EXTRACT_FIELDS).drop("values")
+    return RT.extract_structured(_docs(spark, sf_dir), EXTRACT_FIELDS)
 
 
 _CENTROIDS_CTE = """
@@ -159,6 +165,30 @@ def q_top_k(spark, sf_dir):
     return r.select("label", "vec_id", F.round("distance", 6).alias("distance"), "rank")
 
 
+# The first vectors of the table are asked of all of them; the query set is read once, five rows of fixed length.
+@register("top_k_shared", """
+WITH q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings WHERE vec_id < 5),
+d AS (SELECT q.query_id, e.vec_id, list_sum(list_transform(generate_series(1, len(q)),
+        lambda i: (CAST(embedding[i] AS DOUBLE) - CAST(q[i] AS DOUBLE)) * (CAST(embedding[i] AS DOUBLE) - CAST(q[i] AS DOUBLE)))) AS distance
+      FROM embeddings e, q)
+SELECT CAST(query_id AS INTEGER) AS query_id, vec_id, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d) WHERE rank <= 4""")
+def q_top_k_shared(spark, sf_dir):
+    v = _vectors(spark, sf_dir)
+    asked = [(r[0], list(r[1])) for r in v.where("vec_id < 5").select("vec_id", "embedding").orderBy("vec_id").collect()]
+    return RT.top_k_shared(v, asked, RT.TOP_K).withColumn("distance", F.round("distance", 6))
+
+
+@register("retrieve_shared", f"""WITH {_RETRIEVE_CTE}
+SELECT question_ord, doc_id, chunk_ord, distance, CAST(rank AS INTEGER) AS rank, md5(t) AS text_md5
+FROM (SELECT question_ord, doc_id, chunk_ord, t, distance,
+             row_number() OVER (PARTITION BY question_ord ORDER BY distance, doc_id, chunk_ord) AS rank FROM __dist)
+WHERE rank <= {RT.TOP_K}""")
+def q_retrieve_shared(spark, sf_dir):
+    r = RT.retrieve_shared(_docs(spark, sf_dir), DEFAULT_QUESTIONS)
+    return r.select("question_ord", "doc_id", "chunk_ord", "distance", "rank", F.md5("text").alias("text_md5"))
+
+
 @register("vector_distances", f"""WITH {_CENTROIDS_CTE}
 SELECT vec_id, label, round(distance, 6) AS l2,
   round(list_sum(list_transform(generate_series(1, len(embedding)), lambda i: CAST(embedding[i] AS DOUBLE) * q[i]))
@@ -191,7 +221,8 @@ def _tok_sql(col):
 _KV_ROWS = """
 kv AS (SELECT c_custkey AS doc_id, 0 AS key_ord, 'Customer Name' AS key, trim(c_name) AS value FROM customer
        UNION ALL SELECT c_custkey, 1, 'Market Segment', trim(c_mktsegment || ' segment') FROM customer
-       UNION ALL SELECT c_custkey, 2, 'Account Balance', printf('%.2f', c_acctbal) FROM customer)"""
+       UNION ALL SELECT c_custkey, 2, 'Account Balance', printf('%.2f', c_acctbal) FROM customer
+       UNION ALL SELECT c_custkey, 3, 'Fax Number', '' FROM customer)"""
 
 
 @register("answer_queries", f"""WITH {_KV_ROWS},
