@@ -25,6 +25,11 @@ SPLIT_CHUNK_SIZE = 1000
 SPLIT_CHUNK_OVERLAP = 200
 
 
+def strip(text: Column) -> Column:
+    """Remove white space at both ends, like Python's ``str.strip()``."""
+    return F.regexp_replace(text, f"^{WS_JAVA}|{WS_JAVA}$", "")
+
+
 def words(text: Column) -> Column:
     """Whitespace tokens like Python's ``str.split()``: runs of whitespace split, empty pieces dropped."""
     return F.filter(F.split(text, WS_JAVA, -1), lambda w: w != "")

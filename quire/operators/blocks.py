@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import token_set
+from quire.functions.numbers import round_exact
+from quire.functions.text import strip, token_set
 from quire.sources.blocks import child_refs, resolve
 
 
@@ -143,7 +144,8 @@ def kv_pairs(blocks: DataFrame) -> DataFrame:
     """``(doc_id, key_ord, key, value)`` for every KEY block whose word text is non-empty (tested before trim).
 
     The value is the *last* id over all VALUE relationships (overwrite, not concatenation), even a dangling one,
-    which yields ''. Only WORD children count, so a checkbox value reads ''. Both sides are trimmed.
+    which yields ''; a KEY without a VALUE relationship has the value ''. Only WORD children count, so a checkbox value
+    reads ''. White space of any kind is stripped from both sides.
 
     The last VALUE id is read inside the KEY block's row; one lookup resolves the value blocks, one lookup
     resolves the words of keys and values together, and one grouping per key assembles both texts.
@@ -154,7 +156,7 @@ def kv_pairs(blocks: DataFrame) -> DataFrame:
     value_ids = F.flatten(F.transform(F.filter(F.coalesce("relationships", F.array()),
                                                lambda r: r["Type"] == "VALUE"),
                                       lambda r: F.coalesce(r["Ids"], F.array().cast("array<string>"))))
-    keys = keys.withColumn("value_id", F.element_at(value_ids, -1))
+    keys = keys.withColumn("value_id", F.try_element_at(value_ids, F.lit(-1)))  # none: an unfilled field
     values = resolve(keys.select("doc_id", "key_ord", F.col("value_id").alias("id")).where(F.col("id").isNotNull()),
                      blocks, ["key_ord"], ["relationships"])
     key_words = child_refs(keys, "CHILD", ["key_ord"], outer=True).withColumn("role", F.lit(0))
@@ -171,18 +173,21 @@ def kv_pairs(blocks: DataFrame) -> DataFrame:
 
     return (per_key.select("doc_id", "key_ord", text_of(0).alias("k"), text_of(1).alias("v"))
             .where(F.length("k") > 0)
-            .select("doc_id", "key_ord", F.trim("k").alias("key"), F.trim("v").alias("value")))
+            .select("doc_id", "key_ord", strip(F.col("k")).alias("key"), strip(F.col("v")).alias("value")))
 
 
 def kv_map_long(pairs: DataFrame) -> DataFrame:
-    """A2 long form: one value per trimmed key, the last KEY block wins."""
-    return pairs.groupBy("doc_id", "key").agg(F.max_by("value", "key_ord").alias("value"))
+    """A2 long form ``(doc_id, key, value, key_ord)``: one value per trimmed key, the last KEY block wins; ``key_ord`` is the
+    position of the key's first block, where a dictionary keeps it."""
+    return pairs.groupBy("doc_id", "key").agg(F.max_by("value", "key_ord").alias("value"), F.min("key_ord").alias("key_ord"))
 
 
 def kv_map(pairs: DataFrame) -> DataFrame:
-    """A2 API form: ``(doc_id, kv_pairs map<string,string>)``; keys are de-duplicated before the map is built."""
+    """A2 API form: ``(doc_id, kv_pairs map<string,string>)``; keys are de-duplicated before the map is built, which
+    keeps the order of the keys' blocks."""
     return (kv_map_long(pairs).groupBy("doc_id")
-            .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("kv_pairs")))
+            .agg(F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct("key_ord", "key", "value"))),
+                                                lambda e: F.struct(e["key"], e["value"]))).alias("kv_pairs")))
 
 
 # ---------------------------------------------------------------- J3, P9, W4
@@ -208,7 +213,7 @@ def answer_details(blocks: DataFrame) -> DataFrame:
     return (res.groupBy("doc_id", *keys).agg(best.alias("best"))
             .select("doc_id", "query_ord", "query", "alias",
                     F.coalesce("best.answer", F.lit("")).alias("answer"),
-                    F.format_string("%.1f%%", F.coalesce("best.conf", F.lit(0.0))).alias("confidence")))
+                    F.format_string("%.1f%%", round_exact(F.coalesce("best.conf", F.lit(0.0)), 1)).alias("confidence")))
 
 
 def query_answers(details: DataFrame) -> DataFrame:

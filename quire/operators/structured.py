@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.arrays import explode_rows
+from quire.functions.numbers import round_exact
 from quire.schemas import CLASS_RESPONSE, EXPENSE_RESPONSE, IDENTITY_RESPONSE
 
 
@@ -18,53 +19,53 @@ def _typed(field):
             F.coalesce(field["ValueDetection"]["Text"], F.lit("")).alias("value"))
 
 
+def _last_of_each(fields):
+    """A field list -> ``array<struct<type, value>>``: the last value of each type, in order of first appearance."""
+    def pick(typed):
+        names = F.array_distinct(F.transform(typed, lambda t: t["type"]))
+        return F.transform(names, lambda n: F.struct(
+            n.alias("type"), F.element_at(F.filter(typed, lambda t: t["type"] == n), -1)["value"].alias("value")))
+
+    typed = F.transform(F.coalesce(fields, F.array()), lambda f: F.struct(*_typed(f)))
+    return F.element_at(F.transform(F.array(typed), pick), 1)  # binds the list: it is computed once
+
+
 def _expense_docs(resp: DataFrame, json_col: str) -> DataFrame:
+    """``(doc_id, docs)`` with ``docs array<struct<summary, items>>``. A response is one row, so "last value wins" and the numbering
+    of the items of all groups are decided inside it: one parse, no shuffle."""
     r = resp.select("doc_id", F.from_json(json_col, EXPENSE_RESPONSE).alias("r"))
-    return explode_rows(r, ["doc_id"], F.col("r.ExpenseDocuments"), "e", "expense_ord")
+
+    def one(e):
+        groups = F.transform(F.coalesce(e["LineItemGroups"], F.array()), lambda g: F.coalesce(g["LineItems"], F.array()))
+        return F.struct(_last_of_each(e["SummaryFields"]).alias("summary"), F.transform(
+            F.flatten(groups), lambda it: _last_of_each(it["LineItemExpenseFields"])).alias("items"))
+
+    return r.select("doc_id", F.transform(F.coalesce("r.ExpenseDocuments", F.array()), one).alias("docs"))
 
 
 def expense_summary(resp: DataFrame, json_col: str = "response") -> DataFrame:
     """A3: ``(doc_id, expense_ord, type, value)``, one value per summary type, last wins."""
-    f = (explode_rows(_expense_docs(resp, json_col), ["doc_id", "expense_ord"], F.col("e.SummaryFields"), "f", "f_ord")
-         .select("doc_id", "expense_ord", "f_ord", *_typed(F.col("f"))))
-    return f.groupBy("doc_id", "expense_ord", "type").agg(F.max_by("value", "f_ord").alias("value"))
+    d = explode_rows(_expense_docs(resp, json_col), ["doc_id"], F.col("docs"), "d", "expense_ord")
+    f = explode_rows(d, ["doc_id", "expense_ord"], F.col("d.summary"), "f")
+    return f.select("doc_id", "expense_ord", "f.type", "f.value")
 
 
 def expense_line_items(resp: DataFrame, json_col: str = "response") -> DataFrame:
     """A4: ``(doc_id, expense_ord, item_ord, type, value)``; items of all groups numbered in order."""
-    all_items = F.flatten(F.transform(F.coalesce("e.LineItemGroups", F.array()),
-                                      lambda g: F.coalesce(g["LineItems"], F.array())))
-    items = explode_rows(_expense_docs(resp, json_col), ["doc_id", "expense_ord"], all_items, "it", "item_ord")
-    f = (explode_rows(items, ["doc_id", "expense_ord", "item_ord"], F.col("it.LineItemExpenseFields"), "f", "f_ord")
-         .select("doc_id", "expense_ord", "item_ord", "f_ord", *_typed(F.col("f"))))
-    return f.groupBy("doc_id", "expense_ord", "item_ord", "type").agg(F.max_by("value", "f_ord").alias("value"))
+    d = explode_rows(_expense_docs(resp, json_col), ["doc_id"], F.col("docs"), "d", "expense_ord")
+    items = explode_rows(d, ["doc_id", "expense_ord"], F.col("d.items"), "it", "item_ord")
+    f = explode_rows(items, ["doc_id", "expense_ord", "item_ord"], F.col("it"), "f")
+    return f.select("doc_id", "expense_ord", "item_ord", "f.type", "f.value")
 
 
 def expense(resp: DataFrame, json_col: str = "response") -> DataFrame:
     """A5 API form: ``(doc_id, expense_data struct<documents: array<struct<summary_fields, line_items>>>)``.
 
-    Every expense document is kept (an empty one gets an empty map and no items). Maps are built after the
-    de-duplication above, so ``map_from_entries`` never sees a repeated key.
+    Every expense document is kept (an empty one gets an empty map and no items).
     """
-    docs = _expense_docs(resp, json_col).select("doc_id", "expense_ord")
-    summ = (expense_summary(resp, json_col).groupBy("doc_id", "expense_ord")
-            .agg(F.map_from_entries(F.collect_list(F.struct("type", "value"))).alias("summary_fields")))
-    items = (expense_line_items(resp, json_col).groupBy("doc_id", "expense_ord", "item_ord")
-             .agg(F.map_from_entries(F.collect_list(F.struct("type", "value"))).alias("m"))
-             .groupBy("doc_id", "expense_ord")
-             .agg(F.transform(F.array_sort(F.collect_list(F.struct("item_ord", "m")),
-                                           lambda a, b: a["item_ord"] - b["item_ord"]), lambda s: s["m"]).alias(
-                 "line_items")))
-    per_doc = (docs.join(summ, ["doc_id", "expense_ord"], "left").join(items, ["doc_id", "expense_ord"], "left")
-               .select("doc_id", "expense_ord", F.struct(
-                   F.coalesce("summary_fields", F.expr("map()").cast("map<string,string>")).alias("summary_fields"),
-                   F.coalesce("line_items", F.expr("array()").cast("array<map<string,string>>")).alias(
-                       "line_items")).alias("d")))
-    return (resp.select("doc_id").join(per_doc, "doc_id", "left").groupBy("doc_id")
-            .agg(F.struct(F.transform(
-                F.array_sort(F.collect_list(F.when(F.col("d").isNotNull(), F.struct("expense_ord", "d"))),
-                             lambda a, b: a["expense_ord"] - b["expense_ord"]),
-                lambda s: s["d"]).alias("documents")).alias("expense_data")))
+    return _expense_docs(resp, json_col).select("doc_id", F.struct(F.transform("docs", lambda d: F.struct(
+        F.map_from_entries(d["summary"]).alias("summary_fields"),
+        F.transform(d["items"], lambda it: F.map_from_entries(it)).alias("line_items"))).alias("documents")).alias("expense_data"))
 
 
 def identity_fields(resp: DataFrame, json_col: str = "response") -> DataFrame:
@@ -86,11 +87,12 @@ def with_ranked_classes(resp: DataFrame, json_col: str = "response", out_col: st
     d = resp.withColumn("__cs", F.coalesce(F.from_json(F.col(json_col), CLASS_RESPONSE)["Classes"], F.array()))
     names = F.array_distinct(F.transform(F.filter("__cs", lambda c: c["Name"].isNotNull()), lambda c: c["Name"]))
     entries = F.transform(names, lambda n, i: F.struct(
-        n.alias("name"), i.alias("pos"),
-        F.round(F.element_at(F.filter(F.col("__cs"), lambda c: c["Name"] == n), -1)["Score"], 4).alias("score")))
-    ranked = F.array_sort(entries, lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)
-                          .otherwise(a["pos"] - b["pos"]))
-    return d.withColumn(out_col, ranked).drop("__cs")
+        n.alias("name"), i.alias("pos"), F.element_at(F.filter(F.col("__cs"), lambda c: c["Name"] == n), -1)["Score"].alias("s")))
+    keyed = F.transform(entries, lambda e: F.struct((-round_exact(e["s"], 4)).alias("neg"), e["pos"].alias("pos"), e["name"].alias("name")))
+    # one pass of a lambda variable binds the list: later uses read a value instead of parsing and ranking again
+    ranked = F.transform(F.array_sort(keyed), lambda e: F.struct(
+        e["name"].alias("name"), e["pos"].alias("pos"), (F.lit(0.0) - e["neg"]).alias("score")))
+    return d.withColumn(out_col, F.element_at(F.transform(F.array(ranked), lambda r: r), 1)).drop("__cs")
 
 
 def rank_classes(resp: DataFrame, json_col: str = "response") -> DataFrame:

@@ -107,9 +107,10 @@ def encode_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- customer -> KEY_VALUE_SET blocks
 
 def encode_forms(customer: DataFrame) -> DataFrame:
-    """Three KEY/VALUE pairs per customer: Customer Name, Market Segment (two words), Account Balance.
+    """Four KEY blocks per customer: Customer Name, Market Segment (two words), Account Balance, and an unfilled Fax Number
+    with white space around its words.
 
-    Account Balance carries two VALUE relationships, a stale one first: the last id must win.
+    Account Balance carries two VALUE relationships, a stale one first: the last id must win. Fax Number has none.
     """
     pairs = F.array(
         F.struct(F.lit("Customer Name").alias("k"), F.col("c_name").alias("v")),
@@ -139,7 +140,10 @@ def encode_forms(customer: DataFrame) -> DataFrame:
     stale = F.array(block("KEY_VALUE_SET", F.lit("Vstale"), entity_types=["VALUE"],
                           rels=F.array(rel("CHILD", F.array(F.lit("SW"))))),
                     block("WORD", F.lit("SW"), text=F.lit("stale")))
-    blocks = F.concat(F.flatten(F.transform(pairs, one)), stale)
+    unfilled = F.array(block("KEY_VALUE_SET", F.lit("Kfax"), entity_types=["KEY"], rels=F.array(rel("CHILD", F.array(
+        F.lit("FW0"), F.lit("FW1"))))), block("WORD", F.lit("FW0"), text=F.lit("\t\u00a0Fax")),
+        block("WORD", F.lit("FW1"), text=F.lit("Number\n")))
+    blocks = F.concat(F.flatten(F.transform(pairs, one)), unfilled, stale)
     return _response(customer, blocks, "c_custkey")
 
 
@@ -157,7 +161,8 @@ def encode_queries(supplier: DataFrame) -> DataFrame:
     """
     k = F.col("s_suppkey")
     answers = F.array(F.col("s_name"), F.format_string("%.2f", F.col("s_acctbal")))
-    confs = F.array(((k * 37) % 1000) / 10.0, ((k * 53) % 1000) / 10.0)
+    # multiples of three get a confidence on a tie of the first decimal
+    confs = F.array(F.when(k % 3 == 0, 98.25).otherwise(((k * 37) % 1000) / 10.0), ((k * 53) % 1000) / 10.0)
     blocks = []
     for q, (qtext, alias) in enumerate(SUPPLIER_QUERIES):
         r, stale, decoy = F.lit(f"R{q}"), F.lit(f"S{q}"), F.lit(f"D{q}")
@@ -240,8 +245,10 @@ CLASS_SCORES = [("invoice", 7), ("receipt", 13), ("bank-statement", 29)]
 
 def encode_classes(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    classes = F.array(*[F.struct(F.lit(n).alias("Name"), (((k * p) % 101).cast("double") / F.lit(101.0)).alias(
-        "Score")) for n, p in CLASS_SCORES])
+    score = {n: ((k * p) % 101).cast("double") / F.lit(101.0) for n, p in CLASS_SCORES}
+    # scores whose exact value lies beside a tie of the fourth decimal, or on it
+    score["receipt"] = F.when(k % 7 == 0, 0.55555).when(k % 7 == 1, 0.00015).when(k % 7 == 2, 0.03125).otherwise(score["receipt"])
+    classes = F.array(*[F.struct(F.lit(n).alias("Name"), s.alias("Score")) for n, s in score.items()])
     return orders.select(k.alias("doc_id"), F.to_json(F.struct(classes.alias("Classes"))).alias("response"))
 
 
@@ -251,7 +258,7 @@ def field_confidences(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     return (orders.select(F.col("o_orderkey").alias("doc_id"))
             .join(items.withColumnRenamed("l_orderkey", "doc_id"), "doc_id")
             .select("doc_id", F.posexplode("items").alias("r", "it"))
-            .select("doc_id", F.concat(F.lit("item_"), (F.col("r") + 1).cast("string")).alias("key"),
+            .select("doc_id", F.col("r").alias("key_ord"), F.concat(F.lit("item_"), (F.col("r") + 1).cast("string")).alias("key"),
                     F.round(F.col("it.l_discount") * 10, 4).alias("score")))
 
 

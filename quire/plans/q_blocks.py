@@ -44,11 +44,9 @@ def q_text_lines(spark, sf_dir):
 SELECT doc_id, text AS text_newline, replace(text, chr(10), ' ') AS text_space FROM documents
 """)
 def q_document_text(spark, sf_dir):
-    lines = B.text_lines(line_blocks(spark, sf_dir))
-    ordered = lines.groupBy("doc_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda s: s["text"]).alias("ls"))
-    return ordered.select("doc_id", F.array_join("ls", "\n").alias("text_newline"),
-                          F.array_join("ls", " ").alias("text_space"))
+    blocks = line_blocks(spark, sf_dir)
+    newline = B.document_text(blocks).withColumnRenamed("text", "text_newline")
+    return newline.join(B.document_text(blocks, " ").withColumnRenamed("text", "text_space"), "doc_id")
 
 
 _LI = """li AS (
@@ -92,6 +90,7 @@ _KV_SQL = """
 SELECT c_custkey AS doc_id, 'Customer Name' AS key, trim(c_name) AS value FROM customer
 UNION ALL SELECT c_custkey, 'Market Segment', trim(c_mktsegment || ' segment') FROM customer
 UNION ALL SELECT c_custkey, 'Account Balance', printf('%.2f', c_acctbal) FROM customer
+UNION ALL SELECT c_custkey, 'Fax Number', '' FROM customer
 """
 
 
@@ -100,16 +99,19 @@ def q_kv_pairs(spark, sf_dir):
     return B.kv_pairs(form_blocks(spark, sf_dir)).select("doc_id", "key", "value")
 
 
-@register("kv_map", _KV_SQL)
+@register("kv_map", """
+SELECT c_custkey AS doc_id, 'Customer Name=' || trim(c_name) || '|Market Segment=' || trim(c_mktsegment || ' segment')
+  || '|Account Balance=' || printf('%.2f', c_acctbal) || '|Fax Number=' AS kv FROM customer""")
 def q_kv_map(spark, sf_dir):
-    return B.kv_map_long(B.kv_pairs(form_blocks(spark, sf_dir)))
+    m = B.kv_map(B.kv_pairs(form_blocks(spark, sf_dir)))
+    return m.select("doc_id", F.array_join(F.transform(F.map_entries("kv_pairs"), lambda e: F.concat_ws("=", e["key"], e["value"])), "|").alias("kv"))
 
 
 _ANSWERS_SQL = """
 SELECT s_suppkey AS doc_id, 0 AS query_ord, 'What is the supplier name?' AS query, 'SUPPLIER_NAME' AS alias,
   CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE s_name END AS answer,
-  CASE WHEN s_suppkey % 5 = 0 THEN '0.0%' ELSE printf('%.1f%%', CAST((s_suppkey * 37) % 1000 AS DOUBLE) / 10.0) END
-    AS confidence
+  CASE WHEN s_suppkey % 5 = 0 THEN '0.0%' WHEN s_suppkey % 3 = 0 THEN '98.2%'
+       ELSE printf('%.1f%%', CAST((s_suppkey * 37) % 1000 AS DOUBLE) / 10.0) END AS confidence
 FROM supplier
 UNION ALL
 SELECT s_suppkey, 4, 'What is the account balance?', 'What is the account balance?',

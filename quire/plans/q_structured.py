@@ -49,9 +49,12 @@ def q_expense_line_items(spark, sf_dir):
 
 
 @register("expense", f"""
-WITH {_LI}, n AS (SELECT l_orderkey, count(*) AS c FROM li GROUP BY l_orderkey)
+WITH {_LI}, n AS (SELECT l_orderkey, count(*) AS c, string_agg(CAST(l_partkey AS VARCHAR) || ':' || printf('%.2f', l_extendedprice)
+                     || ':' || CAST(r AS VARCHAR) || ':', '|' ORDER BY l_returnflag, r) AS items
+                   FROM li GROUP BY l_orderkey)
 SELECT o_orderkey AS doc_id, 1 AS n_documents, 5 AS n_summary_fields, CAST(coalesce(c, 0) AS INTEGER) AS n_line_items,
-       printf('%.2f', o_totalprice) AS total
+       printf('%.2f', o_totalprice) AS total, 'DUE=|PRIORITY=' || o_orderpriority || '|STATUS=' || o_orderstatus || '|TOTAL='
+         || printf('%.2f', o_totalprice) || '|UNKNOWN=cust-' || CAST(o_custkey AS VARCHAR) AS summary, coalesce(items, '') AS items
 FROM orders LEFT JOIN n ON l_orderkey = o_orderkey
 """)
 def q_expense(spark, sf_dir):
@@ -60,7 +63,11 @@ def q_expense(spark, sf_dir):
     return e.select("doc_id", F.size(d).alias("n_documents"),
                     F.size(F.map_keys(d[0]["summary_fields"])).alias("n_summary_fields"),
                     F.size(d[0]["line_items"]).alias("n_line_items"),
-                    d[0]["summary_fields"]["TOTAL"].alias("total"))
+                    d[0]["summary_fields"]["TOTAL"].alias("total"),
+                    F.array_join(F.transform(F.array_sort(F.map_entries(d[0]["summary_fields"])),
+                                             lambda e: F.concat_ws("=", e["key"], e["value"])), "|").alias("summary"),
+                    F.array_join(F.transform(d[0]["line_items"], lambda i: F.concat_ws(
+                        ":", i["ITEM"], i["PRICE"], i["ROW"], i["NOTE"])), "|").alias("items"))
 
 
 @register("identity_fields", """
@@ -77,7 +84,8 @@ def q_identity_fields(spark, sf_dir):
 _CLASSES = """c AS (
   SELECT o_orderkey AS doc_id, 'invoice' AS class, 0 AS pos,
          round(CAST((o_orderkey * 7) % 101 AS DOUBLE) / 101.0, 4) AS score FROM orders
-  UNION ALL SELECT o_orderkey, 'receipt', 1, round(CAST((o_orderkey * 13) % 101 AS DOUBLE) / 101.0, 4) FROM orders
+  UNION ALL SELECT o_orderkey, 'receipt', 1, CASE o_orderkey % 7 WHEN 0 THEN 0.5555 WHEN 1 THEN 0.0001 WHEN 2 THEN 0.0312
+      ELSE round(CAST((o_orderkey * 13) % 101 AS DOUBLE) / 101.0, 4) END FROM orders
   UNION ALL SELECT o_orderkey, 'bank-statement', 2, round(CAST((o_orderkey * 29) % 101 AS DOUBLE) / 101.0, 4)
   FROM orders),
 rk AS (SELECT doc_id, class, score,
@@ -108,7 +116,7 @@ def q_needs_review(spark, sf_dir):
 
 
 @register("review_queue", f"""WITH {_CLASSES}
-SELECT doc_id, 'idp-review-' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8) AS loop_id,
+SELECT doc_id, 'idp-review-' || sha256(CAST(doc_id AS VARCHAR)) AS loop_id,
        class AS document_type, score AS confidence, 's3://documents/orders/' || CAST(doc_id AS VARCHAR) AS task_object
 FROM rk WHERE rank = 1 AND score > 0 AND score < 0.9""")
 def q_review_queue(spark, sf_dir):
@@ -125,15 +133,20 @@ def _confidences(spark, sf_dir):
 
 
 @register("evaluate_fields", f"""
-WITH {_LI}, f AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE round(l_discount * 10, 4) < 0.9) AS low
+WITH {_LI}, f AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE round(l_discount * 10, 4) < 0.9) AS low,
+                    string_agg('item_' || CAST(r AS VARCHAR), ',' ORDER BY r) FILTER (WHERE round(l_discount * 10, 4) < 0.9) AS lows,
+                    string_agg('item_' || CAST(r AS VARCHAR) || '=' || printf('%.4f', round(l_discount * 10, 4)), ',' ORDER BY r) AS fields
                   FROM li GROUP BY l_orderkey)
 SELECT o_orderkey AS doc_id, coalesce(low, 0) > 0 AS review_needed, CAST(coalesce(low, 0) AS INTEGER) AS n_low,
-       CAST(coalesce(n, 0) AS INTEGER) AS n_fields
+       CAST(coalesce(n, 0) AS INTEGER) AS n_fields, coalesce(lows, '') AS low_confidence_fields, coalesce(fields, '') AS all_fields
 FROM orders LEFT JOIN f ON l_orderkey = o_orderkey
 """)
 def q_evaluate_fields(spark, sf_dir):
-    return R.evaluate_fields(read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id")),
-                             _confidences(spark, sf_dir)).drop("low_confidence_fields")
+    e = R.evaluate_fields(read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id")),
+                          _confidences(spark, sf_dir))
+    fields = F.transform("all_fields", lambda x: F.format_string("%s=%.4f", x["key"], x["score"]))
+    return e.withColumn("low_confidence_fields", F.array_join("low_confidence_fields", ",")).withColumn(
+        "all_fields", F.array_join(fields, ","))
 
 
 @register("low_confidence_fields", f"""
@@ -142,7 +155,7 @@ SELECT l_orderkey AS doc_id, 'item_' || CAST(r AS VARCHAR) AS key, round(l_disco
 WHERE round(l_discount * 10, 4) < 0.9
 """)
 def q_low_confidence_fields(spark, sf_dir):
-    return R.low_confidence_fields(_confidences(spark, sf_dir))
+    return R.low_confidence_fields(_confidences(spark, sf_dir)).select("doc_id", "key", "score")
 
 
 def _reviewed(spark, sf_dir):
@@ -161,6 +174,7 @@ SELECT c_custkey AS doc_id, 'Customer Name' AS key, trim(c_name) AS value, false
 UNION ALL SELECT c_custkey, 'Market Segment', trim(c_mktsegment || ' segment'), false FROM customer
 UNION ALL SELECT c_custkey, 'Account Balance',
   CASE WHEN c_acctbal < 0 THEN '0.00' ELSE printf('%.2f', c_acctbal) END, c_acctbal < 0 FROM customer
+UNION ALL SELECT c_custkey, 'Fax Number', '', false FROM customer
 """)
 def q_apply_corrections(spark, sf_dir):
     extracted = kv_pairs(form_blocks(spark, sf_dir)).select("doc_id", "key", "value")

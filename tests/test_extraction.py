@@ -2,6 +2,8 @@
 
 from conftest import responses
 
+from pyspark.sql import functions as F
+
 from quire.operators import blocks as B
 from quire.operators import structured as S
 from quire.sources.blocks import combine_pages, parse_blocks
@@ -14,15 +16,15 @@ def rel(t, *ids):
 
 def test_detect_text_lines(spark):
     r = {"Blocks": [
-        {"BlockType": "LINE", "Id": "1", "Text": "Invoice Number: INV-001"},
-        {"BlockType": "LINE", "Id": "2", "Text": "Total Amount: $500.00"},
+        {"BlockType": "LINE", "Id": "1", "Text": "Invoice Number: B-7731"},
+        {"BlockType": "LINE", "Id": "2", "Text": "Total Amount: 73.10"},
         {"BlockType": "WORD", "Id": "3", "Text": "Invoice"},
     ]}
     blocks = parse_blocks(responses(spark, {1: r}))
     lines = [x.text for x in B.text_lines(blocks).orderBy("ord").collect()]
-    assert lines == ["Invoice Number: INV-001", "Total Amount: $500.00"]
+    assert lines == ["Invoice Number: B-7731", "Total Amount: 73.10"]
     text = B.document_text(blocks).collect()[0].text
-    assert text == "Invoice Number: INV-001\nTotal Amount: $500.00"
+    assert text == "Invoice Number: B-7731\nTotal Amount: 73.10"
 
 
 def test_training_text_is_space_joined_and_blocks_without_id(spark):
@@ -41,13 +43,13 @@ def test_query_answer_fixture(spark):
     r = {"Blocks": [
         {"BlockType": "QUERY", "Id": "q1", "Query": {"Text": "What is the invoice number?", "Alias": "INV_NO"},
          "Relationships": [rel("ANSWER", "r1")]},
-        {"BlockType": "QUERY_RESULT", "Id": "r1", "Text": "INV-001", "Confidence": 98.5},
+        {"BlockType": "QUERY_RESULT", "Id": "r1", "Text": "B-7731", "Confidence": 98.5},
     ]}
     d = B.answer_details(parse_blocks(responses(spark, {1: r}))).collect()
     assert [(x.alias, x.answer, x.confidence, x.query) for x in d] == [
-        ("INV_NO", "INV-001", "98.5%", "What is the invoice number?")]
+        ("INV_NO", "B-7731", "98.5%", "What is the invoice number?")]
     assert {x.alias: x.answer for x in B.query_answers(
-        B.answer_details(parse_blocks(responses(spark, {1: r})))).collect()} == {"INV_NO": "INV-001"}
+        B.answer_details(parse_blocks(responses(spark, {1: r})))).collect()} == {"INV_NO": "B-7731"}
 
 
 def test_query_answer_edge_cases(spark):
@@ -135,13 +137,37 @@ def test_kv_edge_cases(spark):
         # duplicate key (after trim) -> last block wins
         {"BlockType": "KEY_VALUE_SET", "Id": "k5", "EntityTypes": ["KEY"],
          "Relationships": [rel("CHILD", "kw5"), rel("VALUE", "v1")]},
-        {"BlockType": "WORD", "Id": "kw5", "Text": " Name: "},
+        {"BlockType": "WORD", "Id": "kw5", "Text": "\tName:\n"},
+        # unfilled: no VALUE relationship -> ''
+        {"BlockType": "KEY_VALUE_SET", "Id": "k6", "EntityTypes": ["KEY"], "Relationships": [rel("CHILD", "kw6")]},
+        {"BlockType": "WORD", "Id": "kw6", "Text": "Fax"},
     ]}
     blocks = parse_blocks(responses(spark, {1: r}))
     m = {x.key: x.value for x in B.kv_map_long(B.kv_pairs(blocks)).collect()}
-    assert m == {"Name:": "first", "Total": "", "Paid": ""}
+    assert m == {"Name:": "first", "Total": "", "Paid": "", "Fax": ""}
     mp = B.kv_map(B.kv_pairs(blocks)).collect()[0].kv_pairs
     assert mp == m
+    order = F.map_keys("kv_pairs")
+    assert B.kv_map(B.kv_pairs(blocks)).select(order).first()[0] == ["Name:", "Total", "Paid", "Fax"]
+
+
+def test_exact_rounding(spark):
+    from quire.functions.numbers import round_exact
+
+    values = [0.55555, 0.00015, 0.03125, 0.09375, 98.25, 98.35, 0.5, 1e-9, 0.0, 1.0, 0.12345, 0.99995, 33.33335]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select(round_exact(F.col("x"), 4), round_exact(F.col("x"), 1)).collect()
+    assert [tuple(r) for r in got] == [(round(v, 4), round(v, 1)) for v in values]
+
+
+def test_combine_pages_finds_repeated_ids(spark):
+    import json
+
+    page = lambda *ids: json.dumps({"Blocks": [{"BlockType": "LINE", "Id": i, "Text": i} for i in ids]})
+    df = spark.createDataFrame([(1, 0, page("a", "b")), (1, 1, page("a")), (2, 0, page("a")), (2, 1, page("b"))],
+                               "doc_id long, page_ord int, response string")
+    got = {(r.doc_id, r.ord, r.id, r.dup_ids) for r in combine_pages(df).collect()}
+    assert got == {(1, 0, "a", True), (1, 1, "b", True), (1, 2, "a", True), (2, 0, "a", False), (2, 1, "b", False)}
 
 
 def test_expense_fixture(spark):
@@ -149,16 +175,16 @@ def test_expense_fixture(spark):
         return {"Type": {"Text": t}, "ValueDetection": {"Text": v}}
 
     r = {"ExpenseDocuments": [{
-        "SummaryFields": [f("VENDOR_NAME", "Acme Corp"), f("TOTAL", "$500.00"), {"ValueDetection": {"Text": "x"}},
+        "SummaryFields": [f("VENDOR_NAME", "Bluebird Mills"), f("TOTAL", "73.10"), {"ValueDetection": {"Text": "x"}},
                           {"Type": {"Text": "DUE"}}],
         "LineItemGroups": [{"LineItems": [{"LineItemExpenseFields": [
-            f("ITEM", "Widget A"), f("QUANTITY", "2"), f("PRICE", "$250.00")]}]}],
+            f("ITEM", "Twine spool"), f("QUANTITY", "2"), f("PRICE", "36.55")]}]}],
     }]}
     e = S.expense(responses(spark, {1: r})).collect()[0].expense_data
     assert len(e.documents) == 1
     d = e.documents[0]
-    assert d.summary_fields == {"VENDOR_NAME": "Acme Corp", "TOTAL": "$500.00", "UNKNOWN": "x", "DUE": ""}
-    assert d.line_items == [{"ITEM": "Widget A", "QUANTITY": "2", "PRICE": "$250.00"}]
+    assert d.summary_fields == {"VENDOR_NAME": "Bluebird Mills", "TOTAL": "73.10", "UNKNOWN": "x", "DUE": ""}
+    assert d.line_items == [{"ITEM": "Twine spool", "QUANTITY": "2", "PRICE": "36.55"}]
 
 
 def test_expense_groups_and_repeats(spark):
@@ -181,9 +207,9 @@ def test_identity_fixture(spark):
         return {"Type": {"Text": t}, "ValueDetection": {"Text": v}}
 
     r = {"IdentityDocuments": [{"IdentityDocumentFields": [
-        f("FIRST_NAME", "John"), f("LAST_NAME", "Doe"), f("DATE_OF_BIRTH", "01/01/1990")]}]}
+        f("FIRST_NAME", "Ines"), f("LAST_NAME", "Mora"), f("DATE_OF_BIRTH", "12/03/1987")]}]}
     got = {x.type: x.value for x in S.identity_fields(responses(spark, {1: r})).collect()}
-    assert got == {"FIRST_NAME": "John", "LAST_NAME": "Doe", "DATE_OF_BIRTH": "01/01/1990"}
+    assert got == {"FIRST_NAME": "Ines", "LAST_NAME": "Mora", "DATE_OF_BIRTH": "12/03/1987"}
 
 
 def test_no_input_is_an_error(spark):
