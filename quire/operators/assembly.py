@@ -29,6 +29,14 @@ def _entity_structs(ents: DataFrame) -> DataFrame:
                                               .alias("entities"))
 
 
+# The phases in which a document can fail, in their order.
+PHASES = ("upload", "extraction", "queries", "classification", "entities", "pii", "questions", "review")
+# The questions asked when none are given.
+DEFAULT_QUESTIONS = (
+    "What is this document about?",
+    "What are the key data points in this document?",
+    "Are there any dates or deadlines mentioned?",
+)
 # Extensions for which the pipeline asks for expense analysis (the reference omits '.tif').
 EXPENSE_EXTENSIONS = (".pdf", ".png", ".jpg", ".jpeg", ".tiff", ".tif")
 
@@ -62,30 +70,60 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
                       questions: Sequence[str] | None = None, classes: DataFrame | None = None,
                       bucket: str = "documents", review_threshold: float = 0.90,
                       enable_review: bool = True, blocks: DataFrame | None = None,
-                      expense: DataFrame | None = None) -> DataFrame:
+                      expense: DataFrame | None = None, responses: DataFrame | None = None,
+                      identity: DataFrame | None = None, phase_errors: DataFrame | None = None) -> DataFrame:
     """One result row per input document (17 fields + ``doc_id``), failures included with ``errors``.
 
     ``docs(doc_id, text?, document_path?)``. ``blocks`` (parsed OCR blocks) fills raw text, tables, KV pairs and
     query answers; ``expense`` (``doc_id, expense_data``) the expense field; ``classes(doc_id, document_type,
-    classification_confidence, error?)`` the classification (skipped without it, as without an endpoint).
-    Phase guards (P7): entities, PII and Q&A run only for non-empty text. Errors (F4) are data: a missing text
-    is an extraction failure, a classification error is carried over; one bad document never stops the batch.
+    classification_confidence, error?)`` the classification (skipped without it, as without an endpoint);
+    ``identity`` (``doc_id, type, value``) the identity fields; ``questions=None`` asks the default questions, an empty
+    list none. ``responses`` (``doc_id, error``, see ``response_status``) tells which documents have a response: a blank
+    page is an empty text, not a failure, and a corrupt response is an error.
+
+    Phase guards (P7): entities, PII and Q&A run only for non-empty text, expense only for its extensions. Errors (F4)
+    are data: a missing text is an extraction failure, ``phase_errors`` (``doc_id, phase, error``) come from the phases outside
+    (upload, queries, entities, PII, questions, review) and stand in the order of ``PHASES``; a failed upload ends its
+    document, whose other fields stay at their defaults. One bad document never stops the batch.
     """
+    questions = DEFAULT_QUESTIONS if questions is None else questions
     path = F.col("document_path") if "document_path" in docs.columns else F.concat(
         F.lit("documents/"), F.col("doc_id").cast("string"))
     text = F.col("text") if "text" in docs.columns else F.lit(None).cast("string")
     base = docs.select("doc_id", path.alias("document_path"), text.alias("raw_text"))
+    failures = []
+    if phase_errors is not None:
+        failures.append(phase_errors.select("doc_id", "phase", "error"))
+        ended = phase_errors.where(F.col("phase") == "upload").select("doc_id").distinct().withColumn("__ended", F.lit(True))
+        base = base.join(ended, "doc_id", "left").withColumn("__ended", F.coalesce("__ended", F.lit(False)))
+        base = base.withColumn("raw_text", F.when(~F.col("__ended"), F.col("raw_text")))
+    else:
+        base = base.withColumn("__ended", F.lit(False))
+    if responses is not None:
+        failures.append(responses.where(F.col("error").isNotNull()).select("doc_id", F.lit("extraction").alias("phase"), "error"))
+        there = responses.where(F.col("error").isNull()).select("doc_id").distinct().withColumn("__blank", F.lit(""))
     if blocks is not None:
         base = (base.join(_from_blocks(blocks), "doc_id", "left")
-                .withColumn("raw_text", F.coalesce("raw_text", F.when(F.col("__has_blocks"), F.coalesce(
-                    "block_text", F.lit("")))))
+                .withColumn("raw_text", F.when(~F.col("__ended"), F.coalesce("raw_text", F.when(
+                    F.col("__has_blocks"), F.coalesce("block_text", F.lit(""))))))
                 .drop("block_text", "__has_blocks"))
     else:
         base = (base.withColumn("tables", F.lit(None).cast("array<array<array<string>>>"))
                 .withColumn("kv_pairs", F.lit(None).cast("map<string,string>"))
                 .withColumn("query_answers", F.lit(None).cast("map<string,string>")))
+    if responses is not None:
+        base = base.join(there, "doc_id", "left").withColumn("raw_text", F.coalesce("raw_text", F.when(
+            ~F.col("__ended"), F.col("__blank")))).drop("__blank")
+    if identity is not None:
+        ids = identity.groupBy("doc_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("type", "value"))))
+                                             .alias("id_fields"))
+        base = base.join(ids, "doc_id", "left")
+    else:
+        base = base.withColumn("id_fields", F.lit(None).cast("map<string,string>"))
     if expense is not None:
-        base = base.join(expense.select("doc_id", "expense_data"), "doc_id", "left")
+        ext = F.lower(F.regexp_extract("document_path", r"(\.[^./]+)$", 1))
+        base = base.join(expense.select("doc_id", "expense_data"), "doc_id", "left").withColumn(
+            "expense_data", F.when(ext.isin(list(EXPENSE_EXTENSIONS)) & ~F.col("__ended"), F.col("expense_data")))
     else:
         base = base.withColumn("expense_data", F.lit(None).cast(
             "struct<documents:array<struct<summary_fields:map<string,string>,line_items:array<map<string,string>>>>>"))
@@ -100,7 +138,7 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
                         .otherwise(F.lit(""))))
 
     # Entities: pattern (built-in) then dictionary (custom) ones.
-    tdocs = base.where(has_text).select("doc_id", F.col("raw_text").alias("text"))
+    tdocs = base.where(has_text).select("doc_id", F.col("raw_text").alias("text"), "document_path")
     ents = EN.pattern_entities(tdocs)
     if entity_list is not None:
         ents = EN.all_entities(ents, EN.dictionary_entities(tdocs, entity_list))
@@ -129,18 +167,27 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
         per_doc = (per_doc.withColumn("document_type", F.lit(None).cast("string"))
                    .withColumn("classification_confidence", F.lit(None).cast("double"))
                    .withColumn("__class_error", F.lit(None).cast("string")))
+    if failures:
+        every = failures[0] if len(failures) == 1 else failures[0].unionByName(failures[1])
+        place = F.array_position(F.array(*[F.lit(p) for p in PHASES]), F.col("phase"))
+        per_doc = per_doc.join(every.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(
+            place.alias("p"), F.col("error")))), lambda e: e["error"]).alias("__errors")), "doc_id", "full")
+    else:
+        per_doc = per_doc.withColumn("__errors", F.lit(None).cast("array<string>"))
     out = base.join(per_doc, "doc_id", "left")
 
-    conf = F.coalesce("classification_confidence", F.lit(0.0))
+    conf = F.when(has_text, F.col("classification_confidence"))
+    conf = F.coalesce(conf, F.lit(0.0))
     review = needs_review(conf, review_threshold) & F.lit(enable_review)
-    errors = F.array_compact(F.array(
-        F.when(F.col("raw_text").isNull(), F.lit("Extraction failed: no text")),
+    given = F.coalesce("__errors", F.array().cast("array<string>"))
+    errors = F.concat(given, F.array_compact(F.array(
+        F.when(F.col("raw_text").isNull() & (F.size(given) == 0), F.lit("Extraction failed: no text")),
         F.when(has_text, F.col("__class_error")),
-    ))
+    )))
     empty_map = F.expr("map()").cast("map<string,string>")
     return out.select(
         "doc_id", "document_path", "s3_uri",
-        F.coalesce("document_type", F.lit("")).alias("document_type"),
+        F.coalesce(F.when(has_text, F.col("document_type")), F.lit("")).alias("document_type"),
         conf.alias("classification_confidence"),
         F.coalesce("raw_text", F.lit("")).alias("raw_text"),
         F.coalesce("tables", F.array().cast("array<array<array<string>>>")).alias("tables"),
@@ -148,7 +195,7 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
         F.coalesce("expense_data", F.struct(F.array().cast(
             "array<struct<summary_fields:map<string,string>,line_items:array<map<string,string>>>>").alias(
             "documents"))).alias("expense_data"),
-        empty_map.alias("id_fields"),
+        F.coalesce("id_fields", empty_map).alias("id_fields"),
         F.coalesce("query_answers", empty_map).alias("query_answers"),
         F.coalesce("entities", F.array().cast(f"array<{ENTITY_STRUCT}>")).alias("entities"),
         F.transform("__pii", lambda p: F.struct(p["text"].alias("text"), p["type"].alias("type"),
@@ -183,7 +230,7 @@ def document_summary(results: DataFrame, max_kv: int = 10, answer_chars: int = 2
         F.when(F.col("document_type") == "", F.lit("N/A")).otherwise(F.col("document_type")).alias("document_type"),
         F.size("tables").alias("n_tables"), F.size(kv).alias("n_kv"),
         F.size("entities").alias("n_entities"), F.size("pii_entities").alias("n_pii"),
-        F.slice(F.array_sort(kv), 1, max_kv).alias("kv_first"),
+        F.slice(kv, 1, max_kv).alias("kv_first"),
         F.greatest(F.size(kv) - max_kv, F.lit(0)).alias("kv_more"),
         F.transform("genai_answers", lambda a: F.substring(a["answer"], 1, answer_chars)).alias("answers"),
         F.size("errors").alias("n_errors"))

@@ -14,8 +14,6 @@ from quire.schemas import REVIEW_OUTPUT
 # Default review threshold and loop-name prefix.
 REVIEW_THRESHOLD = 0.90
 LOOP_PREFIX = "idp-review-"
-# Statuses of a review loop.
-STATUSES = ("InProgress", "Completed", "Failed", "Stopped")
 
 
 def needs_review(score: Column, threshold: float = REVIEW_THRESHOLD) -> Column:
@@ -24,9 +22,9 @@ def needs_review(score: Column, threshold: float = REVIEW_THRESHOLD) -> Column:
 
 
 def loop_id(doc_id: Column, name: Column | None = None) -> Column:
-    """The given name, else ``idp-review-`` + 8 hex chars of sha256(doc_id): deterministic, so retries are
-    idempotent (the reference draws them at random)."""
-    gen = F.concat(F.lit(LOOP_PREFIX), F.substring(F.sha2(doc_id.cast("string"), 256), 1, 8))
+    """The given name, else ``idp-review-`` + sha256(doc_id) in hex: deterministic, so retries are idempotent (the
+    reference draws them at random), and whole, so that different documents never share a loop."""
+    gen = F.concat(F.lit(LOOP_PREFIX), F.sha2(doc_id.cast("string"), 256))
     return F.coalesce(name, gen) if name is not None else gen
 
 
@@ -52,23 +50,27 @@ def review_queue(results: DataFrame, threshold: float = REVIEW_THRESHOLD) -> Dat
 
 
 def evaluate_fields(docs: DataFrame, confidences: DataFrame, threshold: float = REVIEW_THRESHOLD) -> DataFrame:
-    """J13 + A11: per document ``(doc_id, review_needed, n_low, n_fields, low_confidence_fields)``.
+    """J13 + A11: per document ``(doc_id, review_needed, n_low, n_fields, low_confidence_fields, all_fields)``.
 
-    Driven by the confidence table ``(doc_id, key, score)``: a key missing from the KV set still counts; a
+    Driven by the confidence table ``(doc_id, key, score)`` (with ``key_ord`` the lists keep its order, otherwise the
+    keys'); ``all_fields`` lists ``(key, score)``; a key missing from the KV set still counts; a
     document without confidences needs no review. Confidences are aggregated first (partial aggregation
     map-side), then joined to the documents on ``doc_id``.
     """
+    at = F.col("key_ord") if "key_ord" in confidences.columns else F.lit(0)
     agg = confidences.groupBy("doc_id").agg(
-        F.count("*").alias("n_fields"),
-        F.count(F.when(F.col("score") < threshold, 1)).alias("n_low"),
-        F.array_sort(F.collect_list(F.when(F.col("score") < threshold, F.col("key")))).alias(
-            "low_confidence_fields"))
+        F.array_sort(F.collect_list(F.struct(at.alias("at"), F.col("key"), F.col("score")))).alias("f"))
+    low = F.filter("f", lambda x: x["score"] < threshold)
+    agg = agg.select("doc_id", F.size("f").alias("n_fields"), F.size(low).alias("n_low"),
+                     F.transform(low, lambda x: x["key"]).alias("low_confidence_fields"),
+                     F.transform("f", lambda x: F.struct(x["key"].alias("key"), x["score"].alias("score"))).alias("all_fields"))
     return (docs.select("doc_id").join(agg, "doc_id", "left")
             .select("doc_id", (F.coalesce("n_low", F.lit(0)) > 0).alias("review_needed"),
                     F.coalesce("n_low", F.lit(0)).cast("int").alias("n_low"),
                     F.coalesce("n_fields", F.lit(0)).cast("int").alias("n_fields"),
                     F.coalesce("low_confidence_fields", F.expr("array()").cast("array<string>")).alias(
-                        "low_confidence_fields")))
+                        "low_confidence_fields"),
+                    F.coalesce("all_fields", F.expr("array()").cast(agg.schema["all_fields"].dataType)).alias("all_fields")))
 
 
 def low_confidence_fields(confidences: DataFrame, threshold: float = REVIEW_THRESHOLD) -> DataFrame:
@@ -150,6 +152,8 @@ def loop_outcomes(starts: DataFrame, ends: DataFrame, key: str, timeout_s: int,
     next bucket; both candidates are computed and the earlier kept.
     """
     b = bucket_s or timeout_s
+    if b < timeout_s:
+        raise ValueError("bucket_s must not be smaller than timeout_s")
     sec = epoch_seconds(F.col("ts"))
     s = starts.select("loop_id", F.col(key).alias("k"), F.col("ts"), F.floor(sec / b).alias("bucket"))
     e = ends.select("event_id", F.col(key).alias("k"), F.col("ts"), "status", F.floor(sec / b).alias("bucket"))
@@ -177,7 +181,6 @@ def loop_outcomes(starts: DataFrame, ends: DataFrame, key: str, timeout_s: int,
 
 
 def list_loops(loops: DataFrame, status: str | None = None, max_results: int = 50) -> DataFrame:
-    """Loops of one flow, optional status filter, first page of ``min(n, 100)`` in a fixed order."""
-    n = min(max_results, 100)
+    """Loops of one flow, optional status filter, the first ``max_results`` in a fixed order."""
     df = loops.where(F.col("status") == status) if status else loops
-    return df.orderBy(F.col("ts").desc(), F.col("loop_id")).limit(n)
+    return df.orderBy(F.col("ts").desc(), F.col("loop_id")).limit(max_results)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,23 +48,16 @@ def get_spark(app: str = "quire", master: str | None = None, shuffle_partitions:
     return spark
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, min_splits: int | None = None) -> DataFrame:
-    """One of the given parquet tables; Catalyst prunes columns and pushes filters into this scan.
+#: Session setting: spread a table read by ``read_table`` round-robin over so many partitions (unset or 0: leave the scan alone).
+#: Only for a handful of files of one row group each, as in the bench; real tables have more splits than cores.
+SPREAD = "quire.read.spread"
 
-    A scan coarser than the cluster (fewer splits than ``min_splits``, default 3 x default parallelism; e.g. a
-    table stored as one row group) is spread round-robin so per-row work uses every core. On a large input the
-    scan already has far more splits than that and is left alone. Column pruning and filters still reach the
-    scan: both are pushed below the repartition.
-    """
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given parquet tables; Catalyst prunes columns and pushes filters into this scan."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    try:
-        target = min_splits if min_splits is not None else 3 * spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (sessions without an RDD handle, e.g. Spark Connect: leave the scan alone)
-        return df
-    if splits < target:
-        df = df.repartition(target)
-    return df
+    spread = int(spark.conf.get(SPREAD, "0"))
+    return df.repartition(spread) if spread else df
 
 
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
@@ -96,33 +90,25 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                        max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint only behind a measured size bound; above it the join stays a shuffle join.
 
-    One aggregation over the (dimension-like) side counts its rows and sums the UTF-8 bytes of its string
-    columns plus 8 bytes per other value; both must be under the bounds. Use it for lookup tables whose size is
+    One aggregation over the (dimension-like) side counts its rows and the bytes of their text form; both must be
+    under the bounds. Use it for lookup tables whose size is
     data-derived (dictionaries, lexicons, code tables, IDF tables), never for the fact side.
     """
-    from pyspark.sql import types as T
-
-    parts = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if isinstance(f.dataType, T.StringType)
-             else F.lit(8) for f in df.schema.fields]
-    row_bytes = parts[0] if len(parts) == 1 else sum(parts[1:], parts[0])
-    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
+    # written out as JSON a row counts with all elements of its arrays and maps
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()
     return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute ``df`` once for several consumers and cut its lineage.
 
-    With ``spark.checkpoint.dir`` set (a shared folder on a cluster) the rows are written there as parquet and
-    read back: later stages re-read files instead of recomputing, and a lost executor costs a re-read, not a
-    recomputation. Without it (e.g. an ad-hoc session) the DataFrame is persisted to memory and disk.
-    This runs a job immediately when writing.
+    The rows are written as parquet under ``spark.checkpoint.dir`` (a shared folder on a cluster; where it is unset, as in a
+    local session, a scratch folder is taken) and read back: later stages re-read files instead of recomputing, and a
+    lost executor costs a re-read. This runs a job immediately.
     """
     spark = df.sparkSession
-    d = _configured_checkpoint_dir(spark)
-    if d:
-        path = f"{d.rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    from pyspark import StorageLevel
-
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    local = spark.sparkContext.master.startswith("local")
+    d = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="quire-ckpt-") if local and not _configured_checkpoint_dir(spark) else None)
+    path = f"{d.rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

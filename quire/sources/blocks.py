@@ -51,6 +51,18 @@ def parse_blocks(df: DataFrame, json_col: str = "response", id_col: str = "doc_i
     return _flatten(df.select(id_col, F.from_json(json_col, BLOCK_RESPONSE).alias("r")), id_col)
 
 
+def response_status(df: DataFrame, json_col: str = "response", id_col: str = "doc_id") -> DataFrame:
+    """``(doc_id, error)`` for every response that is present: null, or why it cannot be read. A corrupt response gives
+    no blocks; its error belongs in the document's result."""
+    from pyspark.sql import types as T
+
+    sch = T.StructType([*BLOCK_RESPONSE.fields, T.StructField("_corrupt", T.StringType())])
+    r = F.from_json(F.col(json_col), sch, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return df.where(F.col(json_col).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), F.when(r["_corrupt"].isNotNull(), F.lit("Extraction failed: response is not valid JSON"))
+        .alias("error"))
+
+
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """S5 from files: one response JSON per file (whole-file JSON); ``doc_id`` is the file path."""
     raw = (spark.read.schema(BLOCK_RESPONSE).option("multiLine", "true").option("mode", "PERMISSIVE")
@@ -62,17 +74,20 @@ def combine_pages(df: DataFrame, json_col: str = "response", id_col: str = "doc_
                   page_col: str = "page_ord") -> DataFrame:
     """A multi-page job arrives as pages; blocks are renumbered in (page, position) order.
 
-    The renumbering is a window per document; it only reorders block rows, the pages themselves stay apart.
+    A page's first number is the running sum of the sizes of the pages before it: a window over pages, not blocks. Ids
+    that repeat in a document are found by a grouping on ``(doc_id, id)``, so neither step grows with the square of a
+    document's blocks.
     """
     parsed = df.select(F.col(id_col).alias("doc_id"), F.col(page_col).alias("__page"),
                        F.from_json(json_col, BLOCK_RESPONSE).alias("r"))
-    b = explode_rows(parsed, ["doc_id", "__page"], F.col("r.Blocks"), "b", "__o")
-    w = Window.partitionBy("doc_id").orderBy("__page", "__o")
-    # Ids may repeat across pages: the flag is per document, over all its pages (same window partition).
-    dup = F.count("b.Id").over(Window.partitionBy("doc_id")) > F.size(F.collect_set("b.Id").over(
-        Window.partitionBy("doc_id")))
-    return (b.withColumn("ord", F.row_number().over(w) - 1).withColumn("dup_ids", dup)
-            .select("doc_id", "ord", *_block_fields(), "dup_ids"))
+    n = F.coalesce(F.size("r.Blocks"), F.lit(0))
+    w = Window.partitionBy("doc_id").orderBy("__page").rowsBetween(Window.unboundedPreceding, -1)
+    first = parsed.withColumn("__first", F.coalesce(F.sum(F.greatest(n, F.lit(0))).over(w), F.lit(0)).cast("int"))
+    b = explode_rows(first, ["doc_id", "__first"], F.col("r.Blocks"), "b", "__o")
+    dup = (b.where(F.col("b.Id").isNotNull()).groupBy("doc_id", F.col("b.Id").alias("id")).count().where("count > 1")
+           .select("doc_id").distinct().withColumn("__dup", F.lit(True)))
+    return (b.withColumn("ord", F.col("__first") + F.col("__o")).join(dup, "doc_id", "left")
+            .select("doc_id", "ord", *_block_fields(), F.coalesce("__dup", F.lit(False)).alias("dup_ids")))
 
 
 # Block columns a reference may need to read (bulky geometry and query fields are left out).
@@ -105,14 +120,6 @@ def resolve(refs: DataFrame, blocks: DataFrame, keys: list[str], cols: list[str]
     return picked.select("doc_id", "id", *keys, *[F.col(f"__b.{c}").alias(c) for c in cols])
 
 
-def block_index(blocks: DataFrame) -> DataFrame:
-    """The ``{Id: block}`` lookup as a table: one block per ``(doc_id, id)``, a repeated Id keeps the last."""
-    cols = [c for c in BLOCK_COLUMNS if c not in ("doc_id", "id")]
-    return (blocks.groupBy("doc_id", "id")
-            .agg(F.max_by(F.struct(*cols), F.col("ord")).alias("b"))
-            .select("doc_id", "id", *[F.col(f"b.{c}").alias(c) for c in cols]))
-
-
 def child_refs(parents: DataFrame, rel_type: str, keys: list[str], rel_col: str = "relationships",
                outer: bool = False) -> DataFrame:
     """Ids referenced by ``rel_type`` relationships of each parent row, in order: adds ``rel_ord, id_ord, id``.
@@ -127,12 +134,3 @@ def child_refs(parents: DataFrame, rel_type: str, keys: list[str], rel_col: str
     return parents.select("doc_id", *keys, gen.alias("__r")).select(
         "doc_id", *keys, F.col("__r.rel_ord").alias("rel_ord"), F.col("__r.id_ord").alias("id_ord"),
         F.col("__r.id").alias("id"))
-
-
-def edges(blocks: DataFrame, rel_type: str | None = None) -> DataFrame:
-    """Edges ``(doc_id, src, src_ord, rel_type, rel_ord, id_ord, dst)`` by two ``posexplode``s; map-side only."""
-    e = (blocks.select("doc_id", F.col("id").alias("src"), F.col("ord").alias("src_ord"),
-                       F.posexplode(F.coalesce("relationships", F.array())).alias("rel_ord", "rel"))
-         .select("doc_id", "src", "src_ord", F.col("rel.Type").alias("rel_type"), "rel_ord",
-                 F.posexplode(F.coalesce("rel.Ids", F.array())).alias("id_ord", "dst")))
-    return e.where(F.col("rel_type") == rel_type) if rel_type else e

@@ -7,12 +7,12 @@ import os
 from conftest import responses
 from pyspark.sql import functions as F
 
-from quire.functions.splitter import split_recursive, split_text_separators
+from quire.functions.splitter import split_text_separators
 from quire.operators import assembly as AS
 from quire.operators import blocks as B
 from quire.operators.review import read_review_output
 from quire.session import materialize
-from quire.sources.blocks import parse_blocks, read_blocks
+from quire.sources.blocks import parse_blocks, read_blocks, response_status
 
 
 def test_read_blocks_from_files(spark, scratch):
@@ -65,19 +65,51 @@ def test_page_texts(spark):
     assert got == {0: "one\ntwo", 1: "three"}
 
 
-def test_split_recursive_examples():
-    assert split_recursive("aaa bbb ccc", 7, 3) == ["aaa bbb", "ccc"]
-    assert split_recursive("abcdefghij", 4, 1) == ["abcd", "defg", "ghij"]
-    assert split_recursive("p1 a.\n\np2 b", 6, 0) == ["p1 a.", "p2 b"]
-    assert split_recursive("", 10, 2) == []
+def _split(spark, text, size, overlap):
+    df = spark.createDataFrame([(text,)], "text string")
+    return df.select(split_text_separators(F.col("text"), size, overlap)).first()[0]
+
+
+def test_split_prefers_the_best_separator(spark):
+    assert _split(spark, "one two. three\n\nfour five six seven", 20, 0) == ["one two. three", "four five six seven"]
+    assert _split(spark, "one two. three four five six", 18, 0) == ["one two.", "three four five", "six"]
+    assert _split(spark, "abcdefghij", 4, 0) == ["abcd", "efgh", "ij"]
+    assert _split(spark, "aa bb cc dd", 8, 2) == ["aa bb", "b cc dd"]
+    assert _split(spark, "", 10, 2) == [] and _split(spark, None, 10, 2) == [] and _split(spark, " \n ", 10, 2) == []
 
 
 def test_split_text_separators_bounds(spark):
-    text = ("Lorem ipsum dolor sit amet. " * 40 + "\n\n") * 5
-    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    chunks = df.select(split_text_separators(F.col("text"), 200, 50)).first()[0]
-    assert chunks and all(len(c) <= 200 for c in chunks)
-    assert chunks == split_recursive(text, 200, 50)
+    text = ("Lorem ipsum dolor sit amet. " * 40 + "\n\n") * 5 + "x" * 900 + " end"
+    chunks = _split(spark, text, 200, 50)
+    assert all(0 < len(c) <= 200 for c in chunks)
+    at = 0
+    for c in chunks:  # in order, covering everything but white space, with some overlap
+        i = text.index(c, max(0, at - 60))
+        assert text[at:i].strip() == "" and i <= at + 4
+        at = i + len(c)
+    assert text[at:].strip() == ""
+
+
+def test_phase_errors_blank_pages_and_identity(spark):
+    docs = spark.createDataFrame([(i, f"in/{i}.{'pdf' if i != 5 else 'txt'}") for i in range(1, 7)], "doc_id long, document_path string")
+    good = json.dumps({"Blocks": [{"BlockType": "LINE", "Id": "l", "Text": "hello there"}]})
+    raw = spark.createDataFrame([(1, good), (2, '{"Blocks": []}'), (3, "{not json"), (4, good), (5, good)], "doc_id long, response string")
+    errors = spark.createDataFrame([(4, "upload", "Upload failed: denied"), (1, "pii", "PII failed"), (1, "queries", "Queries failed")],
+                                   "doc_id long, phase string, error string")
+    identity = spark.createDataFrame([(1, "NAME", "Ada"), (1, "CITY", "Ulm")], "doc_id long, type string, value string")
+    expense = spark.createDataFrame([(i, ([({"T": "9"}, [])],)) for i in (1, 5)],
+                                    "doc_id long, expense_data struct<documents:array<struct<summary_fields:map<string,string>,"
+                                    "line_items:array<map<string,string>>>>>")
+    r = {x.doc_id: x for x in AS.process_documents(
+        docs, blocks=parse_blocks(raw), responses=response_status(raw), phase_errors=errors, identity=identity, expense=expense).collect()}
+    assert r[1].errors == ["Queries failed", "PII failed"] and r[1].id_fields == {"NAME": "Ada", "CITY": "Ulm"}
+    assert r[1].raw_text == "hello there" and len(r[1].genai_answers) == 3
+    assert r[1].genai_answers[0].source_documents[0].source == "in/1.pdf"
+    assert r[2].errors == [] and r[2].raw_text == ""
+    assert r[3].errors == ["Extraction failed: response is not valid JSON"]
+    assert r[4].errors == ["Upload failed: denied"] and r[4].raw_text == "" and r[4].genai_answers == []
+    assert r[6].errors == ["Extraction failed: no text"]
+    assert len(r[1].expense_data.documents) == 1 and r[5].expense_data.documents == []
 
 
 def test_process_documents_errors_and_batch(spark):

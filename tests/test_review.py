@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
@@ -22,6 +23,10 @@ def test_evaluate_fields(spark):
                                  "doc_id long, key string, score double")
     got = {r.doc_id: (r.review_needed, r.low_confidence_fields) for r in R.evaluate_fields(docs, conf).collect()}
     assert got == {1: (True, ["total"]), 2: (True, ["absent_from_kv"]), 3: (False, [])}
+    conf = spark.createDataFrame([(1, "zeta", 0.5, 0), (1, "alpha", 0.4, 1), (1, "mid", 0.95, 2)],
+                                 "doc_id long, key string, score double, key_ord int")
+    r = R.evaluate_fields(docs, conf).where("doc_id = 1").first()
+    assert r.low_confidence_fields == ["zeta", "alpha"] and [f.key for f in r.all_fields] == ["zeta", "alpha", "mid"]
 
 
 def test_apply_corrections_and_review_output(spark):
@@ -36,7 +41,7 @@ def test_apply_corrections_and_review_output(spark):
 def test_loop_id_is_deterministic(spark):
     df = spark.createDataFrame([(7,), (7,)], "doc_id long")
     ids = {r[0] for r in df.select(R.loop_id(F.col("doc_id"))).collect()}
-    assert len(ids) == 1 and next(iter(ids)).startswith("idp-review-") and len(next(iter(ids))) == 19
+    assert len(ids) == 1 and next(iter(ids)).startswith("idp-review-") and len(next(iter(ids))) == 11 + 64
 
 
 def test_list_loops_limits(spark):
@@ -45,7 +50,7 @@ def test_list_loops_limits(spark):
                                   "loop_id string, status string, ts timestamp")
     assert R.list_loops(loops, None, 0).count() == 0
     assert R.list_loops(loops, None, 100).count() == 100
-    assert R.list_loops(loops, None, 101).count() == 100
+    assert R.list_loops(loops, None, 101).count() == 101
     assert R.list_loops(loops, "Failed", 50).count() == 0
 
 
@@ -87,6 +92,8 @@ def test_loop_outcomes_against_brute_force(spark):
     got_small_buckets = {r.loop_id: (r.outcome, r.end_event_id)
                          for r in R.loop_outcomes(s, e, "user_id", 1800, bucket_s=1800).collect()}
     assert got_small_buckets == got
+    with pytest.raises(ValueError):
+        R.loop_outcomes(s, e, "user_id", 1800, bucket_s=300)
 
 
 def test_loop_outcomes_on_events(spark):
