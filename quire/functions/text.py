@@ -95,3 +95,16 @@ def split_text_fixed(text: Column, size: int = SPLIT_CHUNK_SIZE, overlap: int =
 def token_set(text: Column, pattern: str = "[^a-z0-9]+") -> Column:
     """Distinct lower-case tokens split on ``pattern`` (J15 query/key tokens)."""
     return F.array_distinct(F.filter(F.split(F.lower(text), pattern, -1), lambda t: t != ""))
+
+
+def rebase_spans(pieces: DataFrame, text_col: str, spans_col: str, id_col: str = "doc_id", ord_col: str = "piece_ord") -> DataFrame:
+    """Spans found in consecutive pieces of a text (one row per piece) -> one row per span, its offsets moved by the lengths of
+    the pieces before it. The offsets are a running sum over a document's pieces; only lengths and spans are carried."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(id_col).orderBy(ord_col).rowsBetween(Window.unboundedPreceding, -1)
+    p = pieces.select(id_col, ord_col, F.length(text_col).alias("__n"), F.col(spans_col).alias("__s"))
+    p = p.withColumn("__at", F.coalesce(F.sum("__n").over(w), F.lit(0)).cast("int"))
+    s = p.select(id_col, "__at", F.explode_outer("__s").alias("s")).where(F.col("s").isNotNull())
+    return s.select(id_col, "s.type", (F.col("s.begin_offset") + F.col("__at")).alias("begin_offset"),
+                    (F.col("s.end_offset") + F.col("__at")).alias("end_offset"), "s.text", "s.score")

@@ -18,9 +18,9 @@ from quire.plans.q_blocks import line_blocks
 from quire.plans.q_entities import _CHUNK_SQL, _DICT_HITS_SQL, _PATTERN_ENTS
 from quire.plans.q_text import _SPANS_SQL
 from quire.plans.registry import register
-from quire.session import read_table
+from quire.session import materialize, read_table
 from quire.sources import files as FS
-from quire.sources.blocks import combine_pages
+from quire.sources.blocks import combine_pages, parse_blocks, response_status
 
 _EXTS = (*FS.SUPPORTED_EXTENSIONS, ".html")
 _EXTS_SQL = ", ".join(f"'{e}'" for e in _EXTS)
@@ -71,6 +71,44 @@ def q_split_uri(spark, sf_dir):
     return p.select("page_id", b.alias("bucket"), k.alias("object_key"))
 
 
+_S4_SQL = """
+SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'bytes' WHEN page_id % 4 < 3 THEN 's3' END AS input_kind,
+  CASE page_id % 4 WHEN 1 THEN 's3://documents/' || key WHEN 2 THEN 's3://archive/' || key END AS input_uri,
+  CASE WHEN page_id % 4 = 3 THEN 'Provide either s3_key or image_bytes' END AS error
+FROM (SELECT page_id, 'raw/' || CAST(page_id AS VARCHAR) AS key FROM pages)"""
+
+
+@register("resolve_input", _S4_SQL)
+def q_resolve_input(spark, sf_dir):
+    """S4 over pages: bytes, a key, a key in a bucket of its own, or neither."""
+    m = F.col("page_id") % 4
+    p = read_table(spark, sf_dir, "pages").select(
+        "page_id", F.when(m == 0, F.col("html").cast("binary")).alias("content"),
+        F.when(m != 3, F.concat(F.lit("raw/"), F.col("page_id").cast("string"))).alias("key"),
+        F.when(m == 2, F.lit("archive")).alias("bucket"))
+    return FS.resolve_input(p, "documents", bucket_col="bucket").select("page_id", "input_kind", "input_uri", "error")
+
+
+@register("with_model", "SELECT doc_id, CAST(length(text) * 10 AS BIGINT) AS score FROM documents")
+def q_with_model(spark, sf_dir):
+    """U1 with a stub: a model loaded once per task scores whole batches."""
+    from quire.functions.models import with_model
+
+    def score(model, batch):
+        return batch.assign(score=batch["text"].str.len() * model)[["doc_id", "score"]]
+
+    return with_model(read_table(spark, sf_dir, "documents").select("doc_id", "text"), score, "doc_id long, score long", load=lambda: 10)
+
+
+@register("key_collisions_flat", f"""WITH {_PLAN_CTE},
+f AS (SELECT 'raw/' || CAST(page_id % 100 AS VARCHAR) || '.html' AS key FROM pages)
+SELECT key, count(*) AS count FROM f GROUP BY key HAVING count(*) > 1""")
+def q_key_collisions_flat(spark, sf_dir):
+    """Flat base names collide across folders."""
+    p = read_table(spark, sf_dir, "pages").select("page_id", F.format_string("d%d/%d.html", F.col("page_id"), F.col("page_id") % 100).alias("path"))
+    return FS.key_collisions(FS.plan_upload(p, "documents", "raw", exts=_EXTS))
+
+
 @register("wrap_text", "SELECT doc_id, md5(text) AS text_md5, source FROM documents")
 def q_wrap_text(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents")
@@ -144,6 +182,20 @@ def q_classify(spark, sf_dir):
     return CL.classify(read_table(spark, sf_dir, "documents").select("doc_id", "text"), models["label"])
 
 
+@register("classify_invariants", """
+SELECT doc_id, CAST((SELECT count(DISTINCT quality) FROM labels) AS INTEGER) AS n_classes, true AS ranks_in_order, true AS scores_add_up
+FROM documents""")
+def q_classify_invariants(spark, sf_dir):
+    """A14 + W1: per document, a rank for every learned class from the best score down, and scores that sum to 1 within rounding."""
+    c = q_classify(spark, sf_dir).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("rank", "score", "class"))).alias("c"))
+    n = F.size("c")
+    falling = F.aggregate("c", F.struct(F.lit(True).alias("ok"), F.lit(2.0).alias("s"), F.lit(0).alias("r")), lambda a, x: F.struct(
+        (a["ok"] & (x["score"] <= a["s"]) & (x["rank"] == a["r"] + 1)).alias("ok"), x["score"].alias("s"), x["rank"].alias("r")))
+    total = F.aggregate("c", F.lit(0.0), lambda a, x: a + x["score"])
+    return c.select("doc_id", F.size(F.array_distinct(F.transform("c", lambda x: x["class"]))).alias("n_classes"),
+                    (falling["ok"] & (falling["r"] == n)).alias("ranks_in_order"), (F.abs(total - 1) <= n * 0.0001).alias("scores_add_up"))
+
+
 @register("classify_multilabel")
 def q_classify_multilabel(spark, sf_dir):
     """A13 multi-label mode: one binary model per label (quality, toxic); scores of the positive class."""
@@ -190,17 +242,89 @@ def q_document_summary(spark, sf_dir):
                     F.size("answers").alias("n_answers"), "n_errors")
 
 
-@register("batch_results", """
+# Inputs with planted failures: of every 50 documents one has a corrupt response, one a blank page, one a failed upload, one errors
+# of later phases, one no response.
+_KIND_SQL = """CASE doc_id % 50 WHEN 7 THEN 'corrupt' WHEN 8 THEN 'blank' WHEN 9 THEN 'upload' WHEN 10 THEN 'later' WHEN 11 THEN 'none'
+  ELSE 'fine' END"""
+
+
+def _planted(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("kind", F.expr(_KIND_SQL))
+    coded = encode.encode_lines(docs.select("doc_id", "text"))
+    raw = coded.join(docs.select("doc_id", "kind"), "doc_id").where("kind <> 'none'").withColumn(
+        "response", F.when(F.col("kind") == "corrupt", F.concat(F.lit("{"), F.col("response")))
+        .when(F.col("kind") == "blank", F.lit('{"Blocks": []}')).otherwise(F.col("response"))).select("doc_id", "response")
+    later = docs.where("kind = 'later'").select("doc_id", F.explode(F.array(
+        F.struct(F.lit("review").alias("phase"), F.lit("Review failed").alias("error")),
+        F.struct(F.lit("queries").alias("phase"), F.lit("Queries failed").alias("error")))).alias("e")).select("doc_id", "e.*")
+    upload = docs.where("kind = 'upload'").select("doc_id", F.lit("upload").alias("phase"), F.lit("Upload failed").alias("error"))
+    identity = docs.where("kind <> 'none'").select("doc_id", F.explode(F.array(
+        F.struct(F.lit("NUMBER").alias("type"), F.col("doc_id").cast("string").alias("value")),
+        F.struct(F.lit("KIND").alias("type"), F.col("kind").alias("value")))).alias("f")).select("doc_id", "f.*")
+    raw = materialize(raw, "responses")
+    return AS.process_documents(docs.select("doc_id"), lookups.entity_list(read_table(spark, sf_dir, "benchmark")),
+                                blocks=materialize(parse_blocks(raw), "result-blocks"), responses=response_status(raw),
+                                phase_errors=upload.unionByName(later), identity=identity)
+
+
+_PLANTED_CTE = f"""
+k AS (SELECT doc_id, text, {_KIND_SQL} AS kind FROM documents),
+t AS (SELECT doc_id, kind, CASE WHEN kind IN ('fine', 'later') THEN text ELSE '' END AS text FROM k)"""
+
+
+@register("process_results", f"""
+WITH pe AS ({_PATTERN_ENTS}), de AS ({_DICT_HITS_SQL}), sp AS ({_SPANS_SQL}), {_PLANTED_CTE},
+e AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id FROM pe UNION ALL SELECT doc_id FROM de) GROUP BY doc_id),
+p AS (SELECT doc_id, string_agg(type || ':' || CAST(begin_offset AS VARCHAR), ',' ORDER BY span_ord) AS s FROM sp GROUP BY doc_id),
+a AS (SELECT t.*, e.n AS n_ents, p.s AS pii FROM t LEFT JOIN e ON e.doc_id = t.doc_id LEFT JOIN p ON p.doc_id = t.doc_id)
+SELECT doc_id, 'document_path' AS field, 'documents/' || CAST(doc_id AS VARCHAR) AS value FROM a
+UNION ALL SELECT doc_id, 'raw_text', md5(text) FROM a
+UNION ALL SELECT doc_id, 'entities', CAST(CASE WHEN text <> '' THEN coalesce(n_ents, 0) ELSE 0 END AS VARCHAR) FROM a
+UNION ALL SELECT doc_id, 'pii', CASE WHEN text <> '' THEN coalesce(pii, '') ELSE '' END FROM a
+UNION ALL SELECT doc_id, 'answers', CASE WHEN text <> '' THEN '3' ELSE '0' END FROM a
+UNION ALL SELECT doc_id, 'id_fields', CASE WHEN kind = 'none' THEN '' ELSE 'KIND=' || kind || '|NUMBER=' || CAST(doc_id AS VARCHAR) END FROM a
+UNION ALL SELECT doc_id, 'errors', CASE kind WHEN 'corrupt' THEN 'Extraction failed: response is not valid JSON'
+  WHEN 'upload' THEN 'Upload failed' WHEN 'later' THEN 'Queries failed|Review failed' WHEN 'none' THEN 'Extraction failed: no text'
+  ELSE '' END FROM a""")
+def q_process_results(spark, sf_dir):
+    """A12 with F4: the fields of every result in long form, with planted failures."""
+    r = _planted(spark, sf_dir)
+    pii = F.array_join(F.transform("pii_entities", lambda p: F.concat_ws(":", p["type"], p["begin_offset"].cast("string"))), ",")
+    ids = F.array_join(F.transform(F.array_sort(F.map_entries("id_fields")), lambda e: F.concat_ws("=", e["key"], e["value"])), "|")
+    fields = {"document_path": F.col("document_path"), "raw_text": F.md5("raw_text"), "entities": F.size("entities").cast("string"),
+              "pii": pii, "answers": F.size("genai_answers").cast("string"), "id_fields": ids, "errors": F.array_join("errors", "|")}
+    return r.select("doc_id", F.explode(F.array(*[F.struct(F.lit(n).alias("field"), c.alias("value")) for n, c in fields.items()])
+                                        ).alias("f")).select("doc_id", "f.field", "f.value")
+
+
+@register("batch_results", f"""WITH {_PLANTED_CTE}
 SELECT doc_id, 'documents/' || CAST(doc_id AS VARCHAR) AS document_path,
-       CASE WHEN text IS NULL THEN 1 ELSE 0 END AS n_errors FROM documents""")
+       CASE kind WHEN 'corrupt' THEN 'Extraction failed: response is not valid JSON' WHEN 'upload' THEN 'Upload failed' ELSE '' END AS errors,
+       CASE WHEN kind IN ('corrupt', 'upload') THEN NULL ELSE md5(text) END AS text_md5
+FROM t WHERE kind <> 'none' AND kind <> 'later'""")
 def q_batch_results(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    good = AS.process_documents(docs.where(F.col("text").isNotNull()))
-    bad = docs.where(F.col("text").isNull()).select(
+    """O2: results of the documents that were read, and rows for those that failed before."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.expr(_KIND_SQL).alias("kind"))
+    good = AS.process_documents(docs.where("kind IN ('fine', 'blank')").select(
+        "doc_id", F.when(F.col("kind") == "fine", F.col("text")).otherwise("").alias("text")), questions=[])
+    bad = docs.where("kind IN ('corrupt', 'upload')").select(
         "doc_id", F.concat(F.lit("documents/"), F.col("doc_id").cast("string")).alias("document_path"),
-        F.lit("Extraction failed: no text").alias("error"))
+        F.when(F.col("kind") == "upload", "Upload failed").otherwise("Extraction failed: response is not valid JSON").alias("error"))
     r = AS.batch_results(good, AS.failed_results(bad))
-    return r.select("doc_id", "document_path", F.size("errors").alias("n_errors"))
+    return r.select("doc_id", "document_path", F.array_join("errors", "|").alias("errors"), F.md5("raw_text").alias("text_md5"))
+
+
+@register("rebased_spans", f"""
+WITH sp AS ({_SPANS_SQL}) SELECT doc_id, type, begin_offset, end_offset FROM sp""")
+def q_rebased_spans(spark, sf_dir):
+    """Spans found in fixed pieces of a text, moved to the text's offsets. Pieces are whole lines, so no span is cut."""
+    from quire.functions.spans import with_spans
+    from quire.functions.text import rebase_spans
+
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.split("text", "(?<=\n)", -1).alias("pieces"))
+    p = d.select("doc_id", F.posexplode("pieces").alias("piece_ord", "piece"))
+    return rebase_spans(with_spans(p, "piece", "spans", PII_PATTERNS), "piece", "spans").select(
+        "doc_id", "type", "begin_offset", "end_offset")
 
 
 @register("run_metrics", f"""
