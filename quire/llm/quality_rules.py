@@ -37,7 +37,7 @@ def rules() -> dict[str, Column]:
     upper = F.col("n_upper") / F.greatest(F.col("n_upper") + F.col("n_lower"), F.lit(1))
     repeats, lines = _share("n_repeat_words", "n_words"), _share("n_dup_lines", "n_lines")
     marks, distinct = _share("n_marks", "word_chars"), _share("n_distinct_words", "n_words")
-    stops, words = _share("n_stops", "n_words"), F.col("n_words")
+    stops, stutter, words = _share("n_stops", "n_words"), _share("n_stutter", "n_words"), F.col("n_words")
     some = words > 0
     return {
         "words": _vote(words, words < 20, words >= 40),
@@ -48,6 +48,7 @@ def rules() -> dict[str, Column]:
         "lines": _vote(lines, lines > 0.3, some & (lines < 0.05)),
         "marks": _vote(marks, marks > 0.12, some & (marks < 0.06)),
         "variety": _vote(distinct, some & (distinct < 0.2), distinct > 0.3),
+        "stutter": _vote(stutter, stutter > 0.25, some & (stutter < 0.1)),
         "sentences": _vote(stops, (words >= 100) & (stops < 0.01), some & stops.between(0.02, 0.3)),
     }
 

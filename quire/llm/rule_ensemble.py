@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import save
+from quire.llm.common import kept, save
 from quire.llm.stats import with_stats
 
 MAX_ROWS = 16_000
@@ -44,6 +44,7 @@ def features() -> dict[str, Column]:
         "dup_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
         "repeats": F.col("n_repeat_words") / words,
         "variety": F.col("n_distinct_words") / words,
+        "stutter": F.col("n_stutter") / words,
         "line_words": F.col("n_words") / F.greatest(F.col("n_lines"), F.lit(1)),
         "max_word": F.log1p(F.col("max_word")),
     }
@@ -131,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleE
 
 def score(docs: DataFrame, model: RuleEnsemble, keep: str = "doc_id long") -> DataFrame:
     """``docs`` with the carried columns and ``score`` (0 to 1, higher: label 1 likelier)."""
-    names = [c.split()[0] for c in keep.split(",")]
+    names = kept(keep)
     stats = with_stats(docs, keep)
     return stats.select(*names, *(c.cast("double").alias(n) for n, c in features().items())).select(
         *names, model.score().alias("score"))

@@ -5,12 +5,12 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from quire.llm.common import RangeHash, byte_symbols, text_bytes, word_bounds
+from quire.llm.common import RangeHash, byte_symbols, kept, text_bytes, word_bounds
 
 #: Statistics of a text; all are counts. ``n_repeat_words``: words inside 8-word windows that occur twice or more,
-#: first occurrence included; ``n_dup_lines``: lines with a word that equal an earlier line.
+#: first occurrence included; ``n_stutter``: words equal to the one before; ``n_dup_lines``: lines with a word that equal an earlier line.
 STATS = ("n_chars", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
-         "n_distinct_words", "n_upper", "n_lower", "n_digits", "n_marks", "n_bang", "n_pipe", "n_stops", "max_word")
+         "n_distinct_words", "n_stutter", "n_upper", "n_lower", "n_digits", "n_marks", "n_bang", "n_pipe", "n_stops", "max_word")
 REPEAT_WINDOW = 8
 _SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 
@@ -47,7 +47,7 @@ def text_stats(data: np.ndarray) -> list[int]:
     with_word = np.searchsorted(starts, line_end) > np.searchsorted(starts, line_start)
     lines = prefix.of(line_start[with_word], line_end[with_word])
     return [n_chars, n, n_chars - space, int(hist[_SYMBOLS].sum()), len(lines), len(lines) - len(np.unique(lines)),
-            repeats, len(np.unique(words)), int(hist[65:91].sum()), int(hist[97:123].sum()), int(hist[48:58].sum()),
+            repeats, len(np.unique(words)), int((words[1:] == words[:-1]).sum()), int(hist[65:91].sum()), int(hist[97:123].sum()), int(hist[48:58].sum()),
             int(hist[33:48].sum() + hist[58:65].sum() + hist[91:97].sum() + hist[123:127].sum()),
             int(hist[33]), int(hist[124]), int(hist[46]), int((ends - starts).max()) if n else 0]
 
@@ -57,7 +57,7 @@ def with_stats(docs: DataFrame, keep: str = "doc_id long") -> DataFrame:
     empty; all statistics of a text without words other than its characters are 0."""
     import pyarrow as pa
 
-    names = [c.split()[0] for c in keep.split(",")]
+    names = kept(keep)
 
     def run(batches):
         for b in batches:
