@@ -6,6 +6,7 @@ import sys
 import tempfile
 import types
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def kept(columns: str) -> list[str]:
+    """Names in a list of columns with types; commas inside ``<>`` and ``()`` belong to a type."""
+    names, depth, start = [], 0, 0
+    for i, c in enumerate(columns + ","):
+        depth += (c in "<(") - (c in ">)")
+        if c == "," and not depth:
+            names += columns[start:i].split()[:1]
+            start = i + 1
+    return names
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir`` (shared by driver and executors).
 
@@ -37,12 +49,24 @@ def save(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_saved(spark: SparkSession, df: DataFrame) -> None:
-    """Delete a table written by ``save`` that no later step reads."""
-    for f in {p.rpartition("/")[0] for p in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        if "quire-llm-" in f:
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Within it, jobs hand ``rows`` rows at most to a Python worker at once: for rows that are blocks of many kilobytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``shared_dir`` named and that no later step reads."""
+    if "/quire-llm-" not in path:
+        raise ValueError(f"not an intermediate table: {path}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def crc_bucket(col: str, n: int):

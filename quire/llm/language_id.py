@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import text_bytes
+from quire.llm.common import kept, text_bytes
 
 DIMENSIONS = 2048
 SAMPLE_ROWS = 2400
@@ -94,7 +94,7 @@ def sample(docs: DataFrame, languages: int, rows: int = SAMPLE_ROWS) -> DataFram
 def vectors(docs: DataFrame, keep: str) -> DataFrame:
     import pyarrow as pa
 
-    names = [c.split()[0] for c in keep.split(",")]
+    names = kept(keep)
 
     def run(batches):
         for b in batches:
@@ -143,11 +143,12 @@ def predict(docs: DataFrame, model: CodeModel, keep: str = "doc_id long", ambigu
     closer than ``ambiguous``)."""
     import pyarrow as pa
 
-    names = [c.split()[0] for c in keep.split(",")]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # (dims + 1) x bits weights
+    names = kept(keep)
+    # (dims + 1) x bits weights; plain arrays, which workers read without this package
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.code, model.weights, model.bit_weight))
 
     def run(batches):
-        m = shared.value
+        m = CodeModel(*shared.value)
         for b in batches:
             texts, langs, scores, near = list(text_bytes(b.column("text"))), [], [], []
             strings = b.column("text")

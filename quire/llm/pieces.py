@@ -28,7 +28,7 @@ from itertools import count
 import numpy as np
 from pyspark.sql import DataFrame
 
-from quire.llm.common import UnitTable, slices, worker_cache
+from quire.llm.common import UnitTable, kept, slices, worker_cache
 
 _UNKNOWN_PENALTY = 10.0
 
@@ -200,7 +200,7 @@ def encode(docs: DataFrame, model_path: str, n: int = 2, keep: str = "doc_id lon
     (score, ids), best first, and ``decoded``: whether every one of the ``n`` decodes to the text again."""
     import pyarrow as pa
 
-    names = [c.split()[0] for c in keep.split(",")]
+    names = kept(keep)
     more = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))]))
 
     def run(batches):
@@ -224,7 +224,7 @@ def decode(tokens: DataFrame, model_path: str, ids: str = "ids", keep: str = "do
     """``ids`` -> carried columns and ``text``. Null ids give null."""
     import pyarrow as pa
 
-    names = [c.split()[0] for c in keep.split(",")]
+    names = kept(keep)
 
     def run(batches):
         enc = encoder(model_path)
@@ -243,7 +243,7 @@ def digest(docs: DataFrame, model_path: str, n: int = 2, keep: str = "doc_id lon
     none) and ``decoded`` (whether every one of them decodes to the text)."""
     import pyarrow as pa
 
-    names = [c.split()[0] for c in keep.split(",")]
+    names = kept(keep)
 
     def run(batches):
         enc = encoder(model_path)

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import save
+from quire.llm.common import kept, save
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "id", "name")
@@ -181,7 +181,7 @@ def label(docs: DataFrame, keep: str = "doc_id long") -> DataFrame:
     candidates with votes and shape."""
     import pyarrow as pa
 
-    names = [c.split()[0] for c in keep.split(",") if c.strip()]
+    names = kept(keep)
     cand = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                                ("base", pa.bool_()), ("votes", pa.string()), ("shape", pa.string())]))
 

@@ -205,6 +205,7 @@ def test_secrets_are_added_and_masked(spark, nothing):
 
 
 def test_redaction_carries_all_columns(edge):
+    edge = edge.selectExpr("*", "named_struct('a', 1, 'b', map('x', 2.5)) AS nested", "CAST(1 AS DECIMAL(10,2)) AS dec")
     out = pii_labels.detect_and_redact(edge)
     assert out.columns == edge.columns and out.count() == edge.count()
     assert out.where("spans <> 'spans!' or found <> 'found!'").count() == 0
