@@ -13,7 +13,7 @@ against the arrays of the levels: equal entries are long matches, entries with a
 Then it becomes a level, and levels of equal size merge, so an index over ``b`` batches has at most ``log2 b + 1`` levels. Levels are tables of
 packed blocks in the shared folder, replaced as a whole.
 
-The edges are resolved exactly: the windows of their entries are hashed from the texts and matched one by one. Places and
+The edges are resolved exactly: the bytes under their windows are sent to the seed's bucket, where the windows are matched one by one. Places and
 texts travel as packed blocks, so there is never a row per suffix, window or pair. Entries of a text that repeat are
 counted where they arise, and seeds that a small part of the documents shows to be frequent in different surroundings are keyed by
 seed and flank, so neither copies nor common lines gather in one task.
@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import RangeHash, byte_symbols, mix, save, text_bytes
+from quire.llm.common import RangeHash, batches_of, byte_symbols, discard, mix, save, shared_dir, text_bytes
 from quire.llm.jaccard_join import _by_bucket, _streamed
 
 SPAN, SEED = 200, 32
@@ -41,12 +41,19 @@ BATCHES = 3
 #: A seed with this many different surroundings in one ``1 / HOT_PART`` part of the documents is keyed by its flanks.
 HOT_FROM, HOT_PART, HOT_LIMIT = 24, 16, 1 << 20
 
+#: Rows, most of them blocks, that a Python worker gets at once.
+BLOCKS_AT_ONCE = 400
+#: Entries in one block of a level.
+PIECE = 2000
+#: Entries that are sorted and cut into blocks at once.
+ENTRIES_AT_ONCE = 200_000
+
 ENTRY = np.dtype([("key", "<u8"), ("all", "<u8"), ("right", "<u2"), ("left", "<u2"), ("doc", "<i8"), ("at", "<u4"),
                   ("back", "u1"), ("len", "u1"), ("twice", "u1")])
-#: A range of windows of a text: the windows starting at ``at`` to ``at + len - 1``.
-PLACE = np.dtype([("doc", "<i8"), ("at", "<u4"), ("len", "u1"), ("gives", "u1")])
+#: A range of windows of a text: the windows starting at ``at`` to ``at + len - 1``; ``gives``: they occur twice anyway and
+#: only serve others.
+PLACE = np.dtype([("doc", "<i8"), ("at", "<u4"), ("key", "<u8"), ("len", "u1"), ("gives", "u1")])
 STRETCH = np.dtype([("doc", "<i8"), ("start", "<u4"), ("end", "<u4")])
-WINDOW = np.dtype([("hash", "<u8"), ("more", "<u4"), ("doc", "<i8"), ("at", "<u4"), ("gives", "u1")])
 
 
 def entries(data: np.ndarray, doc: int, twice: bool, span: int = SPAN, seed: int = SEED) -> np.ndarray:
@@ -70,7 +77,8 @@ def entries(data: np.ndarray, doc: int, twice: bool, span: int = SPAN, seed: int
     place = place[start]
     flank = (span + seed) // 2
     out = np.zeros(len(start), ENTRY)
-    out["key"], out["all"] = seeds[place], second.of(start, end + span - 1)
+    # selected hashes are small ones, so mixed again they fill the buckets evenly
+    out["key"], out["all"] = mix(seeds[place]), second.of(start, end + span - 1)
     out["right"] = second.of(place, np.minimum(place + flank, len(data))) >> np.uint64(48)
     out["left"] = second.of(np.maximum(place + seed - flank, 0), place + seed) >> np.uint64(48)
     out["doc"], out["at"], out["back"], out["len"], out["twice"] = doc, start, place - start, end - start, twice
@@ -146,7 +154,7 @@ def scan_merge(new: np.ndarray, old: np.ndarray, span: int = SPAN, seed: int = S
         ok = high > low
         p = np.zeros(int(ok.sum()), PLACE)
         p["doc"], p["at"], p["len"] = sel["doc"][ok], sel["at"][ok] + low[ok].astype(np.uint32), (high - low)[ok]
-        p["gives"] = sel["twice"][ok]
+        p["gives"], p["key"] = sel["twice"][ok], sel["key"][ok]
         places.append(p)
     mine = np.zeros(len(u), bool)
     mine[:] = kept
@@ -162,6 +170,11 @@ def _block_schema():
 _BLOCKS = "bucket long, kind string, block binary"
 
 
+def _pieces(bucket: int, e: np.ndarray):
+    """A sorted array as level blocks of a bounded size."""
+    return [(bucket, "level", e[i:i + PIECE].tobytes()) for i in range(0, len(e), PIECE)]
+
+
 def _docs_in_blocks(records: np.ndarray, bits: int, kind: str):
     """Records with a ``doc`` in blocks by document."""
     if len(records):
@@ -182,28 +195,34 @@ class LogIndex:
     def __init__(self, spark: SparkSession, hot: np.ndarray, bits: int, span: int = SPAN, seed: int = SEED):
         self.spark, self.bits, self.span, self.seed = spark, bits, span, seed
         self.hot = spark.sparkContext.broadcast(hot)
-        self.levels: list[tuple[int, DataFrame]] = []  # (number of batches inside, blocks), largest first
+        self.levels: list[tuple[int, str]] = []  # (number of batches inside, folder of the blocks), largest first
 
     def array_of(self, texts: DataFrame) -> DataFrame:
         bits, span, seed, shared, schema = self.bits, self.span, self.seed, self.hot, _block_schema()
 
         def run(batches):
-            hot = shared.value
+            held, size = [], 0  # entries of several batches, so that blocks are not tiny
             for b in batches:
-                rows = []
                 for part, _ in _classes(b, 4 << 20):
-                    e = np.concatenate([entries(t, c, many, span, seed) for c, t, many in part])
-                    if len(hot) and len(e):
-                        found = hot[np.minimum(np.searchsorted(hot, e["key"]), len(hot) - 1)] == e["key"]
-                        right, left = e[found].copy(), e[found].copy()
-                        right["key"] = mix(right["key"] ^ right["right"].astype(np.uint64))
-                        left["key"] = mix(left["key"] ^ (left["left"].astype(np.uint64) << np.uint64(20)))
-                        e = np.concatenate([e[~found], right, left])
-                    s, keep = distinct(e)
-                    rows += [(k, "entry", c[0].tobytes()) for k, c in _by_bucket(s["key"][keep], bits, [s[keep]])]
-                    rows += _docs_in_blocks(stretches(s[~keep], span), bits, "stretch")
-                if rows:
-                    yield _batch_of(rows, schema)
+                    held.append(np.concatenate([entries(t, c, many, span, seed) for c, t, many in part]))
+                    size += len(held[-1])
+                    if size >= ENTRIES_AT_ONCE:
+                        yield blocks(np.concatenate(held))
+                        held, size = [], 0
+            if size:
+                yield blocks(np.concatenate(held))
+
+        def blocks(e):
+            hot = shared.value
+            if len(hot):
+                found = hot[np.minimum(np.searchsorted(hot, e["key"]), len(hot) - 1)] == e["key"]
+                right, left = e[found].copy(), e[found].copy()
+                right["key"] = mix(right["key"] ^ right["right"].astype(np.uint64))
+                left["key"] = mix(left["key"] ^ (left["left"].astype(np.uint64) << np.uint64(20)))
+                e = np.concatenate([e[~found], right, left])
+            s, keep = distinct(e)
+            rows = [(k, "entry", c[0].tobytes()) for k, c in _by_bucket(s["key"][keep], bits, [s[keep]])]
+            return _batch_of(rows + list(_docs_in_blocks(stretches(s[~keep], span), bits, "stretch")), schema)
 
         return texts.mapInArrow(run, _BLOCKS)
 
@@ -221,30 +240,51 @@ class LogIndex:
                 old = np.concatenate(part["level"]) if part["level"] else np.zeros(0, ENTRY)
                 mine, certain, places = scan_merge(np.concatenate(part["entry"]), old, span, seed)
                 if not last:
-                    out.append((bucket, "level", mine.tobytes()))
+                    out += _pieces(bucket, mine)
                 out += [*_docs_in_blocks(certain, bits, "stretch"), *_docs_in_blocks(places, bits, "place")]
             return tuple(zip(*out)) if out else None
 
         # stretches of the batch itself are already by document; they pass through
         array = self.array_of(texts)
-        for _, level in self.levels:
-            array = array.unionByName(level)
-        found = save(_streamed(array, "bucket", scan, _BLOCKS, schema), "scan")
-        if not last:
-            self.file(found.where("kind = 'level'"))
+        for _, folder in self.levels:
+            array = array.unionByName(self.blocks_in(folder))
+        path = shared_dir(self.spark, "scan")
+        with batches_of(self.spark, BLOCKS_AT_ONCE):
+            _streamed(array, "bucket", scan, _BLOCKS, schema).write.partitionBy("kind").parquet(path)
+        if last:
+            self.close()
+        else:
+            self.file(path)
         free(self.spark)
-        return found.where("kind <> 'level'")
+        return self.blocks_in(path, "kind <> 'level'")
+
+    def blocks_in(self, folder: str, which: str = "kind = 'level'") -> DataFrame:
+        found = self.spark.read.schema("bucket long, block binary, kind string").parquet(folder)
+        return found.where(which).select("bucket", "kind", "block")
+
+    def close(self) -> None:
+        """Delete the levels."""
+        for _, folder in self.levels:
+            discard(self.spark, f"{folder}/kind=level")
+        self.levels = []
 
-    def file(self, level: DataFrame) -> None:
-        self.levels.append((1, level))
+    def file(self, folder: str) -> None:
+        """Add a level of one batch; merge levels while the last two are of equal size."""
+        self.levels.append((1, folder))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (n, a), (m, b) = self.levels.pop(), self.levels.pop()
 
             def merge(bucket, rows):
                 s, keep = distinct(np.concatenate([np.frombuffer(x.as_py(), ENTRY) for x in rows["block"]]))
-                return [bucket], ["level"], [s[keep].tobytes()]
+                return tuple(zip(*_pieces(bucket, s[keep])))
 
-            self.levels.append((n + m, save(_streamed(a.unionByName(b), "bucket", merge, _BLOCKS, _block_schema()), "level")))
+            with batches_of(self.spark, BLOCKS_AT_ONCE):
+                both = self.blocks_in(a).unionByName(self.blocks_in(b))
+                path = shared_dir(self.spark, "level")
+                _streamed(both, "bucket", merge, _BLOCKS, _block_schema()).write.partitionBy("kind").parquet(path)
+            self.levels.append((n + m, path))
+            for folder in (a, b):
+                discard(self.spark, f"{folder}/kind=level")
 
 
 def free(spark: SparkSession) -> None:
@@ -292,61 +332,63 @@ def frequent_seeds(texts: DataFrame, span: int, seed: int) -> np.ndarray:
 
 
 def resolve(texts: DataFrame, found: DataFrame, bits: int, span: int) -> DataFrame:
-    """Hash the windows of the places in ``found`` and return the stretches of those that occur twice."""
+    """Match the windows of the places in ``found`` one by one; returns the stretches of those that occur twice. A place's windows can
+    only match those of places with the same key, so the bytes under them are sent to that key's bucket."""
     import pyarrow as pa
 
     schema, per_doc = _block_schema(), pa.schema([("cls", pa.int64()), ("places", pa.binary())])
+    sent = pa.schema([("bucket", pa.int64()), ("places", pa.binary()), ("data", pa.binary())])
 
     def gather(_, rows):
         p = np.unique(np.concatenate([np.frombuffer(x.as_py(), PLACE) for x in rows["block"]]))
-        cuts = np.flatnonzero(np.diff(p["doc"])) + 1
-        parts = np.split(p, cuts)
+        parts = np.split(p, np.flatnonzero(np.diff(p["doc"])) + 1)
         return [int(x["doc"][0]) for x in parts], [x.tobytes() for x in parts]
 
     places = _streamed(found.where("kind = 'place'"), "bucket", gather, "cls long, places binary", per_doc)
     at = texts.join(places.hint("shuffle_hash"), "cls")
 
-    def hashes(batches):
+    def send(batches):
+        held = []
         for b in batches:
-            rows, size = [], 0
-            for c, t, raw in zip(b.column("cls").to_pylist(), text_bytes(b.column("text")), b.column("places")):
-                p = np.frombuffer(raw.as_py(), PLACE)
-                n = p["len"].astype(np.int64)
-                start = np.repeat(p["at"].astype(np.int64) - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                gives = np.repeat(p["gives"], n)
-                by = np.lexsort((-gives.astype(int), start))
-                start, gives = start[by], gives[by]
-                one = np.flatnonzero(np.diff(start, prepend=-1))
-                start, gives = start[one], gives[one]
-                symbols = byte_symbols(t)
-                w = np.zeros(len(start), WINDOW)
-                w["hash"], w["more"] = RangeHash(symbols).of(start, start + span), RangeHash(symbols, 1).of(start, start + span) >> np.uint64(32)
-                w["doc"], w["at"], w["gives"] = c, start, gives
-                rows.append(w)
-                size += len(w)
-                if size > 200_000:
-                    yield _batch_of([(k, "window", x[0].tobytes()) for k, x in _windows(rows)], schema)
-                    rows, size = [], 0
-            if rows:
-                yield _batch_of([(k, "window", x[0].tobytes()) for k, x in _windows(rows)], schema)
-
-    def _windows(rows):
-        w = np.concatenate(rows)
-        return _by_bucket(w["hash"], bits, [w])
+            for t, raw in zip(text_bytes(b.column("text")), b.column("places")):
+                held += [(p, t[p["at"]:p["at"] + p["len"] + span - 1].tobytes()) for p in np.frombuffer(raw.as_py(), PLACE)]
+                if len(held) > 20_000:
+                    yield packed(held)
+                    held = []
+        if held:
+            yield packed(held)
+
+    def packed(held):
+        p, bytes_ = np.array([x for x, _ in held], PLACE), [x for _, x in held]
+        rows = [(k, q.tobytes(), b"".join(bytes_[i] for i in at))
+                for k, (q, at) in _by_bucket(p["key"], bits, [p, np.arange(len(p))])]
+        return _batch_of(rows, sent)
 
     def match(_, rows):
-        w = np.concatenate([np.frombuffer(x.as_py(), WINDOW) for x in rows["block"]])
-        w = w[np.lexsort((w["at"], w["doc"], w["more"], w["hash"]))]
-        same = _same_as_before(w["hash"], w["more"])
-        nxt = np.zeros(len(w), bool)
+        p = np.concatenate([np.frombuffer(x.as_py(), PLACE) for x in rows["places"]])
+        data = np.frombuffer(b"".join(x.as_py() for x in rows["data"]), np.uint8)
+        n = p["len"].astype(np.int64)
+        size = n + span - 1
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = np.repeat(np.cumsum(size) - size, n) + inside
+        symbols = byte_symbols(data)
+        one, two = RangeHash(symbols).of(start, start + span), RangeHash(symbols, 1).of(start, start + span)
+        doc, where, gives = np.repeat(p["doc"], n), np.repeat(p["at"].astype(np.int64), n) + inside, np.repeat(p["gives"], n)
+        by = np.lexsort((-gives.astype(int), where, doc, two, one))
+        one, two, doc, where, gives = one[by], two[by], doc[by], where[by], gives[by]
+        first = ~_same_as_before(one, two, doc, where)  # places may overlap
+        one, two, doc, where, gives = one[first], two[first], doc[first], where[first], gives[first]
+        same = _same_as_before(one, two)
+        nxt = np.zeros(len(one), bool)
         nxt[:-1] = same[1:]
-        w = w[(same | nxt) & (w["gives"] == 0)]
-        out = np.zeros(len(w), STRETCH)
-        out["doc"], out["start"], out["end"] = w["doc"], w["at"], w["at"] + np.uint32(span)
+        hit = (same | nxt) & (gives == 0)
+        out = np.zeros(int(hit.sum()), STRETCH)
+        out["doc"], out["start"], out["end"] = doc[hit], where[hit], where[hit] + span
         got = list(_docs_in_blocks(merged(out), bits, "stretch"))
         return tuple(zip(*got)) if got else None
 
-    return _streamed(at.mapInArrow(hashes, _BLOCKS), "bucket", match, _BLOCKS, schema)
+    rows = at.mapInArrow(send, "bucket long, places binary, data binary")
+    return _streamed(rows, "bucket", match, _BLOCKS, schema)
 
 
 def merged(s: np.ndarray) -> np.ndarray:
@@ -372,14 +414,15 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, seed: int = SEED, batches:
 
     spark = docs.sparkSession
     texts = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("cls"), "text").where(F.octet_length("text") >= span)
-    bits = max(5, (4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))).bit_length() - 1)
+    bits = max(5, (8 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))).bit_length() - 1)
     index = LogIndex(spark, frequent_seeds(texts, span, seed), bits, span, seed)
     found = None
     for i in range(batches):  # the documents arrive in batches
         batch = texts.where(F.pmod(F.shiftright("cls", 8), F.lit(batches)) == i)
         got = index.insert(batch, last=i == batches - 1)
         found = got if found is None else found.unionByName(got)
-    edges = save(resolve(texts, found, bits, span), "edges")
+    with batches_of(spark, BLOCKS_AT_ONCE):
+        edges = save(resolve(texts, found, bits, span), "edges")
     free(spark)
 
     def join(_, rows):
@@ -388,7 +431,9 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, seed: int = SEED, batches:
         return [int(x["doc"][0]) for x in parts], [x.tobytes() for x in parts]
 
     both = found.where("kind = 'stretch'").unionByName(edges)
-    return _streamed(both, "bucket", join, "cls long, spans binary", pa.schema([("cls", pa.int64()), ("spans", pa.binary())]))
+    with batches_of(spark, BLOCKS_AT_ONCE):
+        return save(_streamed(both, "bucket", join, "cls long, spans binary",
+                              pa.schema([("cls", pa.int64()), ("spans", pa.binary())])), "spans")
 
 
 def dedup(docs: DataFrame, span: int = SPAN, seed: int = SEED, batches: int = BATCHES, digest: bool = False) -> DataFrame:
