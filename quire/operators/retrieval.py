@@ -58,12 +58,40 @@ def cosine_similarity(a: Column, b: Column) -> Column:
     return F.try_divide(dot, na * nb)  # null for a zero vector
 
 
+def embed_hashed(low: Column, num_features: int = 1 << 18) -> Column:
+    """C5 (column form of the hashing model): the words of an already lower-cased text as a sparse unit vector
+    ``map<int,double>`` of hashed word counts. Pass it to ``retrieve`` together with ``distance=sparse_l2``; unlike raw letter
+    counts it does not favour short chunks."""
+    words = F.filter(F.split(low, "[^\\p{L}\\p{N}]+", -1), lambda w: w != "")
+    slots = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(num_features)).cast("int"))
+
+    def counted(s):
+        return F.transform(F.array_distinct(s), lambda i: F.struct(
+            i.alias("i"), F.size(F.filter(s, lambda j: j == i)).cast("double").alias("n")))
+
+    def unit(c):
+        norm = F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x["n"] * x["n"]))
+        return F.element_at(F.transform(F.array(norm), lambda z: F.map_from_entries(
+            F.transform(c, lambda x: F.struct(x["i"], (x["n"] / z).alias("v"))))), 1)
+
+    counts = F.element_at(F.transform(F.array(slots), counted), 1)
+    return F.element_at(F.transform(F.array(counts), unit), 1)
+
+
+def sparse_l2(a: Column, b: Column) -> Column:
+    """C6 over ``map<int,double>`` vectors: squared Euclidean distance."""
+    def square(m):
+        return F.aggregate(F.map_values(m), F.lit(0.0), lambda acc, v: acc + v * v)
+
+    dot = F.aggregate(F.map_entries(a), F.lit(0.0), lambda acc, e: acc + e["value"] * F.coalesce(F.try_element_at(b, e["key"]), F.lit(0.0)))
+    return square(a) + square(b) - 2 * dot
+
+
 def embed_hashing(df: DataFrame, text_col: str = "text", num_features: int = 1 << 18, out_col: str = "embedding"):
-    """C5 (model form): ``RegexTokenizer -> HashingTF -> IDF -> Normalizer`` fitted on ``df``; the vector is
-    returned as ``array<double>``. Returns ``(model, transformed_df)``."""
+    """C5 (model form): ``RegexTokenizer -> HashingTF -> IDF -> Normalizer`` fitted on ``df``; the vector stays a sparse
+    ``pyspark.ml`` vector. Returns ``(model, transformed_df)``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-    from pyspark.ml.functions import vector_to_array
 
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern="[^\\p{L}\\p{N}]+", toLowercase=True),
@@ -72,7 +100,7 @@ def embed_hashing(df: DataFrame, text_col: str = "text", num_features: int = 1 <
         Normalizer(inputCol="__idf", outputCol="__vec", p=2.0),
     ])
     model = pipe.fit(df)
-    out = model.transform(df).withColumn(out_col, vector_to_array("__vec")).drop("__tok", "__tf", "__idf", "__vec")
+    out = model.transform(df).withColumnRenamed("__vec", out_col).drop("__tok", "__tf", "__idf")
     return model, out
 
 
@@ -90,7 +118,7 @@ def ask(docs: DataFrame, questions: Sequence[str]) -> DataFrame:
 
 
 def retrieve(docs: DataFrame, questions: Sequence[str], k: int = TOP_K, size: int = SPLIT_CHUNK_SIZE,
-             overlap: int = SPLIT_CHUNK_OVERLAP, embed=embed_letters, keep: Sequence[str] = ()) -> DataFrame:
+             overlap: int = SPLIT_CHUNK_OVERLAP, embed=embed_letters, keep: Sequence[str] = (), distance=l2_distance) -> DataFrame:
     """J11 + J12 + W5, per-document index: for each (document, question) the ``k`` nearest chunks of that document.
 
     Chunks are C4 windows; distance is C6 over ``embed`` vectors; rank by ``(distance, chunk_ord)``. Chunk vectors
@@ -106,7 +134,7 @@ def retrieve(docs: DataFrame, questions: Sequence[str], k: int = TOP_K, size: in
     indexed = docs.where(F.length("text") > 0).select("doc_id", "text", *keep, chunks.alias("__chunks"))
     asked = (ask(indexed, questions).withColumn("__qlow", F.lower("question"))
              .withColumn("__qv", embed(F.col("__qlow"))))
-    scored = F.transform("__chunks", lambda c: F.struct(l2_distance(c["v"], F.col("__qv")).alias("distance"),
+    scored = F.transform("__chunks", lambda c: F.struct(distance(c["v"], F.col("__qv")).alias("distance"),
                                                         c["chunk_ord"].alias("chunk_ord"), c["text"].alias("text")))
     return asked.withColumn("top", F.slice(F.array_sort(scored), 1, k)).drop("__chunks", "__qlow", "__qv")
 

@@ -54,6 +54,18 @@ def test_distances(spark):
     assert r[0] == 25.0 and math.isclose(r[1], 16 / (math.sqrt(5) * math.sqrt(52)))
 
 
+def test_hashed_vectors_retrieve(spark):
+    docs = spark.createDataFrame([(1, "Cats sleep a lot. " * 5 + "The deadline is on Friday. " + "Dogs bark at night. " * 5)],
+                                 "doc_id long, text string")
+    r = RT.retrieve(docs, ["when is the deadline", "dogs bark"], k=1, size=40, overlap=10, embed=RT.embed_hashed,
+                    distance=RT.sparse_l2).orderBy("question_ord").collect()
+    assert "deadline" in r[0].top[0].text and "Dogs bark" in r[1].top[0].text
+    assert all(0 <= x.top[0].distance <= 2 for x in r)
+    _, out = RT.embed_hashing(docs, num_features=1 << 10)
+    v = out.first().embedding
+    assert type(v).__name__ == "SparseVector" and v.size == 1 << 10
+
+
 def test_answer_and_prompt(spark):
     docs = spark.createDataFrame([(1, "Cats sleep a lot. The deadline is Friday. Dogs bark.")],
                                  "doc_id long, text string")
