@@ -20,6 +20,15 @@ def explode_rows(df: DataFrame, keep: list, arr: Column, val: str, pos: str | No
     return out if pos else out.drop(p)
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A column that a lambda reads is not safe as a column of its own: where it is referenced once, Catalyst inlines its
+    expression into the lambda, which then evaluates it per element. A lambda's own variable is a value.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 # Arrays up to this length use a plain fold (quadratic copying is negligible there); longer ones the blocked form.
 PREFIX_SUM_SMALL = 64
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import bind
 from quire.functions.numbers import round_exact
 from quire.functions.text import strip, token_set
 from quire.sources.blocks import child_refs, resolve
@@ -50,7 +51,7 @@ def table_cells(blocks: DataFrame) -> DataFrame:
     cell_refs = child_refs(tables, "CHILD", ["table_ord"]).withColumnRenamed("rel_ord", "c_rel").withColumnRenamed(
         "id_ord", "c_ord")
     cells = (resolve(cell_refs, blocks, ["table_ord", "c_rel", "c_ord"],
-                     ["block_type", "row_index", "col_index", "relationships"])
+                     ["block_type", "row_index", "col_index", "relationships"], types=("CELL",))
              .where(F.col("block_type") == "CELL")
              .select("doc_id", "table_ord", "c_rel", "c_ord",
                      F.coalesce("row_index", F.lit(1)).alias("row_index"),
@@ -58,7 +59,7 @@ def table_cells(blocks: DataFrame) -> DataFrame:
     keys = ["table_ord", "c_rel", "c_ord", "row_index", "col_index"]
     word_refs = child_refs(cells, "CHILD", keys, outer=True)
     words = resolve(word_refs, blocks, [*keys, "rel_ord", "id_ord"], ["block_type", "text", "selection_status"],
-                    how="left")
+                    how="left", types=("WORD", "SELECTION_ELEMENT"))
     w = (F.when(F.col("block_type") == "WORD", F.coalesce("text", F.lit("")))
          .when(F.col("block_type") == "SELECTION_ELEMENT", F.coalesce("selection_status", F.lit(""))))
     per_addr = (words.groupBy("doc_id", "table_ord", "row_index", "col_index")
@@ -71,49 +72,26 @@ def table_cells(blocks: DataFrame) -> DataFrame:
                            F.array_join(F.transform(mine, lambda x: x["w"]), " ").alias("text"))
 
 
-def table_shapes(blocks: DataFrame, cells: DataFrame) -> DataFrame:
-    """``(doc_id, table_ord, n_rows, n_cols)`` for every TABLE block; a table without cells is 0 x 0."""
-    tables = blocks.where(F.col("block_type") == "TABLE").select("doc_id", F.col("ord").alias("table_ord"))
-    dims = cells.groupBy("doc_id", "table_ord").agg(F.max("row_index").alias("n_rows"),
-                                                     F.max("col_index").alias("n_cols"))
-    return (tables.join(dims, ["doc_id", "table_ord"], "left")
-            .select("doc_id", "table_ord", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-                    F.coalesce("n_cols", F.lit(0)).alias("n_cols")))
-
-
-def table_grid_cells(blocks: DataFrame, cells: DataFrame | None = None) -> DataFrame:
-    """A1 long form: the dense ``n_rows x n_cols`` grid, missing addresses filled with ''.
-
-    The grid is generated per table with ``sequence`` and joined back to the cells on the address.
-    """
-    c = cells if cells is not None else table_cells(blocks)
-    shapes = table_shapes(blocks, c).where(F.col("n_rows") > 0)
-    grid = (shapes.select("doc_id", "table_ord", F.explode(F.sequence(F.lit(1), "n_rows")).alias("row_index"),
-                          "n_cols")
-            .select("doc_id", "table_ord", "row_index", F.explode(F.sequence(F.lit(1), "n_cols")).alias("col_index")))
-    return (grid.join(c, ["doc_id", "table_ord", "row_index", "col_index"], "left")
-            .select("doc_id", "table_ord", "row_index", "col_index", F.coalesce("text", F.lit("")).alias("text")))
-
-
 def with_dense_grid(df: DataFrame, cells_col: str, n_rows: str, n_cols: str, out_col: str = "grid") -> DataFrame:
     """In-row dense ``n_rows x n_cols`` grid from ``array<struct<row_index, col_index, text>>`` (unique addresses).
 
     Cells are sorted by linear address; each contributes ``''`` for the gap before it, then its text; the tail
-    is padded; rows are slices of ``n_cols``. Linear in the grid size (no per-address lookups). The sorted cells
-    and the flat grid are columns of their own, so the lambdas read them instead of recomputing them.
+    is padded; rows are slices of ``n_cols``. Linear in the grid size (no per-address lookups).
     """
     nc = F.col(n_cols)
-    d = df.withColumn("__srt", F.array_sort(F.transform(cells_col, lambda c: F.struct(
-        ((c["row_index"] - 1) * nc + c["col_index"] - 1).alias("i"), c["text"].alias("t")))))
-    flat = F.flatten(F.transform("__srt", lambda c, j: F.concat(
-        F.array_repeat(F.lit(""), c["i"] - F.coalesce(F.get(F.col("__srt"), j - 1)["i"], F.lit(-1)) - 1),
-        F.array(c["t"]))))
-    d = d.withColumn("__flat", flat)
-    d = d.withColumn("__full", F.concat("__flat", F.array_repeat(F.lit(""), F.col(n_rows) * nc - F.size("__flat"))))
-    grid = F.when(F.col(n_rows) > 0, F.transform(F.sequence(F.lit(0), F.col(n_rows) - 1),
-                                                 lambda r: F.slice(F.col("__full"), r * nc + 1, nc))).otherwise(
-        F.array().cast("array<array<string>>"))  # sequence(0, -1) would count down
-    return d.withColumn(out_col, grid).drop("__srt", "__flat", "__full")
+
+    def flat(srt):
+        return F.flatten(F.transform(srt, lambda c, j: F.concat(
+            F.array_repeat(F.lit(""), c["i"] - F.coalesce(F.get(srt, j - 1)["i"], F.lit(-1)) - 1), F.array(c["t"]))))
+
+    def rows(full):
+        return F.transform(F.sequence(F.lit(0), F.col(n_rows) - 1), lambda r: F.slice(full, r * nc + 1, nc))
+
+    srt = F.array_sort(F.transform(cells_col, lambda c: F.struct(
+        ((c["row_index"] - 1) * nc + c["col_index"] - 1).alias("i"), c["text"].alias("t"))))
+    full = bind(bind(srt, flat), lambda f: F.concat(f, F.array_repeat(F.lit(""), F.col(n_rows) * nc - F.size(f))))
+    return df.withColumn(out_col, F.when(F.col(n_rows) > 0, bind(full, rows)).otherwise(
+        F.array().cast("array<array<string>>")))  # sequence(0, -1) would count down
 
 
 def table_grids(blocks: DataFrame) -> DataFrame:
@@ -162,7 +140,7 @@ def kv_pairs(blocks: DataFrame) -> DataFrame:
     key_words = child_refs(keys, "CHILD", ["key_ord"], outer=True).withColumn("role", F.lit(0))
     value_words = child_refs(values, "CHILD", ["key_ord"]).withColumn("role", F.lit(1))
     refs = key_words.unionByName(value_words)
-    words = resolve(refs, blocks, ["key_ord", "role", "rel_ord", "id_ord"], ["block_type", "text"], how="left")
+    words = resolve(refs, blocks, ["key_ord", "role", "rel_ord", "id_ord"], ["block_type", "text"], how="left", types=("WORD",))
     w = F.when(F.col("block_type") == "WORD", F.coalesce("text", F.lit("")))
     per_key = words.groupBy("doc_id", "key_ord").agg(
         F.array_sort(F.collect_list(F.struct("role", "rel_ord", "id_ord", w.alias("w")))).alias("ws"))
@@ -205,7 +183,8 @@ def answer_details(blocks: DataFrame) -> DataFrame:
                   F.coalesce("query_alias", F.coalesce("query_text", F.lit(""))).alias("alias"), "relationships"))
     keys = ["query_ord", "query", "alias"]
     refs = child_refs(qs, "ANSWER", keys, outer=True)
-    res = resolve(refs, blocks, [*keys, "rel_ord", "id_ord"], ["block_type", "text", "confidence"], how="left")
+    res = resolve(refs, blocks, [*keys, "rel_ord", "id_ord"], ["block_type", "text", "confidence"], how="left",
+                  types=("QUERY_RESULT",))
     hit = F.col("block_type") == "QUERY_RESULT"
     best = F.max_by(F.when(hit, F.struct(F.coalesce("text", F.lit("")).alias("answer"),
                                          F.coalesce("confidence", F.lit(0.0)).alias("conf"))),

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.arrays import explode_rows
+from quire.functions.arrays import bind, explode_rows
 from quire.functions.text import SPLIT_CHUNK_OVERLAP, SPLIT_CHUNK_SIZE, split_text_fixed
 
 # Retrieval depth and summary length.
@@ -132,11 +132,13 @@ def retrieve(docs: DataFrame, questions: Sequence[str], k: int = TOP_K, size: in
     chunks = F.transform(lowered, lambda c: F.struct(c["chunk_ord"].alias("chunk_ord"), c["text"].alias("text"),
                                                      embed(c["low"]).alias("v")))
     indexed = docs.where(F.length("text") > 0).select("doc_id", "text", *keep, chunks.alias("__chunks"))
-    asked = (ask(indexed, questions).withColumn("__qlow", F.lower("question"))
-             .withColumn("__qv", embed(F.col("__qlow"))))
-    scored = F.transform("__chunks", lambda c: F.struct(distance(c["v"], F.col("__qv")).alias("distance"),
-                                                        c["chunk_ord"].alias("chunk_ord"), c["text"].alias("text")))
-    return asked.withColumn("top", F.slice(F.array_sort(scored), 1, k)).drop("__chunks", "__qlow", "__qv")
+
+    def ranked(q):
+        return F.slice(F.array_sort(F.transform("__chunks", lambda c: F.struct(
+            distance(c["v"], q).alias("distance"), c["chunk_ord"].alias("chunk_ord"), c["text"].alias("text")))), 1, k)
+
+    asked = ask(indexed, questions)
+    return asked.withColumn("top", bind(bind(F.lower("question"), embed), ranked)).drop("__chunks")
 
 
 def top_k_by_key(vectors: DataFrame, queries: DataFrame, key: str, k: int = TOP_K, salt_buckets: int = 64,
@@ -240,18 +242,20 @@ def _words(s: Column) -> Column:
 def answer(retrieved: DataFrame, min_word_len: int = 4) -> DataFrame:
     """C13 (extractive): the sentence of the top-k chunks sharing most distinct question words of length >= 4;
     ties by ``(chunk rank, sentence order)``; no shared word -> ''. Sentences split on the literal '. '."""
-    d = retrieved.withColumn("__qw", F.array_distinct(F.filter(_words(F.col("question")),
-                                                               lambda w: F.length(w) >= min_word_len)))
+    asked = F.array_distinct(F.filter(_words(F.col("question")), lambda w: F.length(w) >= min_word_len))
     sents = F.flatten(F.transform("top", lambda t, r: F.transform(
         F.split(t["text"], "\\. ", -1),
         lambda s, j: F.struct(r.alias("rank"), j.alias("sentence_ord"), s.alias("sentence")))))
-    scored = F.transform(sents, lambda s: F.struct(
-        (-F.size(F.array_intersect(F.col("__qw"), F.array_distinct(_words(s["sentence"]))))).alias("neg_overlap"),
-        s["rank"].alias("rank"), s["sentence_ord"].alias("sentence_ord"), s["sentence"].alias("sentence")))
-    d = d.withColumn("__best", F.get(F.array_sort(scored), 0))
+
+    def best_of(words):
+        return F.array_min(F.transform(sents, lambda s: F.struct(
+            (-F.size(F.array_intersect(words, F.array_distinct(_words(s["sentence"]))))).alias("neg_overlap"),
+            s["rank"].alias("rank"), s["sentence_ord"].alias("sentence_ord"), s["sentence"].alias("sentence"))))
+
+    d = retrieved.withColumn("__best", bind(asked, best_of))
     best = F.col("__best")
     return d.withColumn("answer", F.when(best.isNotNull() & (best["neg_overlap"] < 0), best["sentence"])
-                        .otherwise(F.lit(""))).drop("__qw", "__best")
+                        .otherwise(F.lit(""))).drop("__best")
 
 
 def ask_documents(docs: DataFrame, questions: Sequence[str], k: int = TOP_K) -> DataFrame:

@@ -90,34 +90,33 @@ def combine_pages(df: DataFrame, json_col: str = "response", id_col: str = "doc_
             .select("doc_id", "ord", *_block_fields(), F.coalesce("__dup", F.lit(False)).alias("dup_ids")))
 
 
-# Block columns a reference may need to read (bulky geometry and query fields are left out).
-LOOKUP_COLUMNS = ["block_type", "text", "confidence", "row_index", "col_index", "selection_status", "relationships"]
-
-
-def resolve(refs: DataFrame, blocks: DataFrame, keys: list[str], cols: list[str] | None = None,
-            how: str = "inner") -> DataFrame:
+def resolve(refs: DataFrame, blocks: DataFrame, keys: list[str], cols: list[str], how: str = "inner",
+            types: tuple[str, ...] | None = None) -> DataFrame:
     """Follow references: ``refs(doc_id, id, *keys)`` -> each ref with the columns ``cols`` of block ``id``.
 
     This is the reference's ``{Id: block}`` lookup as an equi-join on ``(doc_id, id)``; a repeated Id keeps the
-    *last* block. When the block table carries ``dup_ids`` (set by the parsers, per document), only documents
+    *last* block. ``types`` says which blocks the caller can use: only their rows, and only ``cols``, are shuffled; a reference
+    to another type counts as dangling. When the block table carries ``dup_ids`` (set by the parsers, per document), only documents
     that repeat an Id go through the "last block" aggregation and the rest join directly. Without the flag the
     join may match several blocks and ``max_by(..., ord)`` picks one per ref, grouped on a superset of the join
     key so it runs in the join's stage. ``how='left'`` keeps dangling (or null) references with null columns.
     """
-    cols = cols or LOOKUP_COLUMNS
+    fits = F.col("block_type").isin(list(types)) if types else F.lit(True)
     b = blocks.where(F.col("id").isNotNull())
+    need = list(dict.fromkeys([*cols, "block_type"]))
     if "dup_ids" in blocks.columns:
-        # Every lookup shuffles the same projection (all LOOKUP_COLUMNS), so the exchange of the block side is
-        # shared by all lookups of a query instead of repeated per column set.
-        plain = b.where(~F.col("dup_ids")).select("doc_id", "id", *[F.col(c).alias(f"__l_{c}") for c in LOOKUP_COLUMNS])
+        side = [F.col(c).alias(f"__l_{c}") for c in cols]
+        plain = b.where(~F.col("dup_ids") & fits).select("doc_id", "id", *side)
         last = (b.where(F.col("dup_ids")).groupBy("doc_id", "id")
-                .agg(F.max_by(F.struct(*LOOKUP_COLUMNS), "ord").alias("__b"))
-                .select("doc_id", "id", *[F.col(f"__b.{c}").alias(f"__l_{c}") for c in LOOKUP_COLUMNS]))
+                .agg(F.max_by(F.struct(*need), "ord").alias("__b"))
+                .select("doc_id", "id", "__b.*").where(fits).select("doc_id", "id", *side))
         return refs.join(plain.unionByName(last), ["doc_id", "id"], how).select(
             "doc_id", "id", *keys, *[F.col(f"__l_{c}").alias(c) for c in cols])
-    j = refs.join(b.select("doc_id", "id", "ord", *cols), ["doc_id", "id"], how)
-    picked = j.groupBy("doc_id", "id", *keys).agg(F.max_by(F.struct(*cols), "ord").alias("__b"))
-    return picked.select("doc_id", "id", *keys, *[F.col(f"__b.{c}").alias(c) for c in cols])
+    j = refs.join(b.select("doc_id", "id", "ord", *need), ["doc_id", "id"], how)
+    picked = j.groupBy("doc_id", "id", *keys).agg(F.max_by(F.struct(*need), "ord").alias("__b"))
+    ok = F.col("__b.block_type").isin(list(types)) if types else F.lit(True)
+    out = picked.select("doc_id", "id", *keys, *[F.when(ok, F.col(f"__b.{c}")).alias(c) for c in cols], ok.alias("__ok"))
+    return (out.where("__ok") if how == "inner" else out).drop("__ok")
 
 
 def child_refs(parents: DataFrame, rel_type: str, keys: list[str], rel_col: str = "relationships",
