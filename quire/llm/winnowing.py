@@ -23,7 +23,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import let, save, sized_broadcast
+from quire.functions.arrays import bind
+from quire.llm.common import save, sized_broadcast
 
 SPAN = 13
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -55,9 +56,9 @@ def fingerprints(text: Column, k: int, w: int) -> Column:
         return F.array_distinct(runs(hashes, width, lambda x, _: F.array_min(x)))
 
     hashed = F.transform(folded_words(text), lambda x: F.xxhash64(x))
-    return let(hashed, lambda h: F.struct(
+    return bind(hashed, lambda h: F.struct(
         F.size(h).cast("long").alias("n_words"),
-        let(runs(h, F.lit(k), lambda x, _: F.xxhash64(x)), minima).alias("prints")))
+        bind(runs(h, F.lit(k), lambda x, _: F.xxhash64(x)), minima).alias("prints")))
 
 
 def windows(text: Column, sizes: list[int]) -> Column:
@@ -66,7 +67,7 @@ def windows(text: Column, sizes: list[int]) -> Column:
         return runs(array, F.lit(n), lambda x, i: F.struct(
             i.alias("start"), F.lit(n).alias("size"), F.array_join(x, " ").alias("text")))
 
-    return let(words(text), lambda d: F.concat(*(of_size(d, n) for n in sizes)))
+    return bind(words(text), lambda d: F.concat(*(of_size(d, n) for n in sizes)))
 
 
 def item_windows(benchmark: DataFrame, span: int) -> DataFrame:
@@ -75,7 +76,7 @@ def item_windows(benchmark: DataFrame, span: int) -> DataFrame:
         size = F.least(F.size(b), F.lit(span))
         return runs(b, F.greatest(size, F.lit(1)), lambda x, _: F.struct(F.array_join(x, " ").alias("text"), size.alias("size")))
 
-    b = benchmark.select("item_id", F.explode(let(words(F.col("text")), cut)).alias("b")).select("item_id", "b.*")
+    b = benchmark.select("item_id", F.explode(bind(words(F.col("text")), cut)).alias("b")).select("item_id", "b.*")
     return b.groupBy("text", "size").agg(F.collect_set("item_id").alias("items"))
 
 
