@@ -16,6 +16,7 @@ from quire.functions.spans import PII_PATTERNS, redact, with_spans
 from quire.operators import entities as EN
 from quire.operators import retrieval as RT
 from quire.operators.review import LOOP_PREFIX, loop_id, make_uri, needs_review
+from quire.session import materialize
 
 ENTITY_STRUCT = "struct<text:string,type:string,score:double,begin_offset:int,end_offset:int>"
 
@@ -127,6 +128,8 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
     else:
         base = base.withColumn("expense_data", F.lit(None).cast(
             "struct<documents:array<struct<summary_fields:map<string,string>,line_items:array<map<string,string>>>>>"))
+    if blocks is not None:
+        base = materialize(base, "extracted")  # the block decode feeds every phase below: do it once
     base = base.withColumn("s3_uri", make_uri(F.lit(bucket), F.col("document_path")))
     has_text = F.coalesce(F.length("raw_text"), F.lit(0)) > 0
 
