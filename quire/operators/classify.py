@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.session import scratch_path
+
 MULTI_CLASS = "MULTI_CLASS"
 MULTI_LABEL = "MULTI_LABEL"
 
@@ -48,10 +50,18 @@ def train_classifier(train: DataFrame, mode: str = MULTI_CLASS, label_cols: Sequ
     models = {}
     for c in cols:
         data = train.select("text", F.col(c).cast("string").alias(c))
-        models[c] = _pipeline(c, num_features, max_iter, reg).fit(data)
+        models[c] = _stored(_pipeline(c, num_features, max_iter, reg).fit(data), train)
     return models
 
 
+def _stored(model: PipelineModel, df: DataFrame) -> PipelineModel:
+    """The model as read back from the shared folder. A freshly fitted one carries a summary of its training with the session in it,
+    which cannot be shipped to executors once the session observes metrics."""
+    path = scratch_path(df.sparkSession, "model")
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
 def class_names(model: PipelineModel) -> list[str]:
     return list(model.stages[0].labelsArray[0])
 

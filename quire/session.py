@@ -99,6 +99,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder; where none is configured, as in a local session, in a scratch folder."""
+    local = spark.sparkContext.master.startswith("local") and not _configured_checkpoint_dir(spark)
+    d = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="quire-ckpt-") if local else None)
+    return f"{d.rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute ``df`` once for several consumers and cut its lineage.
 
@@ -107,8 +114,6 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     lost executor costs a re-read. This runs a job immediately.
     """
     spark = df.sparkSession
-    local = spark.sparkContext.master.startswith("local")
-    d = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="quire-ckpt-") if local and not _configured_checkpoint_dir(spark) else None)
-    path = f"{d.rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
