@@ -93,6 +93,23 @@ def read_review_output(spark, path: str) -> DataFrame:
     return parse_review_output(raw)
 
 
+def read_review_json(spark, path: str) -> DataFrame:
+    """S12 from files, whole: ``(output_uri, output)``, the reviewer's JSON text under the address it was written to."""
+    return spark.read.option("wholetext", "true").text(path).select(
+        F.input_file_name().alias("output_uri"), F.col("value").alias("output"))
+
+
+def loop_outputs(loops: DataFrame, outputs: DataFrame) -> DataFrame:
+    """``loops(loop_id, doc_id, output_uri)`` with the whole output of each finished loop: ``(loop_id, doc_id, output_uri, output)``;
+    null where nothing was written. ``parse_review_output`` turns it into corrections keyed by ``doc_id``. Addresses are compared
+    without their scheme's slashes, which file systems write differently."""
+    def place(c):
+        return F.regexp_replace(F.col(c), "^([a-z0-9]+):/*", "$1:/")
+
+    o = outputs.select(place("output_uri").alias("__at"), "output")
+    return loops.withColumn("__at", place("output_uri")).join(o, "__at", "left").drop("__at")
+
+
 def split_uri(uri: Column) -> tuple[Column, Column]:
     """``s3://bucket/key`` -> (bucket, key); anything else -> ('', '')."""
     return (F.regexp_extract(uri, r"^s3://([^/]+)/(.*)$", 1), F.regexp_extract(uri, r"^s3://([^/]+)/(.*)$", 2))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quire.functions.splitter import split_text_separators
 from quire.operators import assembly as AS
 from quire.operators import blocks as B
-from quire.operators.review import read_review_output
+from quire.operators.review import loop_outputs, parse_review_output, read_review_json, read_review_output
 from quire.session import materialize
 from quire.sources.blocks import parse_blocks, read_blocks, response_status
 
@@ -35,6 +35,11 @@ def test_read_review_output_from_files(spark, scratch):
         f.write("{}")
     got = {(os.path.basename(r.doc_id), r.key, r.value) for r in read_review_output(spark, d).collect()}
     assert got == {("loop1.json", "total", "12.00")}
+    loops = spark.createDataFrame([("l1", 7, f"file://{d}/loop1.json"), ("l2", 8, f"file:{d}/loop2.json"), ("l3", 9, "file:/none")],
+                                  "loop_id string, doc_id long, output_uri string")
+    whole = loop_outputs(loops, read_review_json(spark, d))
+    assert {r.loop_id: r.output is not None and json.loads(r.output) != {} for r in whole.collect()} == {"l1": True, "l2": False, "l3": False}
+    assert [(r.doc_id, r.key, r.value) for r in parse_review_output(whole).collect()] == [(7, "total", "12.00")]
 
 
 def test_run_metrics_observe(spark):
