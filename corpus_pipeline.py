@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import save, table
+from quire.llm.common import hand_over_less, save, table
 
 #: The stages train models and extend hits, which SQL cannot express.
 ORACLE_SQL = None
@@ -23,6 +23,7 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents that the rule ensemble scores below 0.7 go."""
+    hand_over_less(spark)
     from quire.llm.queries import quality_labels
     from quire.llm.rule_ensemble import holds_back, train
 

@@ -15,7 +15,16 @@ from pyspark.sql import functions as F
 from quire.session import checkpoint_dir
 
 
+def hand_over_less(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand at most ``rows`` texts to a Python worker at once, unless the session has a setting of its own: ten thousand texts, Spark's default,
+    can be a large part of an executor's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    hand_over_less(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -172,7 +181,7 @@ class UnitTable:
     held, the table starts anew, so memory is bounded.
     """
 
-    def __init__(self, encode, values: int = 0, limit: int = 700_000):
+    def __init__(self, encode, values: int = 0, limit: int = 400_000):
         self.encode, self.values, self.limit = encode, values, limit
         self.clear()
 

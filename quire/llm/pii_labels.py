@@ -133,6 +133,13 @@ def more_candidates(t: str) -> Iterator[Span]:
         yield from ((m.start(1), "name", m.end(1)) for m in _NAMED.finditer(t))
 
 
+def candidates(t: str) -> tuple[list[Span], list[Span]]:
+    """Base spans, and the other candidates that meet none of them."""
+    base = base_spans(t)
+    ends = [(a, z) for a, _, z in base]
+    return base, [s for s in sorted(more_candidates(t), key=_order) if not _overlaps(ends, s)]
+
+
 def votes(t: str, span: Span, base: bool) -> str:
     """One character per labeler: ``+``, ``-`` or ``0``."""
     start, kind, end = span
@@ -190,16 +197,12 @@ def label(docs: DataFrame, keep: str = "doc_id long") -> DataFrame:
             out = {n: [] for n in (*(f"n_{k}" for k in BASE), "base_sha256", "base", "found")}
             for t in b.column("text"):
                 t = t.as_py() or ""
-                base = base_spans(t)
+                base, extra = candidates(t)
                 for k in BASE:
                     out[f"n_{k}"].append(sum(s[1] == k for s in base))
                 text = spans_text(base)
                 out["base"].append(text)
                 out["base_sha256"].append(hashlib.sha256(text.encode()).hexdigest())
-                extra, ends = [], [(a, z) for a, _, z in base]
-                for s in sorted(more_candidates(t), key=_order):
-                    if not _overlaps(ends, s):
-                        extra.append(s)
                 out["found"].append([{"kind": s[1], "start": s[0], "end": s[2], "base": is_base,
                                       "votes": votes(t, s, is_base), "shape": shape(t, s)}
                                      for some, is_base in ((base, True), (extra, False)) for s in some])
@@ -273,25 +276,28 @@ def train(found: DataFrame, rounds: int = 400) -> list[float]:
     return [float(v) for v in w]
 
 
+class Decider:
+    """The span classifier: whether a candidate is personal data. Decisions are kept per votes and shape."""
+
+    def __init__(self, weights: list[float], threshold: float):
+        self.weights, self.least, self.known = np.array(weights), float(np.log(threshold / (1 - threshold))), {}
+
+    def __call__(self, kind: str, vote: str, shp: str) -> bool:
+        key = kind, vote, shp
+        if key not in self.known:
+            self.known[key] = float(np.dot(self.weights, span_features(*key))) >= self.least
+        return self.known[key]
+
+
 def classify(found: DataFrame, weights: list[float], threshold: float = 0.5) -> DataFrame:
     """Add ``spans``: base spans and the candidates that the classifier accepts, ordered by start, then kind."""
-    w = np.array(weights)
-
     @F.pandas_udf("string")
     def decide(rows):
-        out, known = [], {}
-        for cands in rows:
-            spans = []
-            for c in cands:
-                key = c["kind"], c["votes"], c["shape"]
-                if not c["base"] and key not in known:
-                    known[key] = float(np.dot(w, span_features(*key))) >= np.log(threshold / (1 - threshold))
-                if c["base"] or known[key]:
-                    spans.append((c["start"], c["kind"], c["end"]))
-            out.append(spans_text(sorted(spans, key=_order)))
         import pandas as pd
 
-        return pd.Series(out)
+        accept = Decider(weights, threshold)
+        return pd.Series([spans_text(sorted(((c["start"], c["kind"], c["end"]) for c in cands if c["base"] or accept(
+            c["kind"], c["votes"], c["shape"])), key=_order)) for cands in rows])
 
     return found.withColumn("spans", decide("found"))
 
@@ -303,39 +309,39 @@ def detect(docs: DataFrame, keep: str = "doc_id long", threshold: float = 0.5) -
     return classify(found, train(found), threshold)
 
 
-def redact(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """Replace every span of ``spans`` in ``text`` by ``[KIND]``; overlapping spans become one, named by the first."""
-    @F.pandas_udf("string")
-    def cut(texts, marks):
-        import pandas as pd
-
-        out = []
-        for t, m in zip(texts, marks):
-            if t is None or not m:
-                out.append(t)
-                continue
-            merged: list[list] = []
-            for k, a, z in (s.split(":") for s in m.split(",")):
-                if merged and int(a) < merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], int(z))
-                else:
-                    merged.append([int(a), int(z), k])
-            parts, at = [], 0
-            for a, z, k in merged:
-                parts += [t[at:a], f"[{k.upper()}]"]
-                at = z
-            out.append("".join([*parts, t[at:]]))
-        return pd.Series(out, dtype=object)
-
-    return docs.withColumn(text, cut(text, spans))
+def masked(t: str, spans: list[Span]) -> str:
+    """Every span replaced by ``[KIND]``; overlapping spans become one, named by the first."""
+    parts, at = [], 0
+    for i, (a, kind, z) in enumerate(spans):
+        if i and a < at:
+            at = max(at, z)
+            continue
+        parts += [t[at:a], f"[{kind.upper()}]"]
+        at = z
+    return "".join([*parts, t[at:]])
 
 
 def detect_and_redact(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` with the spans that were found masked in ``text``; all columns are carried. The labelers run twice, once for the
     counts and once where the text is at hand, so no text is stored or shuffled."""
+    import pyarrow as pa
+
     weights = train(label(docs.select("text"), ""))
-    names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
-    renamed = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()), F.col("text"))
-    found = label(renamed, ", ".join(f"{names[c]} {t}" for c, t in docs.dtypes))
-    masked = redact(classify(found, weights, threshold), names["text"])
-    return masked.select(*(F.col(n).alias(c) for c, n in names.items()))
+    place = docs.columns.index("text")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+
+    def run(batches):
+        accept = Decider(weights, threshold)
+        for b in batches:
+            out = []
+            for t in b.column(place):
+                t = t.as_py()
+                base, extra = candidates(t or "")
+                spans = sorted([*base, *(s for s in extra if accept(s[1], votes(t, s, False), shape(t, s)))], key=_order)
+                out.append(masked(t, spans) if spans else t)
+            columns = list(b.columns)
+            columns[place] = pa.array(out, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = ", ".join(f"{n} {t}" for n, (_, t) in zip(names, docs.dtypes))
+    return docs.toDF(*names).mapInArrow(run, schema).toDF(*docs.columns)

@@ -141,7 +141,7 @@ def score(docs: DataFrame, model: RuleEnsemble, keep: str = "doc_id long") -> Da
 def holds_back(docs: DataFrame, model: RuleEnsemble, threshold: float) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, with their columns."""
     names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}  # a column may be named like a statistic
-    renamed = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()), F.col("text"))
-    stats = with_stats(renamed, ", ".join(f"{names[c]} {t}" for c, t in docs.dtypes))
+    renamed = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    stats = with_stats(renamed, ", ".join(f"{names[c]} {t}" for c, t in docs.dtypes), names["text"])
     known = stats.select(*names.values(), *(c.cast("double").alias(n) for n, c in features().items()))
     return known.where(model.score() >= threshold).select(*(F.col(n).alias(c) for c, n in names.items()))

@@ -52,8 +52,8 @@ def text_stats(data: np.ndarray) -> list[int]:
             int(hist[33]), int(hist[124]), int(hist[46]), int((ends - starts).max()) if n else 0]
 
 
-def with_stats(docs: DataFrame, keep: str = "doc_id long") -> DataFrame:
-    """``docs`` with one column per statistic; ``keep`` lists the columns (with types) to carry. Null text is
+def with_stats(docs: DataFrame, keep: str = "doc_id long", text: str = "text") -> DataFrame:
+    """``docs`` with one column per statistic of ``text``; ``keep`` lists the columns (with types) to carry. Null text is
     empty; all statistics of a text without words other than its characters are 0."""
     import pyarrow as pa
 
@@ -61,9 +61,9 @@ def with_stats(docs: DataFrame, keep: str = "doc_id long") -> DataFrame:
 
     def run(batches):
         for b in batches:
-            rows = np.array([text_stats(t) for t in text_bytes(b.column("text"))], np.int64).reshape(-1, len(STATS))
+            rows = np.array([text_stats(t) for t in text_bytes(b.column(text))], np.int64).reshape(-1, len(STATS))
             yield pa.RecordBatch.from_arrays(
                 [b.column(c) for c in names] + [pa.array(rows[:, i]) for i in range(len(STATS))],
                 names=[*names, *STATS])
 
-    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(run, ", ".join([keep, *(f"{s} long" for s in STATS)]))
+    return docs.select(*dict.fromkeys([*names, text])).mapInArrow(run, ", ".join([keep, *(f"{s} long" for s in STATS)]))
