@@ -5,19 +5,23 @@ classes link when their Jaccard similarity reaches ``percent`` / 100 (compared i
 
 1. Half of all tokens (those with an even hash) are counted in blocks that reach one bucket each; the most frequent ones, a bounded
    number, are sent to all tasks with their frequency.
-2. First order: rare tokens first (known frequencies by powers of two), then by hash. Under any order two linked sets
+2. First order: counted tokens that are rare, then those not counted, then frequent ones by powers of two; each by hash. Under any order two linked sets
    share a token among the first ``n - ceil(n * percent / 100) + 1``, so classes are posted under these tokens only; the frequencies
    keep passages that many documents share out of the prefixes.
-3. Classes that meet under a token meet again in the group of that token's least class. A group has a row per class, however
+3. Classes of fitting sizes that meet under a token meet again in the group of the smallest class among them (large texts
+   meet many others, small ones few). A group has a row per class, however
    many tokens it shares, and never a row per pair. Groups beyond ``BLOCK`` rows are split at random; every part also gets
-   the group's first class, and what is not linked to it visits all parts in a second round, so every pair meets.
-4. Inside a group the pairs must also share a prefix token under two further orders (other hashes of the tokens); those that pass all
+   the group's first class, and what is not linked to it visits all parts in a second round, in blocks, so every pair
+   meets and no task gets more than two blocks.
+4. To a group come first only the posted tokens that classes share, with their positions. Linked sets share so many of them that the tokens
+   that follow can make up the overlap; pairs below that go, and so do classes left without a pair. Only then do the sets follow.
+5. Remaining pairs must also share prefix tokens under two further orders (other hashes of the tokens); those that pass all
    filters and are not connected yet are verified by exact counts.
-5. The links, at most one per class and group, are joined into components.
+6. The links, at most one per class and group, are joined into components.
 
 Defined cases: null or wordless text has the empty set and links with nothing; fewer words than ``width`` make one
-shingle; repeated rows and equal texts are one class; a null ``doc_id`` keeps its row and is no component's least
-id; documents without any id in their component get a null component; an empty table gives no rows; further columns are ignored.
+shingle; repeated rows and equal texts are one class; a null ``doc_id`` keeps its row, is no component's least
+id and is linked only through an equal text that has an id; documents without any id in their component get a null component; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,14 +30,19 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import RangeHash, byte_symbols, lower_ascii, mix, save, slices, word_bounds
+from quire.llm.common import RangeHash, batches_of, byte_symbols, lower_ascii, mix, save, slices, word_bounds
 from quire.llm.components import connected
 
 WIDTH, PERCENT = 5, 75
 #: Tokens whose frequency is sent to all tasks (12 bytes each), and the least frequency that counts as known.
-KNOWN_TOKENS, KNOWN_FROM = 1 << 21, 4
+KNOWN_TOKENS, KNOWN_FROM = 1 << 20, 4
 BLOCK = 2000
+#: Postings that are cut into blocks at once.
+POSTINGS_AT_ONCE = 400_000
 _SLICE = 8 << 20
+POSTING = np.dtype([("token", "<u8"), ("cls", "<i8"), ("n", "<u4"), ("pos", "<u4"), ("last", "<u4")])
+MEETING = np.dtype([("cls", "<i8"), ("n", "<u4"), ("pos", "<u4"), ("last", "<u4"), ("token", "<u8"), ("home", "<i8")])
+SHARED = np.dtype([("token", "<u8"), ("pos", "<u4")])
 _ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25))
 
 
@@ -148,102 +157,238 @@ def known_frequencies(blocks: DataFrame, bits: int, limit: int) -> tuple[np.ndar
 
     found = _streamed(blocks, "bucket", count, "token long, level int",
                       pa.schema([("token", pa.int64()), ("level", pa.int32())]))
-    top = found.orderBy(F.desc("level"), "token").limit(limit).toPandas()
-    order = np.argsort(top["token"].to_numpy())
-    return top["token"].to_numpy(np.int64)[order], top["level"].to_numpy(np.int32)[order].astype(np.int8)
+    top = found.orderBy(F.desc("level"), "token").limit(limit).toArrow()
+    tokens, levels = top["token"].to_numpy(), top["level"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], levels[order].astype(np.int8)
 
 
 def postings(docs: DataFrame, known, bits: int, width: int, percent: int) -> DataFrame:
-    """Blocks ``(bucket, tokens, classes)``: the prefixes of the distinct classes of a slice under the first order."""
+    """Blocks of postings: the prefixes of the distinct classes of a slice under the first order."""
     import pyarrow as pa
 
-    schema = pa.schema([("bucket", pa.int64()), ("tokens", pa.binary()), ("classes", pa.binary())])
+    schema = pa.schema([("bucket", pa.int64()), ("block", pa.binary())])
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
         names, levels = shared.value
+        posts, size = [], 0
         for texts, _ in _texts(batches):
-            tokens, owner, done = [], [], set()
+            done = set()
             for t in texts:
                 s = shingles(t, width)
                 c = class_of(s)
                 if c in done or not len(s):
                     continue
                 done.add(c)
+                n = len(s)
+                level = (s & np.uint64(1)).astype(np.uint32)  # 0: counted and rare, 1: not counted, then by frequency
                 if len(names):
                     short = (s >> np.uint64(32 - bits)).astype(np.int64)
                     at = np.minimum(np.searchsorted(names, short), len(names) - 1)
-                    level = np.where((names[at] == short) & (s & np.uint64(1) == 0), levels[at], 0)
-                    s = s[np.argsort(level, kind="stable")]
-                s = s[:prefix_size(len(s), percent)]
-                tokens.append(s)
-                owner.append(np.full(len(s), c, np.int64))
-            if tokens:
-                tokens, owner = np.concatenate(tokens), np.concatenate(owner)
-                got = [(k, a.tobytes(), b.tobytes()) for k, (a, b) in _by_bucket(tokens, bits, [tokens, owner])]
-                yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], schema.types[i]) for i in range(3)],
-                                                 schema=schema)
-
-    return docs.select("text").mapInArrow(run, "bucket long, tokens binary, classes binary")
-
-
-def meetings(blocks: DataFrame) -> DataFrame:
-    """Distinct ``(home, cls)``: every class that shares a posted token with others, under the token's least class."""
+                    known = (names[at] == short) & (level == 0)
+                    level[known] = levels[at[known]] + 1
+                place = level << np.uint32(26) | (s >> np.uint64(38)).astype(np.uint32)
+                by = np.argsort(place, kind="stable")
+                s, place = s[by], place[by]
+                p = np.empty(prefix_size(n, percent), POSTING)
+                p["token"], p["cls"], p["n"], p["pos"], p["last"] = s[:len(p)], c, n, np.arange(1, len(p) + 1), place[len(p) - 1]
+                posts.append(p)
+                size += len(p)
+            if size >= POSTINGS_AT_ONCE:
+                yield blocks(np.concatenate(posts))
+                posts, size = [], 0
+        if size:
+            yield blocks(np.concatenate(posts))
+
+    def blocks(p):
+        got = [(k, c[0].tobytes()) for k, c in _by_bucket(p["token"], bits, [p])]
+        return pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], schema.types[i]) for i in range(2)], schema=schema)
+
+    return docs.select("text").mapInArrow(run, "bucket long, block binary")
+
+
+def _bounds(*same: np.ndarray) -> np.ndarray:
+    """Start of every run of equal rows in sorted columns, and the end."""
+    new = np.zeros(len(same[0]) + 1, bool)
+    new[[0, -1]] = True
+    for c in same:
+        new[1:-1] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def size_bands(percent: int, most: int = 1 << 32) -> np.ndarray:
+    """First sizes of bands, such that sets of similar enough sizes are in the same band or in neighbouring ones."""
+    out = [1]
+    while out[-1] < most:
+        out.append(out[-1] * 100 // percent + 1)
+    return np.array(out)
+
+
+def meetings(blocks: DataFrame, bits: int, percent: int) -> DataFrame:
+    """Classes that meet others of a fitting size: ``cls, n``, the place of the ``last`` token of the prefix in the order, the ``tokens``
+    under which they meet others with their positions in the prefix, and the ``homes``."""
     import pyarrow as pa
 
-    def meet(_, rows):
-        tokens = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in rows["tokens"]])
-        cls = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in rows["classes"]])
-        order = np.lexsort((cls, tokens))
-        tokens, cls = tokens[order], cls[order]
-        first = np.concatenate([[True], tokens[1:] != tokens[:-1]])
-        start = np.flatnonzero(first)
-        home = np.repeat(cls[start], np.diff(np.append(start, len(cls))))
-        away = home != cls
-        pairs = np.unique(np.stack([home[away], cls[away]], 1), axis=0)
-        return pairs[:, 0], pairs[:, 1]
+    schema, bands = pa.schema([("bucket", pa.int64()), ("block", pa.binary())]), size_bands(percent)
+    profile = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("last", pa.int64()), ("tokens", pa.binary()),
+                         ("homes", pa.list_(pa.int64()))])
 
-    return _streamed(blocks, "bucket", meet, "home long, cls long",
-                     pa.schema([("home", pa.int64()), ("cls", pa.int64())])).distinct()
+    def meet(_, rows):
+        p = np.concatenate([np.frombuffer(x.as_py(), POSTING) for x in rows["block"]])
+        p = p[np.lexsort((p["cls"], p["n"], p["token"]))]
+        p = p[_bounds(p["token"], p["cls"])[:-1]]
+        # a size band and the next one hold all partners of the band's classes: a list is cut into such pairs of bands
+        band = np.searchsorted(bands, p["n"], side="right")
+        row = np.concatenate([np.arange(len(p)), np.arange(len(p))])
+        low = np.concatenate([band, band - 1])
+        upper = np.arange(len(row)) >= len(p)
+        by = np.lexsort((row, low, p["token"][row]))
+        row, low, upper = row[by], low[by], upper[by]
+        cut = _bounds(p["token"][row], low)
+        size = np.diff(cut)
+        keep = (size > 1) & ~upper[cut[:-1]]  # rows are by size, so a group without the lower band starts with the upper
+        out = np.empty(len(row), MEETING)
+        for name in ("cls", "n", "token", "pos", "last"):
+            out[name] = p[name][row]
+        out["home"] = np.repeat(p["cls"][row[cut[:-1]]], size)
+        out = out[np.repeat(keep, size)]
+        if not len(out):
+            return None
+        got = list(_by_bucket(mix(out["cls"].astype(np.uint64)), bits, [out]))
+        return [k for k, _ in got], [c[0].tobytes() for _, c in got]
+
+    def gather(_, rows):
+        m = np.concatenate([np.frombuffer(x.as_py(), MEETING) for x in rows["block"]])
+        m = m[np.lexsort((m["token"], m["cls"]))]
+        parts = [m[a:z] for a, z in zip(*(lambda c: (c[:-1], c[1:]))(_bounds(m["cls"])))]
+        shared = []
+        for x in parts:
+            x = x[_bounds(x["token"])[:-1]]
+            t = np.empty(len(x), SHARED)
+            t["token"], t["pos"] = x["token"], x["pos"]
+            shared.append(t.tobytes())
+        return ([int(x["cls"][0]) for x in parts], [int(x["n"][0]) for x in parts], [int(x["last"][0]) for x in parts], shared,
+                [np.unique(x["home"]).tolist() for x in parts])
+
+    met = _streamed(blocks, "bucket", meet, "bucket long, block binary", schema)
+    return _streamed(met, "bucket", gather, "cls long, n long, last long, tokens binary, homes array<bigint>", profile)
+
+
+_DENSE = 64
+
+
+def _lists(tokens: np.ndarray, owner: np.ndarray):
+    """Entries sorted by token, the starts of the tokens' lists, and which entries are in short lists."""
+    order = np.lexsort((owner, tokens))
+    cut = _bounds(tokens[order])
+    size = np.diff(cut)
+    return order, cut, size, np.repeat(size <= _DENSE, size)
+
+
+def pair_counts(tokens: np.ndarray, owner: np.ndarray, rows: int, pos: np.ndarray | None = None):
+    """Rows x rows matrix of the number of shared tokens. Tokens of many rows are counted by matrix products, a thousand at a time, the
+    others by pairing the entries of each token's short list. With ``pos``, also the matrix of the greatest position in
+    the row of a token that the column shares."""
+    order, cut, size, few = _lists(tokens, owner)
+    tokens, owner = tokens[order], owner[order].astype(np.int64)
+    both = np.zeros(rows * rows, np.int32)
+    reach = np.zeros((rows, rows), np.int32) if pos is not None else None
+    t, o = tokens[few], owner[few]
+    q = pos[order][few].astype(np.int32) if pos is not None else None
+    for d in range(1, _DENSE):
+        same = np.flatnonzero(t[d:] == t[:-d]) if len(t) > d else []
+        if not len(same):
+            break
+        np.add.at(both, o[same] * rows + o[same + d], 1)
+        if pos is not None:
+            np.maximum.at(reach, (o[same], o[same + d]), q[same])
+            np.maximum.at(reach, (o[same + d], o[same]), q[same + d])
+    both = both.reshape(rows, rows)
+    both += both.T
+    column = np.repeat(np.cumsum(size > _DENSE) - 1, size)[~few]
+    many = owner[~few]
+    for first in range(0, int((size > _DENSE).sum()), 1024):
+        sel = (column >= first) & (column < first + 1024)
+        part = np.zeros((rows, 1024), np.float32)
+        part[many[sel], column[sel] - first] = 1
+        both += (part @ part.T).astype(np.int32)
+    if pos is None:
+        return both
+    for k in np.flatnonzero(size > _DENSE):
+        m, p = owner[cut[k]:cut[k + 1]], pos[order[cut[k]:cut[k + 1]]].astype(np.int32)
+        at = np.ix_(m, m)
+        reach[at] = np.maximum(reach[at], p[:, None])
+    return both, reach
+
+
+def pairs_that_fit(n: np.ndarray, visitor: np.ndarray, percent: int) -> np.ndarray:
+    fits = 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
+    np.fill_diagonal(fits, False)
+    if visitor.any():
+        fits &= visitor[:, None] != visitor
+    return fits
+
+
+def _tree(linked: np.ndarray):
+    """Component of every row of a symmetric matrix of links, and links that connect each one."""
+    comp = np.full(len(linked), -1)
+    edges = []
+    for i in range(len(linked)):
+        if comp[i] < 0:
+            comp[i] = i
+            queue = [i]
+            while queue:
+                a = queue.pop()
+                for b in np.flatnonzero(linked[a] & (comp < 0)).tolist():
+                    comp[b] = i
+                    edges.append((a, b))
+                    queue.append(b)
+    return comp, edges
+
+
+def _owners(parts: list[np.ndarray]):
+    return np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+
+
+def prune(n: np.ndarray, last: np.ndarray, shared: list[np.ndarray], visitor: np.ndarray, percent: int) -> np.ndarray:
+    """Number of the cluster of every class, by the pairs whose shared prefix tokens allow a link; -1: none.
+
+    Say the prefix of ``a`` ends before that of ``b``. What ``a``'s prefix shares with ``b`` is then shared by the prefixes; beyond it ``a``
+    has ``n_a - p_a`` tokens, and ``b`` has at most those after the last shared token. The overlap cannot exceed the sum.
+    """
+    fits = pairs_that_fit(n, visitor, percent)
+    entries, owner = _owners(shared)
+    both, reach = pair_counts(entries["token"], owner, len(n), entries["pos"])
+    rest = n - prefix_size(n, percent)
+    mine = np.minimum(rest[:, None], n - reach.T)  # if the row's prefix ends first
+    bound = np.where(last[:, None] < last, mine, np.where(last[:, None] > last, mine.T, np.maximum(mine, mine.T)))
+    least = -(-percent * (n[:, None] + n) // (100 + percent))  # of the overlap
+    fits &= (both > 0) & (both + bound >= least)
+    return np.where(fits.any(1), _tree(fits)[0], -1)
 
 
 def verify(cls: np.ndarray, sets: list[np.ndarray], visitor: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect the classes of a group; ``visitor`` marks classes of which only pairs with others or each other are asked
-    (all, if none is marked)."""
+    """Links that connect the classes of a group. If some are marked as visitors, only their pairs with others are asked."""
     n = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), n)
-    tokens, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    column = np.cumsum(counts > 1) - 1
-    shared = counts[inverse] > 1
-    rows, cols = owner[shared], column[inverse[shared]]
-    width = int((counts > 1).sum())
-    if not width:
-        return []
-    full = np.zeros((len(sets), width), np.float32)
-    full[rows, cols] = 1
-    fits = 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
-    np.fill_diagonal(fits, False)
+    tokens, owner = _owners(sets)
+    fits = pairs_that_fit(n, visitor, percent)
     for salt in _ORDERS:  # the prefixes under the other orders must meet as well
-        key = mix(tokens ^ salt)
-        place = np.lexsort((key[inverse], owner))
+        place = np.lexsort((mix(tokens ^ salt), owner))
         rank = np.empty(len(owner), np.int64)
         rank[place] = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        pre = rank[shared] < prefix_size(n, percent)[rows]
-        part = np.zeros_like(full)
-        part[rows[pre], cols[pre]] = 1
-        fits &= part @ part.T > 0
-    comp = np.arange(len(sets))
-    links = []
-    asked = visitor if visitor.any() else np.ones(len(sets), bool)
-    for i in np.argsort(-fits.sum(1), kind="stable"):
-        others = np.flatnonzero(fits[i] & (comp != comp[i]) & (asked | asked[i]))
-        if len(others):
-            both = (full[others] @ full[i]).astype(np.int64)
-            for j in others[100 * both >= percent * (n[others] + n[i] - both)]:
-                if comp[j] != comp[i]:
-                    links.append((int(cls[i]), int(cls[j])))
-                    comp[comp == comp[j]] = comp[i]
-    return links
+        pre = rank < prefix_size(n, percent)[owner]
+        fits &= pair_counts(tokens[pre], owner[pre], len(n)) > 0
+    if not fits.any():
+        return []
+    asked = np.flatnonzero(fits.any(1))
+    place = np.full(len(n), -1)
+    place[asked] = np.arange(len(asked))
+    there = place[owner] >= 0
+    both = pair_counts(tokens[there], place[owner[there]], len(asked)).astype(np.int64)
+    m = n[asked]
+    linked = fits[np.ix_(asked, asked)] & (100 * both >= percent * (m[:, None] + m - both))
+    return [(int(cls[asked[a]]), int(cls[asked[b]])) for a, b in _tree(linked)[1]]
 
 
 def _pack(tokens: np.ndarray) -> bytes:
@@ -257,12 +402,21 @@ def _unpack(data: bytes) -> np.ndarray:
     return raw.reshape(-1).view("<u8")
 
 
-def verify_groups(docs: DataFrame, visits: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """``visits`` (``grp, cls, visitor``) -> links ``(src, dst)`` and, per group, ``done`` rows. Texts of the classes concerned are read once
-    and their sets sent to every group that they visit."""
+def verify_groups(docs: DataFrame, visits: DataFrame, profiles: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
+    """``visits`` (``grp, cls, visitor``) -> links ``(src, dst)``. The classes that remain after ``prune`` have their texts read once and their sets
+    sent to every cluster that they belong to."""
     import pyarrow as pa
 
-    sets = pa.schema([("grp", pa.int64()), ("cls", pa.int64()), ("visitor", pa.bool_()), ("tokens", pa.binary())])
+    kept = pa.schema([("cluster", pa.int64()), ("cls", pa.int64()), ("visitor", pa.bool_())])
+    sets = pa.schema([("cluster", pa.int64()), ("cls", pa.int64()), ("visitor", pa.bool_()), ("tokens", pa.binary())])
+
+    def select(grp, rows):
+        cls, visitor = rows["cls"].to_numpy(), rows["visitor"].to_numpy()
+        part = prune(rows["n"].to_numpy(), rows["last"].to_numpy(), [np.frombuffer(x.as_py(), SHARED) for x in rows["tokens"]],
+                     visitor, percent)
+        keep = part >= 0
+        name = mix(cls[part[keep]].astype(np.uint64) ^ mix(np.array([grp], np.int64).view(np.uint64))).view(np.int64)
+        return name, cls[keep], visitor[keep]
 
     def emit(batches):
         for b in batches:
@@ -272,7 +426,7 @@ def verify_groups(docs: DataFrame, visits: DataFrame, reps: DataFrame, width: in
                 for i in range(hi - lo):
                     packed = _pack(shingles(data[offsets[i]:offsets[i + 1]], width))
                     for p in places[i]:
-                        for column, value in zip(out, (p["grp"], cls[i].as_py(), p["visitor"], packed)):
+                        for column, value in zip(out, (p["cluster"], cls[i].as_py(), p["visitor"], packed)):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, sets.types)], schema=sets)
 
@@ -281,11 +435,14 @@ def verify_groups(docs: DataFrame, visits: DataFrame, reps: DataFrame, width: in
         links = verify(cls, [_unpack(x.as_py()) for x in rows["tokens"]], rows["visitor"].to_numpy(), percent)
         return [a for a, _ in links], [b for _, b in links]
 
-    places = visits.groupBy("cls").agg(F.collect_list(F.struct("grp", "visitor")).alias("places"))
+    rows = visits.join(profiles.select("cls", "n", "last", "tokens"), "cls")
+    left = save(_streamed(rows, "grp", select, "cluster long, cls long, visitor boolean", kept, "cls"), "clusters")
+    places = left.groupBy("cls").agg(F.collect_list(F.struct("cluster", "visitor")).alias("places"))
     wanted = places.join(reps, "cls").select("cls", "places", F.col("rep").alias("doc_id"))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
-    rows = texts.mapInArrow(emit, "grp long, cls long, visitor boolean, tokens binary")
-    return _streamed(rows, "grp", check, "src long, dst long", pa.schema([("src", pa.int64()), ("dst", pa.int64())]), "cls")
+    # the ids grow with the documents: a shuffle join at every size
+    texts = docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), "doc_id")
+    rows = texts.mapInArrow(emit, "cluster long, cls long, visitor boolean, tokens binary")
+    return _streamed(rows, "cluster", check, "src long, dst long", pa.schema([("src", pa.int64()), ("dst", pa.int64())]), "cls")
 
 
 def join_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, known_tokens: int = KNOWN_TOKENS,
@@ -294,17 +451,21 @@ def join_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     spark = docs.sparkSession
     bits = max(6, (4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))).bit_length() - 1)
     scanned = save(scan(docs, bits, width), "shingles")
-    known = known_frequencies(scanned.where("bucket is not null").select("bucket", "block"), bits, known_tokens)
+    with batches_of(spark, 400):  # rows are blocks
+        known = known_frequencies(scanned.where("bucket is not null").select("bucket", "block"), bits, known_tokens)
     rows = scanned.where("bucket is null").select("doc_id", "n", "cls")
     reps = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-    met = save(meetings(postings(docs, known, bits, width, percent)), "meetings")
+    with batches_of(spark, 400):
+        profiles = save(meetings(postings(docs, known, bits, width, percent), bits, percent), "meetings")
+    met = profiles.select("cls", F.explode("homes").alias("home"))
     sizes = met.groupBy("home").agg(F.ceil(F.count("*") / block).alias("parts"))
     groups = save(sizes, "groups")
-    part = met.join(groups, "home").withColumn("p", F.pmod(F.xxhash64("cls", "home"), F.col("parts")))
+    part = met.where("cls <> home").join(groups, "home").withColumn("p", F.pmod(F.xxhash64("cls", "home"), F.col("parts")))
     grp = F.xxhash64("home", "p")
     home = groups.select("home", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("p"))
     first = part.select(grp.alias("grp"), "cls").unionByName(home.select(grp.alias("grp"), F.col("home").alias("cls")))
-    links = save(verify_groups(docs, first.withColumn("visitor", F.lit(False)), reps, width, percent), "links")
+    with batches_of(spark, 400):
+        links = save(verify_groups(docs, first.withColumn("visitor", F.lit(False)), profiles, reps, width, percent), "links")
     large = part.where("parts > 1")
     if large.limit(1).count():
         # classes of split groups that did not reach the group's first class visit all of its parts
@@ -312,12 +473,20 @@ def join_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         roots = label.select(F.col("cls").alias("home"), F.col("component").alias("home_comp"))
         apart = large.join(label, "cls", "left").join(roots, "home", "left").where(
             ~F.coalesce(F.col("component") == F.col("home_comp"), F.lit(False))).select("home", "cls", "parts")
-        tour = apart.select("home", "cls", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("p"))
-        tour = tour.select(grp.alias("grp"), "cls", F.lit(True).alias("visitor"))
-        stay = large.join(apart.select("home").distinct(), "home", "left_semi").select(
+        apart = save(apart, "apart")
+        tours = save(apart.groupBy("home").agg(F.ceil(F.count("*") / block).alias("tours")), "tours")
+        apart = apart.join(tours, "home").withColumn("q", F.pmod(F.xxhash64("home", "cls"), F.col("tours")))
+        grp = F.xxhash64("home", "p", "q")
+        every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+        tour = apart.select("home", "cls", "q", F.explode(every).alias("p")).select(
+            grp.alias("grp"), "cls", F.lit(True).alias("visitor"))
+        stay = large.join(tours, "home").select("home", "cls", "p", F.explode(
+            F.sequence(F.lit(0).cast("long"), F.col("tours") - 1)).alias("q")).select(
             grp.alias("grp"), "cls", F.lit(False).alias("visitor"))
-        again = stay.unionByName(tour).groupBy("grp", "cls").agg(F.max("visitor").alias("visitor"))
-        links = save(links.unionByName(verify_groups(docs, again, reps, width, percent)), "links")
+        # a class that visits its own part stays in it: it meets the other visitors there
+        again = stay.unionByName(tour).groupBy("grp", "cls").agg(F.min("visitor").alias("visitor"))
+        with batches_of(spark, 400):
+            links = save(links.unionByName(verify_groups(docs, again, profiles, reps, width, percent)), "links")
     label = connected(links)
     named = rows.join(label, rows["cls"] == label["node"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "cls").alias("comp"))
