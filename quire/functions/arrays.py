@@ -26,7 +26,7 @@ def bind(value: Column, body) -> Column:
     A column that a lambda reads is not safe as a column of its own: where it is referenced once, Catalyst inlines its
     expression into the lambda, which then evaluates it per element. A lambda's own variable is a value.
     """
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.element_at(F.transform(F.array(value), lambda v: body(v)), 1)  # a one-argument lambda: ``body`` may have more
 
 
 # Arrays up to this length use a plain fold (quadratic copying is negligible there); longer ones the blocked form.
