@@ -16,7 +16,9 @@ packed blocks in the shared folder, replaced as a whole.
 The edges are resolved exactly: the bytes under their windows are sent to the seed's bucket, where the windows are matched one by one. Places and
 texts travel as packed blocks, so there is never a row per suffix, window or pair. Entries of a text that repeat are
 counted where they arise, and seeds that a small part of the documents shows to be frequent in different surroundings are keyed by
-seed and flank, so neither copies nor common lines gather in one task.
+seed and flank, so neither copies nor common lines gather in one task. Where seed and flank are frequent too (a passage that very
+many documents share), the entries skip the index: hashes of their windows are sent to the bucket of the window's own hash, windows
+that occur twice in what a task holds as one record, so common passages do not gather either.
 
 Defined cases: null text is empty; texts shorter than ``SPAN`` keep all bytes; repeated rows are documents of their
 own; a null ``doc_id`` is returned as it is; an empty table gives no rows; further columns are ignored. Strings are
@@ -40,6 +42,8 @@ FLANK = (SPAN + SEED) // 2
 BATCHES = 3
 #: A seed with this many different surroundings in one ``1 / HOT_PART`` part of the documents is keyed by its flanks.
 HOT_FROM, HOT_PART, HOT_LIMIT = 24, 16, 1 << 20
+#: A seed and flank with this many different contents in that part: the windows are matched by their own hash.
+WIDE_FROM = 128
 
 #: Rows, most of them blocks, that a Python worker gets at once.
 BLOCKS_AT_ONCE = 400
@@ -47,12 +51,15 @@ BLOCKS_AT_ONCE = 400
 PIECE = 2000
 #: Entries that are sorted and cut into blocks at once.
 ENTRIES_AT_ONCE = 200_000
+#: Windows that are matched in a task before they are sent.
+WINDOWS_AT_ONCE = 500_000
 
 ENTRY = np.dtype([("key", "<u8"), ("all", "<u8"), ("right", "<u2"), ("left", "<u2"), ("doc", "<i8"), ("at", "<u4"),
                   ("back", "u1"), ("len", "u1"), ("twice", "u1")])
 #: A range of windows of a text: the windows starting at ``at`` to ``at + len - 1``; ``gives``: they occur twice anyway and
-#: only serve others.
-PLACE = np.dtype([("doc", "<i8"), ("at", "<u4"), ("key", "<u8"), ("len", "u1"), ("gives", "u1")])
+#: only serve others; ``wide``: they are matched by their own hash.
+PLACE = np.dtype([("doc", "<i8"), ("at", "<u4"), ("key", "<u8"), ("len", "u1"), ("gives", "u1"), ("wide", "u1")])
+WINDOW = np.dtype([("one", "<u8"), ("two", "<u8"), ("doc", "<i8"), ("at", "<u4"), ("gives", "u1")])
 STRETCH = np.dtype([("doc", "<i8"), ("start", "<u4"), ("end", "<u4")])
 
 
@@ -85,6 +92,16 @@ def entries(data: np.ndarray, doc: int, twice: bool, span: int = SPAN, seed: int
     return out
 
 
+def by_flank(e: np.ndarray, left: bool) -> np.ndarray:
+    """Keys of seed and flank."""
+    return mix(e["key"] ^ (e["left"].astype(np.uint64) << np.uint64(20) if left else e["right"].astype(np.uint64)))
+
+
+def _among(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of ``keys`` are in the sorted ``known``."""
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), bool)
+
+
 def _same_as_before(*columns: np.ndarray) -> np.ndarray:
     same = np.ones(len(columns[0]), bool)
     same[:1] = False
@@ -116,6 +133,20 @@ def stretches(e: np.ndarray, span: int) -> np.ndarray:
     return out
 
 
+def places_under(e: np.ndarray, left: bool, span: int, seed: int) -> np.ndarray:
+    """The windows of entries that contain a flank; right: windows that start near the seed; left: those that start far
+    before it."""
+    flank = (span + seed) // 2
+    back, n = e["back"].astype(np.int64), e["len"].astype(np.int64)
+    low = np.zeros(len(e), np.int64) if left else np.maximum(back - (span - flank), 0)
+    high = np.minimum(n, back - (flank - seed) + 1) if left else n
+    ok = high > low
+    p = np.zeros(int(ok.sum()), PLACE)
+    p["doc"], p["at"], p["len"] = e["doc"][ok], e["at"][ok] + low[ok].astype(np.uint32), (high - low)[ok]
+    p["gives"], p["key"] = e["twice"][ok], e["key"][ok]
+    return p
+
+
 def scan_merge(new: np.ndarray, old: np.ndarray, span: int = SPAN, seed: int = SEED):
     """Scan a batch's array against the levels' arrays of a bucket -> (the batch's distinct entries, the stretches that certainly
     occur twice, the places to be resolved)."""
@@ -144,18 +175,7 @@ def scan_merge(new: np.ndarray, old: np.ndarray, span: int = SPAN, seed: int = S
         fresh[i][by] = _group_any(kept[by], s)
         asks[i][by] = _group_any(u["twice"][by] == 0, s)
     use = shares & fresh & asks
-    places = []
-    flank = (span + seed) // 2
-    for i in range(2):  # right flank: windows that start near the seed; left flank: those that start far before it
-        sel = u[use[i]]
-        low = np.zeros(len(sel), np.int64) if i else np.maximum(sel["back"].astype(np.int64) - (span - flank), 0)
-        high = (np.minimum(sel["len"].astype(np.int64), sel["back"].astype(np.int64) - (flank - seed) + 1)
-                if i else sel["len"].astype(np.int64))
-        ok = high > low
-        p = np.zeros(int(ok.sum()), PLACE)
-        p["doc"], p["at"], p["len"] = sel["doc"][ok], sel["at"][ok] + low[ok].astype(np.uint32), (high - low)[ok]
-        p["gives"], p["key"] = sel["twice"][ok], sel["key"][ok]
-        places.append(p)
+    places = [places_under(u[use[i]], i == 1, span, seed) for i in range(2)]
     mine = np.zeros(len(u), bool)
     mine[:] = kept
     return u[mine], certain, np.concatenate(places)
@@ -192,13 +212,14 @@ def _batch_of(rows: list, schema):
 class LogIndex:
     """Logarithmic family of suffix arrays. ``insert`` takes ``(cls, text)`` rows and returns the blocks of what it found."""
 
-    def __init__(self, spark: SparkSession, hot: np.ndarray, bits: int, span: int = SPAN, seed: int = SEED):
+    def __init__(self, spark: SparkSession, hot: np.ndarray, bits: int, span: int = SPAN, seed: int = SEED,
+                 wide: np.ndarray = np.zeros(0, np.uint64)):
         self.spark, self.bits, self.span, self.seed = spark, bits, span, seed
-        self.hot = spark.sparkContext.broadcast(hot)
+        self.frequent = spark.sparkContext.broadcast((hot, wide))
         self.levels: list[tuple[int, str]] = []  # (number of batches inside, folder of the blocks), largest first
 
     def array_of(self, texts: DataFrame) -> DataFrame:
-        bits, span, seed, shared, schema = self.bits, self.span, self.seed, self.hot, _block_schema()
+        bits, span, seed, shared, schema = self.bits, self.span, self.seed, self.frequent, _block_schema()
 
         def run(batches):
             held, size = [], 0  # entries of several batches, so that blocks are not tiny
@@ -213,15 +234,23 @@ class LogIndex:
                 yield blocks(np.concatenate(held))
 
         def blocks(e):
-            hot = shared.value
-            if len(hot):
-                found = hot[np.minimum(np.searchsorted(hot, e["key"]), len(hot) - 1)] == e["key"]
-                right, left = e[found].copy(), e[found].copy()
-                right["key"] = mix(right["key"] ^ right["right"].astype(np.uint64))
-                left["key"] = mix(left["key"] ^ (left["left"].astype(np.uint64) << np.uint64(20)))
-                e = np.concatenate([e[~found], right, left])
+            hot, wide = shared.value
+            found, rows, at_once = _among(hot, e["key"]), [], []
+            if found.any():
+                sides = [e[~found]]
+                for left in (False, True):
+                    side = e[found].copy()
+                    side["key"] = by_flank(side, left)
+                    many = _among(wide, side["key"])
+                    at_once.append((left, *distinct(side[many])))
+                    sides.append(side[~many])
+                e = np.concatenate(sides)
             s, keep = distinct(e)
-            rows = [(k, "entry", c[0].tobytes()) for k, c in _by_bucket(s["key"][keep], bits, [s[keep]])]
+            rows += [(k, "entry", c[0].tobytes()) for k, c in _by_bucket(s["key"][keep], bits, [s[keep]])]
+            for left, w, first in at_once:
+                p = places_under(w[first], left, span, seed)
+                p["wide"] = 1
+                rows += [*_docs_in_blocks(p, bits, "place"), *_docs_in_blocks(stretches(w[w["twice"] > 0], span), bits, "stretch")]
             return _batch_of(rows + list(_docs_in_blocks(stretches(s[~keep], span), bits, "stretch")), schema)
 
         return texts.mapInArrow(run, _BLOCKS)
@@ -235,7 +264,7 @@ class LogIndex:
             kind = rows["kind"].to_pylist()
             part = {k: [np.frombuffer(x.as_py(), ENTRY) for x, y in zip(rows["block"], kind) if y == k]
                     for k in ("entry", "level")}
-            out = [(bucket, "stretch", x.as_py()) for x, y in zip(rows["block"], kind) if y == "stretch"]
+            out = [(bucket, y, x.as_py()) for x, y in zip(rows["block"], kind) if y in ("stretch", "place")]
             if part["entry"]:
                 old = np.concatenate(part["level"]) if part["level"] else np.zeros(0, ENTRY)
                 mine, certain, places = scan_merge(np.concatenate(part["entry"]), old, span, seed)
@@ -244,7 +273,7 @@ class LogIndex:
                 out += [*_docs_in_blocks(certain, bits, "stretch"), *_docs_in_blocks(places, bits, "place")]
             return tuple(zip(*out)) if out else None
 
-        # stretches of the batch itself are already by document; they pass through
+        # stretches of the batch itself and wide places are already by document; they pass through
         array = self.array_of(texts)
         for _, folder in self.levels:
             array = array.unionByName(self.blocks_in(folder))
@@ -313,31 +342,65 @@ def _classes(batch, size: int):
         yield part, total
 
 
-def frequent_seeds(texts: DataFrame, span: int, seed: int) -> np.ndarray:
-    """Seeds with many surroundings in a part of the documents. Only the spread of the work depends on them."""
+def frequent_seeds(texts: DataFrame, span: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds with many surroundings in a part of the documents, and keys of seed and flank with many contents. Only the
+    spread of the work depends on them."""
     import pyarrow as pa
 
-    schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("wide", pa.bool_()), ("n", pa.int64())])
 
     def run(batches):
         for b in batches:
             for part, _ in _classes(b, 8 << 20):
                 s, keep = distinct(np.concatenate([entries(t, c, False, span, seed) for c, t, _ in part]))
-                keys, n = np.unique(s["key"][keep], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[n > 1].view(np.int64)), pa.array(n[n > 1])], schema=schema)
-
-    some = texts.where(F.pmod("cls", F.lit(HOT_PART)) == 0).mapInArrow(run, "key long, n long")
-    top = some.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_FROM).orderBy(F.desc("n"), "key")
-    return np.sort(np.array([r[0] for r in top.select("key").limit(HOT_LIMIT).collect()], np.int64).view(np.uint64))
+                s = s[keep]
+                for keys, wide in ((s["key"], False), (by_flank(s, False), True), (by_flank(s, True), True)):
+                    keys, n = np.unique(keys, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[n > 1].view(np.int64)), pa.array(np.full((n > 1).sum(), wide)),
+                                                      pa.array(n[n > 1])], schema=schema)
+
+    some = texts.where(F.pmod("cls", F.lit(HOT_PART)) == 0).mapInArrow(run, "key long, wide boolean, n long")
+    top = (some.groupBy("key", "wide").agg(F.sum("n").alias("n")).where(F.col("n") >= F.when(F.col("wide"), WIDE_FROM).otherwise(HOT_FROM))
+           .orderBy(F.desc("n"), "wide", "key").limit(2 * HOT_LIMIT).collect())
+    hot, wide = (np.sort(np.array([r["key"] for r in top if r["wide"] == w], np.int64).view(np.uint64)) for w in (False, True))
+    return hot, wide
+
+
+def windows_under(p: np.ndarray, data: np.ndarray, span: int) -> np.ndarray:
+    """The windows of places, from the bytes under them."""
+    n = p["len"].astype(np.int64)
+    size = n + span - 1
+    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    start = np.repeat(np.cumsum(size) - size, n) + inside
+    symbols = byte_symbols(data)
+    w = np.zeros(len(start), WINDOW)
+    w["one"], w["two"] = RangeHash(symbols).of(start, start + span), RangeHash(symbols, 1).of(start, start + span)
+    w["doc"], w["at"], w["gives"] = np.repeat(p["doc"], n), np.repeat(p["at"].astype(np.int64), n) + inside, np.repeat(p["gives"], n)
+    return w
+
+
+def matched(w: np.ndarray, span: int):
+    """Windows, equal ones as one (marked if it occurs twice), and the stretches of those that occur twice and do not only give."""
+    w = w[np.lexsort((-w["gives"].astype(int), w["at"], w["doc"], w["two"], w["one"]))]
+    w = w[~_same_as_before(w["one"], w["two"], w["doc"], w["at"])]  # places may overlap
+    same = _same_as_before(w["one"], w["two"])
+    nxt = np.zeros(len(w), bool)
+    nxt[:-1] = same[1:]
+    hit = w[(same | nxt) & (w["gives"] == 0)]
+    out = np.zeros(len(hit), STRETCH)
+    out["doc"], out["start"], out["end"] = hit["doc"], hit["at"], hit["at"] + np.uint32(span)
+    w["gives"] = _group_any((w["gives"] > 0) | nxt, same)
+    return w[~same], merged(out)
 
 
 def resolve(texts: DataFrame, found: DataFrame, bits: int, span: int) -> DataFrame:
     """Match the windows of the places in ``found`` one by one; returns the stretches of those that occur twice. A place's windows can
-    only match those of places with the same key, so the bytes under them are sent to that key's bucket."""
+    only match those of places with the same key, so the bytes under them are sent to that key's bucket; the windows of wide places
+    are sent to the bucket of their own hash."""
     import pyarrow as pa
 
     schema, per_doc = _block_schema(), pa.schema([("cls", pa.int64()), ("places", pa.binary())])
-    sent = pa.schema([("bucket", pa.int64()), ("places", pa.binary()), ("data", pa.binary())])
+    sent = pa.schema([("bucket", pa.int64()), ("kind", pa.string()), ("block", pa.binary()), ("data", pa.binary())])
 
     def gather(_, rows):
         p = np.unique(np.concatenate([np.frombuffer(x.as_py(), PLACE) for x in rows["block"]]))
@@ -348,46 +411,49 @@ def resolve(texts: DataFrame, found: DataFrame, bits: int, span: int) -> DataFra
     at = texts.join(places.hint("shuffle_hash"), "cls")
 
     def send(batches):
-        held = []
+        held, wide, size = [], [], 0
         for b in batches:
             for t, raw in zip(text_bytes(b.column("text")), b.column("places")):
-                held += [(p, t[p["at"]:p["at"] + p["len"] + span - 1].tobytes()) for p in np.frombuffer(raw.as_py(), PLACE)]
-                if len(held) > 20_000:
-                    yield packed(held)
-                    held = []
+                for p in np.frombuffer(raw.as_py(), PLACE):
+                    (wide if p["wide"] else held).append((p, t[p["at"]:p["at"] + p["len"] + span - 1].tobytes()))
+                    size += int(p["len"]) * int(p["wide"])
+                    if len(held) > 20_000:
+                        yield packed(held)
+                        held = []
+                    if size > WINDOWS_AT_ONCE:
+                        yield hashed(wide)
+                        wide, size = [], 0
         if held:
             yield packed(held)
+        if wide:
+            yield hashed(wide)
 
     def packed(held):
         p, bytes_ = np.array([x for x, _ in held], PLACE), [x for _, x in held]
-        rows = [(k, q.tobytes(), b"".join(bytes_[i] for i in at))
+        rows = [(k, "bytes", q.tobytes(), b"".join(bytes_[i] for i in at))
                 for k, (q, at) in _by_bucket(p["key"], bits, [p, np.arange(len(p))])]
         return _batch_of(rows, sent)
 
-    def match(_, rows):
-        p = np.concatenate([np.frombuffer(x.as_py(), PLACE) for x in rows["places"]])
-        data = np.frombuffer(b"".join(x.as_py() for x in rows["data"]), np.uint8)
-        n = p["len"].astype(np.int64)
-        size = n + span - 1
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        start = np.repeat(np.cumsum(size) - size, n) + inside
-        symbols = byte_symbols(data)
-        one, two = RangeHash(symbols).of(start, start + span), RangeHash(symbols, 1).of(start, start + span)
-        doc, where, gives = np.repeat(p["doc"], n), np.repeat(p["at"].astype(np.int64), n) + inside, np.repeat(p["gives"], n)
-        by = np.lexsort((-gives.astype(int), where, doc, two, one))
-        one, two, doc, where, gives = one[by], two[by], doc[by], where[by], gives[by]
-        first = ~_same_as_before(one, two, doc, where)  # places may overlap
-        one, two, doc, where, gives = one[first], two[first], doc[first], where[first], gives[first]
-        same = _same_as_before(one, two)
-        nxt = np.zeros(len(one), bool)
-        nxt[:-1] = same[1:]
-        hit = (same | nxt) & (gives == 0)
-        out = np.zeros(int(hit.sum()), STRETCH)
-        out["doc"], out["start"], out["end"] = doc[hit], where[hit], where[hit] + span
-        got = list(_docs_in_blocks(merged(out), bits, "stretch"))
+    def hashed(held):
+        w = windows_under(np.array([x for x, _ in held], PLACE), np.frombuffer(b"".join(x for _, x in held), np.uint8), span)
+        w, twice = matched(w, span)
+        rows = [(k, "window", q.tobytes(), None) for k, (q,) in _by_bucket(w["one"], bits, [w])]
+        return _batch_of(rows + [(*r, None) for r in _docs_in_blocks(twice, bits, "stretch")], sent)
+
+    def match(bucket, rows):
+        kind, block = rows["kind"].to_pylist(), rows["block"].to_pylist()
+        got = [(bucket, y, x) for x, y in zip(block, kind) if y == "stretch"]
+        data = [x for x in rows["data"].to_pylist() if x is not None]
+        for some, of in (("bytes", PLACE), ("window", WINDOW)):
+            part = [np.frombuffer(x, of) for x, y in zip(block, kind) if y == some]
+            if part:
+                w = np.concatenate(part)
+                if some == "bytes":
+                    w = windows_under(w, np.frombuffer(b"".join(data), np.uint8), span)
+                got += _docs_in_blocks(matched(w, span)[1], bits, "stretch")
         return tuple(zip(*got)) if got else None
 
-    rows = at.mapInArrow(send, "bucket long, places binary, data binary")
+    rows = at.mapInArrow(send, "bucket long, kind string, block binary, data binary")
     return _streamed(rows, "bucket", match, _BLOCKS, schema)
 
 
@@ -415,7 +481,8 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, seed: int = SEED, batches:
     spark = docs.sparkSession
     texts = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("cls"), "text").where(F.octet_length("text") >= span)
     bits = max(5, (8 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))).bit_length() - 1)
-    index = LogIndex(spark, frequent_seeds(texts, span, seed), bits, span, seed)
+    hot, wide = frequent_seeds(texts, span, seed)
+    index = LogIndex(spark, hot, bits, span, seed, wide)
     found = None
     for i in range(batches):  # the documents arrive in batches
         batch = texts.where(F.pmod(F.shiftright("cls", 8), F.lit(batches)) == i)

@@ -71,6 +71,28 @@ def test_dedup_of_a_frequent_seed(spark, monkeypatch):
     assert got == brute_dedup(rows)
 
 
+def test_a_passage_of_very_many_documents_gathers_nowhere(spark, monkeypatch):
+    passage = " ".join(words(60, 21))[:300]
+    rows = [(i, " ".join(words(30, i)) + passage + " ".join(words(30, 9000 + i))) for i in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    for name, value in (("HOT_PART", 1), ("HOT_FROM", 3), ("WIDE_FROM", 50), ("WINDOWS_AT_ONCE", 4000)):
+        monkeypatch.setattr(suffix_dedup, name, value, raising=False)
+    seen, resolve = [], suffix_dedup.resolve
+    monkeypatch.setattr(suffix_dedup, "resolve", lambda texts, found, *more: seen.append(found) or resolve(texts, found, *more))
+    got = collections.Counter(tuple(r) for r in suffix_dedup.dedup(df, digest=True).collect())
+    assert got == brute_dedup(rows)
+    p = np.concatenate([np.frombuffer(r["block"], suffix_dedup.PLACE) for r in seen[0].where("kind = 'place'").collect()])
+    one_task = p[p["wide"] == 0] if "wide" in p.dtype.names else p
+    assert len(p) > 700 and max(collections.Counter(one_task["key"].tolist()).values(), default=0) < 100
+
+
+def test_matched_windows_are_sent_once():
+    w = np.zeros(6, suffix_dedup.WINDOW)
+    w["one"], w["doc"], w["gives"] = [1, 1, 1, 2, 2, 3], [1, 2, 3, 4, 4, 5], [0, 0, 1, 0, 0, 0]
+    sent, twice = suffix_dedup.matched(w, 200)
+    assert sent[["one", "gives"]].tolist() == [(1, 1), (2, 0), (3, 0)] and twice["doc"].tolist() == [1, 2]
+
+
 def test_levels_merge_geometrically(spark, docs):
     index = suffix_dedup.LogIndex(spark, np.zeros(0, np.uint64), 5)
     texts = docs.select(F.xxhash64("text").alias("cls"), "text")
