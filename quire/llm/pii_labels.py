@@ -52,13 +52,17 @@ _DIGIT = re.compile(r"[0-9]")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NUMBER = re.compile(r"\(?[0-9][0-9 ().-]*")
-_LOCAL_PHONE = re.compile(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}")
-_ID = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
-_GROUPED = re.compile(r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}|[0-9]{13,19}")
+# Shapes of numbers, each searched on the whole text. Digits joined by a hyphen or dot belong to one number; a blank, a bracket
+# and the end of a sentence part numbers.
+_FROM, _TO = r"(?<![0-9])(?<![0-9][.-])", r"(?![.-]?[0-9])"
+_LOCAL_PHONE = re.compile(rf"(?:\(|{_FROM}|(?<=\b1[.-]))[0-9]{{3}}\)?[ .-][0-9]{{3}}[ .-][0-9]{{4}}{_TO}")
+_ID = re.compile(rf"{_FROM}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_TO}")
+#: A group of four may begin a card after the end of another number, so cards may overlap.
+_GROUPED = re.compile(rf"{_FROM}(?=([0-9]{{4}}([ -])[0-9]{{4}}\2[0-9]{{4}}\2[0-9]{{1,4}}{_TO}|[0-9]{{13,19}}{_TO}))")
 _ASSIGNED = re.compile(r"[=:][ \t]{0,4}[\"']?([A-Za-z0-9+/_-]{16,})")
 _NAMED = re.compile(r"\b(?:Dear|Mrs|Mr|Ms|Dr)\.? ([A-Z][a-z]+(?: [A-Z][a-z]+)?)\b")
 _TITLES = ("Dear ", "Mr", "Ms", "Dr")
+_LISTED = re.compile(rf"\b(?:{'|'.join(sorted(g.capitalize() for g in GIVEN))})\b(?: [A-Z][a-z]+\b)?")
 _WORD = re.compile(r"[A-Za-z]+")
 
 Span = tuple[int, str, int]
@@ -120,17 +124,12 @@ def _order(s: Span):
 def more_candidates(t: str) -> Iterator[Span]:
     """Spans of a wider shape that may be personal data."""
     if _DIGIT.search(t):
-        for m in _NUMBER.finditer(t):
-            if m.end() - m.start() < 9:
-                continue
-            s = m.group().rstrip(" ().-")
-            for kind, shape in (("id", _ID), ("phone", _LOCAL_PHONE), ("card", _GROUPED)):
-                if shape.fullmatch(s):
-                    yield m.start(), kind, m.start() + len(s)
+        for kind, shape, group in (("id", _ID, 0), ("phone", _LOCAL_PHONE, 0), ("card", _GROUPED, 1)):
+            yield from ((m.start(group), kind, m.end(group)) for m in shape.finditer(t))
     if "=" in t or ":" in t:
         yield from ((m.start(1), "secret", m.end(1)) for m in _ASSIGNED.finditer(t))
-    if any(x in t for x in _TITLES):
-        yield from ((m.start(1), "name", m.end(1)) for m in _NAMED.finditer(t))
+    named = {(m.start(1), "name", m.end(1)) for m in _NAMED.finditer(t)} if any(x in t for x in _TITLES) else set()
+    yield from named.union((m.start(), "name", m.end()) for m in _LISTED.finditer(t))
 
 
 def candidates(t: str) -> tuple[list[Span], list[Span]]:

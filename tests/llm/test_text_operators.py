@@ -204,6 +204,26 @@ def test_secrets_are_added_and_masked(spark, nothing):
     assert pii_labels.detect(nothing).count() == 0 and pii_labels.detect_and_redact(nothing).count() == 0
 
 
+@pytest.mark.parametrize("text, want", [
+    ("123-45-6789 2019", ["id 123-45-6789"]), ("No. 1. 123-45-6789", ["id 123-45-6789"]), ("(123-45-6789)", ["id 123-45-6789"]),
+    ("ID-123-45-6789, 123-45-6789-1 1.123-45-6789", ["id 123-45-6789"]),
+    ("555-123-4567 555-987-6543", ["phone 555-123-4567", "phone 555-987-6543"]),
+    ("Call 555-123-4567. 24 hours", ["phone 555-123-4567"]), ("(555) 123-4567 (555) 987-6543", ["phone (555) 123-4567", "phone (555) 987-6543"]),
+    ("1-555-123-4567 or 21-555-123-4567", ["phone 555-123-4567"]), ("1(555) 123-4567", ["phone (555) 123-4567"]),
+    ("2019 4111 1111 1111 1112", ["card 2019 4111 1111 1111", "card 4111 1111 1111 1112"]),
+    ("1. 4111-1111-1111-1112 2", ["card 4111-1111-1111-1112"]), ("41111111111111112 9", ["card 41111111111111112"]),
+    ("we met Anna Schmidt and Pedro, not Josefa", ["name Anna Schmidt", "name Pedro"]), ("Dear Maria Lopez,", ["name Maria Lopez"]),
+    ("1234-45-67890 12345678901234567890 555-123-45678", [])])
+def test_candidates_in_ordinary_text(text, want):
+    assert [f"{k} {text[a:z]}" for a, k, z in pii_labels.candidates(text)[1]] == want
+
+
+def test_numbers_next_to_others_are_masked(spark):
+    rows = [(i, f"Her SSN {100 + i}-45-67{i % 90 + 10} 2019. Call 555-{200 + i}-4567 555-987-6543. It was Anna who came.") for i in range(50)]
+    out = pii_labels.detect_and_redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["text"] for r in out} == {"Her SSN [ID] 2019. Call [PHONE] [PHONE]. It was [NAME] who came."}
+
+
 def test_redaction_carries_all_columns(edge):
     edge = edge.selectExpr("*", "named_struct('a', 1, 'b', map('x', 2.5)) AS nested", "CAST(1 AS DECIMAL(10,2)) AS dec")
     out = pii_labels.detect_and_redact(edge)
