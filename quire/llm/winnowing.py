@@ -36,9 +36,11 @@ def words(text: Column) -> Column:
 
 
 def folded_words(text: Column) -> Column:
-    """As ``words``, with all letters lowered, which is much faster. Equal words have equal folded words and the
-    positions are the same, so this serves to find candidates."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _GAP, -1), "")
+    """As ``words``, with all letters lowered, which is much faster. Lowering a capital sigma depends on what surrounds the word, so
+    final sigmas become plain ones. Equal words have equal folded words and the positions are the same, so this serves to find
+    candidates."""
+    lowered = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("\u03c2"), F.lit("\u03c3"))
+    return F.array_remove(F.split(lowered, _GAP, -1), "")
 
 
 def runs(array: Column, size: Column, of) -> Column:

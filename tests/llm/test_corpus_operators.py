@@ -291,6 +291,13 @@ def test_decontamination_runs_no_python(spark, docs):
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
 
 
+def test_sigma_before_a_dot_is_a_candidate(spark):
+    greek = [f"\u039f\u0394\u039f{c}\u03a3" for c in "\u0391\u0392\u0393\u0394\u0395\u0396\u0397\u0398\u0399\u039a\u039b\u039c\u039d"]
+    d = spark.createDataFrame([(1, ".".join(greek)), (2, " ".join(greek)), (3, "'".join(greek))], "doc_id long, text string")
+    b = spark.createDataFrame([(5, " ".join(greek))], "item_id long, text string")
+    assert sorted((r["doc_id"], r["n_hit"]) for r in winnowing.decontaminate(d, b).collect()) == [(1, 13), (2, 13), (3, 13)]
+
+
 # --- operator 10
 
 def test_quality_of_held_out_documents(spark):
