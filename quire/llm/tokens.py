@@ -28,7 +28,8 @@ _KIND[_MARKS] = 2
 class WordEncoder:
     """Encodes texts with a byte-pair tokenizer that lowers case and whose pre-tokeniser never joins across white
     space or between a letter and a mark, so the ids of a text are those of such units in order. Each distinct
-    unit is encoded once per worker."""
+    unit is encoded once per worker. Units that the tokenizer may read differently once lowered, those with characters beyond
+    ASCII (which it composes first) or ``<`` (special tokens are matched on raw text), keep their bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -71,6 +72,12 @@ class WordEncoder:
         inner = offsets[(offsets > 0) & (offsets < len(data))]
         after[inner - 1] = 0
         ends = np.flatnonzero((kind > 0) & ((after == 0) | (kind + after == 3) & (kind != 3) & (after != 3))) + 1
+        count = np.concatenate([[0], np.cumsum((data >= 128) | (data == ord("<")))])
+        as_is = count[ends] > count[starts]
+        edge = np.zeros(len(data) + 1, np.int8)
+        edge[starts[as_is]] += 1
+        edge[ends[as_is]] -= 1
+        low = np.where(np.cumsum(edge[:-1], dtype=np.int8) > 0, data, low)
         ids, upto = self.table.gather(self.table.find(low, starts, ends)) if len(starts) else (
             np.zeros(0, np.int32), np.zeros(1, np.int64))
         return ids, upto[np.searchsorted(starts, offsets)]

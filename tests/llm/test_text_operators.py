@@ -51,6 +51,13 @@ def test_special_strings_and_marks_are_cut_as_the_tokenizer_does(spark):
     assert sorted(got) == expected_tokens(list(enumerate(texts)))
 
 
+def test_case_is_lowered_by_the_tokenizer(spark):
+    texts = ["<|ENDOFTEXT|> <|EndOfText|>x <|endoftext|>Y", "J\u030c H\u0331 T\u0308 aJ\u030cB,", "\u00c9T\u00c9 DON'T ABC<D", "<|StartOfText|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [tuple(r) for r in tokens.token_output(df, tokenizer_file("word_bpe_49k.json"), encoding="dictionary").collect()]
+    assert sorted(got) == expected_tokens(list(enumerate(texts)))
+
+
 def test_selective_reads(spark, docs, scratch):
     tokens.write_tokens(docs, f"{scratch}/t", tokenizer_file("word_bpe_49k.json"), 2, row_group_bytes=64 << 10)
     some = tokens.read_tokens(spark, f"{scratch}/t", 10, 14)
