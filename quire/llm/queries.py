@@ -181,3 +181,27 @@ def op2(spark, sf_dir):
     from quire.llm.suffix_dedup import dedup
 
     return dedup(table(spark, sf_dir, "documents"), digest=True)
+
+
+OP11_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+m AS (SELECT page_id, strlen(html) AS n, sha1(html) AS d, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN n < 1000 OR top IS NULL OR page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN n < 1000 OR top IS NULL OR page_id = top THEN NULL ELSE top END AS refers_to
+FROM m
+"""
+
+
+@query("op11_warc", OP11_SQL)
+def op11(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from quire.llm.common import shared_dir
+    from quire.llm.warc import read_warc, resolve_revisits, write_warc
+
+    path = shared_dir(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    found = resolve_revisits(read_warc(spark, path))
+    return found.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+                        F.col("type").alias("record_type"), F.col("refers_key").cast("long").alias("refers_to"))
