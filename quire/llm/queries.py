@@ -205,3 +205,10 @@ def op11(spark, sf_dir):
     found = resolve_revisits(read_warc(spark, path))
     return found.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
                         F.col("type").alias("record_type"), F.col("refers_key").cast("long").alias("refers_to"))
+
+
+@query("op12_alignment")
+def op12(spark, sf_dir):
+    from quire.llm.align import alignment_digest
+
+    return alignment_digest(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
