@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import kept, save, slices, worker_cache
+from quire.llm.common import UnitTable, kept, save, slices, worker_cache
 
 BLOCK = 1 << 21
 
@@ -144,6 +144,11 @@ class Pair:
                        b"" if sp.is_control(i) or sp.is_unknown(i) else sp.id_to_piece(i).replace("▁", " ").encode()
                        for i in range(sp.get_piece_size())])
         self.names_a, self.names_b = ([str(i) for i in range(len(s.entries))] for s in (self.a, self.b))
+        self.units = UnitTable(self.encode_units)
+
+    def encode_units(self, units: list[str]):
+        got = self.bpe.encode_batch_fast(units, add_special_tokens=False)
+        return [np.array(e.ids, np.int32) for e in got], np.zeros((len(units), 0))
 
     def pair_bound(self) -> int:
         """Most pairs of ids that can end together: pairs of entries of which one is a suffix of the other."""
@@ -158,27 +163,41 @@ class Pair:
     def encode(self, texts: list[str], data: np.ndarray, offsets: np.ndarray):
         """Ids of both sides for the texts, whose bytes are ``data[offsets[i]:offsets[i + 1]]``, with the number of ids before each text.
         Texts that the tokens do not spell have none."""
-        a = [e.ids for e in self.bpe.encode_batch_fast([" " + t if t else "" for t in texts], add_special_tokens=False)]
-        b = self.pieces.encode(texts, num_threads=1)
-        out = []
-        for side, ids in ((self.a, a), (self.b, b)):
-            ids = [np.array(x, np.int64) for x in ids]
-            out.append(ids)
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-            spelled, upto = side.spell(flat), np.concatenate([[0], np.cumsum(side.size[flat])])
-            at = upto[np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)]
-            for i in range(len(texts)):
-                got = spelled[at[i]:at[i + 1]]
-                lo, hi = offsets[i], offsets[i + 1]
-                if hi == lo or len(got) != hi - lo + 1 or got[0] != 0x20 or not np.array_equal(got[1:], data[lo:hi]):
-                    a[i] = b[i] = None
-        none = np.zeros(0, np.int64)
-        result = []
-        for ids in out:
-            ids = [x if a[i] is not None else none for i, x in enumerate(ids)]
-            upto = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-            result.append((np.concatenate(ids) if ids else none, upto))
-        return result
+        filled = np.diff(offsets) > 0
+        text = np.insert(data, offsets[:-1][filled], 0x20)  # the blank before every text
+        at = offsets + np.concatenate([[0], np.cumsum(filled)])
+        b = [np.array(x, np.int64) for x in self.pieces.encode(texts, num_threads=1)]
+        b_at = np.concatenate([[0], np.cumsum([len(x) for x in b])]).astype(np.int64)
+        both = [self.encode_bpe(text, at), (np.concatenate(b) if b else np.zeros(0, np.int64), b_at)]
+        good = filled
+        for side, (ids, upto) in zip((self.a, self.b), both):
+            spelled = side.spell(ids)
+            ends = np.concatenate([[0], np.cumsum(side.size[ids])])[upto]
+            if not np.array_equal(ends, at) or not np.array_equal(spelled, text):
+                good = good & [np.array_equal(spelled[ends[i]:ends[i + 1]], text[at[i]:at[i + 1]]) for i in range(len(texts))]
+        if good.all():
+            return both
+        keep = [np.repeat(good, np.diff(upto)) for _, upto in both]
+        return [(ids[k], np.concatenate([[0], np.cumsum(k)])[upto]) for (ids, upto), k in zip(both, keep)]
+
+    def encode_bpe(self, text: np.ndarray, at: np.ndarray):
+        """Ids of the texts ``text[at[i]:at[i + 1]]`` by the byte-level tokenizer, and the number before each. It always cuts before a single blank
+        between two visible characters (ASCII or U+00C0 to U+00FF), between a letter and an ASCII mark, and between a mark other than the
+        apostrophe and a letter, so distinct stretches between such places are encoded once."""
+        if not len(text):
+            return np.zeros(0, np.int64), np.zeros(len(at), np.int64)
+        latin = text == 0xC3
+        seen = (text > 0x20) & (text < 0x7F)
+        cut = np.zeros(len(text), bool)
+        cut[1:-1] = (text[1:-1] == 0x20) & (seen[2:] | latin[2:])
+        cut[1:] &= seen[:-1] | np.concatenate([[False], latin[:-2]]) & (text[:-1] >= 0x80)
+        letter = ((text | 0x20) >= 0x61) & ((text | 0x20) <= 0x7A)
+        mark = seen & ~letter & ~((text >= 0x30) & (text <= 0x39))
+        cut[1:] |= letter[:-1] & mark[1:] | (mark & (text != 0x27))[:-1] & letter[1:]
+        cut[at[:-1][np.diff(at) > 0]] = True
+        starts = np.flatnonzero(cut)
+        ids, upto = self.units.gather(self.units.find(text, starts, np.append(starts[1:], len(text))))
+        return ids.astype(np.int64), upto[np.searchsorted(starts, at)]
 
 
 class Alignment:
