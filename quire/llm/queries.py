@@ -212,3 +212,39 @@ def op12(spark, sf_dir):
     from quire.llm.align import alignment_digest
 
     return alignment_digest(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+# code points beyond ASCII become single bytes (U+00C0 to U+00FF for marks, digits and capitals, which words do not hold), since the distance
+# counts bytes; the checksum is computed byte by byte from its table
+_BYTES = "".join(chr(c) for c in [*range(33, 39), *range(40, 97), *range(123, 127)])[:64]
+_LATIN = "".join(chr(c) for c in range(0xC0, 0x100))
+OP13_SQL = rf"""
+WITH RECURSIVE bits AS (
+  SELECT i AS b, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT b, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+own AS (SELECT doc_id, w, count(*) AS n FROM runs WHERE length(w) >= 7 GROUP BY ALL),
+hashed AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '')
+             || ':' || w)), '..'), lambda x: CAST('0x' || x AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+           FROM own, crc),
+slipped AS (SELECT CASE WHEN h % 31 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n, translate(word, '{_LATIN}', '{_BYTES.replace("'", "''")}') AS x
+          FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+near AS (SELECT a.word, a.n, b.word AS other, b.n AS m FROM words a JOIN words b
+         ON length(b.x) BETWEEN length(a.x) - 1 AND length(a.x) + 1 AND levenshtein(a.x, b.x) = 1),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS form, max(m) AS form_n FROM near GROUP BY word),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+                 CASE WHEN form_n >= 10 * n THEN form_n END AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root, form AS next FROM forms
+          UNION ALL SELECT c.word, c.next, f.form FROM chain c JOIN forms f ON f.word = c.next)
+SELECT word, n, n_near, form, form_n, root FROM forms JOIN (SELECT word, root FROM chain WHERE next IS NULL) USING (word)
+"""
+
+
+@query("op13_spelling", OP13_SQL)
+def op13(spark, sf_dir):
+    from quire.llm.spelling import spelling_groups
+
+    return spelling_groups(table(spark, sf_dir, "documents"))
