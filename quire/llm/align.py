@@ -144,11 +144,27 @@ class Pair:
                        b"" if sp.is_control(i) or sp.is_unknown(i) else sp.id_to_piece(i).replace("▁", " ").encode()
                        for i in range(sp.get_piece_size())])
         self.names_a, self.names_b = ([str(i) for i in range(len(s.entries))] for s in (self.a, self.b))
-        self.units = UnitTable(self.encode_units)
-
-    def encode_units(self, units: list[str]):
-        got = self.bpe.encode_batch_fast(units, add_special_tokens=False)
-        return [np.array(e.ids, np.int32) for e in got], np.zeros((len(units), 0))
+        self.units_a, self.units_b = UnitTable(self.bpe_units), UnitTable(self.piece_units)
+        #: whether some piece has these two bytes next to each other: between others no merge ever happens
+        self.joined = None
+        model = model_of(piece_path)
+        if model.normalizer_spec.name == "identity" and not model.normalizer_spec.remove_extra_whitespaces:
+            model.normalizer_spec.add_dummy_prefix = False  # units begin with the blank that they have
+            self.pieces = SentencePieceProcessor(model_proto=model.SerializeToString())
+            self.joined = np.zeros((256, 256), bool)
+            self.joined[:, 0x80:0xC0] = True  # inside a character
+            for e in self.b.entries:
+                raw = np.frombuffer(e, np.uint8)
+                self.joined[raw[:-1], raw[1:]] = True
+
+    def bpe_units(self, units: list[str]):
+        got = []
+        for at in range(0, len(units), 4000):
+            got += [np.array(e.ids, np.int32) for e in self.bpe.encode_batch_fast(units[at:at + 4000], add_special_tokens=False)]
+        return got, np.zeros((len(units), 0))
+
+    def piece_units(self, units: list[str]):
+        return [np.array(x, np.int32) for x in self.pieces.encode(units, num_threads=1)], np.zeros((len(units), 0))
 
     def pair_bound(self) -> int:
         """Most pairs of ids that can end together: pairs of entries of which one is a suffix of the other."""
@@ -166,9 +182,7 @@ class Pair:
         filled = np.diff(offsets) > 0
         text = np.insert(data, offsets[:-1][filled], 0x20)  # the blank before every text
         at = offsets + np.concatenate([[0], np.cumsum(filled)])
-        b = [np.array(x, np.int64) for x in self.pieces.encode(texts, num_threads=1)]
-        b_at = np.concatenate([[0], np.cumsum([len(x) for x in b])]).astype(np.int64)
-        both = [self.encode_bpe(text, at), (np.concatenate(b) if b else np.zeros(0, np.int64), b_at)]
+        both = [self.encode_bpe(text, at), self.encode_pieces(text, at, texts)]
         good = filled
         for side, (ids, upto) in zip((self.a, self.b), both):
             spelled = side.spell(ids)
@@ -195,9 +209,36 @@ class Pair:
         mark = seen & ~letter & ~((text >= 0x30) & (text <= 0x39))
         cut[1:] |= letter[:-1] & mark[1:] | (mark & (text != 0x27))[:-1] & letter[1:]
         cut[at[:-1][np.diff(at) > 0]] = True
-        starts = np.flatnonzero(cut)
-        ids, upto = self.units.gather(self.units.find(text, starts, np.append(starts[1:], len(text))))
-        return ids.astype(np.int64), upto[np.searchsorted(starts, at)]
+        return by_units(self.units_a, text, cut, at)
+
+    def encode_pieces(self, text: np.ndarray, at: np.ndarray, texts: list[str]):
+        """The same by the SentencePiece model. It never joins two bytes that are neighbours in no piece; models with a normaliser get whole
+        texts."""
+        if self.joined is None:
+            got = [np.array(x, np.int64) for x in self.pieces.encode(texts, num_threads=1)]
+            return np.concatenate([np.zeros(0, np.int64), *got]), np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int64)
+        if not len(text):
+            return np.zeros(0, np.int64), np.zeros(len(at), np.int64)
+        cut = np.ones(len(text), bool)
+        cut[1:] = ~self.joined[text[:-1], text[1:]]
+        cut[at[:-1][np.diff(at) > 0]] = True
+        return by_units(self.units_b, text, cut, at)
+
+
+def by_units(units: UnitTable, text: np.ndarray, cut: np.ndarray, at: np.ndarray):
+    starts = np.flatnonzero(cut)
+    ids, upto = units.gather(units.find(text, starts, np.append(starts[1:], len(text))))
+    return ids.astype(np.int64), upto[np.searchsorted(starts, at)]
+
+
+def model_of(piece_path: str):
+    """The contents of a SentencePiece model file."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    model = pb.ModelProto()
+    with open(piece_path, "rb") as f:
+        model.ParseFromString(f.read())
+    return model
 
 
 class Alignment:
@@ -237,16 +278,23 @@ def pair_of(bpe_path: str, piece_path: str) -> Pair:
     return worker_cache(("align", bpe_path, piece_path), lambda: Pair(bpe_path, piece_path))
 
 
+SLICE = 1 << 18
+
+
 def _slices(batch, pair: Pair):
     """``(first row, last row, ids and offsets of A, of B)`` of the slices of a batch."""
-    for lo, hi, data, offsets in slices(batch.column("text")):
+    for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
         texts = [t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
         yield lo, hi, *pair.encode(texts, data, offsets)
 
 
-def align(docs: DataFrame, bpe_path: str, piece_path: str, keep: str = "doc_id long") -> DataFrame:
+_PARTS = ["a_ids", "b_ids", "a_sizes", "b_sizes"]
+
+
+def align(docs: DataFrame, bpe_path: str, piece_path: str, keep: str = "doc_id long", packed: bool = False) -> DataFrame:
     """``docs`` -> carried columns, ``a_ids``, ``b_ids`` and the tokens of either side in every group, ``a_sizes`` and ``b_sizes``. The last
-    tokens of a group are the ones that end together."""
+    tokens of a group are the ones that end together. ``packed``: the four are the bytes of 32-bit little-endian integers, which later tasks
+    read without turning every number into a row's element."""
     import pyarrow as pa
 
     names = kept(keep)
@@ -256,19 +304,24 @@ def align(docs: DataFrame, bpe_path: str, piece_path: str, keep: str = "doc_id l
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         pair = pair_of(bpe_path, piece_path)
+
+        def column(values, at):
+            if packed:
+                return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 4).astype(np.int32)),
+                                                                        pa.py_buffer(values.astype("<i4"))])
+            return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values.astype(np.int32)))
+
         for b in batches:
             for lo, hi, (a_ids, a_at), (b_ids, b_at) in _slices(b, pair):
                 links = Alignment(pair.a.size[a_ids], pair.b.size[b_ids])
                 n_a, n_b = links.group_sizes()
                 groups = np.searchsorted(links.end_a, a_at)  # groups before each text
                 yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c).slice(lo, hi - lo) for c in names),
-                     *(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(x.astype(np.int32)))
-                       for x, at in ((a_ids, a_at), (b_ids, b_at), (n_a, groups), (n_b, groups)))],
-                    names=[*names, "a_ids", "b_ids", "a_sizes", "b_sizes"])
+                    [*(b.column(c).slice(lo, hi - lo) for c in names), column(a_ids, a_at), column(b_ids, b_at),
+                     column(n_a, groups), column(n_b, groups)], names=[*names, *_PARTS])
 
-    return docs.select(*names, "text").mapInArrow(
-        run, f"{keep}, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>")
+    kind = "binary" if packed else "array<int>"
+    return docs.select(*names, "text").mapInArrow(run, f"{keep}, " + ", ".join(f"{c} {kind}" for c in _PARTS))
 
 
 def links(docs: DataFrame, bpe_path: str, piece_path: str, kind: str = "overlap", keep: str = "doc_id long") -> DataFrame:
@@ -305,19 +358,20 @@ def links(docs: DataFrame, bpe_path: str, piece_path: str, kind: str = "overlap"
 # --- corpus-wide counts -----------------------------------------------------------------------------------------
 
 def _lists(column):
-    """Values and offsets (from 0) of an Arrow list column."""
-    off = column.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
-    return column.values.to_numpy(zero_copy_only=False)[off[0]:off[-1]].astype(np.int64), off - off[0]
+    """Values and offsets (from 0) of a packed column."""
+    raw, off = column.buffers()[2], np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    values = np.frombuffer(raw, np.uint8)[off[0]:off[-1]] if raw is not None else np.zeros(0, np.uint8)
+    return np.frombuffer(values.tobytes(), "<i4").astype(np.int64), (off - off[0]) // 4
 
 
 def _end_pairs(batch):
     """Keys ``a_id * 2^32 + b_id`` of the end links of a batch of ``align``, and the number of links before each row."""
-    (a_ids, a_at), (b_ids, b_at), (n_a, g_at), (n_b, _) = (_lists(batch.column(c)) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
+    (a_ids, a_at), (b_ids, b_at), (n_a, g_at), (n_b, _) = (_lists(batch.column(c)) for c in _PARTS)
     return (a_ids[np.cumsum(n_a) - 1] << 32) + b_ids[np.cumsum(n_b) - 1], g_at
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
-    """``(a_id, b_id, n)``: how often the ids are linked at their ends in the whole table."""
+    """``(a_id, b_id, n)``: how often the ids are linked at their ends in the whole packed table."""
     import pyarrow as pa
 
     def run(batches):
@@ -329,7 +383,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)),
                                           pa.array(counts)], names=["a_id", "b_id", "n"])
 
-    rows = aligned.select("a_ids", "b_ids", "a_sizes", "b_sizes").mapInArrow(run, "a_id int, b_id int, n long")
+    rows = aligned.select(*_PARTS).mapInArrow(run, "a_id int, b_id int, n long")
     return rows.groupBy("a_id", "b_id").agg(F.sum("n").alias("n"))
 
 
@@ -340,7 +394,7 @@ def alignment_digest(docs: DataFrame, bpe_path: str, piece_path: str, keep: str
     import pyarrow as pa
 
     names = kept(keep)
-    aligned = save(align(docs, bpe_path, piece_path, keep), "aligned")
+    aligned = save(align(docs, bpe_path, piece_path, keep, packed=True), "aligned", compression="zstd")
     counts = pair_counts(aligned).toArrow()  # at most Pair.pair_bound() rows, whatever the corpus
     key = (counts.column("a_id").to_numpy().astype(np.int64) << 32) + counts.column("b_id").to_numpy()
     order = np.argsort(key)
@@ -360,7 +414,7 @@ def alignment_digest(docs: DataFrame, bpe_path: str, piece_path: str, keep: str
             n_a, n_b = (_lists(b.column(c))[0] for c in ("a_sizes", "b_sizes"))
             shared = np.concatenate([[0], np.cumsum(n_a * n_b)])
             n_links = np.diff(at)
-            hashes = [groups_sha256(pair, *row) for row in zip(*(_rows(b.column(c)) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")))]
+            hashes = [groups_sha256(pair, *row) for row in zip(*(_rows(b.column(c)) for c in _PARTS))]
             sizes = [np.diff(_lists(b.column(c))[1]) for c in ("a_ids", "b_ids")]
             numbers = [*sizes, n_links, n_links, np.diff(bests[at]), np.diff(total[at])]
             yield pa.RecordBatch.from_arrays(
