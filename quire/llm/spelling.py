@@ -96,39 +96,44 @@ def pivots(prefix: list[tuple[int, int]], weights: list[int], q: int = 2) -> tup
 
 
 def gram_rows(words: DataFrame, frequencies: dict[str, int], q: int = 2, tau: int = 1) -> DataFrame:
-    """``(word, n, pivot, key, last)``: a row per key under which a word is filed (``pivot`` false) or asks (true), and ``last``, the
-    rank of the last gram of its prefix. ``key``: side, gram, place from that side, hash of the part up to it, length of the other word."""
+    """``(word, n, pivot, key, last, letters)``: a row per key under which a word is filed (``pivot`` false) or asks (true), ``last``, the
+    rank of the last gram of its prefix, and ``letters``, a bit per letter that it has. ``key``: hash of side, gram, place from that side and
+    length of the other word, and hash of the part up to the gram."""
     import pyarrow as pa
 
     order = sorted(frequencies, key=lambda g: (frequencies[g], g))
     rank, weights = {g: i for i, g in enumerate(order)}, [frequencies[g] for g in order]
     known = words.sparkSession.sparkContext.broadcast((rank, weights))
 
+    def key(side: str, gram: int, place: int, part: str, size: int) -> int:
+        return (zlib.crc32(f"{side}{gram}.{place}.{size}".encode()) << 32 | zlib.crc32(part.encode())) - (1 << 63)
+
     def keys(word: str):
         ranks, weights = known.value
         grams = [ranks[word[i:i + q]] for i in range(len(word) - q + 1)]
-        last = sorted(grams)[q * tau]
+        last, size = sorted(grams)[q * tau], len(word)
         prefix = [(i, r) for i, r in enumerate(grams) if r <= last]
-        left, right = pivots(prefix, weights, q)
-        size, raw = len(word), word
+        letters = 0
+        for c in set(word):
+            letters |= 1 << (ord(c) & 63)
+        letters -= letters >> 63 << 64  # as a signed number
         for place, r in prefix:
-            yield False, f"L{r}.{place}.{zlib.crc32(raw[:place].encode())}.{size}", last
-            yield False, f"R{r}.{size - place}.{zlib.crc32(raw[place + q:].encode())}.{size}", last
-        head = f"L{grams[left]}.{left}.{zlib.crc32(raw[:left].encode())}"
-        tail = f"R{grams[right]}.{size - right}.{zlib.crc32(raw[right + q:].encode())}"
+            yield False, key("L", r, place, word[:place], size), last, letters
+            yield False, key("R", r, size - place, word[place + q:], size), last, letters
+        left, right = pivots(prefix, weights, q)
         for other in range(size - tau, size + tau + 1):
-            yield True, f"{head}.{other}", last
-            yield True, f"{tail}.{other}", last
+            yield True, key("L", grams[left], left, word[:left], other), last, letters
+            yield True, key("R", grams[right], size - right, word[right + q:], other), last, letters
 
     def run(batches):
         for b in batches:
             found = [(word, n, *k) for word, n in zip(b.column("word").to_pylist(), b.column("n").to_pylist()) for k in keys(word)]
-            columns = list(zip(*found)) if found else [[]] * 5
+            columns = list(zip(*found)) if found else [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.int32()))],
-                names=["word", "n", "pivot", "key", "last"])
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int64()))],
+                names=["word", "n", "pivot", "key", "last", "letters"])
 
-    return words.select("word", "n").mapInArrow(run, "word string, n long, pivot boolean, key string, last int")
+    return words.select("word", "n").mapInArrow(run, "word string, n long, pivot boolean, key long, last int, letters long")
 
 
 def gram_frequencies(words: DataFrame, q: int = 2) -> dict[str, int]:
@@ -147,10 +152,12 @@ def near_pairs(words: DataFrame, block: int = BLOCK) -> DataFrame:
     one = F.coalesce("blocks", F.lit(1))
     filed = filed.join(large, "key", "left").withColumn("block", F.pmod(F.xxhash64("word"), one).cast("int")).drop("blocks")
     asked = asked.join(large, "key", "left").withColumn("block", F.explode(F.sequence(F.lit(0), one - 1))).drop("blocks")
-    filed, asked = (t.select("key", "block", *(F.col(c).alias(f"{c}_{x}") for c in ("word", "n", "last")))
+    filed, asked = (t.select("key", "block", *(F.col(c).alias(f"{c}_{x}") for c in ("word", "n", "last", "letters")))
                     for t, x in ((filed, "f"), (asked, "p")))
     found = asked.join(filed, ["key", "block"]).where(
         (F.col("last_p") <= F.col("last_f")) & (F.col("word_p") != F.col("word_f"))
+        # an edit adds one letter at most and takes one at most
+        & (F.bit_count(F.col("letters_p").bitwiseXOR(F.col("letters_f"))) <= 2)
         & (F.levenshtein("word_p", "word_f", 1) == 1))
     first = F.col("word_p") < F.col("word_f")
 
