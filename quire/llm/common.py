@@ -256,10 +256,13 @@ def sized_broadcast(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
 def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str = "group_n", most: int = 4096) -> DataFrame:
     """Left join of ``rows`` to ``groups``, which holds one row per key and in ``size`` the number of rows that have the key.
 
-    Keys of more than one ``most``-th of all rows (and more than a thousand rows) are at most ``most``: they are broadcast, so that a
+    Groups of a few megabytes are broadcast whole. Else keys of more than one ``most``-th of all rows (and more than a thousand rows) are at most ``most``: they are broadcast, so that a
     key with a third of all rows needs no shuffle. The others are joined by a shuffle whose largest group is as small as that. Both tables are
     read twice, so they should be written ones.
     """
+    small = sized_broadcast(groups, 16 << 20)
+    if small is not groups:
+        return rows.join(small, on, "left")
     line = max(rows.count() // most, 1000)
     hot = groups.where(F.col(size) > line).withColumn("__hot", F.lit(True))
     first = rows.join(F.broadcast(hot), on, "left")

@@ -34,7 +34,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import batches_of, join_groups, save
+from quire.llm.common import batches_of, discard, join_groups, save, shared_dir
 
 SEGMENT_BYTES = 16 << 10
 CHUNK_BYTES = 4 << 10
@@ -134,24 +134,48 @@ def records_of(rid: str, key, url, payload: bytes, sha1: str, refers: str | None
 
 # --- writing ----------------------------------------------------------------------------------------------------
 
-def plan_records(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html",
-                 revisit_from: int = 1000) -> DataFrame:
-    """A record per row: ``(rid, key, url, payload, sha1, refers)``; ``refers`` is the record that a revisit stands for.
+def response_records(pages: DataFrame, to: str, key: str, url: str, payload: str, date: str, segment_bytes: int, level: int) -> DataFrame:
+    """Every row as a response, written once to the folder ``to``: ``(rid, key, url, sha1, size, check, members)``; ``members`` are its compressed records, so that
+    no later step moves more than they take. Retried tasks of later steps see the same record ids."""
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            made, held, first = [], 0, 0
+
+            def part(first=0, last=0, made=()):
+                return pa.RecordBatch.from_arrays([*(b.column(i).slice(first, last - first) for i in range(6)),
+                                                   pa.array(made, pa.list_(pa.binary()))],
+                                                  names=["rid", "key", "url", "sha1", "size", "check", "members"])
+
+            for i, (rid, k, u, sha1, raw, name) in enumerate(zip(*(b.column(c).to_pylist() for c in ("rid", "key", "url", "sha1", "payload", "name")))):
+                made.append([gzip.compress(r, level, mtime=0) for r in records_of(rid, name, u, raw, sha1, None, date, segment_bytes)])
+                held += sum(map(len, made[-1]))
+                if held > 4 << 20:
+                    yield part(first, i + 1, made)
+                    made, held, first = [], 0, i + 1
+            yield part(first, b.num_rows, made)
 
-    The rows get their record ids in a written table, so that retried tasks see the same ones.
-    """
     body = F.coalesce(F.col(f"`{payload}`").cast("binary"), F.lit("").cast("binary"))
-    rows = save(pages.select(F.format_string("<urn:uuid:%s>", F.uuid()).alias("rid"), F.col(f"`{key}`").alias("key"),
-                             F.col(f"`{url}`").cast("string").alias("url"), body.alias("payload"))
-                .withColumn("sha1", F.sha1("payload")).withColumn("size", F.length("payload"))
-                .withColumn("check", F.xxhash64("payload")), "records")
+    kind = pages.select(F.col(f"`{key}`")).dtypes[0][1]
+    rows = pages.select(F.format_string("<urn:uuid:%s>", F.uuid()).alias("rid"), F.col(f"`{key}`").alias("key"),
+                        F.col(f"`{url}`").cast("string").alias("url"), body.alias("payload")).select(
+        "rid", "key", "url", F.sha1("payload").alias("sha1"), F.length("payload").alias("size"), F.xxhash64("payload").alias("check"),
+        "payload", F.col("key").cast("string").alias("name"))
+    made = rows.mapInArrow(run, f"rid string, key {kind}, url string, sha1 string, size int, check long, members array<binary>")
+    made.write.option("compression", "none").parquet(to)
+    return pages.sparkSession.read.schema(made.schema).parquet(to)
+
+
+def with_references(rows: DataFrame, revisit_from: int) -> DataFrame:
+    """``rows`` and ``refers``, the record that a revisit stands for (null: a response)."""
     equal = ["sha1", "size", "check"]
     groups = (rows.where(F.col("size") >= revisit_from).groupBy(*equal)
               .agg(F.count(F.lit(1)).alias("group_n"), F.max("key").alias("top"), F.max_by("rid", F.struct("key", "rid")).alias("first"))
               .where("group_n > 1"))
     joined = join_groups(rows, save(groups, "equal-payloads"), equal)
     refers = F.when(F.col("top").isNotNull() & ~F.col("key").eqNullSafe(F.col("top")), F.col("first"))
-    return joined.select("rid", "key", "url", "payload", "sha1", refers.alias("refers"))
+    return joined.select("rid", F.col("key").cast("string").alias("key"), "url", "sha1", "members", refers.alias("refers"))
 
 
 def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html",
@@ -160,22 +184,21 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
     """Write a record per row of ``pages`` into gzip files under ``path``. ``key`` may be of any type that orders."""
     import pyarrow as pa
 
-    def run(batches):
+    def revisits(batches):
         for b in batches:
-            out, held = [], 0
-            for rid, k, u, raw, sha1, refers in zip(*(b.column(i).to_pylist() for i in range(6))):
-                for record in records_of(rid, k, u, raw, sha1, refers, date, segment_bytes):
-                    out.append(gzip.compress(record, level, mtime=0))
-                    held += len(out[-1])
-                if held > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
-                    out, held = [], 0
+            out = [gzip.compress(r, level, mtime=0) for rid, k, u, sha1, refers in zip(*(b.column(i).to_pylist() for i in range(5)))
+                   for r in records_of(rid, k, u, b"", sha1, refers, date, segment_bytes)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
 
-    rows = plan_records(pages, key, url, payload, revisit_from).withColumn("key", F.col("key").cast("string"))
-    (rows.mapInArrow(run, "member binary").select(F.col("member").cast("string").alias("value"))
+    spark = pages.sparkSession
+    own = shared_dir(spark, "records")
+    rows = with_references(response_records(pages, own, key, url, payload, date, segment_bytes, level), revisit_from)
+    members = rows.where("refers IS NULL").select(F.explode("members").alias("member")).unionByName(
+        rows.where("refers IS NOT NULL").select("rid", "key", "url", "sha1", "refers").mapInArrow(revisits, "member binary"))
+    (members.select(F.col("member").cast("string").alias("value"))
      .write.option("lineSep", gzip.compress(b"", mtime=0).decode("latin-1")).option("encoding", "ISO-8859-1")
      .option("maxRecordsPerFile", file_records).text(path))
+    discard(spark, own)  # the archive holds all of it
 
 
 # --- reading ----------------------------------------------------------------------------------------------------
@@ -270,7 +293,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path).select("content")
     schema = ", ".join(f"{n} {t}" for n, t in zip(names, [*["string"] * 7, "int", "long", "binary", "string"]))
     with batches_of(spark, 1):  # one file at a time is handed to a worker
-        return save(files.mapInArrow(run, schema), "warc-records")
+        return save(files.mapInArrow(run, schema), "warc-records", compression="zstd")
 
 
 def reassemble(records: DataFrame) -> DataFrame:
