@@ -125,8 +125,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleE
     # at most max_rows pairs of numbers, so a broadcast of known size
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     stats = with_stats(rows, "doc_id long, label int")
+    # at most max_rows rows of numbers leave the tasks of the scan
     table = save(stats.select(F.col("label").cast("double").alias("label"),
-                              *(c.cast("double").alias(n) for n, c in features().items())).coalesce(4), "rules")
+                              *(c.cast("double").alias(n) for n, c in features().items())).repartition(4), "rules")
     return fit(table)
 
 
