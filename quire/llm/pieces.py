@@ -33,6 +33,42 @@ from quire.llm.common import UnitTable, kept, slices, worker_cache
 _UNKNOWN_PENALTY = 10.0
 
 
+class Step:
+    """A piece of a partial segmentation, found from the end of the text: ``after`` is the next piece of the text, ``jump`` one farther on
+    (skew-binary pointers), so that two steps are compared in logarithmic time. The step of depth 0 stands for the end."""
+
+    __slots__ = ("after", "jump", "id", "depth")
+
+    def __init__(self, after: Step | None = None, id: int = -1):
+        self.after, self.id = after or self, id
+        self.depth = after.depth + 1 if after else 0
+        far = after.jump if after else self
+        self.jump = self if after is None else far.jump if after.depth - far.depth == far.depth - far.jump.depth else after
+
+    def up(self, depth: int) -> Step:
+        at = self
+        while at.depth > depth:
+            at = at.jump if at.jump.depth >= depth else at.after
+        return at
+
+    def __lt__(self, other: Step) -> bool:
+        """Order of the ids compared from the end of the text: decided next to the last piece that both share."""
+        depth = min(self.depth, other.depth)
+        x, y = self.up(depth), other.up(depth)
+        if x is y:
+            return self.depth < other.depth
+        while x.after is not y.after:
+            x, y = (x.jump, y.jump) if x.jump is not y.jump else (x.after, y.after)
+        return x.id < y.id if x.id != y.id else self.depth < other.depth
+
+    def ids(self) -> tuple[int, ...]:
+        out, at = [], self
+        while at.depth:
+            out.append(at.id)
+            at = at.after
+        return tuple(out)
+
+
 class PieceLattice:
     """N-best segmentation over the pieces of a SentencePiece model file."""
 
@@ -101,17 +137,18 @@ class PieceLattice:
             return [(0.0, ())]
         into, best, pieces = self.edges_into(unit)
         end, found, order = len(unit), [], count()
-        heap = [(-best[end], pieces[end], (), next(order), end, 0.0)]
+        heap = [(-best[end], pieces[end], Step(), next(order), end, 0.0)]
         while heap and len(found) < n:
-            neg, _, ids, _, at, tail = heapq.heappop(heap)
+            neg, _, step, _, at, tail = heapq.heappop(heap)
             if at == 0:
-                found.append((-neg, ids))
+                found.append((-neg, step.ids()))
                 continue
             for s, a, i in into[at]:
-                t = tail + s
-                part = (*ids, i) if i >= 0 else (*ids, *(self.byte_id[b] for b in reversed(unit[a:at].encode())))
-                heapq.heappush(heap, (-(best[a] + t), pieces[a] + len(part), part, next(order), a, t))
-        return [(s, ids[::-1]) for s, ids in found]
+                t, part = tail + s, step
+                for i in (i,) if i >= 0 else [self.byte_id[b] for b in reversed(unit[a:at].encode())]:
+                    part = Step(part, i)
+                heapq.heappush(heap, (-(best[a] + t), pieces[a] + part.depth, part, next(order), a, t))
+        return found
 
 
 class PieceEncoder:

@@ -284,3 +284,15 @@ def test_em_recovers_reliabilities():
 
 def test_quality_of_nothing(nothing):
     assert quality_rules.quality(nothing).count() == 0
+
+
+def test_long_runs_are_searched_in_linear_time():
+    import time
+
+    lattice = pieces.PieceLattice(tokenizer_file("piece_bpe_32k.model"))
+    for unit in ("abcde" * 8000, "a" * 8000):
+        began = time.time()
+        got = lattice.nbest(unit, 4)
+        assert time.time() - began < 8  # seconds; a copy of the pieces per entry takes half a minute
+        assert len({ids for _, ids in got}) == 4 and [s for s, _ in got] == sorted((s for s, _ in got), reverse=True)
+        assert all(b"".join(lattice.bytes[i] for i in ids).decode() == unit for _, ids in got)
