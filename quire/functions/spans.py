@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.arrays import with_exclusive_prefix_sum
+from quire.functions.arrays import bind, with_exclusive_prefix_sum
 
 # One pattern per personal-data type, in the subset shared by Java regex and RE2
 # (no look-around, no \b), so the Spark result and the DuckDB oracle agree match for match.
@@ -50,30 +50,53 @@ def with_spans(df: DataFrame, text_col: str = "text", out_col: str = "spans",
     return df.withColumn(out_col, F.concat(*parts)).drop(*tmp)
 
 
+#: Least number of spans that one fold of ``redact`` takes.
+_REDACT_BLOCK = 32
+
+
 def redact(text: Column, spans: Column, mask: str = "*") -> Column:
-    """Replace every span by ``mask`` repeated span-length times, applied right to left.
+    """Replace every code point that a span covers by ``mask``.
 
-    With a one-character mask the length is preserved, so overlapping spans of different types commute and the
-    result is the union of the masked ranges. A past-the-end span extends like a Python slice does.
+    With a one-character mask the length is preserved, so applying overlapping spans right to left gives the same as masking their
+    union, which is what happens: a sweep over the spans in order of their begin, which puts gaps and masks together once. A past-the-end span
+    extends like a Python slice does. Spans are swept in blocks of about the square root of their number, each over its own stretch of
+    the text, so no fold copies or searches more than its stretch.
     """
     if len(mask) != 1:
         raise ValueError("mask must be one character so that offsets of other spans stay valid")
-    ordered = F.array_sort(
-        spans,
-        lambda a, b: F.when(a["begin_offset"] > b["begin_offset"], -1)
-        .when(a["begin_offset"] < b["begin_offset"], 1)
-        .otherwise(0),
-    )
-    return F.aggregate(
-        ordered,
-        text,
-        lambda acc, s: F.overlay(
-            acc,
-            F.repeat(F.lit(mask), s["end_offset"] - s["begin_offset"]),
-            s["begin_offset"] + 1,
-            s["end_offset"] - s["begin_offset"],
-        ),
-    )
+
+    def piece(t, block, j, starts, reach, last):
+        """The stretch of block ``j``, masked; positions are relative to its start. Spans of earlier blocks reach ``reach[j]``."""
+        start = F.get(starts, j)
+        width = F.when(j < last, F.get(starts, j + 1) - start).otherwise(F.lit(2**31 - 1) - start)
+
+        def sweep(part):
+            def step(acc, s):
+                b, e = s["b"] - start, F.least(s["e"] - start, width)
+                return F.struct(F.greatest(acc["at"], e).alias("at"), F.concat(
+                    acc["out"], F.substring(part, acc["at"] + 1, b - acc["at"]),
+                    F.repeat(F.lit(mask), e - F.greatest(b, acc["at"]))).alias("out"))
+
+            before = F.least(F.greatest(F.get(reach, j) - start, F.lit(0)), width)
+            return F.aggregate(block, F.struct(before.alias("at"), F.repeat(F.lit(mask), before).alias("out")), step, lambda acc: F.concat(
+                acc["out"], F.substring(part, acc["at"] + 1, F.lit(2**31 - 1))))
+
+        return bind(F.substring(t, start + 1, width), sweep)
+
+    def sweep_blocks(t, blocks):
+        starts = F.transform(blocks, lambda b, j: F.when(j == 0, F.lit(0)).otherwise(F.get(b, F.lit(0))["b"]))
+        tops = F.transform(blocks, lambda b: F.array_max(F.transform(b, lambda s: s["e"])))
+        reach = F.aggregate(tops, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), x))))
+        return bind(starts, lambda st: bind(reach, lambda r: F.array_join(F.transform(
+            blocks, lambda b, j: piece(t, b, j, st, r, F.size(blocks) - 1)), "")))
+
+    def cut(ordered):
+        size = F.greatest(F.lit(_REDACT_BLOCK), F.ceil(F.sqrt(F.size(ordered))).cast("int"))
+        return bind(size, lambda n: F.transform(F.sequence(F.lit(0), F.floor((F.size(ordered) - 1) / n).cast("int")), lambda j: F.slice(ordered, j * n + 1, n)))
+
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["begin_offset"].cast("int").alias("b"), s["end_offset"].cast("int").alias("e"))))
+    masked = bind(text, lambda t: bind(bind(ordered, cut), lambda blocks: sweep_blocks(t, blocks)))
+    return F.when(F.size(spans) == 0, text).when(text.isNotNull() & spans.isNotNull(), masked)
 
 
 def truncate_text(text: Column, n: int) -> Column:

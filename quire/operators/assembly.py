@@ -30,8 +30,8 @@ def _entity_structs(ents: DataFrame) -> DataFrame:
                                               .alias("entities"))
 
 
-# The phases in which a document can fail, in their order.
-PHASES = ("upload", "extraction", "queries", "classification", "entities", "pii", "questions", "review")
+# The phases in which a document can fail, in their order; tables and forms are later steps of extraction.
+PHASES = ("upload", "extraction", "tables", "forms", "classification", "queries", "entities", "pii", "questions", "review")
 # The questions asked when none are given.
 DEFAULT_QUESTIONS = (
     "What is this document about?",
@@ -84,8 +84,9 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
 
     Phase guards (P7): entities, PII and Q&A run only for non-empty text, expense only for its extensions. Errors (F4)
     are data: a missing text is an extraction failure, ``phase_errors`` (``doc_id, phase, error``) come from the phases outside
-    (upload, queries, entities, PII, questions, review) and stand in the order of ``PHASES``; a failed upload ends its
-    document, whose other fields stay at their defaults. One bad document never stops the batch.
+    and stand in the order of ``PHASES``. The fields of a failed phase stay at their defaults. A failed upload ends its
+    document: every field but the path stays at its default and no later error is reported. A failed step of extraction
+    (``extraction``, ``tables``, ``forms``) skips the steps of extraction after it. One bad document never stops the batch.
     """
     questions = DEFAULT_QUESTIONS if questions is None else questions
     path = F.col("document_path") if "document_path" in docs.columns else F.concat(
@@ -95,26 +96,31 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
     failures = []
     if phase_errors is not None:
         failures.append(phase_errors.select("doc_id", "phase", "error"))
-        ended = phase_errors.where(F.col("phase") == "upload").select("doc_id").distinct().withColumn("__ended", F.lit(True))
-        base = base.join(ended, "doc_id", "left").withColumn("__ended", F.coalesce("__ended", F.lit(False)))
-        base = base.withColumn("raw_text", F.when(~F.col("__ended"), F.col("raw_text")))
+        base = base.join(phase_errors.groupBy("doc_id").agg(F.collect_set("phase").alias("__failed")), "doc_id", "left")
     else:
-        base = base.withColumn("__ended", F.lit(False))
+        base = base.withColumn("__failed", F.lit(None).cast("array<string>"))
+
+    def unless(phase: str, value: Column) -> Column:
+        """``value``, or null where the phase failed or never ran: each phase depends on the upload, a step of extraction on the
+        steps before it."""
+        steps = PHASES[1:4]
+        needs = ("upload", *(steps[:steps.index(phase) + 1] if phase in steps else (phase,)))
+        return F.when(~F.arrays_overlap(F.coalesce("__failed", F.array().cast("array<string>")),
+                                        F.array(*[F.lit(p) for p in needs])), value)
+
     if responses is not None:
         failures.append(responses.where(F.col("error").isNotNull()).select("doc_id", F.lit("extraction").alias("phase"), "error"))
         there = responses.where(F.col("error").isNull()).select("doc_id").distinct().withColumn("__blank", F.lit(""))
     if blocks is not None:
         base = (base.join(_from_blocks(blocks), "doc_id", "left")
-                .withColumn("raw_text", F.when(~F.col("__ended"), F.coalesce("raw_text", F.when(
-                    F.col("__has_blocks"), F.coalesce("block_text", F.lit(""))))))
+                .withColumn("raw_text", F.coalesce("raw_text", F.when(F.col("__has_blocks"), F.coalesce("block_text", F.lit("")))))
                 .drop("block_text", "__has_blocks"))
     else:
         base = (base.withColumn("tables", F.lit(None).cast("array<array<array<string>>>"))
                 .withColumn("kv_pairs", F.lit(None).cast("map<string,string>"))
                 .withColumn("query_answers", F.lit(None).cast("map<string,string>")))
     if responses is not None:
-        base = base.join(there, "doc_id", "left").withColumn("raw_text", F.coalesce("raw_text", F.when(
-            ~F.col("__ended"), F.col("__blank")))).drop("__blank")
+        base = base.join(there, "doc_id", "left").withColumn("raw_text", F.coalesce("raw_text", F.col("__blank"))).drop("__blank")
     if identity is not None:
         ids = identity.groupBy("doc_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("type", "value"))))
                                              .alias("id_fields"))
@@ -124,10 +130,13 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
     if expense is not None:
         ext = F.lower(F.regexp_extract("document_path", r"(\.[^./]+)$", 1))
         base = base.join(expense.select("doc_id", "expense_data"), "doc_id", "left").withColumn(
-            "expense_data", F.when(ext.isin(list(EXPENSE_EXTENSIONS)) & ~F.col("__ended"), F.col("expense_data")))
+            "expense_data", F.when(ext.isin(list(EXPENSE_EXTENSIONS)), F.col("expense_data")))
     else:
         base = base.withColumn("expense_data", F.lit(None).cast(
             "struct<documents:array<struct<summary_fields:map<string,string>,line_items:array<map<string,string>>>>>"))
+    for field, phase in (("raw_text", "extraction"), ("id_fields", "extraction"), ("tables", "tables"), ("kv_pairs", "forms"),
+                         ("expense_data", "forms"), ("query_answers", "queries")):
+        base = base.withColumn(field, unless(phase, F.col(field)))
     if blocks is not None:
         base = materialize(base, "extracted")  # the block decode feeds every phase below: do it once
     base = base.withColumn("s3_uri", make_uri(F.lit(bucket), F.col("document_path")))
@@ -135,7 +144,7 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
 
     # PII and redaction: in-row.
     base = with_spans(base, "raw_text", "__spans", PII_PATTERNS)
-    base = (base.withColumn("__pii", F.when(has_text, F.col("__spans")).otherwise(F.array().cast(
+    base = (base.withColumn("__pii", F.coalesce(F.when(has_text, unless("pii", F.col("__spans"))), F.array().cast(
         "array<struct<type:string,begin_offset:int,end_offset:int,text:string,score:double>>"))).drop("__spans")
             .withColumn("redacted_text", F.when(F.size("__pii") > 0, redact(F.col("raw_text"), F.col("__pii")))
                         .otherwise(F.lit(""))))
@@ -172,25 +181,29 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
                    .withColumn("__class_error", F.lit(None).cast("string")))
     if failures:
         every = failures[0] if len(failures) == 1 else failures[0].unionByName(failures[1])
-        place = F.array_position(F.array(*[F.lit(p) for p in PHASES]), F.col("phase"))
-        per_doc = per_doc.join(every.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(
-            place.alias("p"), F.col("error")))), lambda e: e["error"]).alias("__errors")), "doc_id", "full")
+        place = F.array_position(F.array(*[F.lit(p) for p in PHASES]), F.col("phase")).cast("int")
+        per_doc = per_doc.join(every.groupBy("doc_id").agg(F.collect_list(F.struct(place.alias("p"), F.col("error"))).alias("__errors")),
+                               "doc_id", "full")
     else:
-        per_doc = per_doc.withColumn("__errors", F.lit(None).cast("array<string>"))
+        per_doc = per_doc.withColumn("__errors", F.lit(None).cast("array<struct<p:int,error:string>>"))
     out = base.join(per_doc, "doc_id", "left")
 
-    conf = F.when(has_text, F.col("classification_confidence"))
-    conf = F.coalesce(conf, F.lit(0.0))
-    review = needs_review(conf, review_threshold) & F.lit(enable_review)
-    given = F.coalesce("__errors", F.array().cast("array<string>"))
-    errors = F.concat(given, F.array_compact(F.array(
-        F.when(F.col("raw_text").isNull() & (F.size(given) == 0), F.lit("Extraction failed: no text")),
-        F.when(has_text, F.col("__class_error")),
-    )))
+    conf = F.coalesce(F.when(has_text, unless("classification", F.col("classification_confidence"))), F.lit(0.0))
+    review = F.coalesce(unless("review", needs_review(conf, review_threshold) & F.lit(enable_review)), F.lit(False))
+    given = F.coalesce("__errors", F.array().cast("array<struct<p:int,error:string>>"))
+
+    def error(phase, text):
+        return F.struct(F.lit(PHASES.index(phase) + 1).alias("p"), text.alias("error"))
+
+    errors = F.array_sort(F.concat(given, F.array_compact(F.array(
+        F.when(F.col("raw_text").isNull() & (F.size(given) == 0), error("extraction", F.lit("Extraction failed: no text"))),
+        F.when(has_text & F.col("__class_error").isNotNull(), error("classification", F.col("__class_error"))),
+    ))))
+    errors = F.transform(F.filter(errors, lambda e: (e["p"] == 1) | ~F.exists(given, lambda g: g["p"] == 1)), lambda e: e["error"])
     empty_map = F.expr("map()").cast("map<string,string>")
     return out.select(
-        "doc_id", "document_path", "s3_uri",
-        F.coalesce(F.when(has_text, F.col("document_type")), F.lit("")).alias("document_type"),
+        "doc_id", "document_path", F.coalesce(unless("upload", F.col("s3_uri")), F.lit("")).alias("s3_uri"),
+        F.coalesce(F.when(has_text, unless("classification", F.col("document_type"))), F.lit("")).alias("document_type"),
         conf.alias("classification_confidence"),
         F.coalesce("raw_text", F.lit("")).alias("raw_text"),
         F.coalesce("tables", F.array().cast("array<array<array<string>>>")).alias("tables"),
@@ -200,12 +213,12 @@ def process_documents(docs: DataFrame, entity_list: DataFrame | None = None,
             "documents"))).alias("expense_data"),
         F.coalesce("id_fields", empty_map).alias("id_fields"),
         F.coalesce("query_answers", empty_map).alias("query_answers"),
-        F.coalesce("entities", F.array().cast(f"array<{ENTITY_STRUCT}>")).alias("entities"),
+        F.coalesce(unless("entities", F.col("entities")), F.array().cast(f"array<{ENTITY_STRUCT}>")).alias("entities"),
         F.transform("__pii", lambda p: F.struct(p["text"].alias("text"), p["type"].alias("type"),
                                                 p["score"].alias("score"), p["begin_offset"].alias("begin_offset"),
                                                 p["end_offset"].alias("end_offset"))).alias("pii_entities"),
         "redacted_text",
-        F.coalesce("genai_answers", F.array().cast(
+        F.coalesce(unless("questions", F.col("genai_answers")), F.array().cast(
             "array<struct<question:string,answer:string,source_documents:array<struct<text:string,source:string>>>>"))
         .alias("genai_answers"),
         review.alias("human_review_triggered"),

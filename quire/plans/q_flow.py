@@ -254,7 +254,7 @@ def _planted(spark, sf_dir):
     raw = coded.join(docs.select("doc_id", "kind"), "doc_id").where("kind <> 'none'").withColumn(
         "response", F.when(F.col("kind") == "corrupt", F.concat(F.lit("{"), F.col("response")))
         .when(F.col("kind") == "blank", F.lit('{"Blocks": []}')).otherwise(F.col("response"))).select("doc_id", "response")
-    later = docs.where("kind = 'later'").select("doc_id", F.explode(F.array(
+    later = docs.where("kind IN ('later', 'upload')").select("doc_id", F.explode(F.array(
         F.struct(F.lit("review").alias("phase"), F.lit("Review failed").alias("error")),
         F.struct(F.lit("queries").alias("phase"), F.lit("Queries failed").alias("error")))).alias("e")).select("doc_id", "e.*")
     upload = docs.where("kind = 'upload'").select("doc_id", F.lit("upload").alias("phase"), F.lit("Upload failed").alias("error"))
@@ -272,17 +272,25 @@ k AS (SELECT doc_id, text, {_KIND_SQL} AS kind FROM documents),
 t AS (SELECT doc_id, kind, CASE WHEN kind IN ('fine', 'later') THEN text ELSE '' END AS text FROM k)"""
 
 
+_QUESTIONS_SQL = "'" + "|".join(q.replace("'", "''") for q in AS.DEFAULT_QUESTIONS) + "'"
+
+
 @register("process_results", f"""
 WITH pe AS ({_PATTERN_ENTS}), de AS ({_DICT_HITS_SQL}), sp AS ({_SPANS_SQL}), {_PLANTED_CTE},
-e AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id FROM pe UNION ALL SELECT doc_id FROM de) GROUP BY doc_id),
+e AS (SELECT doc_id, string_agg(type || ':' || CAST(begin_offset AS VARCHAR) || ':' || text, ',' ORDER BY source, begin_offset, end_offset, text, type) AS s
+      FROM (SELECT 0 AS source, doc_id, begin_offset, end_offset, text, type FROM pe UNION ALL
+            SELECT 1, doc_id, begin_offset, end_offset, text, type FROM de) GROUP BY doc_id),
 p AS (SELECT doc_id, string_agg(type || ':' || CAST(begin_offset AS VARCHAR), ',' ORDER BY span_ord) AS s FROM sp GROUP BY doc_id),
-a AS (SELECT t.*, e.n AS n_ents, p.s AS pii FROM t LEFT JOIN e ON e.doc_id = t.doc_id LEFT JOIN p ON p.doc_id = t.doc_id)
+a AS (SELECT t.*, e.s AS ents, p.s AS pii FROM t LEFT JOIN e ON e.doc_id = t.doc_id LEFT JOIN p ON p.doc_id = t.doc_id)
 SELECT doc_id, 'document_path' AS field, 'documents/' || CAST(doc_id AS VARCHAR) AS value FROM a
 UNION ALL SELECT doc_id, 'raw_text', md5(text) FROM a
-UNION ALL SELECT doc_id, 'entities', CAST(CASE WHEN text <> '' THEN coalesce(n_ents, 0) ELSE 0 END AS VARCHAR) FROM a
+UNION ALL SELECT doc_id, 's3_uri', CASE WHEN kind = 'upload' THEN '' ELSE 's3://documents/documents/' || CAST(doc_id AS VARCHAR) END FROM a
+UNION ALL SELECT doc_id, 'entities', CASE WHEN text <> '' THEN md5(coalesce(ents, '')) ELSE md5('') END FROM a
+UNION ALL SELECT doc_id, 'redacted_length', CAST(CASE WHEN text <> '' AND pii IS NOT NULL THEN length(text) ELSE 0 END AS VARCHAR) FROM a
+UNION ALL SELECT doc_id, 'defaults', '||0|0|0|0|false|' FROM a
 UNION ALL SELECT doc_id, 'pii', CASE WHEN text <> '' THEN coalesce(pii, '') ELSE '' END FROM a
-UNION ALL SELECT doc_id, 'answers', CASE WHEN text <> '' THEN '3' ELSE '0' END FROM a
-UNION ALL SELECT doc_id, 'id_fields', CASE WHEN kind = 'none' THEN '' ELSE 'KIND=' || kind || '|NUMBER=' || CAST(doc_id AS VARCHAR) END FROM a
+UNION ALL SELECT doc_id, 'answers', CASE WHEN text <> '' THEN {_QUESTIONS_SQL} ELSE '' END FROM a
+UNION ALL SELECT doc_id, 'id_fields', CASE WHEN kind IN ('none', 'upload') THEN '' ELSE 'KIND=' || kind || '|NUMBER=' || CAST(doc_id AS VARCHAR) END FROM a
 UNION ALL SELECT doc_id, 'errors', CASE kind WHEN 'corrupt' THEN 'Extraction failed: response is not valid JSON'
   WHEN 'upload' THEN 'Upload failed' WHEN 'later' THEN 'Queries failed|Review failed' WHEN 'none' THEN 'Extraction failed: no text'
   ELSE '' END FROM a""")
@@ -291,8 +299,14 @@ def q_process_results(spark, sf_dir):
     r = _planted(spark, sf_dir)
     pii = F.array_join(F.transform("pii_entities", lambda p: F.concat_ws(":", p["type"], p["begin_offset"].cast("string"))), ",")
     ids = F.array_join(F.transform(F.array_sort(F.map_entries("id_fields")), lambda e: F.concat_ws("=", e["key"], e["value"])), "|")
-    fields = {"document_path": F.col("document_path"), "raw_text": F.md5("raw_text"), "entities": F.size("entities").cast("string"),
-              "pii": pii, "answers": F.size("genai_answers").cast("string"), "id_fields": ids, "errors": F.array_join("errors", "|")}
+    ents = F.array_join(F.transform("entities", lambda e: F.concat_ws(":", e["type"], e["begin_offset"].cast("string"), e["text"])), ",")
+    # what no input of this query fills: type, confidence, tables, pairs, expenses, answers to queries, review
+    defaults = F.concat_ws("|", "document_type", F.lit(""), F.size("tables") + F.col("classification_confidence").cast("int"), F.size("kv_pairs"),
+                           F.size("expense_data.documents"), F.size("query_answers"), F.col("human_review_triggered"), "human_review_arn")
+    fields = {"document_path": F.col("document_path"), "raw_text": F.md5("raw_text"), "s3_uri": F.col("s3_uri"),
+              "entities": F.md5(ents), "pii": pii, "redacted_length": F.length("redacted_text").cast("string"), "defaults": defaults,
+              "answers": F.array_join(F.transform("genai_answers", lambda a: a["question"]), "|"), "id_fields": ids,
+              "errors": F.array_join("errors", "|")}
     return r.select("doc_id", F.explode(F.array(*[F.struct(F.lit(n).alias("field"), c.alias("value")) for n, c in fields.items()])
                                         ).alias("f")).select("doc_id", "f.field", "f.value")
 

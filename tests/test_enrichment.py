@@ -193,3 +193,52 @@ def test_exclusive_prefix_sum(spark):
             want.append(s)
             s += x
         assert row.p == want
+
+
+def test_redact_sweep_against_slices(spark):
+    """Any spans: overlapping, touching, nested, empty, repeated, past the end; many more than one fold takes."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from quire.functions.spans import redact
+
+    r, rows = random.Random(4), []
+    for i in range(60):
+        text = "".join(r.choice("abé😀 ") for _ in range(r.choice([0, 5, 80, 900])))
+        spans = [(b, b + r.choice([0, 1, 3, 40])) for b in (r.randint(0, len(text)) for _ in range(r.choice([0, 1, 7, 40, 400])))]
+        rows.append((i, text, spans))
+    rows += [(100, None, [(0, 1)]), (101, "abc", None), (102, "abc", [(1, 9)]), (103, "abcdef", [(0, 6), (2, 3)] * 40)]
+
+    def expected(text, spans):
+        if text is None or spans is None:
+            return None
+        for b, e in sorted(spans, reverse=True):
+            text = text[:b] + "*" * (e - b) + text[e:]
+        return text
+
+    df = spark.createDataFrame(rows, "id int, text string, spans array<struct<begin_offset:int,end_offset:int>>")
+    got = {x["id"]: x["t"] for x in df.select("id", redact(F.col("text"), F.col("spans")).alias("t")).collect()}
+    for i, text, spans in rows:
+        if text and spans and max(e for _, e in spans) > len(text) and i < 100:
+            continue  # the order of spans past the end matters there
+        assert got[i] == expected(text, spans), i
+
+
+def test_redact_is_linear_in_the_spans(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from quire.functions.spans import redact
+
+    def seconds(n):
+        spans = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct((i * 8).alias("begin_offset"), (i * 8 + 4).alias("end_offset")))
+        df = spark.range(1).select(F.repeat(F.lit("abcdéfg "), n).alias("text"), spans.alias("spans"))
+        began = time.time()
+        out = df.select(redact(F.col("text"), F.col("spans")).alias("t")).first()[0]
+        assert out == "****éfg " * n
+        return time.time() - began
+
+    seconds(1000)
+    assert seconds(50_000) < 20  # one overlay of the text per span takes minutes
