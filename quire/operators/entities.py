@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quire.functions.arrays import explode_rows, with_exclusive_prefix_sum
 from quire.functions.spans import with_spans
 from quire.functions.text import WS_JAVA
-from quire.session import broadcast_if_small
+from quire.session import broadcast_if_small, is_small
 
 # The built-in entity types and the medical categories.
 BUILTIN_ENTITY_TYPES = ["PERSON", "LOCATION", "ORGANIZATION", "COMMERCIAL_ITEM", "EVENT", "DATE", "QUANTITY",
@@ -83,21 +83,87 @@ def ngrams(docs: DataFrame, lengths: Sequence[int], max_chars: int | None = None
                     F.col("g.begin_offset").alias("begin_offset"), F.col("g.end_offset").cast("int").alias("end_offset")))
 
 
+def _phrase_trie(rows: Sequence[tuple[str, str]]) -> dict:
+    """Phrases as a trie of lower-cased tokens; a node's types, one per dictionary row, stand under the key None."""
+    root: dict = {}
+    for phrase, kind in rows:
+        node = root
+        for token in phrase.split(" "):
+            node = node.setdefault(token, {})
+        node.setdefault(None, []).append(kind)
+    return root
+
+
+def trie_matches(tokens: Sequence[str], trie: dict):
+    """``(first token, number of tokens, types)`` of every phrase of the trie among lower-cased ``tokens``. A position is followed only while
+    its tokens continue some phrase."""
+    for i, token in enumerate(tokens):
+        node, at = trie.get(token), i + 1
+        while node is not None:
+            if None in node:
+                yield i, at - i, node[None]
+            node, at = node.get(tokens[at]) if at < len(tokens) else None, at + 1
+
+
+def _dictionary_scan(docs: DataFrame, rows: Sequence[tuple[str, str]]) -> DataFrame:
+    """Match a dictionary of bounded size in each document's task."""
+    import re
+
+    import pyarrow as pa
+
+    from quire.functions.text import WHITESPACE_CODEPOINTS
+
+    known = docs.sparkSession.sparkContext.broadcast({"rows": rows})
+    token = "[^" + "".join(re.escape(chr(c)) for c in WHITESPACE_CODEPOINTS) + "]+"
+
+    def run(batches):
+        held = known.value  # one object per worker process, so the trie is built once there
+        if "trie" not in held:
+            held["trie"] = _phrase_trie(held["rows"])
+        pattern, trie = re.compile(token), held["trie"]
+        for b in batches:
+            docs_at, found = [], []
+            for k, text in enumerate(b.column("text").to_pylist()):
+                words = pattern.findall(text or "")
+                hits = list(trie_matches([w.lower() for w in words], trie))
+                if hits:
+                    spans = [m.span() for m in pattern.finditer(text)]
+                    for i, n, kinds in hits:
+                        for kind in kinds:
+                            docs_at.append(k)
+                            found.append((spans[i][0], spans[i + n - 1][1], " ".join(words[i:i + n]), kind, 1.0))
+            columns = list(zip(*found)) if found else [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id").take(pa.array(docs_at, pa.int64())),
+                 *(pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.float64())))],
+                names=["doc_id", "begin_offset", "end_offset", "text", "type", "score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, begin_offset int, end_offset int, text string, type string, score double")
+
+
+def _dictionary_join(docs: DataFrame, entities: DataFrame) -> DataFrame:
+    """Match a dictionary of any size: runs as long as one of its phrases are joined with it on the phrase."""
+    d = entities.withColumn("n", F.size(F.split("phrase", " ", -1)))
+    lengths = sorted(r[0] for r in d.select("n").distinct().collect())
+    g = ngrams(docs, lengths or [1]).withColumn("phrase", F.lower("text"))
+    hits = g.join(d, ["phrase", "n"])
+    return hits.select("doc_id", "begin_offset", "end_offset", "text", "type", F.lit(1.0).alias("score"))
+
+
 def dictionary_entities(docs: DataFrame, entity_list: DataFrame) -> DataFrame:
     """J6 (custom NER re-aimed): ``(doc_id, begin_offset, end_offset, text, type, score)``.
 
-    A hit is a run of n tokens whose lower-cased text equals a dictionary phrase of n tokens, whatever n. The dictionary
-    ``(text, type)`` is normalised (lower case, single spaces); only runs as long as one of its phrases are built (their
-    lengths, a handful, are read from the dictionary) and joined on ``(phrase, n)``.
+    A hit is a run of n tokens whose lower-cased text equals a dictionary phrase of n tokens, whatever n; a phrase listed twice hits
+    twice. The dictionary ``(text, type)`` is normalised (lower case, single spaces). Up to a counted size it travels to the tasks as a
+    token trie, which tries a text position only where a phrase can go on; beyond that, runs are joined with it.
     """
     d = (entity_list.select(F.lower(F.array_join(F.filter(F.split("text", WS_JAVA, -1), lambda x: x != ""), " "))
-                            .alias("phrase"), "type")
-         .withColumn("n", F.size(F.split("phrase", " ", -1)))
-         .where(F.col("phrase") != ""))
-    lengths = sorted(r[0] for r in d.select("n").distinct().collect())
-    g = ngrams(docs, lengths or [1]).withColumn("phrase", F.lower("text"))
-    hits = g.join(broadcast_if_small(d), ["phrase", "n"])
-    return hits.select("doc_id", "begin_offset", "end_offset", "text", "type", F.lit(1.0).alias("score"))
+                            .alias("phrase"), "type").where(F.col("phrase") != ""))
+    if is_small(d):
+        return _dictionary_scan(docs, [(r[0], r[1]) for r in d.collect()])
+    return _dictionary_join(docs, d)
 
 
 def pattern_entities(docs: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:

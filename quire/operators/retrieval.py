@@ -168,22 +168,6 @@ def top_k_by_key(vectors: DataFrame, queries: DataFrame, key: str, k: int = TOP_
             .drop("__salt", "__r"))
 
 
-def top_k_shared(vectors: DataFrame, queries: Sequence[tuple[int, Sequence[float]]], k: int = TOP_K, salt_buckets: int = 64,
-                 id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """J12 over one shared index: the ``k`` nearest of *all* vectors for each query ``(query_id, vector)``, ranked by
-    ``(distance, id)``. The query set is a parameter: every vector's distances to it are an array in its row, and only each
-    salt's nearest ``k`` of a query leave the partial top-k, so neither pairs nor the index are shuffled whole."""
-    qs = F.array(*[F.struct(F.lit(int(i)).alias("query_id"), F.array(*[F.lit(float(x)) for x in v]).alias("q")) for i, v in queries])
-    j = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("__v")).select(
-        "vec_id", F.explode(F.transform(qs, lambda q: F.struct(
-            q["query_id"].alias("query_id"), l2_distance(F.col("__v"), q["q"]).alias("distance")))).alias("d"))
-    j = j.select("vec_id", "d.query_id", "d.distance", F.pmod(F.hash("vec_id"), F.lit(salt_buckets)).alias("__salt"))
-    local = j.withColumn("__r", F.row_number().over(Window.partitionBy("query_id", "__salt").orderBy("distance", "vec_id")))
-    last = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-    return (local.where(F.col("__r") <= k).withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)
-            .select("query_id", "vec_id", "distance", "rank"))
-
-
 def retrieve_shared(docs: DataFrame, questions: Sequence[str], k: int = TOP_K, size: int = SPLIT_CHUNK_SIZE,
                     overlap: int = SPLIT_CHUNK_OVERLAP, embed=embed_letters, salt_buckets: int = 64) -> DataFrame:
     """J12 over the chunks of all documents as one index: ``(question_ord, rank, doc_id, chunk_ord, distance, text)``, the ``k``

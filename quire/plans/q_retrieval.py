@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions.text import SPLIT_CHUNK_OVERLAP, SPLIT_CHUNK_SIZE
+from quire.operators import index as IX
 from quire.operators import retrieval as RT
 from quire.operators.blocks import answer_queries, kv_pairs
 from quire.plans.lookups import DEFAULT_QUESTIONS
@@ -165,18 +166,72 @@ def q_top_k(spark, sf_dir):
     return r.select("label", "vec_id", F.round("distance", 6).alias("distance"), "rank")
 
 
-# The first vectors of the table are asked of all of them; the query set is read once, five rows of fixed length.
-@register("top_k_shared", """
-WITH q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings WHERE vec_id < 5),
+_NEAREST_CTE = """
+WITH q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings WHERE vec_id % 20 = 0),
 d AS (SELECT q.query_id, e.vec_id, list_sum(list_transform(generate_series(1, len(q)),
         lambda i: (CAST(embedding[i] AS DOUBLE) - CAST(q[i] AS DOUBLE)) * (CAST(embedding[i] AS DOUBLE) - CAST(q[i] AS DOUBLE)))) AS distance
-      FROM embeddings e, q)
-SELECT CAST(query_id AS INTEGER) AS query_id, vec_id, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d) WHERE rank <= 4""")
+      FROM embeddings e, q),
+n AS (SELECT query_id, vec_id, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank
+      FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d) WHERE rank <= 4)"""
+
+
+def _asked_vectors(v):
+    return v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@register("top_k_shared", _NEAREST_CTE + " SELECT * FROM n")
 def q_top_k_shared(spark, sf_dir):
+    """J12 exact over one shared index: the query set is every vector whose id is divisible by 20."""
+    v = _vectors(spark, sf_dir)
+    return IX.top_k_all(v, _asked_vectors(v), RT.TOP_K).withColumn("distance", F.round("distance", 6))
+
+
+def _approx(v):
+    centroids = IX.fit_centroids(v)
+    return IX.top_k_approx(IX.build_cells(v, centroids), _asked_vectors(v), centroids, RT.TOP_K, probes=APPROX_PROBES)
+
+
+# Cells that a query probes, of 64.
+APPROX_PROBES = 24
+
+
+@register("top_k_approx")
+def q_top_k_approx(spark, sf_dir):
+    """J12 approximate (no SQL oracle: fitted centroids); ``approx_recall`` holds it against the exact search."""
+    return _approx(_vectors(spark, sf_dir)).withColumn("distance", F.round("distance", 6))
+
+
+@register("approx_recall", _NEAREST_CTE + """
+SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_exact, true AS recall_reached, CAST((SELECT count(*) FROM embeddings) AS BIGINT) AS n_indexed
+FROM n""")
+def q_approx_recall(spark, sf_dir):
+    """Recall of the approximate index against the exact search, at least 0.9; the index holds every vector."""
     v = _vectors(spark, sf_dir)
-    asked = [(r[0], list(r[1])) for r in v.where("vec_id < 5").select("vec_id", "embedding").orderBy("vec_id").collect()]
-    return RT.top_k_shared(v, asked, RT.TOP_K).withColumn("distance", F.round("distance", 6))
+    centroids = IX.fit_centroids(v)
+    index = IX.build_cells(v, centroids)
+    asked = _asked_vectors(v)
+    r = IX.recall(IX.top_k_approx(index, asked, centroids, RT.TOP_K, probes=APPROX_PROBES), IX.top_k_all(v, asked, RT.TOP_K))
+    return r.select("n_queries", "n_exact", (F.col("recall") >= 0.9).alias("recall_reached"), F.lit(index.count()).alias("n_indexed"))
+
+
+_TERM_WORDS = r"list_filter(string_split_regex(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
+
+
+@register("retrieve_terms", f"""WITH {_RETRIEVE_CTE},
+cw AS (SELECT DISTINCT doc_id, chunk_ord, unnest({_TERM_WORDS.format("t")}) AS word, t FROM __dist),
+ct AS (SELECT doc_id, chunk_ord, word, len(list_filter({_TERM_WORDS.format("t")}, lambda w: w = word)) AS tf FROM cw),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM (SELECT DISTINCT doc_id, chunk_ord FROM __dist)),
+f AS (SELECT word, count(*) AS df FROM ct GROUP BY word),
+q AS (SELECT question_ord, word, count(*) AS asked FROM (SELECT question_ord, unnest({_TERM_WORDS.format("question")}) AS word FROM (
+        SELECT * FROM (VALUES {", ".join(f"({i}, {duck_str(x)})" for i, x in enumerate(DEFAULT_QUESTIONS))}) v(question_ord, question))) GROUP BY ALL),
+s AS (SELECT question_ord, doc_id, chunk_ord, sum(asked * CAST(floor(1000 * (1 + ln(CAST(tf AS DOUBLE))) * ln(1 + n / df)) AS BIGINT)) AS score
+      FROM ct JOIN f USING (word) JOIN q USING (word), n GROUP BY ALL)
+SELECT question_ord, doc_id, chunk_ord, CAST(score AS BIGINT) AS score, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY question_ord ORDER BY score DESC, doc_id, chunk_ord) AS rank FROM s) WHERE rank <= {RT.TOP_K}""")
+def q_retrieve_terms(spark, sf_dir):
+    """C5 + J12: IDF-weighted terms in one inverted index of all chunks, exact best chunks per question."""
+    index = IX.postings(_docs(spark, sf_dir))
+    return IX.search_terms(index, IX.question_terms(DEFAULT_QUESTIONS, spark), RT.TOP_K)
 
 
 @register("retrieve_shared", f"""WITH {_RETRIEVE_CTE}

@@ -82,21 +82,24 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set")
     spark.sparkContext.setCheckpointDir(fallback)
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return spark.sparkContext.getCheckpointDir()
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and, in text form, ``max_bytes`` bytes (one aggregation over it)."""
+    # written out as JSON a row counts with all elements of its arrays and maps
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()
+    return n <= max_rows and size <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                        max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint only behind a measured size bound; above it the join stays a shuffle join.
 
-    One aggregation over the (dimension-like) side counts its rows and the bytes of their text form; both must be
-    under the bounds. Use it for lookup tables whose size is
-    data-derived (dictionaries, lexicons, code tables, IDF tables), never for the fact side.
+    Use it for lookup tables whose size is data-derived (dictionaries, lexicons, code tables, IDF tables), never for the fact
+    side.
     """
-    # written out as JSON a row counts with all elements of its arrays and maps
-    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()
-    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -242,3 +242,29 @@ def test_redact_is_linear_in_the_spans(spark):
 
     seconds(1000)
     assert seconds(50_000) < 20  # one overlay of the text per span takes minutes
+
+
+def test_dictionary_of_any_phrase_length_and_both_forms(spark):
+    """The trie and the join agree: nested and overlapping phrases, a phrase of 300 tokens, repeated rows, null and empty texts."""
+    import random
+
+    r = random.Random(3)
+    long = " ".join(f"t{i}" for i in range(300))
+    listed = [("a", "X"), ("a b", "Y"), ("A  b", "Y"), ("b a b", "Z"), ("c c", "C"), (long, "LONG"), ("t7", "ONE"), (" ", "NONE"), (None, "N")]
+    docs = [(1, None), (2, ""), (3, "  a\tB a\n b "), (4, "x " + long.upper() + " t7"), (5, "c c c c")] + [
+        (10 + i, " ".join(r.choice("abcd") for _ in range(60))) for i in range(20)]
+    df, el = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(listed, "text string, type string")
+    phrases = [(t.lower().split(), k) for t, k in listed if t and t.split()]
+    want = []
+    for i, text in docs:
+        words = (text or "").split()
+        for k in range(len(words)):
+            for p, kind in phrases:
+                if [w.lower() for w in words[k:k + len(p)]] == p:
+                    want.append((i, " ".join(words[k:k + len(p)]), kind))
+    got = EN.dictionary_entities(df, el)
+    assert sorted((x.doc_id, x.text, x.type) for x in got.collect()) == sorted(want)
+    joined = EN._dictionary_join(df, spark.createDataFrame([(" ".join(p), k) for p, k in phrases], "phrase string, type string"))
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, got.select(*joined.columns).collect()))
+    for x in got.where("doc_id = 3").collect():
+        assert docs[2][1][x.begin_offset:x.end_offset].split() == x.text.split()

@@ -144,3 +144,43 @@ def test_process_documents_from_blocks(spark):
     summary = {x.doc_id: x for x in AS.document_summary(
         AS.process_documents(docs, blocks=blocks)).collect()}
     assert summary[1].n_tables == 1 and summary[1].document_type == "N/A"
+
+
+def test_phases_depend_on_earlier_ones(spark):
+    """Every field of a failed upload but its path is at its default and later errors are not told; a failed step of extraction skips
+    the next ones; other phases lose their own fields only."""
+    block = json.dumps({"Blocks": [
+        {"BlockType": "LINE", "Id": "l", "Text": "mail a@b.io"},
+        {"BlockType": "TABLE", "Id": "t", "Relationships": [{"Type": "CHILD", "Ids": ["c"]}]},
+        {"BlockType": "CELL", "Id": "c", "RowIndex": 1, "ColumnIndex": 1, "Relationships": [{"Type": "CHILD", "Ids": ["w"]}]},
+        {"BlockType": "WORD", "Id": "w", "Text": "9"},
+        {"BlockType": "KEY_VALUE_SET", "Id": "k", "EntityTypes": ["KEY"], "Relationships": [
+            {"Type": "CHILD", "Ids": ["w"]}, {"Type": "VALUE", "Ids": ["v"]}]},
+        {"BlockType": "KEY_VALUE_SET", "Id": "v", "EntityTypes": ["VALUE"], "Relationships": [{"Type": "CHILD", "Ids": ["w"]}]}]})
+    failing = [None, "upload", "extraction", "tables", "forms", "classification", "entities", "pii", "questions", "review"]
+    docs = spark.createDataFrame([(i, f"{i}.pdf") for i in range(len(failing))], "doc_id long, document_path string")
+    raw = spark.createDataFrame([(i, block) for i in range(len(failing))], "doc_id long, response string")
+    errors = spark.createDataFrame([(i, p, f"{p} failed") for i, p in enumerate(failing) if p] + [(1, "review", "never ran")],
+                                   "doc_id long, phase string, error string")
+    classes = spark.createDataFrame([(i, "letter", 0.4, None) for i in range(len(failing))],
+                                    "doc_id long, document_type string, classification_confidence double, error string")
+    identity = spark.createDataFrame([(i, "NAME", "Ada") for i in range(len(failing))], "doc_id long, type string, value string")
+    expense = spark.createDataFrame([(i, ([({"T": "9"}, [])],)) for i in range(len(failing))],
+                                    "doc_id long, expense_data struct<documents:array<struct<summary_fields:map<string,string>,line_items:array<map<string,string>>>>>")
+    r = {failing[x.doc_id]: x for x in AS.process_documents(
+        docs, blocks=parse_blocks(raw), responses=response_status(raw), phase_errors=errors, identity=identity, expense=expense,
+        classes=classes).collect()}
+    def filled(x):
+        return {f for f in ("s3_uri", "document_type", "raw_text", "tables", "kv_pairs", "id_fields", "entities", "pii_entities", "redacted_text",
+                            "genai_answers", "human_review_triggered", "human_review_arn", "classification_confidence") if x[f]} | (
+            {"expense"} if x.expense_data.documents else set())
+
+    every = filled(r[None])
+    assert {"tables", "kv_pairs", "expense", "pii_entities", "genai_answers", "human_review_triggered", "id_fields"} <= every and r[None].errors == []
+    assert filled(r["upload"]) == set() and r["upload"].errors == ["upload failed"] and r["upload"].document_path == "1.pdf"
+    assert filled(r["extraction"]) == {"s3_uri"}
+    assert every - filled(r["tables"]) == {"tables", "kv_pairs", "expense"} and every - filled(r["forms"]) == {"kv_pairs", "expense"}
+    assert every - filled(r["classification"]) >= {"document_type", "classification_confidence"}
+    assert every - filled(r["pii"]) == {"pii_entities", "redacted_text"} and every - filled(r["questions"]) == {"genai_answers"}
+    assert every - filled(r["review"]) == {"human_review_triggered", "human_review_arn"}
+    assert all(r[p].errors == [f"{p} failed"] for p in failing if p)

@@ -6,6 +6,7 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from quire.functions.models import with_model
+from quire.operators import index as IX
 from quire.operators import retrieval as RT
 from quire.plans.lookups import DEFAULT_QUESTIONS
 from quire.session import read_table
@@ -42,7 +43,8 @@ def test_two_queries_under_one_key(spark):
     q = spark.createDataFrame([("k", 1, [0.0, 0.0]), ("k", 2, [8.0, 0.0])], "key string, q int, query array<double>")
     got = sorted((r.q, r.rank, r.vec_id) for r in RT.top_k_by_key(v, q, "key", 2, query_id="q").collect())
     assert got == [(1, 1, 0), (1, 2, 1), (2, 1, 8), (2, 2, 7)]
-    shared = sorted((r.query_id, r.rank, r.vec_id) for r in RT.top_k_shared(v, [(1, [0.0, 0.0]), (2, [8.0, 0.0])], 2).collect())
+    asked = q.select(F.col("q").alias("query_id"), F.col("query").alias("embedding"))
+    shared = sorted((r.query_id, r.rank, r.vec_id) for r in IX.top_k_all(v, asked, 2).collect())
     assert shared == got
 
 
@@ -94,3 +96,72 @@ def test_with_model_stub(spark):
 
     out = with_model(docs, fn, "doc_id long, n long", load=lambda: 10)
     assert sorted(map(tuple, out.collect())) == [(1, 30), (2, 20)]
+
+
+def vectors_with_ties(spark, n=400):
+    import random
+
+    r = random.Random(2)
+    rows = [(i, [float(r.choice([0, 1, 2])) for _ in range(4)]) for i in range(n)] + [(n + i, [1.0, 1.0, 1.0, 1.0]) for i in range(300)] + [(-1, None)]
+    return rows, spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+
+
+def brute_nearest(rows, asked, k):
+    return sorted((q, i + 1, v) for q, x in asked for i, (_, v) in enumerate(sorted(
+        (sum((a - b) ** 2 for a, b in zip(x, y)), v) for v, y in rows if y is not None)[:k]))
+
+
+def test_exact_search_in_lists_and_blocks(spark):
+    rows, v = vectors_with_ties(spark)
+    asked = [r for r in rows if r[0] % 20 == 0 or r[1] is None]
+    q = spark.createDataFrame(asked, "query_id long, embedding array<float>")
+    got = IX.top_k_all(v, q, 5, list_rows=50, block_queries=7)
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got.collect()) == brute_nearest(rows, [a for a in asked if a[1] is not None], 5)
+    assert IX.top_k_all(v.limit(0), q, 5).count() == 0 and IX.top_k_all(v, q.limit(0), 5).count() == 0
+
+
+def test_approximate_search(spark):
+    rows, v = vectors_with_ties(spark)
+    q = spark.createDataFrame([r for r in rows if r[0] % 20 == 0], "query_id long, embedding array<float>")
+    centroids = IX.fit_centroids(v, cells=16)
+    index = IX.build_cells(v, centroids)
+    assert index.count() == len(rows) - 1  # every vector that there is
+    exact = IX.top_k_all(v, q, 4)
+    whole = IX.recall(IX.top_k_approx(index, q, centroids, 4, probes=16, list_rows=40, block_queries=9), exact).first()
+    some = IX.recall(IX.top_k_approx(index, q, centroids, 4, probes=4), exact).first()
+    assert whole.recall == 1.0 and 0 < some.recall <= 1.0 and whole.n_exact == 4 * whole.n_queries
+
+
+def brute_terms(docs, questions, k, size, overlap):
+    import re
+    from collections import Counter
+
+    def words(t):
+        return [w for w in re.split(r"[^\w]+|_", t.lower()) if w]
+
+    chunks = [(d, j, Counter(words(t[s:s + size]))) for d, t in docs if t
+              for j, s in enumerate(range(0, max(1, len(t) - overlap), size - overlap))]
+    df = Counter(w for _, _, c in chunks for w in c)
+    out = []
+    for i, question in enumerate(questions):
+        asked, scored = Counter(words(question)), []
+        for d, j, c in chunks:
+            both = [w for w in asked if w in c]
+            if both:
+                scored.append((-sum(asked[w] * math.floor(1000 * (1 + math.log(c[w])) * math.log1p(len(chunks) / df[w])) for w in both), d, j))
+        out += [(i, d, j, -s, n + 1) for n, (s, d, j) in enumerate(sorted(scored)[:k])]
+    return sorted(out)
+
+
+def test_inverted_index_against_full_scoring(spark):
+    import random
+
+    r = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(60)] + ["the", "of", "and"] * 12
+    docs = [(i, " ".join(r.choice(vocabulary) for _ in range(r.choice([0, 3, 40, 300])))) for i in range(250)] + [(900, None), (901, "The the")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    questions = ["the of and w1", "w2 w2 w3 w4 the", "and the", "zzz", "", "w5 of w6 of w7 of w8 of"]
+    index = IX.postings(df, 200, 20)
+    got = IX.search_terms(index, IX.question_terms(questions, spark), 5)
+    assert sorted(map(tuple, got.collect())) == brute_terms(docs, questions, 5, 200, 20)
+    assert IX.search_terms(index.limit(0), IX.question_terms(questions, spark), 5).count() == 0
