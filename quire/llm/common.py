@@ -42,11 +42,13 @@ def kept(columns: str) -> list[str]:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir`` (shared by driver and executors).
 
-    Where the setting is absent (tests, a laptop) a scratch folder is set; a cluster must set it.
+    Where the setting is absent a local session (tests, a laptop) takes a scratch folder; on a cluster it must be set.
     """
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="quire-ckpt-"))
-    return f"{checkpoint_dir(spark).rstrip('/')}/quire-llm-{name}-{uuid.uuid4().hex}"
+    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not known:
+        local = spark.sparkContext.master.startswith("local")
+        known = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="quire-ckpt-") if local else None)
+    return f"{known.rstrip('/')}/quire-llm-{name}-{uuid.uuid4().hex}"
 
 
 def save(df: DataFrame, name: str, **options) -> DataFrame:
