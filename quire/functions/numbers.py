@@ -18,7 +18,8 @@ def round_exact(x: Column, digits: int) -> Column:
 
     Spark's ``round`` and ``bround`` round the shortest decimal that prints like the double: 0.55555, whose value lies below
     the tie, would become 0.5556. Here the product with the power of ten is kept as a double and its exact error
-    (of magnitudes that scores and percentages have), and both decide on which side of the tie it lies.
+    (of magnitudes that scores and percentages have), and both decide on which side of the tie it lies. Values that have no
+    such decimals (beyond 2^53 once scaled) and those that are not finite are returned as they are.
     """
     scale = 10.0 ** digits
     b = F.lit(scale)
@@ -29,4 +30,4 @@ def round_exact(x: Column, digits: int) -> Column:
     low = F.floor(p).cast("double")
     beyond = ((p - low) - F.lit(0.5)) + error
     up = (beyond > 0) | ((beyond == 0) & (low % 2 != 0))
-    return (low + F.when(up, 1.0).otherwise(0.0)) / b
+    return F.when(F.abs(p) < F.lit(2.0 ** 53), (low + F.when(up, 1.0).otherwise(0.0)) / b).otherwise(x)

@@ -201,3 +201,18 @@ def list_loops(loops: DataFrame, status: str | None = None, max_results: int = 5
     """Loops of one flow, optional status filter, the first ``max_results`` in a fixed order."""
     df = loops.where(F.col("status") == status) if status else loops
     return df.orderBy(F.col("ts").desc(), F.col("loop_id")).limit(max_results)
+
+
+# ---------------------------------------------------------------- ST4: what asynchronous jobs left
+
+def finished_pages(outcomes: DataFrame, pages: DataFrame, ok_status: str = "SUCCEEDED") -> DataFrame:
+    """ST4: the pages ``(loop_id, ...)`` of jobs that ended well; pages of failed, timed out or unknown jobs are not results."""
+    done = outcomes.where(F.col("outcome") == ok_status).select("loop_id")
+    return pages.join(done, "loop_id", "left_semi")
+
+
+def job_errors(outcomes: DataFrame, timeout_s: int, ok_status: str = "SUCCEEDED") -> DataFrame:
+    """ST4: ``(loop_id, phase, error)`` of the jobs that failed or did not end in time, as ``process_documents`` takes phase errors."""
+    text = F.when(F.col("outcome") == "Timeout", F.concat(F.lit("Extraction failed: job "), "loop_id", F.lit(f" timed out after {timeout_s}s")))
+    text = text.otherwise(F.concat(F.lit("Extraction failed: job "), F.col("loop_id"), F.lit(" "), F.col("outcome")))
+    return outcomes.where(F.col("outcome") != ok_status).select("loop_id", F.lit("extraction").alias("phase"), text.alias("error"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.arrays import explode_rows
+from quire.functions.arrays import bind, explode_rows
 from quire.functions.numbers import round_exact
 from quire.schemas import CLASS_RESPONSE, EXPENSE_RESPONSE, IDENTITY_RESPONSE
 
@@ -77,22 +77,28 @@ def identity_fields(resp: DataFrame, json_col: str = "response") -> DataFrame:
     return f.groupBy("doc_id", "type").agg(F.max_by("value", F.struct("d_ord", "f_ord")).alias("value"))
 
 
-def with_ranked_classes(resp: DataFrame, json_col: str = "response", out_col: str = "ranked") -> DataFrame:
-    """W1 as a column: ``array<struct<name, pos, score>>`` sorted by rounded score desc, ties in response order.
+def _keyed_classes(resp: DataFrame, json_col: str, out_col: str) -> DataFrame:
+    """Add ``array<struct<missing, neg, pos, name>>``, whose natural order is the ranking: rounded score descending, ties in
+    response order, classes without a score last. A repeated class keeps its first position with its last score (dict semantics).
 
-    A repeated class keeps its first position with its last score (dict semantics). The class list of one
-    document is short and bounded by the number of classes, so the ranking is done inside the row: no shuffle.
-    The parsed class list is a column of its own so the lambdas below read it instead of re-parsing the JSON.
+    The class list of one document is short, so all of it happens inside the row. The parsed class list is a column of its own so the lambdas
+    below read it instead of re-parsing the JSON.
     """
     d = resp.withColumn("__cs", F.coalesce(F.from_json(F.col(json_col), CLASS_RESPONSE)["Classes"], F.array()))
     names = F.array_distinct(F.transform(F.filter("__cs", lambda c: c["Name"].isNotNull()), lambda c: c["Name"]))
     entries = F.transform(names, lambda n, i: F.struct(
         n.alias("name"), i.alias("pos"), F.element_at(F.filter(F.col("__cs"), lambda c: c["Name"] == n), -1)["Score"].alias("s")))
-    keyed = F.transform(entries, lambda e: F.struct((-round_exact(e["s"], 4)).alias("neg"), e["pos"].alias("pos"), e["name"].alias("name")))
-    # one pass of a lambda variable binds the list: later uses read a value instead of parsing and ranking again
-    ranked = F.transform(F.array_sort(keyed), lambda e: F.struct(
-        e["name"].alias("name"), e["pos"].alias("pos"), (F.lit(0.0) - e["neg"]).alias("score")))
-    return d.withColumn(out_col, F.element_at(F.transform(F.array(ranked), lambda r: r), 1)).drop("__cs")
+    return d.withColumn(out_col, F.transform(entries, lambda e: F.struct(
+        e["s"].isNull().alias("missing"), (-round_exact(e["s"], 4)).alias("neg"), e["pos"].alias("pos"), e["name"].alias("name")))).drop("__cs")
+
+
+def with_ranked_classes(resp: DataFrame, json_col: str = "response", out_col: str = "ranked") -> DataFrame:
+    """W1 as a column: ``array<struct<name, pos, score>>`` sorted by rounded score desc, ties in response order, classes without
+    a score last."""
+    d = _keyed_classes(resp, json_col, "__keyed")
+    # one pass of a lambda variable binds the list: later uses read a value instead of ranking again
+    return d.withColumn(out_col, bind(F.array_sort("__keyed"), lambda r: F.transform(r, lambda e: F.struct(
+        e["name"].alias("name"), e["pos"].alias("pos"), (F.lit(0.0) - e["neg"]).alias("score"))))).drop("__keyed")
 
 
 def rank_classes(resp: DataFrame, json_col: str = "response") -> DataFrame:
@@ -103,8 +109,11 @@ def rank_classes(resp: DataFrame, json_col: str = "response") -> DataFrame:
 
 
 def top_class(resp: DataFrame, json_col: str = "response") -> DataFrame:
-    """``(doc_id, document_type, classification_confidence, error)``; no classes -> null type and an error."""
-    return (with_ranked_classes(resp, json_col).select("doc_id", F.get("ranked", 0).alias("t"))
-            .select("doc_id", F.col("t.name").alias("document_type"),
-                    F.col("t.score").alias("classification_confidence"),
-                    F.when(F.col("t").isNull(), F.lit("Classification failed: no classes returned")).alias("error")))
+    """``(doc_id, document_type, classification_confidence, error)``; no class with a score -> null type and an error. The least
+    key of the ranking, without sorting."""
+    top = _keyed_classes(resp, json_col, "__keyed").select("doc_id", F.array_min("__keyed").alias("t"))
+    fine = F.col("t").isNotNull() & ~F.col("t.missing")
+    return top.select("doc_id", F.when(fine, F.col("t.name")).alias("document_type"),
+                      F.when(fine, F.lit(0.0) - F.col("t.neg")).alias("classification_confidence"),
+                      F.when(F.col("t").isNull(), F.lit("Classification failed: no classes returned"))
+                      .when(~fine, F.lit("Classification failed: no class has a score")).alias("error"))

@@ -18,7 +18,7 @@ from quire.plans.q_blocks import line_blocks
 from quire.plans.q_entities import _CHUNK_SQL, _DICT_HITS_SQL, _PATTERN_ENTS
 from quire.plans.q_text import _SPANS_SQL
 from quire.plans.registry import register
-from quire.session import materialize, read_table
+from quire.session import materialize, read_table, scratch_path
 from quire.sources import files as FS
 from quire.sources.blocks import combine_pages, parse_blocks, response_status
 
@@ -109,6 +109,20 @@ def q_key_collisions_flat(spark, sf_dir):
     return FS.key_collisions(FS.plan_upload(p, "documents", "raw", exts=_EXTS))
 
 
+@register("layers", """
+SELECT doc_id, lang AS document_type, CAST(CASE WHEN lang = 'en' THEN -n_chars ELSE n_chars END AS BIGINT) AS n_chars, true AS pruned
+FROM documents WHERE lang IN ('en', 'fr')""")
+def q_layers(spark, sf_dir):
+    """A layer is written for every class, one class is run again, and two classes are read back from their folders alone."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("document_type"), F.col("n_chars").cast("long").alias("n_chars"))
+    base = scratch_path(spark, "layers")
+    FS.write_layers(docs, base, "classified")
+    FS.write_layers(docs.where("document_type = 'en'").withColumn("n_chars", -F.col("n_chars")), base, "classified")
+    folder = F.regexp_extract(F.input_file_name(), "document_type=([^/]+)/", 1)
+    return FS.read_layer(spark, base, "classified", ["en", "fr"]).select(
+        "doc_id", "document_type", "n_chars", (folder == F.col("document_type")).alias("pruned"))
+
+
 @register("wrap_text", "SELECT doc_id, md5(text) AS text_md5, source FROM documents")
 def q_wrap_text(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents")

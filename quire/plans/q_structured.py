@@ -269,6 +269,31 @@ def q_ocr_jobs(spark, sf_dir):
     return R.loop_outcomes(starts, ends, "user_id", 300).select("loop_id", "outcome", "end_event_id")
 
 
+def _job_pages(spark, sf_dir):
+    """The lines of an order as the pages of a job."""
+    return read_table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("loop-"), F.col("l_orderkey").cast("string")).alias("loop_id"), F.col("l_linenumber").cast("long").alias("page"),
+        F.concat("l_returnflag", "l_linestatus").alias("text"))
+
+
+@register("ocr_job_pages", f"""WITH o AS ({_outcome_sql("view", _OCR_ENDS, 300)})
+SELECT loop_id, CAST(l_linenumber AS BIGINT) AS page, l_returnflag || l_linestatus AS text
+FROM lineitem JOIN o ON o.loop_id = 'loop-' || CAST(l_orderkey AS VARCHAR) WHERE outcome = 'SUCCEEDED'""")
+def q_ocr_job_pages(spark, sf_dir):
+    """ST4: the pages of finished jobs."""
+    starts, ends = _starts_ends(spark, sf_dir, "view", _OCR_ENDS)
+    return R.finished_pages(R.loop_outcomes(starts, ends, "user_id", 300), _job_pages(spark, sf_dir))
+
+
+@register("ocr_job_errors", f"""WITH o AS ({_outcome_sql("view", _OCR_ENDS, 300)})
+SELECT loop_id, 'extraction' AS phase, 'Extraction failed: job ' || loop_id || CASE outcome WHEN 'Timeout' THEN ' timed out after 300s'
+  ELSE ' FAILED' END AS error FROM o WHERE outcome <> 'SUCCEEDED'""")
+def q_ocr_job_errors(spark, sf_dir):
+    """ST4: failed and timed out jobs as errors of the extraction phase."""
+    starts, ends = _starts_ends(spark, sf_dir, "view", _OCR_ENDS)
+    return R.job_errors(R.loop_outcomes(starts, ends, "user_id", 300), 300)
+
+
 @register("list_loops", f"""WITH {_LOOP_EVENTS_SQL},
 cur AS (SELECT loop_id, arg_max(status, (ts, event_id)) AS status, max(ts) AS ts FROM le GROUP BY loop_id)
 SELECT loop_id, status, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM cur WHERE status = 'Completed'

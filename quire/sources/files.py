@@ -118,11 +118,24 @@ def write_results_json(df: DataFrame, path: str, mode: str = "overwrite") -> Non
     df.write.mode(mode).json(path)
 
 
-def write_layers(df: DataFrame, base: str, layer: str, partition_col: str = "document_type",
-                 mode: str = "overwrite") -> str:
-    """One configured layer as parquet partitioned by document type; returns the layer path."""
+def _layer_path(base: str, layer: str) -> str:
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer}; expected one of {LAYERS}")
-    out = f"{base.rstrip('/')}/{layer}"
-    df.write.mode(mode).partitionBy(partition_col).parquet(out)
+    return f"{base.rstrip('/')}/{layer}"
+
+
+def write_layers(df: DataFrame, base: str, layer: str, partition_col: str = "document_type") -> str:
+    """One configured layer as parquet partitioned by document type; returns the layer path.
+
+    Writing again replaces the types that occur in ``df`` and leaves the others as they are (dynamic partition overwrite), so one
+    class can be run again, and a repeated write does not duplicate rows.
+    """
+    out = _layer_path(base, layer)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(out)
     return out
+
+
+def read_layer(spark, base: str, layer: str, types: Sequence[str] | None = None, partition_col: str = "document_type") -> DataFrame:
+    """A layer, or the given document types of it; only their folders are listed and read."""
+    df = spark.read.parquet(_layer_path(base, layer))
+    return df if types is None else df.where(F.col(partition_col).isin(list(types)))

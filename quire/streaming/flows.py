@@ -39,6 +39,59 @@ def stream_documents(spark: SparkSession, source_dir: str, schema: StructType |
             .trigger(availableNow=True).start())
 
 
+def document_flow(entity_list: DataFrame | None = None, **options):
+    """The whole document flow over a batch of responses ``(doc_id, response, document_path?)``: blocks are parsed, corrupt responses become
+    errors, every phase of ``process_documents`` runs. ``options`` go to it."""
+    from quire.operators.assembly import process_documents
+    from quire.session import materialize
+    from quire.sources.blocks import parse_blocks, response_status
+
+    def run(batch: DataFrame) -> DataFrame:
+        raw = materialize(batch, "stream-batch")
+        docs = raw.select("doc_id", *[c for c in ("document_path",) if c in raw.columns])
+        return process_documents(docs, entity_list, blocks=materialize(parse_blocks(raw), "stream-blocks"),
+                                 responses=response_status(raw), **options)
+
+    return run
+
+
+def stream_results(spark: SparkSession, source_dir: str, schema: StructType | str, sink_dir: str, checkpoint_location: str, flow,
+                   max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """ST1, whole flow: files of OCR responses -> ``results``, ``review`` (the review queue) and ``errors`` under ``sink_dir``.
+
+    Each micro-batch writes folders of its own, named by its id, and a mark last. A batch that failed is replayed by Spark with the same id and
+    the same files; it replaces what it had left, so rows are neither lost nor doubled. ``read_stream_results`` reads marked batches only.
+    Checkpoint and sink must lie on shared storage.
+    """
+    from quire.operators.review import review_queue
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        here = batch.sparkSession
+
+        def put(df: DataFrame, name: str) -> DataFrame:
+            path = f"{sink_dir.rstrip('/')}/{name}/batch_id={batch_id}"
+            df.write.mode("overwrite").parquet(path)
+            return here.read.schema(df.schema).parquet(path)
+
+        results = put(flow(batch), "results")
+        put(review_queue(results), "review")
+        put(results.select("doc_id", F.posexplode("errors").alias("ord", "error")), "errors")
+        put(here.range(1).select(F.current_timestamp().alias("written_at")), "marks")
+
+    r = spark.readStream.schema(schema).format("parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return (r.load(source_dir).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
+            .trigger(availableNow=True).start())
+
+
+def read_stream_results(spark: SparkSession, sink_dir: str, name: str) -> DataFrame:
+    """``name`` (``results``, ``review`` or ``errors``) of the batches that were written whole."""
+    base = sink_dir.rstrip("/")
+    marks = spark.read.parquet(f"{base}/marks").select("batch_id").distinct()
+    return spark.read.parquet(f"{base}/{name}").join(F.broadcast(marks), "batch_id").drop("batch_id")  # a row per batch
+
+
 # ---------------------------------------------------------------- ST5
 
 def dedup_uploads(uploads: DataFrame, key: str = "key", ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
@@ -103,6 +156,24 @@ def loop_outcomes_stream(events: DataFrame, key: str, timeout_s: int, delay: str
                         F.col("end.event_id").alias("end_event_id"), "start_ts")
 
 
+def finished_pages_stream(events: DataFrame, pages: DataFrame, key: str, timeout_s: int, page_s: int = 3600, ok_status: str = "SUCCEEDED",
+                          delay: str = "1 hour") -> DataFrame:
+    """ST4 chained: outcomes of jobs (``loop_outcomes_stream``), then the pages ``(loop_id, page_id, ts, ...)`` of the jobs that ended well; equals
+    ``review.finished_pages`` over all events. A page is kept until ``timeout_s + page_s`` after its job's start has passed the watermark."""
+    done = loop_outcomes_stream(events, key, timeout_s, delay).where(F.col("outcome") == ok_status).select(
+        F.col("loop_id").alias("__job"), "start_ts")
+    p = pages.withColumnRenamed("ts", "page_ts").withWatermark("page_ts", delay)
+    within = F.expr(f"loop_id = __job AND page_ts >= start_ts AND page_ts <= start_ts + INTERVAL {int(timeout_s + page_s)} SECONDS")
+    return p.join(done, within).drop("__job", "start_ts")
+
+
+def job_errors_stream(events: DataFrame, key: str, timeout_s: int, ok_status: str = "SUCCEEDED", delay: str = "1 hour") -> DataFrame:
+    """ST4: failed and timed out jobs as error rows, once their time is over; equals ``review.job_errors``."""
+    from quire.operators.review import job_errors
+
+    return job_errors(loop_outcomes_stream(events, key, timeout_s, delay), timeout_s, ok_status)
+
+
 def lifecycle_events(events: DataFrame, start_type: str, end_map: dict[str, str], key: str = "user_id") -> DataFrame:
     """Map the ``events`` table (or stream) onto loop lifecycle rows ``(kind, loop_id, key, ts, event_id, status)``."""
     status = None

@@ -49,3 +49,18 @@ def test_multilabel_trains_one_model_per_label(spark):
     train = docs.join(lab, "doc_id")
     models = CL.train_classifier(train, CL.MULTI_LABEL, ("quality", "toxic"), max_iter=3)
     assert set(models) == {"quality", "toxic"}
+
+
+def test_a_class_without_score_is_last(spark):
+    import json
+
+    from quire.operators import structured as S
+
+    rows = [(1, json.dumps({"Classes": [{"Name": "a"}, {"Name": "b", "Score": 0.2}, {"Name": "c", "Score": 0.7}]})),
+            (2, json.dumps({"Classes": [{"Name": "a"}]})), (3, json.dumps({"Classes": []})), (4, "{")]
+    df = spark.createDataFrame(rows, "doc_id long, response string")
+    assert [(r[0], r[1]) for r in S.rank_classes(df).where("doc_id = 1").orderBy("rank").select("class", "score").collect()] == [
+        ("c", 0.7), ("b", 0.2), ("a", None)]
+    top = {r.doc_id: (r.document_type, r.classification_confidence, r.error) for r in S.top_class(df).collect()}
+    assert top[1] == ("c", 0.7, None) and top[2] == (None, None, "Classification failed: no class has a score")
+    assert top[3] == top[4] == (None, None, "Classification failed: no classes returned")

@@ -68,3 +68,38 @@ def test_results_json_and_layers(spark, scratch):
 def test_wrap_text_default_source(spark):
     df = spark.createDataFrame([("t",)], "text string")
     assert FS.wrap_text(df).first().metadata.source == "document"
+
+
+def test_layers_are_replaced_by_type_and_pruned(spark, scratch):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "doc_id long, document_type string")
+    FS.write_layers(df, scratch + "/l", "enriched")
+    FS.write_layers(df.where("document_type = 'a'").withColumn("doc_id", F.col("doc_id") + 10), scratch + "/l", "enriched")
+    assert sorted(map(tuple, FS.read_layer(spark, scratch + "/l", "enriched").collect())) == [(2, "b"), (11, "a"), (13, "a")]
+    one = FS.read_layer(spark, scratch + "/l", "enriched", ["b"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(document_type" in plan or "PartitionFilters: [document_type" in plan
+    assert [r.doc_id for r in one.collect()] == [2] and all("document_type=b" in r[0] for r in one.select(F.input_file_name()).collect())
+
+
+def test_checkpoint_folder_without_a_setting(scratch):
+    """A session whose configuration names no folder takes a scratch one when it is local."""
+    import subprocess
+    import sys
+
+    code = ("from quire.session import get_spark, materialize; s = get_spark(master='local[1]', driver_memory='1g'); "
+            "assert not s.conf.get('spark.checkpoint.dir', None); print(materialize(s.range(3)).count(), materialize(s.range(4)).count())")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                         env={**os.environ, "SPARK_CONF_DIR": scratch})
+    assert out.stdout.split() == ["3", "4"], out.stderr[-2000:]
+
+
+def test_rounding_of_values_without_decimals(spark):
+    from pyspark.sql import functions as F
+
+    from quire.functions.numbers import round_exact
+
+    df = spark.createDataFrame([(float("nan"),), (1e300,), (-1e300,), (float("inf"),), (None,), (0.55555,), (-0.00015,)], "x double")
+    got = [r[0] for r in df.select(round_exact(F.col("x"), 4)).collect()]
+    assert got[0] != got[0] and got[1:5] == [1e300, -1e300, float("inf"), None] and got[5] == 0.5555

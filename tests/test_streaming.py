@@ -122,3 +122,77 @@ def test_loop_status_state_expires(spark, scratch):
     kept = q.lastProgress["stateOperators"][0]["numRowsTotal"]
     q.stop()
     assert kept < 4 and spark.sql("select * from exp_t").count() == 4
+
+
+def test_finished_pages_and_errors_match_batch(spark, scratch):
+    """Two chained stateful steps over shuffled triggers equal the batch form: pages of succeeded jobs, errors of the others."""
+    import random
+
+    r, t0 = random.Random(6), dt.datetime(2024, 1, 1)
+    at = lambda s: t0 + dt.timedelta(seconds=s)
+    starts = [(f"j{i}", i % 7, at(i * 40), 1000 + i) for i in range(40)]
+    ends = [(5000 + i, r.randrange(7), at(r.randrange(2000)), r.choice(["SUCCEEDED", "FAILED"])) for i in range(60)]
+    pages = [(f"j{i}", 10 * i + k, at(i * 40 + r.randrange(200)), "text") for i in range(45) for k in range(3) if i < 40 or k]
+    events = [("start", j, u, t, e, None) for j, u, t, e in starts] + [("end", None, u, t, e, s) for e, u, t, s in ends]
+    r.shuffle(events)
+    r.shuffle(pages)
+    late = at(10**6)
+    src, psrc, page = os.path.join(scratch, "jobs"), os.path.join(scratch, "jobpages"), "loop_id string, page_id long, ts timestamp, text string"
+    for n in range(4):
+        spark.createDataFrame(events[n::4], EVENT).coalesce(1).write.mode("append").parquet(src)
+        spark.createDataFrame(pages[n::4], page).coalesce(1).write.mode("append").parquet(psrc)
+    for n in range(3):  # rows far ahead move the watermarks of all inputs past every timeout
+        t = late + dt.timedelta(days=n)
+        spark.createDataFrame([("start", f"z{n}", 99, t, 9000 + n, None), ("end", None, 98, t, 9100 + n, "FAILED")], EVENT).coalesce(1).write.mode("append").parquet(src)
+        spark.createDataFrame([(f"y{n}", 10**6 + n, t, "")], page).coalesce(1).write.mode("append").parquet(psrc)
+
+    def stream(path, schema):
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+    q = flows.finished_pages_stream(stream(src, EVENT), stream(psrc, page), "user_id", 300).writeStream.format("memory").queryName(
+        "job_pages_t").outputMode("append").start()
+    _drain(q)
+    e = flows.job_errors_stream(stream(src, EVENT), "user_id", 300).writeStream.format("memory").queryName("job_errors_t").outputMode("append").start()
+    _drain(e)
+    outcomes = R.loop_outcomes(
+        spark.createDataFrame([(j, u, t) for j, u, t, _ in starts], "loop_id string, user_id long, ts timestamp"),
+        spark.createDataFrame(ends, "event_id long, user_id long, ts timestamp, status string"), "user_id", 300)
+    want = sorted((x.loop_id, x.page_id) for x in R.finished_pages(outcomes, spark.createDataFrame(pages, page)).collect())
+    assert sorted((x.loop_id, x.page_id) for x in spark.sql("select * from job_pages_t").collect()) == want and want
+    errors = sorted(map(tuple, R.job_errors(outcomes, 300).collect()))
+    assert [x for x in sorted(map(tuple, spark.sql("select * from job_errors_t").collect())) if x[0][0] == "j"] == errors and errors
+
+
+def test_document_flow_survives_a_failed_batch(spark, scratch):
+    """Results, review queue and errors of a stream equal the batch form after a batch that failed half-way and was replayed."""
+    import json
+
+    import pytest
+
+    def response(i):
+        return "{broken" if i % 5 == 0 else json.dumps({"Blocks": [{"BlockType": "LINE", "Id": "l", "Text": f"mail a{i}@b.io"}]})
+
+    raw = spark.createDataFrame([(i, response(i)) for i in range(20)], "doc_id long, response string")
+    src, sink, ck = (os.path.join(scratch, x) for x in ("responses", "flow", "flow-ck"))
+    for n in range(3):
+        raw.where(F.col("doc_id") % 3 == n).coalesce(1).write.mode("append").parquet(src)
+    flow, seen = flows.document_flow(questions=[]), []
+
+    def failing(batch):
+        seen.append(1)
+        out = flow(batch)
+        if len(seen) == 2:  # written in part, then lost
+            out.write.mode("overwrite").parquet(f"{sink}/results/batch_id=1")
+            raise RuntimeError("executor lost")
+        return out
+
+    with pytest.raises(Exception):
+        flows.stream_results(spark, src, raw.schema, sink, ck, failing, 1).awaitTermination(600)
+    assert flows.read_stream_results(spark, sink, "results").count() < 20
+    flows.stream_results(spark, src, raw.schema, sink, ck, failing, 1).awaitTermination(600)
+    want = flow(raw)
+    got = flows.read_stream_results(spark, sink, "results")
+    assert sorted((x.doc_id, x.raw_text, x.redacted_text) for x in got.collect()) == sorted((x.doc_id, x.raw_text, x.redacted_text) for x in want.collect())
+    assert sorted((x.doc_id, x.error) for x in flows.read_stream_results(spark, sink, "errors").collect()) == sorted(
+        (x.doc_id, e) for x in want.collect() for e in x.errors)
+    assert flows.read_stream_results(spark, sink, "review").count() == 0 and len(seen) == 4
