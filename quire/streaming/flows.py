@@ -8,13 +8,9 @@ inside its timeout is closed as ``Timeout`` once the watermark passes it.
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from quire.operators.pii import redact_documents
@@ -102,36 +98,62 @@ def dedup_uploads(uploads: DataFrame, key: str = "key", ts: str = "ts", delay: s
 # ---------------------------------------------------------------- ST3
 
 LOOP_STATUS_SCHEMA = "loop_id string, status string, ts timestamp"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def loop_status_stream(events: DataFrame, delay: str = "1 hour", state_ttl_ms: int = 3_600_000) -> DataFrame:
-    """ST3: the current status of every loop, emitted each time it changes (update mode).
+    """ST3: the current status of every loop, emitted each time it changes (update mode); equals ``review.latest_loop_status``.
 
-    ``events(loop_id, status, ts, event_id)``; ``delay`` is the watermark delay for late events; state per loop is
-    one (ts, event_id, status) triple, dropped once the watermark passes the loop's last event by
-    ``state_ttl_ms``.
+    ``events(loop_id, status, ts, event_id)``; ``delay`` is the watermark delay for late events. State per loop is a typed value ``(status, ts,
+    event_id)`` in RocksDB, so it need not fit in memory; a timer removes it once the watermark passes the loop's last event by
+    ``state_ttl_ms``. The latest event is that of the greatest ``(ts, event_id)``, a null id before all others, then the status that
+    sorts last. Events without a loop or a time are left out. The session must name the RocksDB provider (``STATE_STORE``; ``get_spark``
+    does), since the stream keeps the provider that it was started with.
     """
-
-    def latest(key, pdfs, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        cur = json.loads(state.get[0]) if state.exists else None
-        best = cur
-        for pdf in pdfs:
-            for t, e, s in zip(pdf["ts"], pdf["event_id"], pdf["status"]):
-                cand = [pd.Timestamp(t).value, int(e) if e == e and e is not None else -1, s]
-                if best is None or cand[:2] > best[:2]:
-                    best = cand
-        if best is not None and best != cur:
-            state.update((json.dumps(best),))
-            # nanoseconds to milliseconds; a timeout must lie ahead of the watermark
-            state.setTimeoutTimestamp(max(best[0] // 1_000_000 + state_ttl_ms, state.getCurrentWatermarkMs() + 1))
-            yield pd.DataFrame({"loop_id": [key[0]], "status": [best[2]], "ts": [pd.Timestamp(best[0])]})
-
-    return (events.withWatermark("ts", delay).groupBy("loop_id")
-            .applyInPandasWithState(latest, LOOP_STATUS_SCHEMA, "state string", "update",
-                                    GroupStateTimeout.EventTimeTimeout))
+    import pandas as pd
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    if events.sparkSession.conf.get(STATE_STORE, None) != ROCKSDB:
+        raise ValueError(f"loop_status_stream needs {STATE_STORE}={ROCKSDB}")
+
+    class LatestStatus(StatefulProcessor):
+        """Local to the function, so it travels to the workers by value."""
+
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.latest = handle.getValueState("latest", "status string, ts timestamp, event_id long")
+
+        def handleInputRows(self, key, rows, timerValues):
+            old = self.latest.get() if self.latest.exists() else None
+            parts = list(rows)
+            if old is not None:
+                parts.append(pd.DataFrame([tuple(old)], columns=["status", "ts", "event_id"]))
+            seen = pd.concat([p[["ts", "event_id", "status"]].astype({"event_id": "Int64", "ts": "datetime64[us]"}) for p in parts])
+            last = seen.sort_values(["ts", "event_id", "status"], na_position="first").iloc[-1]
+            event_id = None if pd.isna(last["event_id"]) else int(last["event_id"])
+            status = None if pd.isna(last["status"]) else last["status"]
+            new = (status, last["ts"].to_pydatetime(), event_id)
+            if old is None or new != tuple(old):
+                self.latest.update(new)
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                end = last["ts"].value // 1_000_000 + state_ttl_ms
+                # a timer must lie ahead of the watermark
+                self.handle.registerTimer(max(end, timerValues.getCurrentWatermarkInMs() + 1))
+                yield pd.DataFrame({"loop_id": [key[0]], "status": [status], "ts": [last["ts"]]})
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            self.latest.clear()
+            return iter([])
+
+        def close(self) -> None:
+            pass
+
+    timed = events.where(F.col("loop_id").isNotNull() & F.col("ts").isNotNull()).select(
+        "loop_id", "status", "ts", F.col("event_id").cast("long").alias("event_id"))
+    return timed.withWatermark("ts", delay).groupBy("loop_id").transformWithStateInPandas(
+        LatestStatus(), LOOP_STATUS_SCHEMA, "Update", "EventTime")
 
 
 # ---------------------------------------------------------------- ST2, ST4

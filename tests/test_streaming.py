@@ -124,6 +124,77 @@ def test_loop_status_state_expires(spark, scratch):
     assert kept < 4 and spark.sql("select * from exp_t").count() == 4
 
 
+STATUS_EVENT = "loop_id string, status string, ts timestamp, event_id long"
+
+
+def _drop_in(spark, src, i, rows):
+    """One file, in the order of ``i``."""
+    spark.createDataFrame(rows, STATUS_EVENT).coalesce(1).write.parquet(f"{src}/{i:03d}")
+    for f in os.listdir(f"{src}/{i:03d}"):
+        os.utime(f"{src}/{i:03d}/{f}", (1_700_000_000 + 10 * i,) * 2)
+
+
+def _status_query(spark, src, ck, out):
+    def put(batch, batch_id):
+        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/b={batch_id}")
+
+    s = spark.readStream.schema(STATUS_EVENT).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+    return flows.loop_status_stream(s).writeStream.foreachBatch(put).option("checkpointLocation", ck).outputMode("update").start()
+
+
+def test_loop_status_restart_late_rows_and_odd_values(spark, scratch):
+    """A query stopped mid-stream goes on from its checkpoint with its state: older events change nothing, newer ones do; rows behind the
+    watermark are dropped; null ids, times, loops and statuses and ties have the documented result."""
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    src, ck, out = (os.path.join(scratch, n) for n in ("st", "st-ck", "st-out"))
+    _drop_in(spark, src, 0, [("a", "InProgress", at(10), 1), ("b", "InProgress", at(10), 2), ("n", None, at(10), None),
+                             ("x", "lost", None, 3), (None, "lost", at(10), 4), ("t", "A", at(10), 5), ("t", "B", at(10), 5)])
+    q = _status_query(spark, src, ck, out)
+    _drain(q)
+    _drop_in(spark, src, 1, [("a", "Failed", at(9), 9), ("b", "Completed", at(11), 5), ("n", "Seen", at(10), 0)])
+    _drop_in(spark, src, 2, [("far", "InProgress", at(300), 6)])  # the watermark moves to minute 240
+    _drop_in(spark, src, 3, [("far", "Stopping", at(301), 7)])  # rows are judged by the watermark of the batch before
+    _drop_in(spark, src, 4, [("b", "Failed", at(12), 8), ("c", "Late", at(20), 7), ("far", "Completed", at(302), 9)])
+    q = _status_query(spark, src, ck, out)
+    _drain(q)
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(out).orderBy("batch").collect()
+    seen = {}
+    for r in rows:
+        seen.setdefault(r.loop_id, []).append(r.status)
+    assert seen == {"a": ["InProgress"], "b": ["InProgress", "Completed"], "n": [None, "Seen"], "t": ["B"],
+                    "far": ["InProgress", "Stopping", "Completed"]}
+
+
+def test_loop_status_shuffled_triggers_equal_batch(spark, scratch):
+    import random
+
+    r, t0 = random.Random(4), dt.datetime(2024, 1, 1)
+    rows = [(f"l{r.randrange(25)}", r.choice(["InProgress", "Completed", "Failed"]), t0 + dt.timedelta(seconds=r.randrange(900)), i)
+            for i in range(300)]
+    src, out = os.path.join(scratch, "sh"), os.path.join(scratch, "sh-out")
+    for i in range(4):
+        _drop_in(spark, src, i, rows[i::4])
+    _drain(_status_query(spark, src, os.path.join(scratch, "sh-ck"), out))
+    got = {}
+    for x in spark.read.option("recursiveFileLookup", "true").parquet(out).orderBy("batch").collect():
+        got[x.loop_id] = (x.status, x.ts)
+    assert got == {x.loop_id: (x.status, x.ts) for x in R.latest_loop_status(spark.createDataFrame(rows, STATUS_EVENT)).collect()}
+
+
+def test_loop_status_needs_the_rocksdb_provider(spark):
+    import pytest
+
+    events = spark.createDataFrame([], STATUS_EVENT)
+    was = spark.conf.get(flows.STATE_STORE)
+    spark.conf.set(flows.STATE_STORE, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        with pytest.raises(ValueError, match="RocksDB"):
+            flows.loop_status_stream(events)
+    finally:
+        spark.conf.set(flows.STATE_STORE, was)
+
+
 def test_finished_pages_and_errors_match_batch(spark, scratch):
     """Two chained stateful steps over shuffled triggers equal the batch form: pages of succeeded jobs, errors of the others."""
     import random
