@@ -268,3 +268,53 @@ def test_dictionary_of_any_phrase_length_and_both_forms(spark):
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, got.select(*joined.columns).collect()))
     for x in got.where("doc_id = 3").collect():
         assert docs[2][1][x.begin_offset:x.end_offset].split() == x.text.split()
+
+
+# ---------------------------------------------------------------- J4
+
+LINE = "doc_id long, ord int, block_type string, text string, bbox struct<Left:double,Top:double,Width:double,Height:double>"
+
+
+def _boxes(spark, lines, strings, **sizes):
+    from quire.operators.boxes import redaction_boxes
+
+    rows = [(d, i, t, x, None if box is None else (box, 0.0, 1.0, 1.0)) for d, i, t, x, box in lines]
+    out = redaction_boxes(spark.createDataFrame(rows, LINE), spark.createDataFrame(strings, "doc_id long, text string"), **sizes)
+    return sorted((r.doc_id, r.ord) for r in out.collect())
+
+
+def test_redaction_boxes_automaton_equals_single_strings(spark):
+    import random
+
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("abÄ\U0001F600.") for _ in range(n))
+    lines = [(d, i, r.choice(["LINE", "WORD", "PAGE"]), r.choice([word(r.randrange(9)).upper(), None]), r.choice([0.1, 0.1, None]))
+             for d in (1, 2, 3, None) for i in range(60)]
+    strings = [(d, word(r.randrange(6))) for d in (1, 2, 4, None) for _ in range(r.choice([3, 12]))] + [(1, None), (1, ""), (2, "A"), (2, "a")]
+    want = sorted((d, i) for d, i, t, x, box in lines if d is not None and t != "PAGE" and box is not None and any(
+        p and p.lower() in (x or "").lower() for e, p in strings if e == d))
+    assert want
+    for sizes in ({}, {"few": 0}, {"few": 0, "block_lines": 7, "strings_at_once": 2}, {"few": 4, "block_lines": 1}):
+        assert _boxes(spark, lines, strings, **sizes) == want
+    assert _boxes(spark, [], strings, few=0) == _boxes(spark, lines, [], few=0) == []
+
+
+def test_redaction_boxes_of_a_document_with_many_strings(spark):
+    """Four times the lines and strings of one document take about four times as long, not sixteen times."""
+    import time
+
+    def run(n):
+        blocks = spark.range(n).select(F.lit(1).cast("long").alias("doc_id"), F.col("id").cast("int").alias("ord"), F.lit("LINE").alias("block_type"),
+                                       F.concat(F.lit("call user "), F.sha1(F.col("id").cast("string")), F.when(
+                                           F.col("id") % 10 == 0, F.concat(F.lit(" at key"), F.col("id"), F.lit("@x.org"))).otherwise("")).alias("text"),
+                                       F.expr("named_struct('Left', 0.1D, 'Top', 0.1D, 'Width', 0.1D, 'Height', 0.1D)").alias("bbox"))
+        from quire.operators.boxes import redaction_boxes
+
+        pii = spark.range(n).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("KEY"), F.col("id"), F.lit("@x.org")).alias("text"))
+        t = time.time()
+        assert redaction_boxes(blocks, pii).count() == n // 10
+        return time.time() - t
+
+    run(100)
+    small, large = run(10_000), run(40_000)
+    assert large < 8 * small + 2
