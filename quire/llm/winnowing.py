@@ -2,9 +2,11 @@
 
 Words are maximal runs of ASCII letters, digits and non-ASCII characters, A-Z lowered. A benchmark item's windows are its runs of
 ``span`` words; an item of fewer words, but not none, is one window. Of every ``w`` consecutive ``k``-word hashes of
-a text the least one is kept as a fingerprint. Two texts that share ``k + w - 1`` words share such a run of hashes and so a fingerprint;
-``k + w - 1`` is the length of the shortest window, so no shared window is missed. Documents that share a fingerprint with an
-item are read again and the hits are extended: each of their windows is compared, word for word, with those of
+a text the least one is kept as a fingerprint. Two texts that share ``k + w - 1`` words share such a run of hashes and so a fingerprint.
+Windows are winnowed in families of their size (``family``), each with ``k + w - 1`` at most the sizes in it, so no shared window is missed;
+windows of ``span`` words are a family of their own and those of one to three words are compared whole, so a short item adds
+candidates only where its own words occur. Documents that share a fingerprint with an
+item are read again and the hits are extended: each of their windows of that family's sizes is compared, word for word, with those of
 the items, and the words under equal windows are counted.
 
 Fingerprints and windows of the benchmark are broadcast only if their measured size allows; otherwise the join
@@ -19,6 +21,7 @@ reported; empty tables give no rows or no hits; further columns are ignored.
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,26 +53,44 @@ def runs(array: Column, size: Column, of) -> Column:
     return F.transform(at, lambda i: of(F.slice(array, i + 1, size), i))
 
 
-def fingerprints(text: Column, k: int, w: int) -> Column:
-    """``n_words`` and ``prints``: the distinct minima of ``w`` consecutive ``k``-word hashes; one minimum if there are
+def family(size: int, span: int) -> tuple[int, int]:
+    """``(k, w)`` for windows of ``size`` words, ``k + w - 1 <= size``. Sizes 1 to 3 stand alone, 4 to 7, 8 to 15 and so on share a family, up
+    to ``span``, which stands alone: at most ``3 + log2(span)`` families."""
+    if size >= span:
+        k = (span + 1) // 2
+        return k, span - k + 1
+    if size < 4:
+        return size, 1
+    least = 1 << (size.bit_length() - 1)
+    k = max(4, 3 * least // 4)
+    return k, least - k + 1
+
+
+def fingerprints(text: Column, families: list[tuple[int, int]]) -> Column:
+    """``n_words`` and ``prints``: for every ``(k, w)`` the distinct minima of ``w`` consecutive ``k``-word hashes; one minimum if there are
     fewer hashes than ``w``, none if there are fewer words than ``k``."""
-    def minima(hashes):
-        width = F.least(F.lit(w), F.greatest(F.size(hashes), F.lit(1)))
-        return F.array_distinct(runs(hashes, width, lambda x, _: F.array_min(x)))
+    def minima(w):
+        def of(hashes):
+            width = F.least(F.lit(w), F.greatest(F.size(hashes), F.lit(1)))
+            return F.array_distinct(runs(hashes, width, lambda x, _: F.array_min(x)))
+
+        return of
 
     hashed = F.transform(folded_words(text), lambda x: F.xxhash64(x))
     return bind(hashed, lambda h: F.struct(
         F.size(h).cast("long").alias("n_words"),
-        bind(runs(h, F.lit(k), lambda x, _: F.xxhash64(x)), minima).alias("prints")))
+        F.concat(*(bind(runs(h, F.lit(k), lambda x, _: F.xxhash64(x)), minima(w)) for k, w in families)).alias("prints")))
 
 
-def windows(text: Column, sizes: list[int]) -> Column:
-    """Windows of the given sizes of a text, as ``(start, size, text)``."""
+def windows(text: Column, sizes: dict[int, int], wanted: Column) -> Column:
+    """Windows of a text, as ``(start, size, text)``, of the sizes (``size -> number of its family``) whose family is ``wanted``, an array."""
     def of_size(array, n):
         return runs(array, F.lit(n), lambda x, i: F.struct(
             i.alias("start"), F.lit(n).alias("size"), F.array_join(x, " ").alias("text")))
 
-    return bind(words(text), lambda d: F.concat(*(of_size(d, n) for n in sizes)))
+    none = F.array().cast("array<struct<start:int,size:int,text:string>>")
+    return bind(F.struct(words(text).alias("d"), wanted.alias("f")), lambda x: F.concat(*(
+        F.when(F.array_contains(x["f"], f), of_size(x["d"], n)).otherwise(none) for n, f in sizes.items())))
 
 
 def item_windows(benchmark: DataFrame, span: int) -> DataFrame:
@@ -82,25 +103,34 @@ def item_windows(benchmark: DataFrame, span: int) -> DataFrame:
     return b.groupBy("text", "size").agg(F.collect_set("item_id").alias("items"))
 
 
+def candidates(docs: DataFrame, found: DataFrame, span: int = SPAN) -> tuple[DataFrame, dict[int, int]]:
+    """``doc_id, n_words, hit`` (numbers of the families of which it shares a fingerprint) of every document, written; and the family's
+    number of every size of the windows ``found``."""
+    sizes = sorted(r[0] for r in found.select("size").distinct().collect()) or [span]  # at most ``span`` rows
+    families = sorted({family(n, span) for n in sizes})
+    number = {n: families.index(family(n, span)) for n in sizes}
+    marks = [found.where(F.col("size").isin([n for n in sizes if number[n] == i])).select(
+        F.explode(fingerprints(F.col("text"), [f])["prints"]).alias("print"), F.lit(i).alias("family")) for i, f in enumerate(families)]
+    marks = sized_broadcast(reduce(DataFrame.union, marks).groupBy("print").agg(F.collect_set("family").alias("hit")))
+    prints = docs.select("doc_id", fingerprints(F.col("text"), families).alias("f")).select(
+        "doc_id", "f.n_words", F.explode_outer("f.prints").alias("print"))
+    # a set of families per document, as flags that combine before the shuffle
+    flags = [F.max(F.array_contains("hit", i)).alias(f"hit{i}") for i in range(len(families))]
+    hit = F.array_compact(F.array(*(F.when(F.col(f"hit{i}"), i) for i in range(len(families)))))
+    per_doc = prints.join(marks, "print", "left").groupBy("doc_id").agg(F.max("n_words").alias("n_words"), *flags).select(
+        "doc_id", "n_words", hit.alias("hit"))
+    return save(per_doc, "prints"), number
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     """``doc_id, n_words, n_hit`` (words inside an occurrence of a window), ``items`` (ids of the items with occurring windows) and
     ``spans`` (start and end word of each occurrence). Small jobs over the benchmark run while this is built."""
     found = save(item_windows(benchmark, span), "windows")
-    sizes = sorted(r[0] for r in found.select("size").distinct().collect())  # at most ``span`` rows
-    shortest = sizes[0] if sizes else span
-    k = (shortest + 1) // 2
-    w = shortest - k + 1
-    marks = found.select(F.explode(fingerprints(F.col("text"), k, w)["prints"]).alias("print")).distinct()
-    marks = sized_broadcast(marks.withColumn("hit", F.lit(True)))
-    prints = docs.select("doc_id", fingerprints(F.col("text"), k, w).alias("f")).select(
-        "doc_id", "f.n_words", F.explode_outer("f.prints").alias("print"))
-    per_doc = prints.join(marks, "print", "left").groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.coalesce(F.max("hit"), F.lit(False)).alias("hit"))
-    per_doc = save(per_doc, "prints")
+    per_doc, number = candidates(docs, found, span)
     # one plan at every size: the candidates' ids grow with the documents, so they are not for a broadcast
-    near = per_doc.where("hit").select(F.col("doc_id").alias("__id")).hint("shuffle_hash")
-    again = docs.select("doc_id", "text").join(near, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    again = again.select("doc_id", F.explode_outer(windows(F.col("text"), sizes or [span])).alias("x"))
+    near = per_doc.where(F.size("hit") > 0).select(F.col("doc_id").alias("__id"), "hit").hint("shuffle_hash")
+    again = docs.select("doc_id", "text").join(near, F.col("doc_id").eqNullSafe(F.col("__id")))
+    again = again.select("doc_id", F.explode_outer(windows(F.col("text"), number, F.col("hit"))).alias("x"))
     again = again.select("doc_id", "x.start", "x.size", "x.text")
     hits = again.join(sized_broadcast(found.drop("size")), "text").select(
         "doc_id", F.struct("start", (F.col("start") + F.col("size")).alias("end")).alias("span"), "items")

@@ -274,11 +274,39 @@ def test_contamination(spark, docs, edge, short):
     items += [(900, None), (901, "!!"), (902, " ".join(words(70, 2)[3:30]).upper()), (903, items[0][1])]
     if short:
         items += [(904, "née ünï"), (905, "Two"), (906, "ab ab ab")]
+        for i, n in enumerate(range(1, 13)):  # every size, taken from a document; and one that occurs nowhere
+            items += [(910 + i, " ".join(words(70, 2)[40:40 + n])), (930 + i, " ".join(["zqzq", *words(70, 2)[5:4 + n]]))]
     b = spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["n_words"], r["n_hit"], tuple(sorted(r["items"]))) for r in winnowing.decontaminate(d, b).collect()}
     assert got == brute_contamination(texts_of(d), items)
 
 
+def test_a_short_item_adds_only_candidates_that_have_it(spark, docs):
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    d = docs.select("doc_id", "text")
+
+    def near(more):
+        b = spark.createDataFrame(items + more, "item_id long, text string")
+        per_doc, _ = winnowing.candidates(d, winnowing.item_windows(b, 13))
+        return {r["doc_id"] for r in per_doc.where(F.size("hit") > 0).collect()}
+
+    having = collections.Counter(w for _, t in texts_of(d) for w in set(ALNUM.findall((t or "").translate(LOWER))))
+    common, rare = having.most_common(1)[0][0], min(having, key=lambda w: (having[w], w))
+    plain = near([])
+    assert 0 < len(plain) < having[common] and having[rare] < 5
+    assert near([(900, f"zqzq {common}"), (901, "zqzq"), (902, f"{common} zqzq {common}")]) == plain
+    has_it = {i for i, t in texts_of(d) if rare in ALNUM.findall((t or "").translate(LOWER))}
+    assert near([(900, rare)]) == plain | has_it
+
+
+def test_families_cover_every_size():
+    for span in (1, 2, 3, 5, 8, 13, 16, 50):
+        for size in range(1, span + 1):
+            k, w = winnowing.family(size, span)
+            assert k >= 1 and w >= 1 and k + w - 1 <= size
+        assert len({winnowing.family(n, span) for n in range(1, span + 1)}) <= 3 + span.bit_length()
+
+
 def test_contamination_of_nothing(spark, docs, nothing):
     b = spark.createDataFrame([], "item_id long, text string")
     assert winnowing.decontaminate(docs, b).where("n_hit > 0").count() == 0
