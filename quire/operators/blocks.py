@@ -232,17 +232,15 @@ def number_queries(queries: DataFrame, text_col: str = "text", alias_col: str =
 
 
 def page_texts(pages: DataFrame, json_col: str = "response", page_col: str = "page_ord") -> DataFrame:
-    """P12 (document_source): the text of every page, its LINE texts joined by ``\\n`` in response order.
+    """P12 (document_source): the text of every page, its LINE texts joined by ``\\n`` in response order, in the page's row.
 
-    ``pages(doc_id, page_ord, response)``: one OCR response per page, as a multi-page job returns them.
+    ``pages(doc_id, page_ord, response)``: one OCR response per page, as a multi-page job returns them. A page without lines has the
+    text '', one whose response is null or not JSON has null.
     """
-    from quire.functions.arrays import explode_rows
     from quire.schemas import BLOCK_RESPONSE
 
-    p = pages.select("doc_id", F.col(page_col).alias("page_ord"), F.from_json(json_col, BLOCK_RESPONSE).alias("r"))
-    b = explode_rows(p, ["doc_id", "page_ord"], F.col("r.Blocks"), "b", "ord")
-    lines = b.where(F.col("b.BlockType") == "LINE").select("doc_id", "page_ord", "ord",
-                                                          F.coalesce("b.Text", F.lit("")).alias("text"))
-    return lines.groupBy("doc_id", "page_ord").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda s: s["text"]),
-                     "\n").alias("text"))
+    p = pages.select("doc_id", F.col(page_col).alias("page_ord"), F.from_json(json_col, BLOCK_RESPONSE)["Blocks"].alias("b"), F.col(json_col).alias("j"))
+    lines = F.filter("b", lambda b: b["BlockType"] == "LINE")
+    text = F.array_join(F.transform(lines, lambda b: F.coalesce(b["Text"], F.lit(""))), "\n")
+    return p.select("doc_id", "page_ord", F.when(F.col("b").isNotNull(), text).when(
+        F.get_json_object("j", "$").isNotNull(), F.lit("")).alias("text"))

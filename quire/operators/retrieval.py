@@ -318,9 +318,16 @@ def extract_structured(docs: DataFrame, fields: dict[str, str], max_chars: int |
 
 
 def validate_json(df: DataFrame, col: str, schema) -> DataFrame:
-    """C12 validation of a model's JSON answer: PERMISSIVE parse, the raw text kept in ``_corrupt`` when invalid."""
+    """C12 validation of a model's JSON answer against ``schema`` (a StructType or DDL): ``parsed``, and ``valid``.
+
+    An answer that is cut off, no JSON object or has a value of another type is not valid: its raw text is ``parsed._corrupt`` and its
+    fields are null. A missing field is null, further ones are ignored; no answer (null or blank) is not valid and has no text."""
     from pyspark.sql import types as T
 
-    sch = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType())])
-    return df.withColumn("parsed", F.from_json(col, sch, {"mode": "PERMISSIVE",
-                                                           "columnNameOfCorruptRecord": "_corrupt"}))
+    fields = schema.fields if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema).fields
+    sch = T.StructType([*fields, T.StructField("_corrupt", T.StringType())])
+    raw = F.from_json(col, sch, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    bad = raw["_corrupt"].isNotNull()
+    parsed = F.struct(*(F.when(~bad, raw[f.name]).alias(f.name) for f in fields), raw["_corrupt"].alias("_corrupt"))
+    blank = F.coalesce(F.trim(col) == "", F.lit(True))
+    return df.withColumn("parsed", F.when(~blank, parsed)).withColumn("valid", ~blank & ~bad)

@@ -24,11 +24,37 @@ def _docs(spark, sf_dir):
     return read_table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+# Extensions in turn over the documents: known ones in both cases, unknown ones, none.
+_EXTENSIONS = (".pdf", ".PDF", ".png", ".Jpg", ".jpeg", ".tiff", ".tif", ".docx", "pdf", "", None)
+
+
 @register("phase_guards", """
 SELECT doc_id, coalesce(length(text), 0) > 0 AS run_classify, coalesce(length(text), 0) > 0 AS run_enrichment,
-       coalesce(length(text), 0) > 0 AS run_qa FROM documents""")
+       coalesce(length(text), 0) > 0 AS run_qa,
+       CASE WHEN doc_id % 11 < 7 THEN true WHEN doc_id % 11 < 10 THEN false END AS run_expense FROM documents""")
 def q_phase_guards(spark, sf_dir):
-    return AS.phase_guards(_docs(spark, sf_dir)).select("doc_id", "run_classify", "run_enrichment", "run_qa")
+    ext = F.element_at(F.array(*map(F.lit, _EXTENSIONS)), (F.col("doc_id") % len(_EXTENSIONS) + 1).cast("int"))
+    return AS.phase_guards(_docs(spark, sf_dir).withColumn("ext", ext), ext_col="ext").select(
+        "doc_id", "run_classify", "run_enrichment", "run_qa", "run_expense")
+
+
+# Answers as a model may give them, in turn: right, cut off, prose, a field missing, a field of the wrong type, none, a field too many.
+@register("validate_answers", """
+SELECT doc_id, doc_id % 7 IN (0, 3, 6) AS valid, CASE WHEN doc_id % 7 IN (0, 3, 6) THEN doc_id END AS number,
+       CASE WHEN doc_id % 7 IN (0, 6) THEN coalesce(source, '') END AS source, CASE WHEN doc_id % 7 IN (1, 2, 4) THEN
+         CASE doc_id % 7 WHEN 1 THEN '{"number":' || doc_id WHEN 2 THEN 'The number is ' || doc_id || '.'
+         ELSE '{"number":"no ' || doc_id || '"}' END END AS corrupt FROM documents""")
+def q_validate_answers(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
+    n, kind = F.col("doc_id").cast("string"), F.col("doc_id") % 7
+    good = F.to_json(F.struct(F.col("doc_id").alias("number"), "source"))
+    answer = (F.when(kind == 0, good).when(kind == 1, F.concat(F.lit('{"number":'), n))
+              .when(kind == 2, F.concat(F.lit("The number is "), n, F.lit(".")))
+              .when(kind == 3, F.concat(F.lit('{"number":'), n, F.lit("}")))
+              .when(kind == 4, F.concat(F.lit('{"number":"no '), n, F.lit('"}')))
+              .when(kind == 6, F.concat(F.lit('{"more":[1],'), F.substring(good, 2, 1 << 20))))
+    v = RT.validate_json(d.select("doc_id", answer.alias("answer")), "answer", "number long, source string")
+    return v.select("doc_id", "valid", "parsed.number", "parsed.source", F.col("parsed._corrupt").alias("corrupt"))
 
 
 @register("number_queries", """

@@ -128,6 +128,22 @@ def q_review_queue(spark, sf_dir):
                     F.get_json_object("payload", "$.taskObject").alias("task_object"))
 
 
+@register("review_payload", f"""WITH {_CLASSES}
+SELECT doc_id, 's3://documents/orders/' || CAST(doc_id AS VARCHAR) AS task_object, class AS document_type, score AS confidence,
+       'Order=' || CAST(doc_id AS VARCHAR) || ';Note=say "hi"' AS kv_pairs, true AS human_review_triggered
+FROM rk WHERE rank = 1 AND score > 0 AND score < 0.9""")
+def q_review_payload(spark, sf_dir):
+    """The payload read back whole."""
+    name = F.col("doc_id").cast("string")
+    t = S.top_class(_class_resp(spark, sf_dir)).withColumn("s3_uri", R.make_uri(F.lit("documents"), F.concat(F.lit("orders/"), name)))
+    t = t.withColumn("kv_pairs", F.create_map(F.lit("Order"), name, F.lit("Note"), F.lit('say "hi"')))
+    back = F.from_json("payload", "taskObject string, extractedData struct<document_type:string,kv_pairs:map<string,string>,confidence:double>")
+    q = R.review_queue(t).select("doc_id", "human_review_triggered", back.alias("p"))
+    pairs = F.transform(F.map_entries("p.extractedData.kv_pairs"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return q.select("doc_id", F.col("p.taskObject").alias("task_object"), "p.extractedData.document_type", "p.extractedData.confidence",
+                    F.array_join(pairs, ";").alias("kv_pairs"), "human_review_triggered")
+
+
 def _confidences(spark, sf_dir):
     return encode.field_confidences(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
 

@@ -70,6 +70,15 @@ def test_page_texts(spark):
     assert got == {0: "one\ntwo", 1: "three"}
 
 
+def test_page_texts_of_blank_and_unreadable_pages(spark):
+    rows = [(1, 0, '{"Blocks": []}'), (1, 1, '{"Blocks": [{"BlockType": "PAGE"}]}'), (1, 2, "{}"), (1, 3, '{"Blocks": [{"BlockT'), (1, 4, None),
+            (1, 5, '{"Blocks": [{"BlockType": "LINE"}, {"BlockType": "LINE", "Text": "b"}]}'), (2, 0, "")]
+    df = B.page_texts(spark.createDataFrame(rows, "doc_id long, page_ord int, response string"))
+    assert {(r.doc_id, r.page_ord): r.text for r in df.collect()} == {
+        (1, 0): "", (1, 1): "", (1, 2): "", (1, 3): None, (1, 4): None, (1, 5): "\nb", (2, 0): None}
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()  # a page is a row
+
+
 def _split(spark, text, size, overlap):
     df = spark.createDataFrame([(text,)], "text string")
     return df.select(split_text_separators(F.col("text"), size, overlap)).first()[0]

@@ -165,3 +165,16 @@ def test_inverted_index_against_full_scoring(spark):
     got = IX.search_terms(index, IX.question_terms(questions, spark), 5)
     assert sorted(map(tuple, got.collect())) == brute_terms(docs, questions, 5, 200, 20)
     assert IX.search_terms(index.limit(0), IX.question_terms(questions, spark), 5).count() == 0
+
+
+def test_validate_json(spark):
+    from quire.operators.retrieval import validate_json
+
+    answers = ['{"n": 1, "s": "a"}', '{"n": 1', "no", "[]", '{"n": "x", "s": "a"}', "{}", "", "  ", None, '{"n": 2, "z": {"n": 3}}', "null"]
+    df = spark.createDataFrame(list(enumerate(answers)), "i long, a string")
+    got = {r.i: (r.valid, r.parsed and r.parsed.n, r.parsed and r.parsed.s, r.parsed and r.parsed._corrupt)
+           for r in validate_json(df, "a", "n long, s string").collect()}
+    bad = lambda i: (False, None, None, answers[i])
+    assert got == {
+        0: (True, 1, "a", None), 1: bad(1), 2: bad(2), 3: bad(3), 4: bad(4), 5: (True, None, None, None),
+        6: (False, None, None, None), 7: (False, None, None, None), 8: (False, None, None, None), 9: (True, 2, None, None), 10: bad(10)}
