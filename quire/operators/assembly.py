@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quire.functions.spans import PII_PATTERNS, redact, with_spans
+from quire.functions.numbers import round_exact
+from quire.functions.spans import PII_PATTERNS, preview, redact, with_spans
 from quire.operators import entities as EN
 from quire.operators import retrieval as RT
 from quire.operators.review import LOOP_PREFIX, loop_id, make_uri, needs_review
@@ -238,18 +239,27 @@ def batch_results(good: DataFrame, failed: DataFrame) -> DataFrame:
 
 
 def document_summary(results: DataFrame, max_kv: int = 10, answer_chars: int = 200) -> DataFrame:
-    """A10: per document counts of tables, KV pairs, entities and PII; the first ``max_kv`` KV pairs and how
-    many more; answers cut to ``answer_chars``; errors."""
-    kv = F.map_entries("kv_pairs")
+    """A10/P10: per document counts of tables, KV pairs, entities and PII; the first ``max_kv`` KV pairs and how
+    many more; answers cut to ``answer_chars``; query answers; errors; the start of the text; type and confidence as shown, 'N/A' for an empty
+    type and for a confidence of zero. Fields that a failed input does not have (null) count as empty."""
+    kv = F.coalesce(F.map_entries("kv_pairs"), F.expr("array()"))
+    kind, score = F.coalesce("document_type", F.lit("")), F.col("classification_confidence")
+
+    def count(array):
+        return F.coalesce(F.size(array), F.lit(0))
+
     return results.select(
         "doc_id", "document_path",
-        F.when(F.col("document_type") == "", F.lit("N/A")).otherwise(F.col("document_type")).alias("document_type"),
-        F.size("tables").alias("n_tables"), F.size(kv).alias("n_kv"),
-        F.size("entities").alias("n_entities"), F.size("pii_entities").alias("n_pii"),
+        F.when(kind == "", F.lit("N/A")).otherwise(kind).alias("document_type"),
+        F.when(F.coalesce(score, F.lit(0.0)) == 0, F.lit("N/A")).otherwise(
+            F.format_string("%.2f%%", round_exact(score * 100, 2))).alias("confidence"),
+        preview(F.coalesce("raw_text", F.lit(""))).alias("preview"),
+        count("tables").alias("n_tables"), F.size(kv).alias("n_kv"),
+        count("entities").alias("n_entities"), count("pii_entities").alias("n_pii"),
         F.slice(kv, 1, max_kv).alias("kv_first"),
-        F.greatest(F.size(kv) - max_kv, F.lit(0)).alias("kv_more"),
-        F.transform("genai_answers", lambda a: F.substring(a["answer"], 1, answer_chars)).alias("answers"),
-        F.size("errors").alias("n_errors"))
+        F.greatest(F.size(kv) - max_kv, F.lit(0)).alias("kv_more"), F.coalesce("query_answers", F.expr("map()").cast("map<string,string>")).alias("query_answers"),
+        F.coalesce(F.transform("genai_answers", lambda a: F.substring(a["answer"], 1, answer_chars)), F.array().cast("array<string>")).alias("answers"),
+        count("errors").alias("n_errors"))
 
 
 def run_metrics(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:

@@ -256,6 +256,44 @@ def q_document_summary(spark, sf_dir):
                     F.size("answers").alias("n_answers"), "n_errors")
 
 
+@register("summary_fields", """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS lang, doc_id % 14 AS n, doc_id % 11 = 10 AS failed,
+  doc_id % 9 / 8.0 AS score FROM documents)
+SELECT doc_id, 'in/' || doc_id AS document_path, CASE WHEN failed OR doc_id % 4 = 0 OR lang = '' THEN 'N/A' ELSE lang END AS document_type,
+  CASE WHEN failed OR score = 0 THEN 'N/A' ELSE printf('%.2f%%', score * 100) END AS confidence,
+  CASE WHEN failed THEN '' WHEN length(t) > 300 THEN substr(t, 1, 300) || '...' ELSE t END AS preview,
+  CAST(CASE WHEN failed THEN 0 ELSE doc_id % 3 END AS INTEGER) AS n_tables, CAST(CASE WHEN failed THEN 0 ELSE n END AS INTEGER) AS n_kv,
+  CAST(CASE WHEN failed THEN 0 ELSE doc_id % 5 END AS INTEGER) AS n_entities, CAST(CASE WHEN failed THEN 0 ELSE doc_id % 6 END AS INTEGER) AS n_pii,
+  CASE WHEN failed THEN '' ELSE array_to_string(list_transform(generate_series(1, least(n, 10)), lambda i: 'k' || i || '=' || (doc_id + i)), ';') END AS kv_first,
+  CAST(CASE WHEN failed THEN 0 ELSE greatest(n - 10, 0) END AS INTEGER) AS kv_more,
+  CASE WHEN failed THEN '' ELSE 'q=' || lang END AS query_answers, CASE WHEN failed THEN '' ELSE substr(t, 1, 200) || '|short' END AS answers,
+  CAST(CASE WHEN failed THEN 1 ELSE doc_id % 2 END AS INTEGER) AS n_errors FROM d""")
+def q_summary_fields(spark, sf_dir):
+    """A10/P10 over results of every shape: no, some and more than ten pairs, scores of zero, no type, long answers, failed inputs."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("raw_text"), F.coalesce("lang", F.lit("")).alias("lang"))
+    d = d.withColumn("document_path", F.concat(F.lit("in/"), "doc_id"))
+    i = F.col("doc_id").cast("int")
+
+    def times(x, n):
+        return F.array_repeat(F.lit(x), n)
+
+    pairs = F.transform(F.when(i % 14 == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), i % 14)), lambda k: F.struct(
+        F.concat(F.lit("k"), k), (F.col("doc_id") + k).cast("string")))
+    good = d.where(i % 11 != 10).select(
+        "doc_id", "document_path", "raw_text", F.when(i % 4 == 0, F.lit("")).otherwise(F.col("lang")).alias("document_type"),
+        (i % 9 / F.lit(8.0)).alias("classification_confidence"), times("t", i % 3).alias("tables"), F.map_from_entries(pairs).alias("kv_pairs"),
+        times("e", i % 5).alias("entities"), times("p", i % 6).alias("pii_entities"), F.create_map(F.lit("q"), "lang").alias("query_answers"),
+        F.array(F.struct(F.col("raw_text").alias("answer")), F.struct(F.lit("short").alias("answer"))).alias("genai_answers"),
+        times("error", i % 2).alias("errors"))
+    failed = AS.failed_results(d.where(i % 11 == 10).withColumn("error", F.lit("upload failed")))
+
+    def joined(entries):
+        return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+
+    s = AS.document_summary(AS.batch_results(good, failed))
+    return s.withColumn("kv_first", joined(F.col("kv_first"))).withColumn("query_answers", joined(F.map_entries("query_answers"))).withColumn(
+        "answers", F.array_join("answers", "|"))
+
+
 # Inputs with planted failures: of every 50 documents one has a corrupt response, one a blank page, one a failed upload, one errors
 # of later phases, one no response.
 _KIND_SQL = """CASE doc_id % 50 WHEN 7 THEN 'corrupt' WHEN 8 THEN 'blank' WHEN 9 THEN 'upload' WHEN 10 THEN 'later' WHEN 11 THEN 'none'
