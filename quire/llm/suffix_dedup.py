@@ -44,6 +44,9 @@ BATCHES = 3
 HOT_FROM, HOT_PART, HOT_LIMIT = 24, 16, 1 << 20
 #: A seed and flank with this many different contents in that part: the windows are matched by their own hash.
 WIDE_FROM = 128
+#: Of so few documents every seed and flank is counted, not only those that an Arrow batch holds twice, so that seeds spread thinly
+#: over very many documents are found as well: ``RARE_FROM`` of them stand for about ``RARE_FROM * RARE_PART`` documents.
+RARE_FROM, RARE_PART = 24, 1024
 
 #: Rows, most of them blocks, that a Python worker gets at once.
 BLOCKS_AT_ONCE = 400
@@ -347,23 +350,28 @@ def frequent_seeds(texts: DataFrame, span: int, seed: int) -> tuple[np.ndarray,
     spread of the work depends on them."""
     import pyarrow as pa
 
-    schema = pa.schema([("key", pa.int64()), ("wide", pa.bool_()), ("n", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("wide", pa.bool_()), ("rare", pa.bool_()), ("n", pa.int64())])
 
     def run(batches):
         for b in batches:
             for part, _ in _classes(b, 8 << 20):
-                s, keep = distinct(np.concatenate([entries(t, c, False, span, seed) for c, t, _ in part]))
-                s = s[keep]
-                for keys, wide in ((s["key"], False), (by_flank(s, False), True), (by_flank(s, True), True)):
-                    keys, n = np.unique(keys, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[n > 1].view(np.int64)), pa.array(np.full((n > 1).sum(), wide)),
-                                                      pa.array(n[n > 1])], schema=schema)
-
-    some = texts.where(F.pmod("cls", F.lit(HOT_PART)) == 0).mapInArrow(run, "key long, wide boolean, n long")
-    top = (some.groupBy("key", "wide").agg(F.sum("n").alias("n")).where(F.col("n") >= F.when(F.col("wide"), WIDE_FROM).otherwise(HOT_FROM))
-           .orderBy(F.desc("n"), "wide", "key").limit(2 * HOT_LIMIT).collect())
-    hot, wide = (np.sort(np.array([r["key"] for r in top if r["wide"] == w], np.int64).view(np.uint64)) for w in (False, True))
-    return hot, wide
+                e = np.concatenate([entries(t, c, False, span, seed) for c, t, _ in part])
+                for rare, some, least in ((False, e, 2), (True, e[e["doc"] % RARE_PART == 0], 1)):
+                    s, keep = distinct(some)
+                    s = s[keep]
+                    for keys, wide in ((s["key"], False), (by_flank(s, False), True), (by_flank(s, True), True)):
+                        keys, n = np.unique(keys, return_counts=True)
+                        keys, n = keys[n >= least], n[n >= least]
+                        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(n), wide)),
+                                                          pa.array(np.full(len(n), rare)), pa.array(n)], schema=schema)
+
+    some = texts.where((F.pmod("cls", F.lit(HOT_PART)) == 0) | (F.pmod("cls", F.lit(RARE_PART)) == 0)).mapInArrow(
+        run, "key long, wide boolean, rare boolean, n long")
+    many = F.when(F.col("rare"), RARE_FROM).when(F.col("wide"), WIDE_FROM).otherwise(HOT_FROM)
+    top = (some.groupBy("key", "wide", "rare").agg(F.sum("n").alias("n")).where(F.col("n") >= many)
+           .orderBy(F.desc("n"), "wide", "rare", "key").limit(2 * HOT_LIMIT).toArrow())
+    keys, wide = top["key"].to_numpy().view(np.uint64), top["wide"].to_numpy()
+    return np.unique(keys[~wide]), np.unique(keys[wide])
 
 
 def windows_under(p: np.ndarray, data: np.ndarray, span: int) -> np.ndarray:
@@ -393,10 +401,27 @@ def matched(w: np.ndarray, span: int):
     return w[~same], merged(out)
 
 
+def once(texts: DataFrame) -> DataFrame:
+    """``texts`` without the copies that a task meets again, so that a text with very many copies leaves each task once."""
+    import pyarrow as pa
+
+    def run(batches):
+        seen: set[int] = set()
+        for b in batches:
+            new = []
+            for i, c in enumerate(b.column("cls").to_pylist()):
+                if c not in seen:
+                    seen.add(c)
+                    new.append(i)
+            yield b if len(new) == b.num_rows else b.take(pa.array(new, pa.int64()))
+
+    return texts.mapInArrow(run, texts.schema)
+
+
 def resolve(texts: DataFrame, found: DataFrame, bits: int, span: int) -> DataFrame:
     """Match the windows of the places in ``found`` one by one; returns the stretches of those that occur twice. A place's windows can
     only match those of places with the same key, so the bytes under them are sent to that key's bucket; the windows of wide places
-    are sent to the bucket of their own hash."""
+    are sent to the bucket of their own hash. Exact copies have the same places, so one of them sends for all."""
     import pyarrow as pa
 
     schema, per_doc = _block_schema(), pa.schema([("cls", pa.int64()), ("places", pa.binary())])
@@ -408,12 +433,15 @@ def resolve(texts: DataFrame, found: DataFrame, bits: int, span: int) -> DataFra
         return [int(x["doc"][0]) for x in parts], [x.tobytes() for x in parts]
 
     places = _streamed(found.where("kind = 'place'"), "bucket", gather, "cls long, places binary", per_doc)
-    at = texts.join(places.hint("shuffle_hash"), "cls")
+    at = once(texts).join(places.hint("shuffle_hash"), "cls")
 
     def send(batches):
-        held, wide, size = [], [], 0
+        held, wide, size, sent_for = [], [], 0, set()
         for b in batches:
-            for t, raw in zip(text_bytes(b.column("text")), b.column("places")):
+            for c, t, raw in zip(b.column("cls").to_pylist(), text_bytes(b.column("text")), b.column("places")):
+                if c in sent_for:
+                    continue
+                sent_for.add(c)
                 for p in np.frombuffer(raw.as_py(), PLACE):
                     (wide if p["wide"] else held).append((p, t[p["at"]:p["at"] + p["len"] + span - 1].tobytes()))
                     size += int(p["len"]) * int(p["wide"])

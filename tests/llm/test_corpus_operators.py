@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.llm import chat, jaccard_join, language_id, rule_ensemble, suffix_dedup, winnowing
+from quire.llm.common import batches_of
 from quire.llm.components import connected
 from quire.llm.queries import QUERIES
 
@@ -86,6 +88,37 @@ def test_a_passage_of_very_many_documents_gathers_nowhere(spark, monkeypatch):
     assert len(p) > 700 and max(collections.Counter(one_task["key"].tolist()).values(), default=0) < 100
 
 
+@pytest.mark.parametrize("copies", [2, 2000])
+def test_copies_send_the_bytes_of_one(spark, monkeypatch, copies):
+    passage = "".join(random.Random(7).choices("abcdefghijklmnop ", k=700))
+    text = "".join(random.Random(8).choices("qrstuvwxyz ", k=400)) + passage
+    rows = [(i, text) for i in range(copies)] + [(copies, passage + "".join(random.Random(9).choices("0123456789 ", k=400)))]
+    sent, streamed = [], suffix_dedup._streamed
+
+    def spy(df, *more):
+        if "data" in df.columns:
+            sent.append(df.agg(F.sum(F.length("data"))).first()[0])
+        return streamed(df, *more)
+
+    monkeypatch.setattr(suffix_dedup, "_streamed", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    got = collections.Counter(tuple(r) for r in suffix_dedup.dedup(df, digest=True).collect())
+    two = brute_dedup([rows[0], rows[1], rows[-1]])  # a copy more does not change what goes
+    assert sorted(k[1:] for k in two) == sorted(k[1:] for k in got if k[0] in (0, 1, copies))
+    assert len({k[1:] for k in got}) == 2 and sum(got.values()) == copies + 1
+    assert 0 < sum(sent) < 20 * len(text)
+
+
+def test_a_passage_spread_thinly_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "RARE_PART", 1)
+    passage = "".join(random.Random(7).choices("abcdefghijklmnop ", k=300))
+    texts = ["".join(random.Random(100 + i).choices("qrstuvwxyz ", k=300)) + passage * (i % 40 == 0) for i in range(1200)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(1).select(F.xxhash64("text").alias("cls"), "text")
+    with batches_of(spark, 10):  # hardly ever twice in a batch
+        hot, _ = suffix_dedup.frequent_seeds(df, 200, 32)
+    assert len(hot)
+
+
 def test_matched_windows_are_sent_once():
     w = np.zeros(6, suffix_dedup.WINDOW)
     w["one"], w["doc"], w["gives"] = [1, 1, 1, 2, 2, 3], [1, 2, 3, 4, 4, 5], [0, 0, 1, 0, 0, 0]
