@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import RangeHash, batches_of, byte_symbols, lower_ascii, mix, save, slices, word_bounds
+from quire.llm.common import batches_of, byte_symbols, join_groups, lower_ascii, mix, RangeHash, save, slices, word_bounds
 from quire.llm.components import connected
 
 WIDTH, PERCENT = 5, 75
@@ -454,7 +454,7 @@ def join_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     with batches_of(spark, 400):  # rows are blocks
         known = known_frequencies(scanned.where("bucket is not null").select("bucket", "block"), bits, known_tokens)
     rows = scanned.where("bucket is null").select("doc_id", "n", "cls")
-    reps = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
+    reps = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count("*").alias("docs"))
     with batches_of(spark, 400):
         profiles = save(meetings(postings(docs, known, bits, width, percent), bits, percent), "meetings")
     met = profiles.select("cls", F.explode("homes").alias("home"))
@@ -487,9 +487,18 @@ def join_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         again = stay.unionByName(tour).groupBy("grp", "cls").agg(F.min("visitor").alias("visitor"))
         with batches_of(spark, 400):
             links = save(links.unionByName(verify_groups(docs, again, profiles, reps, width, percent)), "links")
-    label = connected(links)
-    named = rows.join(label, rows["cls"] == label["node"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "cls").alias("comp"))
-    least = named.where("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
-    return named.join(least, "comp", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return name_components(rows, reps, connected(links))
+
+
+def name_components(rows: DataFrame, reps: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows ``(doc_id, n, cls)``, classes ``(cls, rep, docs)`` and the components of linked classes ``(node, component)`` ->
+    ``doc_id, n_shingles, component_id``. The least id is found among the classes and then handed to their documents, so
+    neither a component of very many classes nor a class of very many copies is the key of one task."""
+    linked = save(reps.join(label, reps["cls"] == label["node"]).select("cls", "rep", "docs", "component"), "linked")
+    least = save(linked.groupBy("component").agg(F.min("rep").alias("least"), F.count("*").alias("classes")), "least")
+    named = join_groups(linked, least, ["component"], "classes").select("cls", "docs", "least")
+    alone = reps.join(label, reps["cls"] == label["node"], "left_anti").select("cls", "docs", F.col("rep").alias("least"))
+    of_class = save(named.unionByName(alone), "class-names")
+    found = join_groups(rows.where("n > 0"), of_class, ["cls"], "docs")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id")).unionByName(
+        rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))

@@ -11,7 +11,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from quire.llm import chat, jaccard_join, language_id, rule_ensemble, suffix_dedup, winnowing
+from quire.llm import chat, common, jaccard_join, language_id, rule_ensemble, suffix_dedup, winnowing
 from quire.llm.common import batches_of
 from quire.llm.components import connected
 from quire.llm.queries import QUERIES
@@ -198,6 +198,22 @@ def test_join_of_large_groups(spark):
     assert joined(df, block=10, known_tokens=5) == want
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_components_are_named_by_their_least_id(spark, monkeypatch, broadcast):
+    """A component of most classes, a class of most documents, classes without links or ids, and empty texts."""
+    if not broadcast:
+        monkeypatch.setattr(common, "sized_broadcast", lambda df, limit=0: df)
+    rows = [(5000 + i, 9, i % 1500) for i in range(3000)] + [(10_000 + i, 9, 7) for i in range(3000)]
+    rows += [(3, 9, 1499), (None, 9, 1500), (None, 9, 1501), (8, 9, 1501), (40, 0, -1), (None, 0, -1)]
+    label = [(c, 0) for c in range(1500) if c != 1]  # class 1 is linked with nothing
+    df = spark.createDataFrame(rows, "doc_id long, n long, cls long").repartition(8)
+    reps = df.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count("*").alias("docs"))
+    got = jaccard_join.name_components(df, reps, spark.createDataFrame(label, "node long, component long"))
+    want = {c: 3 for c in range(1500)} | {1: 5001, 1500: None, 1501: 8}
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(
+        (d, n, want[c] if n else d) for d, n, c in rows)
+
+
 def test_join_of_nothing(nothing):
     assert jaccard_join.join_components(nothing).count() == 0
 
