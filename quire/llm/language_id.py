@@ -10,7 +10,9 @@ by the hash of their id; whole texts count. Predictions see the text alone.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0; texts without labels (null language)
 are not learned from; with one language every text with a letter gets it; with none everything is ``und``; equal
-texts get equal results; ties go to the language that sorts first; an empty table gives no rows.
+texts get equal results; ties go to the language that sorts first; an empty table gives no rows; rows with a null ``doc_id`` are
+predicted like others but not learned from; columns that ``keep`` does not name are ignored, whatever they are called. A very long
+text becomes a vector of fixed length from all its bytes.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ from the end; between texts' units, the earlier unit first.
 
 Defined cases: null and empty text have no pieces and one segmentation; a blank is put before any other text, and
 decoding removes it; white space is kept; bytes without a piece decode to themselves, so decoding returns the
-text; control pieces are never produced from text; repeated rows get equal results; an empty table gives no rows.
+text; control pieces are never produced from text; repeated rows get equal results; an empty table gives no rows; a null
+``doc_id`` is carried like any; columns that ``keep`` does not name are ignored, whatever they are called. A very long text is one
+row of one task; its memory grows with its length.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ Spans of the four base kinds (email, ip, card, phone) always stay; candidates th
 the classifier's probability reaches ``threshold``. Offsets are code points, end exclusive.
 
 Defined cases: null text is empty and has no spans; equal spans of two kinds are reported in the order of
-``KINDS``; repeated rows get equal results; an empty table gives no rows. All scans are linear in the text.
+``KINDS``; repeated rows get equal results; an empty table gives no rows. All scans are linear in the text. A null ``doc_id``
+is carried like any; ``detect`` ignores columns that ``keep`` does not name, and ``detect_and_redact`` carries all columns, whatever they
+are called.
 """
 
 from __future__ import annotations

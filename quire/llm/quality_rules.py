@@ -6,7 +6,8 @@ expectation-maximisation over these counts estimates how often each rule is righ
 and bad documents, and the share of good documents. A document's verdict is its posterior probability.
 
 Defined cases: null text is empty; a document without words gets only the votes of the rules that need none; equal
-texts get equal verdicts; an empty table gives no rows.
+texts get equal verdicts; a posterior equal to the threshold is good; an empty table gives no rows; a null ``doc_id`` is carried like
+any; columns that ``keep`` does not name are ignored, whatever they are called. Very long texts are judged whole.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ texts are used. The statistics of all other documents are computed only when the
 
 Defined cases: null text is empty and is scored like any text; labels other than 0 and 1, and null labels, are
 ignored; without both labels every score is the share of label 1 (0.5 without labels); repeated rows are scored
-alike; an empty table gives no rows.
+alike; an empty table gives no rows. Rows with a null ``doc_id`` are scored like others but not learned from; a ``doc_id`` labelled twice
+has its largest label; a score equal to the threshold is kept; ``score`` ignores columns that ``keep`` does not name, and ``holds_back``
+carries all columns, whatever they are called. Very long texts are scored whole.
 """
 
 from __future__ import annotations

@@ -1,4 +1,7 @@
-"""Statistics of whole texts, computed on their UTF-8 bytes (white space and symbols are single bytes there)."""
+"""Statistics of whole texts, computed on their UTF-8 bytes (white space and symbols are single bytes there).
+
+Null text is empty and has zeros; an empty table gives no rows; the carried columns may be null.
+"""
 
 from __future__ import annotations
 

@@ -4,6 +4,10 @@ Ids are stored as one list column per document next to small metadata columns, o
 delta- or dictionary-encoded, a fixed row-group size and page indexes. A reader that asks for metadata never
 touches the ids' column chunks, and one that asks for a range of documents reads only the row groups and pages
 whose statistics overlap it.
+
+Defined cases: null and empty text has the end id alone; repeated rows are documents of their own; rows with one ``doc_id`` keep
+one order, by text, and a null ``doc_id`` sorts first; an empty table writes an empty dataset; columns other than ``doc_id`` and ``text`` are
+ignored, whatever they are called. A very long text is one list, so a row group may exceed its limit by one document.
 """
 
 from __future__ import annotations
