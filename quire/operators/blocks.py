@@ -135,8 +135,10 @@ def kv_pairs(blocks: DataFrame) -> DataFrame:
                                                lambda r: r["Type"] == "VALUE"),
                                       lambda r: F.coalesce(r["Ids"], F.array().cast("array<string>"))))
     keys = keys.withColumn("value_id", F.try_element_at(value_ids, F.lit(-1)))  # none: an unfilled field
+    # a value block without children reads '' like a dangling id, so the words, most of the blocks, stay out of this lookup
+    has_words = F.exists("relationships", lambda r: r["Type"] == "CHILD")
     values = resolve(keys.select("doc_id", "key_ord", F.col("value_id").alias("id")).where(F.col("id").isNotNull()),
-                     blocks, ["key_ord"], ["relationships"])
+                     blocks, ["key_ord"], ["relationships"], having=has_words)
     key_words = child_refs(keys, "CHILD", ["key_ord"], outer=True).withColumn("role", F.lit(0))
     value_words = child_refs(values, "CHILD", ["key_ord"]).withColumn("role", F.lit(1))
     refs = key_words.unionByName(value_words)

@@ -6,7 +6,7 @@ block keeps ``ord``, its position in the response, which decides every "first"/"
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -91,17 +91,19 @@ def combine_pages(df: DataFrame, json_col: str = "response", id_col: str = "doc_
 
 
 def resolve(refs: DataFrame, blocks: DataFrame, keys: list[str], cols: list[str], how: str = "inner",
-            types: tuple[str, ...] | None = None) -> DataFrame:
+            types: tuple[str, ...] | None = None, having: Column | None = None) -> DataFrame:
     """Follow references: ``refs(doc_id, id, *keys)`` -> each ref with the columns ``cols`` of block ``id``.
 
     This is the reference's ``{Id: block}`` lookup as an equi-join on ``(doc_id, id)``; a repeated Id keeps the
-    *last* block. ``types`` says which blocks the caller can use: only their rows, and only ``cols``, are shuffled; a reference
-    to another type counts as dangling. When the block table carries ``dup_ids`` (set by the parsers, per document), only documents
+    *last* block. ``types`` and ``having`` (a condition on ``cols``) say which blocks the caller can use: only their rows, and only
+    ``cols``, are shuffled; a reference to another block counts as dangling. When the block table carries ``dup_ids`` (set by the parsers, per document), only documents
     that repeat an Id go through the "last block" aggregation and the rest join directly. Without the flag the
     join may match several blocks and ``max_by(..., ord)`` picks one per ref, grouped on a superset of the join
     key so it runs in the join's stage. ``how='left'`` keeps dangling (or null) references with null columns.
     """
     fits = F.col("block_type").isin(list(types)) if types else F.lit(True)
+    if having is not None:
+        fits = F.coalesce(fits & having, F.lit(False))
     b = blocks.where(F.col("id").isNotNull())
     need = list(dict.fromkeys([*cols, "block_type"]))
     if "dup_ids" in blocks.columns:
@@ -112,9 +114,10 @@ def resolve(refs: DataFrame, blocks: DataFrame, keys: list[str], cols: list[str]
                 .select("doc_id", "id", "__b.*").where(fits).select("doc_id", "id", *side))
         return refs.join(plain.unionByName(last), ["doc_id", "id"], how).select(
             "doc_id", "id", *keys, *[F.col(f"__l_{c}").alias(c) for c in cols])
-    j = refs.join(b.select("doc_id", "id", "ord", *need), ["doc_id", "id"], how)
-    picked = j.groupBy("doc_id", "id", *keys).agg(F.max_by(F.struct(*need), "ord").alias("__b"))
-    ok = F.col("__b.block_type").isin(list(types)) if types else F.lit(True)
+    # the flag, not the filter: a last block that does not fit hides an earlier one that does
+    j = refs.join(b.select("doc_id", "id", "ord", *cols, fits.alias("__fits")), ["doc_id", "id"], how)
+    picked = j.groupBy("doc_id", "id", *keys).agg(F.max_by(F.struct(*cols, "__fits"), "ord").alias("__b"))
+    ok = F.col("__b.__fits")
     out = picked.select("doc_id", "id", *keys, *[F.when(ok, F.col(f"__b.{c}")).alias(c) for c in cols], ok.alias("__ok"))
     return (out.where("__ok") if how == "inner" else out).drop("__ok")
 

@@ -151,6 +151,26 @@ def test_kv_edge_cases(spark):
     assert B.kv_map(B.kv_pairs(blocks)).select(order).first()[0] == ["Name:", "Total", "Paid", "Fax"]
 
 
+def test_value_blocks_without_words(spark):
+    """Only blocks with children travel to the value lookup; the last block of an Id still hides an earlier one with words."""
+    def key(n, value):
+        return [{"BlockType": "KEY_VALUE_SET", "Id": f"k{n}", "EntityTypes": ["KEY"], "Relationships": [rel("CHILD", f"kw{n}"), rel("VALUE", value)]},
+                {"BlockType": "WORD", "Id": f"kw{n}", "Text": f"key{n}"}]
+
+    full = {"BlockType": "KEY_VALUE_SET", "EntityTypes": ["VALUE"], "Relationships": [rel("CHILD", "w")]}
+    plain = [*key(1, "v"), *key(2, "none"), *key(3, "other"), *key(4, "w"), {"BlockType": "WORD", "Id": "w", "Text": "word"},
+             {**full, "Id": "v"}, {"BlockType": "KEY_VALUE_SET", "Id": "none", "EntityTypes": ["VALUE"]},
+             {"BlockType": "KEY_VALUE_SET", "Id": "other", "EntityTypes": ["VALUE"], "Relationships": [rel("VALUE", "w")]}]
+    hides = [*plain, {"BlockType": "KEY_VALUE_SET", "Id": "v", "EntityTypes": ["VALUE"]}]  # the last one has no words
+    shows = [*plain, {**full, "Id": "none"}]
+    blocks = parse_blocks(responses(spark, {1: {"Blocks": plain}, 2: {"Blocks": hides}, 3: {"Blocks": shows}}))
+    want = {1: ["word", "", "", ""], 2: ["", "", "", ""], 3: ["word", "word", "", ""]}
+    for b in (blocks, blocks.drop("dup_ids")):
+        got = B.kv_pairs(b).orderBy("doc_id", "key_ord").collect()
+        assert {d: [r.value for r in got if r.doc_id == d] for d in want} == want
+        assert [r.key for r in got if r.doc_id == 2] == ["key1", "key2", "key3", "key4"]
+
+
 def test_exact_rounding(spark):
     from quire.functions.numbers import round_exact
 
