@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import bind
 from quire.schemas import BLOCK
 
 
-
 def _null(dtype: str) -> Column:
     return F.lit(None).cast(dtype)
 
@@ -67,7 +67,7 @@ def encode_lines(documents: DataFrame) -> DataFrame:
 def lineitem_rows(lineitem: DataFrame) -> DataFrame:
     """Line items of each order with a 1-based row number in a total order (``(orderkey, linenumber)`` repeats)."""
     items = (lineitem.groupBy("l_orderkey")
-             .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+             .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                                         "l_extendedprice", "l_returnflag", "l_discount"))).alias(
                  "items")))
     return items
@@ -83,25 +83,27 @@ def encode_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         items.withColumnRenamed("l_orderkey", "doc_id"), "doc_id", "left")
     o = o.withColumn("items", F.coalesce("items", F.array()))
 
-    def cell_texts(it):
-        return F.array(it["l_partkey"].cast("string"), it["l_returnflag"],
-                       F.format_string("%.2f", it["l_extendedprice"]))
+    def text(value):  # of characters that need no escape
+        return F.coalesce(F.concat(F.lit(',"Text":"'), value, F.lit('"')), F.lit(""))
 
-    def cid(r, c):
-        return F.concat(F.lit("C"), r.cast("string"), F.lit("_"), c.cast("string"))
+    def of_item(it, r):
+        flag = F.to_json(F.struct(it["l_returnflag"].alias("Text")))
+        flag = F.when(it["l_returnflag"].isNull(), F.lit("")).otherwise(F.concat(F.lit(","), F.substring(flag, F.lit(2), F.length(flag) - 2)))
+        texts = [text(it["l_partkey"].cast("string")), flag, text(F.format_string("%.2f", it["l_extendedprice"]))]
+        # written out as to_json writes the blocks, which costs a fraction of building the structs
+        return F.concat(*[F.concat(
+            F.lit(',{"BlockType":"CELL","Id":"C'), r, F.lit(f'_{c}","RowIndex":'), r,
+            F.lit(f',"ColumnIndex":{c},"Relationships":[{{"Type":"CHILD","Ids":["W'), r,
+            F.lit(f'_{c}"]}}]}},{{"BlockType":"WORD","Id":"W'), r, F.lit(f'_{c}"'), t, F.lit("}")) for c, t in enumerate(texts, 1)])
 
-    def wid(r, c):
-        return F.concat(F.lit("W"), r.cast("string"), F.lit("_"), c.cast("string"))
+    def number(r):
+        return (r + 1).cast("string")
 
-    cells = F.flatten(F.transform("items", lambda it, r: F.transform(cell_texts(it), lambda t, c: F.array(
-        block("CELL", cid(r + 1, c + 1), row=(r + 1).cast("int"), col=(c + 1).cast("int"),
-              rels=F.array(rel("CHILD", F.array(wid(r + 1, c + 1))))),
-        block("WORD", wid(r + 1, c + 1), text=t)))))
-    cells = F.flatten(cells)
-    cell_ids = F.flatten(F.transform("items", lambda it, r: F.transform(F.sequence(F.lit(1), F.lit(3)),
-                                                                        lambda c: cid(r + 1, c))))
-    table = block("TABLE", F.lit("T0"), rels=F.when(F.size("items") > 0, F.array(rel("CHILD", cell_ids))))
-    return _response(o, F.concat(F.array(table), cells), "doc_id")
+    cells = F.array_join(F.transform("items", lambda it, r: bind(number(r), lambda n: of_item(it, n))), "")
+    cell_ids = F.array_join(F.transform("items", lambda it, r: bind(number(r), lambda n: F.concat(
+        *[F.concat(F.lit(f'{"," if c > 1 else ""}"C'), n, F.lit(f'_{c}"')) for c in (1, 2, 3)]))), ",")
+    rels = F.when(F.size("items") > 0, F.concat(F.lit(',"Relationships":[{"Type":"CHILD","Ids":['), cell_ids, F.lit("]}]"))).otherwise(F.lit(""))
+    return o.select("doc_id", F.concat(F.lit('{"Blocks":[{"BlockType":"TABLE","Id":"T0"'), rels, F.lit("}"), cells, F.lit("]}")).alias("response"))
 
 
 # ---------------------------------------------------------------- customer -> KEY_VALUE_SET blocks
@@ -202,20 +204,19 @@ def encode_expense(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         _field(None, F.concat(F.lit("cust-"), F.col("o_custkey").cast("string"))),
         _field(F.lit("DUE"), None),
     )
-    numbered = F.transform("items", lambda it, r: F.struct(it.alias("it"), (r + 1).alias("r")))
+    def value(name, text):  # as to_json writes a field, of characters that need no escape
+        found = F.coalesce(F.concat(F.lit('"Text":"'), text, F.lit('"')), F.lit(""))
+        return F.concat(F.lit(f',{{"Type":{{"Text":"{name}"}},"ValueDetection":{{'), found, F.lit("}}"))
+
+    written = F.transform("items", lambda it, r: F.struct(it["l_returnflag"].alias("flag"), F.concat(
+        F.lit('{"LineItemExpenseFields":[{"Type":{"Text":"ITEM"},"ValueDetection":{"Text":"stale"}}'), value("ITEM", it["l_partkey"].cast("string")),
+        value("PRICE", F.format_string("%.2f", it["l_extendedprice"])), value("ROW", (r + 1).cast("string")),
+        F.lit(',{"Type":{"Text":"NOTE"}}]}')).alias("json")))
     flags = F.array_sort(F.array_distinct(F.transform("items", lambda it: it["l_returnflag"])))
-    groups = F.transform(flags, lambda f: F.struct(F.transform(
-        F.filter(numbered, lambda x: x["it"]["l_returnflag"] == f),
-        lambda x: F.struct(F.array(
-            _field(F.lit("ITEM"), F.lit("stale")),
-            _field(F.lit("ITEM"), x["it"]["l_partkey"].cast("string")),
-            _field(F.lit("PRICE"), F.format_string("%.2f", x["it"]["l_extendedprice"])),
-            _field(F.lit("ROW"), x["r"].cast("string")),
-            _field(F.lit("NOTE"), None),
-        ).alias("LineItemExpenseFields"))).alias("LineItems")))
-    doc = F.struct(summary.alias("SummaryFields"), groups.alias("LineItemGroups"))
-    return o.select(F.col("o_orderkey").alias("doc_id"),
-                    F.to_json(F.struct(F.array(doc).alias("ExpenseDocuments"))).alias("response"))
+    groups = bind(written, lambda w: F.array_join(F.transform(flags, lambda f: F.concat(F.lit('{"LineItems":['), F.array_join(
+        F.transform(F.filter(w, lambda x: x["flag"] == f), lambda x: x["json"]), ","), F.lit("]}"))), ","))
+    return o.select(F.col("o_orderkey").alias("doc_id"), F.concat(
+        F.lit('{"ExpenseDocuments":[{"SummaryFields":'), F.to_json(summary), F.lit(',"LineItemGroups":['), groups, F.lit("]}]}")).alias("response"))
 
 
 # ---------------------------------------------------------------- customer -> identity documents

@@ -18,17 +18,19 @@ def line_blocks(spark, sf_dir):
         "doc_id", "text"))), "line-blocks")
 
 
+# Where one decoder reads them, it is the responses: what the decoder does not use is then never made a row.
+
 def table_blocks(spark, sf_dir):
-    return materialize(parse_blocks(encode.encode_tables(read_table(spark, sf_dir, "orders"),
-                                                         read_table(spark, sf_dir, "lineitem"))), "table-blocks")
+    return parse_blocks(materialize(encode.encode_tables(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem")),
+                                    "table-responses"))
 
 
 def form_blocks(spark, sf_dir):
-    return materialize(parse_blocks(encode.encode_forms(read_table(spark, sf_dir, "customer"))), "form-blocks")
+    return parse_blocks(materialize(encode.encode_forms(read_table(spark, sf_dir, "customer")), "form-responses"))
 
 
 def query_blocks(spark, sf_dir):
-    return materialize(parse_blocks(encode.encode_queries(read_table(spark, sf_dir, "supplier"))), "query-blocks")
+    return parse_blocks(materialize(encode.encode_queries(read_table(spark, sf_dir, "supplier")), "query-responses"))
 
 
 @register("text_lines", """

@@ -250,3 +250,33 @@ def test_combine_pages_renumbers(spark):
                                "doc_id long, page_ord int, response string")
     lines = [(x.ord, x.text) for x in B.text_lines(combine_pages(df)).orderBy("ord").collect()]
     assert lines == [(0, "one"), (1, "two"), (2, "three")]
+
+
+def test_references_followed_in_the_row_and_by_joins_agree(spark):
+    """Short responses are decoded in their rows, long ones by joins; random responses with repeated, missing and dangling Ids."""
+    import random
+
+    rng = random.Random(5)
+    docs = {}
+    for d in range(60):
+        ids = [f"i{i}" for i in range(rng.randint(1, 14))]
+        some = lambda: [rng.choice([*ids, "nope", None]) for _ in range(rng.randint(0, 4))]
+        kinds = ["TABLE", "CELL", "CELL", "WORD", "WORD", "SELECTION_ELEMENT", "KEY_VALUE_SET", "QUERY", "QUERY_RESULT", None]
+        docs[d] = {"Blocks": [{k: v for k, v in {
+            "BlockType": rng.choice(kinds), "Id": rng.choice([*ids, None]), "Text": rng.choice(["a", " b ", "", None]),
+            "Confidence": rng.choice([98.25, 1.0, None]), "RowIndex": rng.choice([1, 2, None]), "ColumnIndex": rng.choice([1, 2, None]),
+            "SelectionStatus": rng.choice(["SELECTED", None]), "EntityTypes": rng.choice([["KEY"], ["KEY"], ["VALUE"], None]),
+            "Query": rng.choice([{"Text": "t"}, {"Text": "t", "Alias": "A"}, None]),
+            "Relationships": rng.choice([None, [], [{"Type": rng.choice(["CHILD", "CHILD", "VALUE", "ANSWER"]), "Ids": rng.choice([some(), None])}
+                                                    for _ in range(rng.randint(1, 3))]])}.items() if v is not None}
+            for _ in range(rng.randint(0, 30))]}
+    raw = responses(spark, docs)
+    ways = [parse_blocks(raw), parse_blocks(raw, in_row_bytes=0), parse_blocks(raw, in_row_bytes=1500)]
+    n = {w.select("doc_id", "in_row").distinct().groupBy().agg(F.sum(F.col("in_row").cast("int"))).first()[0] for w in ways}
+    assert len(n) == 3  # all, none and some of the documents
+    plain = ["doc_id", "ord", "block_type", "id", "text", "dup_ids"]
+    for decode in (lambda b: b.select(*plain), B.table_cells, B.table_grids, B.kv_pairs, B.answer_details):
+        rows = [sorted(map(repr, decode(w).collect())) for w in ways]
+        assert rows[0] == rows[1] == rows[2] and rows[0]
+    p = B._cells_in_row(ways[0].where("in_row AND start"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in p
