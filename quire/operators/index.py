@@ -22,13 +22,15 @@ from quire.session import broadcast_if_small, materialize
 
 LIST_ROWS = 8_192
 BLOCK_QUERIES = 1_024
+#: Queries whose distances to a whole list a task holds at once.
+HELD_QUERIES = 64
 
 
 # ---------------------------------------------------------------- nearest vectors
 
 def _nearest_in_list(k: int):
-    """Per (list of vectors, block of queries): every query's ``k`` nearest by ``(distance, vec_id)``. Distances come from one matrix product;
-    those near the ``k``-th are computed again coordinate by coordinate, so ties and the order are exact."""
+    """Per (list of vectors, block of queries): every query's ``k`` nearest by ``(distance, vec_id)``. Distances come from matrix products
+    of some queries at a time, which bound a task's memory; those near the ``k``-th are computed again coordinate by coordinate, so ties and the order are exact."""
     import numpy as np
     import pyarrow as pa
 
@@ -42,14 +44,19 @@ def _nearest_in_list(k: int):
             x, ids = matrix(vectors.column("__v")), vectors.column("vec_id").to_numpy()
             q, asked = matrix(queries.column("__q")), queries.column("query_id").to_numpy()
             xx, qq = (x * x).sum(1), (q * q).sum(1)
-            about = xx[None, :] + qq[:, None] - 2 * (q @ x.T)
             m = min(k, len(ids))
-            limit = np.partition(about, m - 1, axis=1)[:, m - 1] + 1e-9 * (xx.max() + qq + 1)
-            for i, row in enumerate(about):
-                near = np.flatnonzero(row <= limit[i])
-                exact = ((x[near] - q[i]) ** 2).sum(1)
-                for j in np.lexsort((ids[near], exact))[:m]:
-                    found.append((int(asked[i]), int(ids[near[j]]), float(exact[j])))
+            for at in range(0, len(q), HELD_QUERIES):
+                part = slice(at, at + HELD_QUERIES)
+                about = q[part] @ x.T
+                about *= -2
+                about += xx
+                about += qq[part, None]
+                limit = np.partition(about, m - 1, axis=1)[:, m - 1] + 1e-9 * (xx.max() + qq[part] + 1)
+                for i, row in enumerate(about, at):
+                    near = np.flatnonzero(row <= limit[i - at])
+                    exact = ((x[near] - q[i]) ** 2).sum(1)
+                    for j in np.lexsort((ids[near], exact))[:m]:
+                        found.append((int(asked[i]), int(ids[near[j]]), float(exact[j])))
         columns = list(zip(*found)) if found else [[], [], []]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()),
                          "distance": pa.array(columns[2], pa.float64())})

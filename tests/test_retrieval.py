@@ -178,3 +178,30 @@ def test_validate_json(spark):
     assert got == {
         0: (True, 1, "a", None), 1: bad(1), 2: bad(2), 3: bad(3), 4: bad(4), 5: (True, None, None, None),
         6: (False, None, None, None), 7: (False, None, None, None), 8: (False, None, None, None), 9: (True, 2, None, None), 10: bad(10)}
+
+
+def test_a_list_meets_a_block_of_queries_in_bounded_memory(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from quire.operators import index as IX
+
+    rng = np.random.default_rng(1)
+
+    def table(n, id_col, col):
+        x = rng.integers(0, 9, (n, 8)).astype(np.float32)  # many ties
+        return x, pa.table({id_col: pa.array(np.arange(n)), col: pa.array(list(x), pa.list_(pa.float32()))})
+
+    (x, v), (y, q) = table(IX.LIST_ROWS, "vec_id", "__v"), table(IX.BLOCK_QUERIES, "query_id", "__q")
+    run = IX._nearest_in_list(4)
+    tracemalloc.start()
+    got = run(v, q)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20  # the distances of all queries of the block at once are 64 MB
+    for i in (0, 63, 64, 700, 1023):
+        d = ((x.astype(float) - y[i]) ** 2).sum(1)
+        want = sorted(zip(d, range(len(d))))[:4]
+        assert [(r["distance"], r["vec_id"]) for r in got.slice(4 * i, 4).to_pylist()] == [(a, b) for a, b in want]
