@@ -280,3 +280,14 @@ def test_references_followed_in_the_row_and_by_joins_agree(spark):
         assert rows[0] == rows[1] == rows[2] and rows[0]
     p = B._cells_in_row(ways[0].where("in_row AND start"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in p
+
+
+def test_answers_take_one_grouping_of_the_pairs(spark):
+    kv = spark.createDataFrame([(1, 0, "Customer Name", "a"), (1, 1, "Name", "b"), (1, 2, "name!", "c"), (2, 0, "--", "d"), (3, 5, None, "e")],
+                               "doc_id long, key_ord int, key string, value string")
+    got = B.answer_queries(kv, [("N", "the customer"), ("N", "name?"), ("C", "Customer, customer"), ("X", "")])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 1 and plan.index("Generate") < plan.index("Exchange")  # no pair is repeated for each query
+    assert sorted(map(tuple, got.collect())) == [
+        (1, "C", "a", 50.0), (1, "N", "b", 100.0), (1, "X", "", 0.0), (2, "C", "", 0.0), (2, "N", "", 0.0), (2, "X", "", 0.0),
+        (3, "C", "", 0.0), (3, "N", "", 0.0), (3, "X", "", 0.0)]
