@@ -205,3 +205,13 @@ def test_a_list_meets_a_block_of_queries_in_bounded_memory(monkeypatch):
         d = ((x.astype(float) - y[i]) ** 2).sum(1)
         want = sorted(zip(d, range(len(d))))[:4]
         assert [(r["distance"], r["vec_id"]) for r in got.slice(4 * i, 4).to_pylist()] == [(a, b) for a, b in want]
+
+
+def test_letters_are_counted_without_counting_characters(spark):
+    from quire.operators.retrieval import embed_letters
+
+    texts = ["", "abba zoo", "é ü 日本 ñandú 𝄞a", "z" * 50 + "́"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(1).select("t", embed_letters(F.col("t")).alias("v"))
+    assert {r.t: r.v for r in df.collect()} == {t: [float(t.count(chr(c))) for c in range(97, 123)] for t in texts}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan and "(length(" not in plan
