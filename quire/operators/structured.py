@@ -20,14 +20,14 @@ def _typed(field):
 
 
 def _last_of_each(fields):
-    """A field list -> ``array<struct<type, value>>``: the last value of each type, in order of first appearance."""
-    def pick(typed):
-        names = F.array_distinct(F.transform(typed, lambda t: t["type"]))
-        return F.transform(names, lambda n: F.struct(
-            n.alias("type"), F.element_at(F.filter(typed, lambda t: t["type"] == n), -1)["value"].alias("value")))
-
-    typed = F.transform(F.coalesce(fields, F.array()), lambda f: F.struct(*_typed(f)))
-    return F.element_at(F.transform(F.array(typed), pick), 1)  # binds the list: it is computed once
+    """A field list -> ``array<struct<type, value>>``: the last value of each type, in order of first appearance. From the end of the
+    list a type's first place is its last value."""
+    def pick(back):
+        return bind(F.transform(back, lambda f: _typed(f)[0]), lambda types: F.transform(
+            F.array_distinct(F.reverse(types)), lambda n: F.struct(n.alias("type"), _typed(F.get(
+                back, (F.array_position(types, n) - 1).cast("int")))[1])))
+
+    return bind(F.reverse(F.coalesce(fields, F.array())), pick)
 
 
 def _expense_docs(resp: DataFrame, json_col: str) -> DataFrame:

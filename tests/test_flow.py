@@ -193,3 +193,29 @@ def test_phases_depend_on_earlier_ones(spark):
     assert every - filled(r["pii"]) == {"pii_entities", "redacted_text"} and every - filled(r["questions"]) == {"genai_answers"}
     assert every - filled(r["review"]) == {"human_review_triggered", "human_review_arn"}
     assert all(r[p].errors == [f"{p} failed"] for p in failing if p)
+
+
+def test_expense_responses_are_written_as_to_json_writes_them(spark):
+    """Line items with characters to escape, null values and flags; each type keeps its last value, in one pass over a field list."""
+    import json
+
+    from quire.operators.structured import expense_line_items
+    from quire.plans.encode import encode_expense, encode_tables
+
+    orders = spark.createDataFrame([(1, 9.5, 'q"\t', None, 7), (2, None, None, "1-URGENT", None)],
+                                   "o_orderkey long, o_totalprice double, o_orderstatus string, o_orderpriority string, o_custkey long")
+    items = spark.createDataFrame([(1, 2, 5, 1, 1.0, 2.5, 'a"\\\né', 0.0), (1, 1, None, 1, 1.0, None, 'a"\\\né', 0.0), (1, 3, 6, 1, 1.0, 3.0, None, 0.0)],
+                                  "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+                                  "l_returnflag string, l_discount double")
+    got = {r.doc_id: json.loads(r.response)["ExpenseDocuments"][0] for r in encode_expense(orders, items).collect()}
+    assert got[2]["LineItemGroups"] == [] and [len(g["LineItems"]) for g in got[1]["LineItemGroups"]] == [2, 0]
+    first = got[1]["LineItemGroups"][0]["LineItems"][0]["LineItemExpenseFields"]
+    assert first[1] == {"Type": {"Text": "ITEM"}, "ValueDetection": {}} and first[2]["ValueDetection"] == {"Text": "nu"}
+    rows = sorted((r.item_ord, r.type, r.value) for r in expense_line_items(encode_expense(orders, items)).collect())
+    assert rows == [(0, "ITEM", ""), (0, "NOTE", ""), (0, "PRICE", "nu"), (0, "ROW", "1"), (1, "ITEM", "5"), (1, "NOTE", ""), (1, "PRICE", "2.50"),
+                    (1, "ROW", "2")]
+    table = {r.doc_id: json.loads(r.response)["Blocks"] for r in encode_tables(orders, items).collect()}
+    assert table[2] == [{"BlockType": "TABLE", "Id": "T0"}]
+    assert [b.get("Text") for b in table[1] if b["BlockType"] == "WORD"] == [None, 'a"\\\né', "nu", "5", 'a"\\\né', "2.50", "6", None, "3.00"]
+    plan = encode_expense(orders, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert "named_struct(LineItemExpenseFields" not in plan and "struct(LineItemExpenseFields" not in plan  # text, not structs
