@@ -5,6 +5,9 @@ character that is no piece, which stands for its bytes. A forward pass gives eve
 path from the start (Viterbi); these scores are exact heuristics for an A* search from the end, which therefore
 yields complete segmentations in order of their score, best first, until ``n`` are found.
 
+Most units only need their best segmentation and the distance to the second. These are found for many units at once: edges come from a
+trie over bytes, walked from all characters together, and a forward pass takes the edges of all units that start at the same offset.
+
 No edge crosses a place between two bytes that are neighbours in no piece. The lattice falls apart there, so a text
 is cut into units, each distinct unit is searched once per worker, and the N best segmentations of a text are the N
 best sums over its units: those only differ from the best one in the N - 1 units whose second segmentation is
@@ -33,6 +36,8 @@ from pyspark.sql import DataFrame
 from quire.llm.common import UnitTable, kept, slices, worker_cache
 
 _UNKNOWN_PENALTY = 10.0
+#: Bytes of a unit beyond which it is searched on its own, and of units that are searched at once.
+_LONG, _TOGETHER = 256, 1 << 18
 
 
 class Step:
@@ -103,6 +108,20 @@ class PieceLattice:
         for t in self.ids:
             b = np.frombuffer(t.encode(), np.uint8)
             self.joined[b[:-1], b[1:]] = True
+        self.byte_ids = np.array([self.byte_id.get(b, -1) for b in range(256)], np.int32)
+        node, step = {b"": 0}, []
+        for t in self.ids:
+            raw = t.encode()
+            for k in range(len(raw)):
+                if raw[:k + 1] not in node:
+                    node[raw[:k + 1]] = len(node)
+                    step.append((node[raw[:k]] * 256 + raw[k], node[raw[:k + 1]]))
+        #: the trie over bytes: ``node * 256 + byte`` -> next node, and the piece that ends at a node (-1: none)
+        self.step_from, self.step_to = np.array([*sorted(step), (np.iinfo(np.int64).max, 0)], np.int64).T.copy()
+        self.piece_of = np.full(len(node), -1, np.int32)
+        self.piece_of[[node[t.encode()] for t in self.ids]] = list(self.ids.values())
+        self.scores = np.zeros(self.size)
+        self.scores[list(self.ids.values())] = list(self.score.values())
 
     def edges_into(self, unit: str):
         """Forward pass: per position the edges ``(score, start, id)`` that end there, the best score and the least
@@ -152,6 +171,75 @@ class PieceLattice:
                 heapq.heappush(heap, (-(best[a] + t), pieces[a] + part.depth, part, next(order), a, t))
         return found
 
+    def edges_of(self, data: np.ndarray, ends: np.ndarray):
+        """Edges of all units, the bytes of which end at ``ends`` in ``data`` (UTF-8): start and end as byte offsets, id and score. A
+        character without a piece is an edge per byte, the first of which has its score."""
+        lead = (data & 0xC0) != 0x80
+        width = 1 + (data >= 0xC0) + (data >= 0xE0) + (data >= 0xF0)
+        limit = np.repeat(ends, np.diff(ends, prepend=0))
+        known = np.zeros(len(data), bool)
+        at, out = np.flatnonzero(lead), []
+        node, depth = np.zeros(len(at), np.int64), 0
+        while len(at):
+            step = node * 256 + data[at + depth]
+            found = np.searchsorted(self.step_from, step)
+            ok = self.step_from[found] == step
+            at, node, depth = at[ok], self.step_to[found[ok]], depth + 1
+            piece = self.piece_of[node]
+            hit = piece >= 0
+            start, piece = at[hit], piece[hit]
+            known[start[width[start] == depth]] = True
+            out.append((start, start + depth, piece, self.scores[piece]))
+            more = at + depth < limit[at]
+            at, node = at[more], node[more]
+        bare = np.flatnonzero(~known[lead][np.cumsum(lead) - 1])
+        ids = self.byte_ids[data[bare]]
+        if (ids < 0).any():
+            raise KeyError(int(data[bare[ids < 0][0]]))
+        out.append((bare, bare + 1, ids, np.where(lead[bare], self.unknown, 0.0)))
+        return tuple(map(np.concatenate, zip(*out)))
+
+    def best_of(self, units: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of the best segmentation of each unit, as ``nbest`` orders them, with its score and the distance to the second (infinite if
+        there is none). No two edges from one place of a unit end at the same place, so the edges from one offset in
+        all units are taken at once."""
+        raw = [u.encode() for u in units]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = np.cumsum(sizes)
+        start, end, ids, scores = self.edges_of(np.frombuffer(b"".join(raw), np.uint8), ends)
+        unit = np.repeat(np.arange(len(raw)), sizes)[start]
+        offset = start - (ends - sizes)[unit]
+        order = np.argsort(offset.astype(np.int32), kind="stable")
+        # a place between bytes per unit: one more than bytes
+        start, end, ids, scores = (start + unit)[order], (end + unit)[order], ids[order], scores[order]
+        rounds = np.searchsorted(offset[order], np.arange(int(sizes.max(initial=0)) + 1)).tolist()
+        last_place = ends + np.arange(len(raw))
+        n = int(last_place[-1]) + 1
+        best, second = np.full(n, -np.inf), np.full(n, -np.inf)
+        pieces, last_id, by = np.zeros(n, np.int64), np.zeros(n, np.int32), np.full(n, -1)
+        best[last_place - sizes] = 0.0
+        for lo, hi in zip(rounds, rounds[1:]):
+            a, z, i = start[lo:hi], end[lo:hi], ids[lo:hi]
+            score, other, p = best[a] + scores[lo:hi], second[a] + scores[lo:hi], pieces[a] + 1
+            had, had_p = best[z], pieces[z]
+            better = (score > had) | (score == had) & ((p < had_p) | (p == had_p) & (i < last_id[z]))
+            second[z] = np.where(better, np.maximum(had, other), np.maximum(second[z], score))
+            to = z[better]
+            best[to], pieces[to], last_id[to] = score[better], p[better], i[better]
+            by[to] = np.flatnonzero(better) + lo
+        upto = np.cumsum(pieces[last_place])
+        flat = np.empty(int(upto[-1]), np.int32)
+        place, at = last_place, upto
+        while True:  # a piece of every unit, from the end
+            more = by[place] >= 0
+            place, at = place[more], at[more] - 1
+            if not len(place):
+                break
+            flat[at] = last_id[place]
+            place = start[by[place]]
+        before = upto - pieces[last_place]
+        return [flat[a:z] for a, z in zip(before.tolist(), upto.tolist())], np.stack([best[last_place], best[last_place] - second[last_place]], 1)
+
 
 class PieceEncoder:
     """Encodes slices of texts; each distinct unit is searched once."""
@@ -166,11 +254,29 @@ class PieceEncoder:
 
     def search(self, units: list[str]):
         """Best ids of each unit, with its score and the distance to the second segmentation."""
-        ids, values = [], np.empty((len(units), 2))
+        ids, values = [None] * len(units), np.empty((len(units), 2))
+        together, total = [], 0
+
+        def search_together():
+            if together:
+                got, values[together] = self.lattice.best_of([units[k] for k in together])
+                for k, x in zip(together, got):
+                    ids[k] = x
+                together.clear()
+
         for k, u in enumerate(units):
-            got = self.lattice.nbest(u, 2)
-            ids.append(np.array(got[0][1], np.int32))
-            values[k] = got[0][0], (got[0][0] - got[1][0] if len(got) > 1 else np.inf)
+            size = len(u.encode())
+            if size > _LONG:  # as many passes as its bytes would each be over few units
+                got = self.lattice.nbest(u, 2)
+                ids[k] = np.array(got[0][1], np.int32)
+                values[k] = got[0][0], (got[0][0] - got[1][0] if len(got) > 1 else np.inf)
+                continue
+            if total + size > _TOGETHER:
+                search_together()
+                total = 0
+            together.append(k)
+            total += size
+        search_together()
         return ids, values
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, n: int):

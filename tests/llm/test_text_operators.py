@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quire.llm import pii_labels, pieces, quality_rules, tokens
 from quire.llm.queries import QUERIES, tokenizer_file
 
-from .conftest import SF_SMALL, texts_of
+from .conftest import SF_SMALL, texts_of, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -296,3 +296,38 @@ def test_long_runs_are_searched_in_linear_time():
         assert time.time() - began < 8  # seconds; a copy of the pieces per entry takes half a minute
         assert len({ids for _, ids in got}) == 4 and [s for s, _ in got] == sorted((s for s, _ in got), reverse=True)
         assert all(b"".join(lattice.bytes[i] for i in ids).decode() == unit for _, ids in got)
+
+
+def test_units_searched_together(monkeypatch):
+    import random
+
+    r = random.Random(3)
+    lattice = pieces.PieceLattice(tokenizer_file("piece_bpe_32k.model"))
+    units = {"".join(r.choice("aeinrst ,.éÜ日😀\x00\t") for _ in range(r.randint(1, 24))) for _ in range(400)}
+    units = [*sorted(units), " " * 40, " ", "\x01", "😀", "�x", "日本語" * 5, "the" * 30, *words(300, 7, "etaoin")]
+
+    def one_by_one(lattice):
+        for u in units:
+            got = lattice.nbest(u, 2)
+            yield list(got[0][1]), got[0][0], got[0][0] - got[1][0] if len(got) > 1 else float("inf")
+
+    def together(lattice):
+        ids, values = lattice.best_of(units)
+        return [(i.tolist(), *v) for i, v in zip(ids, values.tolist())]
+
+    assert together(lattice) == list(one_by_one(lattice))
+    flat = pieces.PieceLattice(tokenizer_file("piece_bpe_32k.model"))  # few different scores: many ties
+    flat.score = {t: -float(len(t) // 3) for t in flat.ids}
+    flat.unknown = -3.0
+    flat.trie = {t: x and (flat.score[t], x[1]) for t, x in flat.trie.items()}
+    flat.scores[list(flat.ids.values())] = list(flat.score.values())
+    assert together(flat) == list(one_by_one(flat))
+    # no search of its own for a short unit; one for a long one, whose passes it would have to itself
+    enc, calls, nbest = pieces.PieceEncoder(tokenizer_file("piece_bpe_32k.model")), [], pieces.PieceLattice.nbest
+    monkeypatch.setattr(pieces.PieceLattice, "nbest", lambda self, u, n: calls.append(u) or nbest(self, u, n))
+    monkeypatch.setattr(pieces, "_TOGETHER", 1000)
+    long = "e" * 400
+    ids, values = enc.search([*units, long])
+    assert calls == [long]
+    assert [(i.tolist(), *v) for i, v in zip(ids, values.tolist())] == [*one_by_one(lattice), (
+        list(nbest(lattice, long, 2)[0][1]), *[nbest(lattice, long, 2)[0][0], nbest(lattice, long, 2)[0][0] - nbest(lattice, long, 2)[1][0]])]
