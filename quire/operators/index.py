@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.arrays import explode_rows
-from quire.functions.text import SPLIT_CHUNK_OVERLAP, SPLIT_CHUNK_SIZE, split_text_fixed
-from quire.session import broadcast_if_small, materialize
+from quire.functions.text import SPLIT_CHUNK_OVERLAP, SPLIT_CHUNK_SIZE, split_text_fixed, window_starts
+from quire.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, broadcast_if_small, materialize
 
 LIST_ROWS = 8_192
 BLOCK_QUERIES = 1_024
@@ -160,21 +160,52 @@ def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
 IMPACT = 1_000
 
 
+NO_WORD = "[^\\p{L}\\p{N}]+"
+
+
 def words_of(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+", -1), lambda w: w != "")
-
+    return F.filter(F.split(F.lower(text), NO_WORD, -1), lambda w: w != "")
 
-def _counted(words: Column) -> Column:
-    """Distinct words with their counts, in the row: sorted, each word's count is the distance between its first place and the next word's."""
-    def runs(w):
-        n = F.size(w)
-        firsts = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.element_at(w, i) != F.element_at(w, F.greatest(i - 1, F.lit(1)))))
-        return F.element_at(F.transform(F.array(firsts), lambda f: F.transform(f, lambda i, j: F.struct(
-            F.element_at(w, i).alias("word"), (F.coalesce(F.get(f, j + 1), n + 1) - i).alias("tf")))), 1)
 
-    ordered = F.element_at(F.transform(F.array(F.array_sort(words)), runs), 1)
-    return F.when(F.size(words) > 0, ordered).otherwise(F.array().cast("array<struct<word:string,tf:int>>"))
+def _count_in_rows(batches):
+    """Batches of ``(doc_id, chunk_ord, words)`` -> a row per chunk and distinct word with its count; empty words are left out."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for b in batches:
+        words = b.column("words")
+        coded = words.flatten().dictionary_encode()
+        known, row = coded.dictionary, np.repeat(np.arange(len(words)), words.value_lengths().to_numpy())
+        pairs, tf = np.unique(row * max(len(known), 1) + coded.indices.to_numpy(), return_counts=True)
+        row, word = np.divmod(pairs, max(len(known), 1))
+        real = pc.not_equal(known, "").to_numpy(zero_copy_only=False)[word]
+        row, word, tf = pa.array(row[real]), pa.array(word[real]), tf[real]
+        yield pa.RecordBatch.from_arrays([known.take(word), b.column("doc_id").take(row), b.column("chunk_ord").take(row), pa.array(tf, pa.int32())],
+                                         names=["word", "doc_id", "chunk_ord", "tf"])
+
+
+def join_words(rows: DataFrame, df: DataFrame, max_words: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``rows`` with the ``df``, number of rows, of their ``word``; ``df`` has a row for every word. Words are broadcast from the most frequent on, as many as
+    the bounds allow: the vocabulary grows with the input, but few rows have a rare word, and only those are shuffled. Both tables are
+    read twice, so they should be written ones."""
+    level = F.length(F.bin("df")).alias("level")  # of 2^(level - 1) rows at least
+    sizes = df.groupBy(level).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("word") + 16).alias("size")).collect()
+    words = size = 0
+    least = None
+    for x in sorted(sizes, reverse=True):
+        words, size = words + x.n, size + x.size
+        if words > max_words or size > max_bytes:
+            break
+        least = 1 << (x.level - 1)
+    else:
+        return rows.join(F.broadcast(df), "word")
+    if least is None:
+        return rows.join(df, "word")
+    often = F.broadcast(df.where(F.col("df") >= least))
+    seldom = rows.join(often.select("word"), "word", "left_anti").join(df.where(F.col("df") < least).hint("shuffle_merge"), "word")
+    return rows.join(often, "word").unionByName(seldom)
 
 
 def postings(docs: DataFrame, size: int = SPLIT_CHUNK_SIZE, overlap: int = SPLIT_CHUNK_OVERLAP) -> DataFrame:
@@ -183,17 +214,17 @@ def postings(docs: DataFrame, size: int = SPLIT_CHUNK_SIZE, overlap: int = SPLIT
     ``weight = floor(IMPACT * (1 + ln tf) * ln(1 + chunks / chunks with the word))``. A word that nearly every chunk has weighs little but
     is indexed like any other. Empty and null texts have no chunks.
     """
+    docs = docs.where(F.length("text") > 0)
     chunks = F.transform(split_text_fixed(F.col("text"), size, overlap), lambda c, i: F.struct(i.alias("chunk_ord"), c["text"].alias("text")))
-    c = explode_rows(docs.where(F.length("text") > 0), ["doc_id"], chunks, "c", "__p").select(
+    c = explode_rows(docs, ["doc_id"], chunks, "c", "__p").select(
         "doc_id", F.col("c.chunk_ord").alias("chunk_ord"), F.col("c.text").alias("chunk"))
-    counted = c.select("doc_id", "chunk_ord", _counted(words_of(F.col("chunk"))).alias("words"))
-    n = counted.count()
-    rows = materialize(explode_rows(counted, ["doc_id", "chunk_ord"], F.col("words"), "w").select(
-        F.col("w.word").alias("word"), "doc_id", "chunk_ord", F.col("w.tf").alias("tf")), "term-rows")
-    df = rows.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    split = c.select("doc_id", "chunk_ord", F.split(F.lower("chunk"), NO_WORD, -1).alias("words"))
+    n = docs.agg(F.coalesce(F.sum(F.size(window_starts(F.col("text"), size, overlap))), F.lit(0))).first()[0]
+    rows = materialize(split.mapInArrow(_count_in_rows, f"word string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, chunk_ord int, tf int"),
+                       "term-rows")
+    df = materialize(rows.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "words")
     weight = F.floor(F.lit(IMPACT) * (1 + F.log(F.col("tf").cast("double"))) * F.log1p(F.lit(float(n)) / F.col("df")))
-    return materialize(rows.join(broadcast_if_small(df), "word").select("word", "doc_id", "chunk_ord", weight.cast("long").alias("weight")),
-                       "postings")
+    return materialize(join_words(rows, df).select("word", "doc_id", "chunk_ord", weight.cast("long").alias("weight")), "postings")
 
 
 def question_terms(questions: Sequence[str], spark) -> DataFrame:

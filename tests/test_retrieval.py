@@ -215,3 +215,29 @@ def test_letters_are_counted_without_counting_characters(spark):
     assert {r.t: r.v for r in df.collect()} == {t: [float(t.count(chr(c))) for c in range(97, 123)] for t in texts}
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "octet_length" in plan and "(length(" not in plan
+
+
+def test_words_of_a_large_vocabulary(spark):
+    from collections import Counter
+
+    from quire.session import materialize
+
+    words = [f"w{i}" for i in range(300) for _ in range(1 + 900 // (i + 1))]
+    rows = materialize(spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word string, doc_id long"))
+    df = materialize(rows.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
+    want = sorted((w, i, Counter(words)[w]) for i, w in enumerate(words))
+    for bounds, anti in (((50, 1 << 20), True), ((1000, 600), True), ((1000, 1 << 20), False), ((0, 1 << 20), False)):
+        got = IX.join_words(rows, df, *bounds)
+        assert sorted(map(tuple, got.select("word", "doc_id", "df").collect())) == want
+        # only rows of rare words are left for the shuffle
+        assert ("LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()) == anti
+
+
+def test_words_counted_in_batches():
+    import pyarrow as pa
+
+    b = pa.RecordBatch.from_arrays([pa.array([9, 1, None, 1]), pa.array([0, 1, 2, 3], pa.int32()), pa.array(
+        [["x"], ["b", "a", "", "b"], [""], ["a", "a", "é"]])], names=["doc_id", "chunk_ord", "words"])
+    out = [sorted(tuple(r.values()) for r in got.to_pylist()) for got in IX._count_in_rows([b, b.slice(1), b.slice(2, 1), b.slice(0, 0)])]
+    rest = [("a", 1, 1, 1), ("a", 1, 3, 2), ("b", 1, 1, 2), ("é", 1, 3, 1)]
+    assert out == [sorted([*rest, ("x", 9, 0, 1)]), rest, [], []]
