@@ -186,10 +186,9 @@ def _count_in_rows(batches):
                                          names=["word", "doc_id", "chunk_ord", "tf"])
 
 
-def join_words(rows: DataFrame, df: DataFrame, max_words: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """``rows`` with the ``df``, number of rows, of their ``word``; ``df`` has a row for every word. Words are broadcast from the most frequent on, as many as
-    the bounds allow: the vocabulary grows with the input, but few rows have a rare word, and only those are shuffled. Both tables are
-    read twice, so they should be written ones."""
+def frequent_from(df: DataFrame, max_words: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> int | None:
+    """The least ``df`` from which on the words of ``(word, df)`` may be broadcast together, most frequent first: 1 if all may, None if none.
+    The vocabulary grows with the input, but few rows have a rare word."""
     level = F.length(F.bin("df")).alias("level")  # of 2^(level - 1) rows at least
     sizes = df.groupBy(level).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("word") + 16).alias("size")).collect()
     words = size = 0
@@ -197,9 +196,16 @@ def join_words(rows: DataFrame, df: DataFrame, max_words: int = BROADCAST_MAX_RO
     for x in sorted(sizes, reverse=True):
         words, size = words + x.n, size + x.size
         if words > max_words or size > max_bytes:
-            break
+            return least
         least = 1 << (x.level - 1)
-    else:
+    return 1
+
+
+def join_words(rows: DataFrame, df: DataFrame, **bounds) -> DataFrame:
+    """``rows`` with the ``df``, number of rows, of their ``word``; ``df`` has a row for every word. Only rows of rare words are shuffled. Both
+    tables are read twice, so they should be written ones."""
+    least = frequent_from(df, **bounds)
+    if least == 1:
         return rows.join(F.broadcast(df), "word")
     if least is None:
         return rows.join(df, "word")

@@ -227,7 +227,7 @@ def test_words_of_a_large_vocabulary(spark):
     df = materialize(rows.groupBy("word").agg(F.count(F.lit(1)).alias("df")))
     want = sorted((w, i, Counter(words)[w]) for i, w in enumerate(words))
     for bounds, anti in (((50, 1 << 20), True), ((1000, 600), True), ((1000, 1 << 20), False), ((0, 1 << 20), False)):
-        got = IX.join_words(rows, df, *bounds)
+        got = IX.join_words(rows, df, max_words=bounds[0], max_bytes=bounds[1])
         assert sorted(map(tuple, got.select("word", "doc_id", "df").collect())) == want
         # only rows of rare words are left for the shuffle
         assert ("LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()) == anti
@@ -241,3 +241,24 @@ def test_words_counted_in_batches():
     out = [sorted(tuple(r.values()) for r in got.to_pylist()) for got in IX._count_in_rows([b, b.slice(1), b.slice(2, 1), b.slice(0, 0)])]
     rest = [("a", 1, 1, 1), ("a", 1, 3, 2), ("b", 1, 1, 2), ("é", 1, 3, 1)]
     assert out == [sorted([*rest, ("x", 9, 0, 1)]), rest, [], []]
+
+
+def test_scores_of_sentences_with_rare_words(spark):
+    from quire.session import materialize
+
+    docs = spark.createDataFrame([(i, ". ".join(" ".join(f"w{chr(97 + (i * j + k) % 23) * (1 + (i + k) % 9)}" for k in range(2 + j % 5)) for j in range(9)) + " w w. w")
+                                  for i in range(60)] + [(60, "only once. 1 2. w w only"), (61, None), (62, "")], "doc_id long, text string")
+    occ = RT.sentences(docs).select("doc_id", "sentence_ord", F.explode("words").alias("word"))
+    idf = materialize(occ.groupBy("word").agg(F.countDistinct("doc_id").alias("df")).withColumn("idf", F.ln(F.lit(64.0) / (F.col("df") + 1))))
+    by, known = {}, {r.word: r.idf for r in idf.collect()}
+    for r in occ.collect():
+        by.setdefault((r.doc_id, r.sentence_ord), []).append(known[r.word])
+    want = sorted((*k, sum(v) / len(v), len(v)) for k, v in by.items())
+    for most in (10_000, 40, 3, 0):
+        got = RT.mean_idf(occ, idf, max_words=most)
+        rows = sorted((r.doc_id, r.sentence_ord, r.score, r.n) for r in got.collect())
+        assert [(*r[:2], r[3]) for r in rows] == [(*r[:2], r[3]) for r in want]
+        assert all(abs(x[2] - y[2]) < 1e-6 for x, y in zip(rows, want))
+        # a row per occurrence is never sorted by word
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "sentence-parts" in got.inputFiles()[0] if most < 10_000 else "strategy=broadcast" in plan
