@@ -20,9 +20,12 @@ def line_blocks(spark, sf_dir):
 
 # Where one decoder reads them, it is the responses: what the decoder does not use is then never made a row.
 
+def table_responses(spark, sf_dir):
+    return encode.encode_tables(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+
+
 def table_blocks(spark, sf_dir):
-    return parse_blocks(materialize(encode.encode_tables(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem")),
-                                    "table-responses"))
+    return parse_blocks(materialize(table_responses(spark, sf_dir), "table-responses"))
 
 
 def form_blocks(spark, sf_dir):

@@ -13,7 +13,7 @@ from quire.operators import blocks as B
 from quire.operators import retrieval as RT
 from quire.plans import encode
 from quire.plans.lookups import DEFAULT_QUESTIONS
-from quire.plans.q_blocks import table_blocks
+from quire.plans.q_blocks import table_responses
 from quire.plans.q_retrieval import _RETRIEVE_CTE, _W, _Q_VALUES
 from quire.plans.registry import register
 from quire.plans.sqlgen import duck_str
@@ -168,7 +168,7 @@ def q_order_results(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("doc_id"),
         F.concat(F.lit("documents/orders/"), F.col("o_orderkey").cast("string")).alias("document_path"))
-    r = AS.process_documents(o, blocks=materialize(table_blocks(spark, sf_dir), "table-blocks"))
+    r = AS.process_documents(o, blocks=table_responses(spark, sf_dir))
     return r.select("doc_id", F.size("tables").alias("n_tables"),
                     F.coalesce(F.size(F.get("tables", 0)), F.lit(0)).alias("n_rows"),
                     F.size(F.map_keys("kv_pairs")).alias("n_kv"), "document_path", F.size("errors").alias("n_errors"))

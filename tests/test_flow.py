@@ -155,6 +155,82 @@ def test_process_documents_from_blocks(spark):
     assert summary[1].n_tables == 1 and summary[1].document_type == "N/A"
 
 
+def _random_response(rnd):
+    """Blocks of all types with repeated, missing and dangling ids, null parts, addresses that repeat or are not given."""
+    def some(values, p=0.8):
+        return rnd.choice(values) if rnd.random() < p else None
+
+    ids = [f"i{n}" for n in range(rnd.randrange(4, 12))]
+    blocks = []
+    for _ in range(rnd.randrange(0, 40)):
+        rels = [some([{"Type": some(["CHILD", "CHILD", "CHILD", "VALUE", "ANSWER"], 0.95), "Ids": some([[some([*ids, "gone"], 0.95) for _ in range(
+            rnd.randrange(0, 5))]], 0.95)}], 0.95) for _ in range(rnd.randrange(0, 4))]
+        b = {"BlockType": some(["TABLE", "CELL", "CELL", "CELL", "WORD", "WORD", "WORD", "WORD", "SELECTION_ELEMENT", "QUERY", "QUERY_RESULT",
+                                "QUERY_RESULT", "LINE", *["KEY_VALUE_SET"] * 4], 0.97),
+             "Id": some(ids, 0.95), "Text": some(["a", "b", " c\t", "", "\u00e9 x"]), "Confidence": some([1.0, 50.25]), "RowIndex": some([1, 2, 4]),
+             "ColumnIndex": some([1, 3]), "SelectionStatus": some(["SELECTED", "NOT_SELECTED"]), "EntityTypes": some([["KEY"], ["KEY"], ["VALUE"], []]),
+             "Query": some([{"Text": some(["q1", "q2"]), "Alias": some(["A", "B"], 0.5)}]), "Relationships": some([rels], 0.9)}
+        blocks.append(some([{k: v for k, v in b.items() if v is not None or rnd.random() < 0.5}], 0.97))
+    for _ in range(rnd.randrange(0, 5)):  # keys with words, some of which repeat
+        word = rnd.choice(["w1", "w2"])
+        blocks += [{"BlockType": "KEY_VALUE_SET", "EntityTypes": ["KEY"], "Relationships": [
+            {"Type": "CHILD", "Ids": [word]}, {"Type": "VALUE", "Ids": rnd.sample([*ids, "gone"], 2)}]}, {"BlockType": "WORD", "Id": word, "Text": f" {word}"}]
+    return json.dumps(some([{"Blocks": blocks}, {"Blocks": blocks}, {"Blocks": blocks}, {"Blocks": None}, {}], 0.98))
+
+
+def test_responses_decoded_in_their_row(spark, monkeypatch):
+    """A result fed by responses is the one fed by their blocks, whether a response is decoded in its row, is too long for that, or is one of
+    several of its document; a response is parsed once, and no block becomes a row."""
+    import random
+
+    from quire.operators import blocks as B
+    from quire.sources import blocks as SB
+
+    rnd = random.Random(5)
+    raw = spark.createDataFrame([(i, _random_response(rnd)) for i in range(300)] + [(i, _random_response(rnd)) for i in range(290, 300)] + [
+        (300, "{"), (301, None), (302, "[]"), (None, _random_response(rnd))], "doc_id long, response string")
+    docs = raw.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    blocks = materialize(SB.parse_blocks(raw, in_row_bytes=0), "test-blocks")
+
+    def results(given):
+        r = AS.process_documents(docs, blocks=given, responses=response_status(raw), questions=[])
+        return {x.doc_id: {**x.asDict(), "kv_order": list(x.kv_pairs)} for x in r.collect()}
+
+    want = results(blocks)
+    assert sum(map(bool, (x["tables"] for x in want.values()))) > 50 and sum(map(bool, (x["query_answers"] for x in want.values()))) > 50
+    assert sum(len(x["kv_pairs"]) > 1 for x in want.values()) > 5 and sum(any(map(any, x["tables"])) for x in want.values()) > 10
+    got = results(raw)
+    assert {i for i in want if got[i] != want[i]} == set()
+    long = SB.parse_documents
+    monkeypatch.setattr(SB, "parse_documents", lambda df: long(df, in_row_bytes=600))
+    assert long(raw, in_row_bytes=600).groupBy("long").count().count() == 2
+    got = results(raw)
+    assert {i for i in want if got[i] != want[i]} == set()
+    decoded = B.decode_documents(long(raw))
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and "Generate" not in plan and "Aggregate" not in plan
+
+
+def test_tables_of_orders_decoded_in_their_row(spark):
+    """Cells that fill their grid in reading order, in any other order, with gaps, with repeated addresses, with indexes out of range."""
+    from quire.operators import blocks as B
+    from quire.plans.q_blocks import table_blocks, table_responses
+    from quire.sources.blocks import parse_documents
+
+    def tables(df):
+        return {r.doc_id: r.tables for r in df.collect()}
+
+    sf_dir = "/root/testdata/sf0.001"
+    want = tables(B.table_grids(table_blocks(spark, sf_dir)))
+    assert tables(B.decode_documents(parse_documents(table_responses(spark, sf_dir)))) == want and max(map(len, (t[0] for t in want.values()))) > 5
+    addresses = [[(1, 1), (1, 2), (2, 1), (2, 2)], [(2, 2), (1, 1), (1, 2), (2, 1)], [(1, 1), (2, 2)], [(1, 1), (1, 1), (1, 2), (1, 2)],
+                 [(1, 1), (1, 1)], [(1, 1), (2, 0)], [(0, 2), (1, 2)], [(0, 1)], [(1, 3), (2, 1), (2, 2), (2, 3)], [(None, 1), (None, 2), (2, 1), (2, None)]]
+    raw = responses(spark, {d: {"Blocks": [{"BlockType": "TABLE", "Id": "t", "Relationships": [{"Type": "CHILD", "Ids": [f"c{i}" for i in range(len(a))]}]}, *[
+        {"BlockType": "CELL", "Id": f"c{i}", "RowIndex": r, "ColumnIndex": c, "Relationships": [{"Type": "CHILD", "Ids": [f"w{i}"]}]} for i, (r, c) in enumerate(a)],
+        *[{"BlockType": "WORD", "Id": f"w{i}", "Text": f"{d} {i}"} for i in range(len(a))]]} for d, a in enumerate(addresses)})
+    assert tables(B.decode_documents(parse_documents(raw))) == tables(B.table_grids(parse_blocks(raw)))
+
+
 def test_phases_depend_on_earlier_ones(spark):
     """Every field of a failed upload but its path is at its default and later errors are not told; a failed step of extraction skips
     the next ones; other phases lose their own fields only."""
